@@ -2,7 +2,55 @@
 
 from __future__ import annotations
 
-from perkspark.oracle.sql import r2, with_layers
+from perkspark.oracle.sql import exact_mean, r2, with_layers
+
+_PIVOT_CH = ", ".join(
+    f"MAX(CASE WHEN channel = '{c}' THEN {{m}} END) AS {c}" for c in ("web", "email", "mobile", "social")
+)
+_V_CHANNEL = """
+SELECT channel, total_offers_sent, offers_completed, completion_rate, total_revenue_generated, effectiveness_rank,
+       CASE WHEN completion_rate >= 50 THEN 'High' WHEN completion_rate >= 30 THEN 'Medium' ELSE 'Low' END
+         AS performance_level
+FROM channel_effectiveness"""
+_V_AGE = f"""
+SELECT age_group,
+       CAST(SUM(CASE WHEN completion_status = 'Completed' THEN customer_count ELSE 0 END) AS BIGINT) AS completed_count,
+       CAST(SUM(CASE WHEN completion_status = 'Not Completed' THEN customer_count ELSE 0 END) AS BIGINT)
+         AS not_completed_count,
+       AVG(avg_income) AS avg_income,
+       CAST(SUM(customer_count) AS BIGINT) AS total_customers,
+       {r2("SUM(CASE WHEN completion_status = 'Completed' THEN customer_count ELSE 0 END) * 100.0 / SUM(customer_count)")}
+         AS completion_rate
+FROM age_distribution_analysis GROUP BY age_group"""
+_V_OFFER = f"""
+SELECT offer_type,
+       {r2("AVG(CAST(completion_rate AS DECIMAL(10,2)))")} AS avg_completion_rate,
+       {r2("AVG(CAST(avg_completion_time_hours AS DECIMAL(12,2)))")} AS avg_completion_time,
+       CAST(SUM(total_completions) AS BIGINT) AS total_completions,
+       CAST(SUM(total_received) AS BIGINT) AS total_received
+FROM offer_completion_metrics GROUP BY offer_type"""
+_AUDIT_TABLES = [
+    ("bronze", "customers", "customers"),
+    ("bronze", "offers", "offers"),
+    ("bronze", "events", "loyalty_events"),
+    ("silver", "customers_cleansed", "customers_cleansed"),
+    ("silver", "offers_enriched", "offers_enriched"),
+    ("silver", "events_processed", "events_processed"),
+    ("silver", "offer_interactions", "offer_interactions"),
+    ("gold", "channel_effectiveness", "channel_effectiveness"),
+    ("gold", "age_distribution_analysis", "age_distribution_analysis"),
+    ("gold", "offer_completion_metrics", "offer_completion_metrics"),
+    ("gold", "v_channel_performance", f"({_V_CHANNEL})"),
+    ("gold", "v_age_summary", f"({_V_AGE})"),
+    ("gold", "v_offer_summary", f"({_V_OFFER})"),
+]
+_AUDIT = "\nUNION ALL ".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, COUNT(*) AS row_count FROM {src} AS t"
+    for layer, name, src in _AUDIT_TABLES
+) + """
+UNION ALL SELECT 'quality', 'customers_not_valid', COUNT(*) FROM customers_cleansed WHERE data_quality_flag <> 'valid'
+UNION ALL SELECT 'quality', 'offer_events_unparsed', COUNT(*) FROM events_processed
+  WHERE event_type IN ('offer received', 'offer viewed', 'offer completed') AND offer_id IS NULL"""
 
 _SELECTS: dict[str, str] = {
     "raw_customers": "SELECT * FROM customers",
@@ -60,6 +108,41 @@ FROM completion_analysis GROUP BY offer_type""",
     "completion_avg_by_channel": """
 SELECT channel, AVG(time_to_complete) AS avg_hours, COUNT(*) AS completions
 FROM completion_analysis GROUP BY channel""",
+    "v_channel_performance": _V_CHANNEL,
+    "v_age_summary": _V_AGE,
+    "v_offer_summary": _V_OFFER,
+    "layer_audit": _AUDIT,
+    "channel_rates_sorted": "SELECT channel, completion_rate, avg_revenue_per_offer FROM channel_effectiveness",
+    "age_status_matrix": """
+SELECT age_group,
+       MAX(CASE WHEN completion_status = 'Completed' THEN percentage END) AS completed_pct,
+       MAX(CASE WHEN completion_status = 'Not Completed' THEN percentage END) AS not_completed_pct
+FROM age_distribution_analysis GROUP BY age_group""",
+    "offer_type_summary": f"""
+SELECT offer_type, {exact_mean("avg_completion_time_hours")} AS avg_completion_time_hours,
+       {exact_mean("completion_rate")} AS completion_rate,
+       CAST(SUM(total_completions) AS BIGINT) AS total_completions,
+       CAST(SUM(total_received) AS BIGINT) AS total_received
+FROM offer_completion_metrics GROUP BY offer_type""",
+    "offer_channel_time_matrix": f"""
+SELECT offer_type, {_PIVOT_CH.format(m="avg_completion_time_hours")}
+FROM offer_completion_metrics GROUP BY offer_type""",
+    "offer_channel_rate_matrix": f"""
+SELECT offer_type, {_PIVOT_CH.format(m="completion_rate")}
+FROM offer_completion_metrics GROUP BY offer_type""",
+    "best_combinations": """
+SELECT offer_type, channel, completion_rate, avg_completion_time_hours FROM offer_completion_metrics
+ORDER BY completion_rate DESC, offer_type, channel LIMIT 5""",
+    "fastest_combinations": """
+SELECT offer_type, channel, avg_completion_time_hours, completion_rate FROM offer_completion_metrics
+WHERE avg_completion_time_hours IS NOT NULL
+ORDER BY avg_completion_time_hours, offer_type, channel LIMIT 5""",
+    "channels_for_offer_type": """
+SELECT offer_type, channel,
+       CAST(ROW_NUMBER() OVER (PARTITION BY offer_type ORDER BY channel) AS INTEGER) AS channel_position,
+       avg_completion_time_hours, completion_rate
+FROM offer_completion_metrics""",
+    "offer_types": "SELECT DISTINCT offer_type FROM offer_completion_metrics",
 }
 
 ORACLE_SQL: dict[str, str] = {name: with_layers(select) for name, select in _SELECTS.items()}

@@ -13,7 +13,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from perkspark.constants import DEFAULT_AS_OF, DEFAULT_PERIOD_START
-from perkspark.operators import age, channel, cleanse, completion, journey
+from perkspark.constants import LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW
+from perkspark.operators import age, channel, cleanse, completion, journey, reports, views
 
 
 class LoyaltyPipeline:
@@ -69,3 +70,37 @@ class LoyaltyPipeline:
     @cached_property
     def offer_completion_metrics(self) -> DataFrame:
         return completion.offer_completion_metrics(self.offer_interactions, self.offers_enriched)
+
+    # --------------------------------------------------------------- views
+    @cached_property
+    def v_channel_performance(self) -> DataFrame:
+        return views.channel_performance_view(self.channel_effectiveness)
+
+    @cached_property
+    def v_age_summary(self) -> DataFrame:
+        return views.age_summary_view(self.age_distribution)
+
+    @cached_property
+    def v_offer_summary(self) -> DataFrame:
+        return views.offer_summary_view(self.offer_completion_metrics)
+
+    # ------------------------------------------------------------- reports
+    def layer_tables(self) -> dict[tuple[str, str], DataFrame]:
+        return {
+            (LAYER_RAW, "customers"): self.customers,
+            (LAYER_RAW, "offers"): self.offers,
+            (LAYER_RAW, "events"): self.events,
+            (LAYER_CLEANSED, "customers_cleansed"): self.customers_cleansed,
+            (LAYER_CLEANSED, "offers_enriched"): self.offers_enriched,
+            (LAYER_CLEANSED, "events_processed"): self.events_processed,
+            (LAYER_CLEANSED, "offer_interactions"): self.offer_interactions,
+            (LAYER_METRICS, "channel_effectiveness"): self.channel_effectiveness,
+            (LAYER_METRICS, "age_distribution_analysis"): self.age_distribution,
+            (LAYER_METRICS, "offer_completion_metrics"): self.offer_completion_metrics,
+            (LAYER_METRICS, "v_channel_performance"): self.v_channel_performance,
+            (LAYER_METRICS, "v_age_summary"): self.v_age_summary,
+            (LAYER_METRICS, "v_offer_summary"): self.v_offer_summary,
+        }
+
+    def layer_audit(self) -> DataFrame:
+        return reports.layer_audit(self.layer_tables(), self.customers_cleansed, self.events_processed)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkspark.operators import age, channel, completion
+from perkspark.operators import age, channel, completion, reports
 from perkspark.plans.pipeline import LoyaltyPipeline
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +140,25 @@ QUERIES: dict[str, QueryFn] = {
     "completion_avg_overall": _completion_avg_overall,
     "completion_avg_by_type": _completion_avg_by("offer_type"),
     "completion_avg_by_channel": _completion_avg_by("channel"),
+    # views
+    "v_channel_performance": lambda s, sf: _p(s, sf).v_channel_performance,
+    "v_age_summary": lambda s, sf: _p(s, sf).v_age_summary,
+    "v_offer_summary": lambda s, sf: _p(s, sf).v_offer_summary,
+    # reports
+    "layer_audit": lambda s, sf: _p(s, sf).layer_audit(),
+    "channel_rates_sorted": lambda s, sf: reports.channel_rates_sorted(_p(s, sf).channel_effectiveness),
+    "age_status_matrix": lambda s, sf: reports.age_status_matrix(_p(s, sf).age_distribution),
+    "offer_type_summary": lambda s, sf: reports.offer_type_summary(_p(s, sf).offer_completion_metrics),
+    "offer_channel_time_matrix": lambda s, sf: reports.offer_channel_matrix(
+        _p(s, sf).offer_completion_metrics, "avg_completion_time_hours"
+    ),
+    "offer_channel_rate_matrix": lambda s, sf: reports.offer_channel_matrix(
+        _p(s, sf).offer_completion_metrics, "completion_rate"
+    ),
+    "best_combinations": lambda s, sf: reports.best_combinations(_p(s, sf).offer_completion_metrics),
+    "fastest_combinations": lambda s, sf: reports.fastest_combinations(_p(s, sf).offer_completion_metrics),
+    "channels_for_offer_type": lambda s, sf: reports.channels_for_offer_type(_p(s, sf).offer_completion_metrics),
+    "offer_types": lambda s, sf: reports.offer_types(_p(s, sf).offer_completion_metrics),
 }
 
 
