@@ -146,3 +146,57 @@ FROM offer_completion_metrics""",
 }
 
 ORACLE_SQL: dict[str, str] = {name: with_layers(select) for name, select in _SELECTS.items()}
+
+# Warehouse-size operator queries: plain SQL over the star-schema views.
+ORACLE_SQL.update(
+    {
+        "tpch_segment_conditional_sums": f"""
+SELECT c.c_mktsegment, COUNT(*) AS orders,
+       CAST(SUM(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS finished_orders,
+       {r2("AVG(CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_totalprice AS DECIMAL(28,2)) END)")} AS avg_finished_price,
+       {r2("SUM(CAST(o.o_totalprice AS DECIMAL(28,2)))")} AS total_price,
+       {r2("SUM(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) / COUNT(*) * 100")} AS finished_share
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY c.c_mktsegment""",
+        "tpch_orders_in_customer_interval": f"""
+WITH f AS (SELECT o_custkey, MIN(o_orderdate) AS d0 FROM orders GROUP BY o_custkey)
+SELECT f.o_custkey, strftime(f.d0, '%Y-%m-%d') AS first_order_date, COUNT(*) AS orders_first_year,
+       {r2("SUM(CAST(o.o_totalprice AS DECIMAL(28,2)))")} AS revenue_first_year
+FROM f JOIN orders o
+  ON o.o_custkey = f.o_custkey AND o.o_orderdate >= f.d0 AND o.o_orderdate <= f.d0 + INTERVAL 365 DAY
+GROUP BY f.o_custkey, f.d0""",
+        "tpch_lines_sum_distinct": f"""
+SELECT l_returnflag, COUNT(*) AS line_count,
+       {r2("AVG(CAST(l_quantity AS DECIMAL(18,2)))")} AS avg_quantity,
+       COUNT(DISTINCT l_orderkey) AS distinct_orders,
+       COUNT(DISTINCT l_suppkey) AS distinct_suppliers,
+       {r2("stddev_samp(l_extendedprice)")} AS price_stddev
+FROM lineitem GROUP BY l_returnflag""",
+        "tpch_median_price_by_brand": """
+SELECT p.p_brand, quantile_disc(l.l_extendedprice, 0.5) AS median_price, COUNT(*) AS line_count
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY p.p_brand""",
+        "tpch_priority_pivot": "SELECT o_custkey, "
+        + ", ".join(
+            f"strftime(MIN(CASE WHEN o_orderpriority = '{p}' THEN o_orderdate END), '%Y-%m-%d') AS first_{n}"
+            for p, n in (
+                ("1-URGENT", "urgent"),
+                ("2-HIGH", "high"),
+                ("3-MEDIUM", "medium"),
+                ("4-NOT SPECIFIED", "not_specified"),
+                ("5-LOW", "low"),
+            )
+        )
+        + " FROM orders GROUP BY o_custkey",
+        "tpch_share_and_rank": f"""
+WITH r AS (SELECT c.c_mktsegment, c.c_nationkey, SUM(CAST(o.o_totalprice AS DECIMAL(28,2))) AS revenue
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+           GROUP BY c.c_mktsegment, c.c_nationkey)
+SELECT r.c_nationkey, r.c_mktsegment, {r2("r.revenue")} AS revenue,
+       {r2("CAST(r.revenue AS DOUBLE) / CAST(SUM(r.revenue) OVER (PARTITION BY r.c_mktsegment) AS DOUBLE) * 100")}
+         AS revenue_share,
+       CAST(RANK() OVER (PARTITION BY r.c_mktsegment ORDER BY r.revenue DESC) AS INTEGER) AS nation_rank,
+       n.n_name
+FROM r LEFT JOIN nation n ON r.c_nationkey = n.n_nationkey""",
+    }
+)

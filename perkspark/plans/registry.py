@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkspark.operators import age, channel, completion, reports
+from perkspark.operators import age, channel, completion, reports, warehouse
 from perkspark.plans.pipeline import LoyaltyPipeline
+from perkspark.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +163,39 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 
+def _t(spark, sf, name, cols):
+    return read_table(spark, sf, name, cols)
+
+
+_ORD = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+QUERIES.update(
+    {
+        "tpch_segment_conditional_sums": lambda s, sf: warehouse.segment_conditional_sums(
+            _t(s, sf, "customer", ["c_custkey", "c_mktsegment"]),
+            _t(s, sf, "orders", ["o_custkey", "o_orderstatus", "o_totalprice"]),
+        ),
+        "tpch_orders_in_customer_interval": lambda s, sf: warehouse.orders_in_customer_interval(
+            _t(s, sf, "orders", ["o_custkey", "o_orderdate", "o_totalprice"])
+        ),
+        "tpch_lines_sum_distinct": lambda s, sf: warehouse.lines_sum_distinct(
+            _t(s, sf, "lineitem", ["l_returnflag", "l_quantity", "l_orderkey", "l_suppkey", "l_extendedprice"])
+        ),
+        "tpch_median_price_by_brand": lambda s, sf: warehouse.median_price_by_brand(
+            _t(s, sf, "lineitem", ["l_partkey", "l_extendedprice"]), _t(s, sf, "part", ["p_partkey", "p_brand"])
+        ),
+        "tpch_priority_pivot": lambda s, sf: warehouse.priority_pivot(
+            _t(s, sf, "orders", ["o_custkey", "o_orderpriority", "o_orderdate"])
+        ),
+        "tpch_share_and_rank": lambda s, sf: warehouse.share_and_rank(
+            _t(s, sf, "customer", ["c_custkey", "c_mktsegment", "c_nationkey"]),
+            _t(s, sf, "orders", ["o_custkey", "o_orderstatus", "o_totalprice"]),
+            _t(s, sf, "nation", ["n_nationkey", "n_name"]),
+        ),
+    }
+)
+
+
 def _presented(fn: QueryFn) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return temporals_as_text(fn(spark, sf_dir))
