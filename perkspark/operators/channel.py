@@ -50,10 +50,10 @@ def _per_offer_reception(interactions: DataFrame) -> DataFrame:
     )
 
 
-def channel_metrics(interactions: DataFrame, offers_enriched: DataFrame) -> DataFrame:
+def channel_metrics(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
     """(channel, total_offers_sent, offers_completed, avg_completion_time_hours, completion_rate)."""
     per_offer = _per_offer_reception(interactions)
-    fanned = join_dimension(per_offer, offer_channels(offers_enriched), "offer_id")
+    fanned = join_dimension(per_offer, offer_channels(offers_enriched), "offer_id", small=dim_small)
     return (
         fanned.groupBy("channel")
         .agg(
@@ -108,14 +108,18 @@ def offer_period_transactions(interactions: DataFrame, events_processed: DataFra
     )
 
 
-def channel_revenue(interactions: DataFrame, events_processed: DataFrame, offers_enriched: DataFrame) -> DataFrame:
+def channel_revenue(
+    interactions: DataFrame, events_processed: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None
+) -> DataFrame:
     """(channel, total_revenue_generated, offers_with_revenue, customers_with_revenue).
 
     Only channels with at least one transaction inside an offer period
     appear; the sum is null when none of those transactions has an amount.
     """
     pairs = offer_period_revenue(interactions, events_processed).filter(F.col("matched") > 0)
-    fanned = join_dimension(pairs.select("customer_id", "offer_id", "value_sum"), offer_channels(offers_enriched), "offer_id")
+    fanned = join_dimension(
+        pairs.select("customer_id", "offer_id", "value_sum"), offer_channels(offers_enriched), "offer_id", small=dim_small
+    )
     return fanned.groupBy("channel").agg(
         F.sum("value_sum").alias("total_revenue_generated"),
         F.count_distinct("offer_id").alias("offers_with_revenue"),
@@ -123,15 +127,19 @@ def channel_revenue(interactions: DataFrame, events_processed: DataFrame, offers
     )
 
 
-def channel_rewards(interactions: DataFrame, offers_enriched: DataFrame) -> DataFrame:
+def channel_rewards(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
     """(channel, total_rewards_earned): rewards of completed offers, per channel."""
     per_offer = _per_offer_reception(interactions).filter(F.col("completed") > 0)
-    fanned = join_dimension(per_offer, offer_channels(offers_enriched, ("reward",)), "offer_id")
+    fanned = join_dimension(per_offer, offer_channels(offers_enriched, ("reward",)), "offer_id", small=dim_small)
     return fanned.groupBy("channel").agg(F.sum(F.col("reward") * F.col("completed")).alias("total_rewards_earned"))
 
 
 def channel_effectiveness(
-    interactions: DataFrame, events_processed: DataFrame, offers_enriched: DataFrame, breakdown: bool = False
+    interactions: DataFrame,
+    events_processed: DataFrame,
+    offers_enriched: DataFrame,
+    breakdown: bool = False,
+    dim_small: bool | None = None,
 ) -> DataFrame:
     """The channel ranking (contract ``CHANNEL_EFFECTIVENESS``).
 
@@ -140,11 +148,11 @@ def channel_effectiveness(
     ``breakdown=True`` adds ``transaction_revenue``, ``reward_cost`` and
     ``revenue_source`` so the two measures stay distinguishable.
     """
-    metrics = channel_metrics(interactions, offers_enriched)
-    revenue = channel_revenue(interactions, events_processed, offers_enriched).select(
+    metrics = channel_metrics(interactions, offers_enriched, dim_small)
+    revenue = channel_revenue(interactions, events_processed, offers_enriched, dim_small).select(
         "channel", F.col("total_revenue_generated").alias("transaction_revenue")
     )
-    rewards = channel_rewards(interactions, offers_enriched)
+    rewards = channel_rewards(interactions, offers_enriched, dim_small)
     revenue_total = F.coalesce(F.col("transaction_revenue"), F.col("total_rewards_earned").cast("double"), F.lit(0.0))
     # one row per channel: the window below runs on a handful of rows
     rank = F.rank().over(Window.orderBy(F.col("completion_rate").desc_nulls_last()))

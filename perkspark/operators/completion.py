@@ -31,16 +31,16 @@ def type_channels(offers_enriched: DataFrame) -> DataFrame:
     return offers_enriched.select("offer_id", "offer_type", F.explode("channels_list").alias("channel"))
 
 
-def completion_analysis(interactions: DataFrame, offers_enriched: DataFrame) -> DataFrame:
+def completion_analysis(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
     """Completed journeys, one row per channel of the offer."""
     completed = interactions.filter(F.col("is_completed")).select("offer_id", "customer_id", "time_to_complete")
-    return join_dimension(completed, type_channels(offers_enriched), "offer_id")
+    return join_dimension(completed, type_channels(offers_enriched), "offer_id", small=dim_small)
 
 
-def completion_stats(interactions: DataFrame, offers_enriched: DataFrame) -> DataFrame:
+def completion_stats(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
     t = F.col("time_to_complete")
     return (
-        completion_analysis(interactions, offers_enriched)
+        completion_analysis(interactions, offers_enriched, dim_small)
         .groupBy("offer_type", "channel")
         .agg(
             F.avg(t).alias("avg_t"),
@@ -54,20 +54,22 @@ def completion_stats(interactions: DataFrame, offers_enriched: DataFrame) -> Dat
     )
 
 
-def received_totals(interactions: DataFrame, offers_enriched: DataFrame) -> DataFrame:
+def received_totals(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
     received = interactions.filter(F.col("is_received")).select("offer_id", "customer_id")
-    fanned = join_dimension(received, type_channels(offers_enriched), "offer_id")
+    fanned = join_dimension(received, type_channels(offers_enriched), "offer_id", small=dim_small)
     return fanned.groupBy("offer_type", "channel").agg(
         F.count(F.lit(1)).alias("total_received"),
         F.count_distinct("customer_id").alias("total_customers_targeted"),
     )
 
 
-def offer_completion_metrics(interactions: DataFrame, offers_enriched: DataFrame) -> DataFrame:
+def offer_completion_metrics(
+    interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None
+) -> DataFrame:
     """Contract ``OFFER_COMPLETION_METRICS``; (type, channel) pairs without a
     completion have no row (inner join), e.g. informational offers."""
-    stats = completion_stats(interactions, offers_enriched)
-    totals = received_totals(interactions, offers_enriched)
+    stats = completion_stats(interactions, offers_enriched, dim_small)
+    totals = received_totals(interactions, offers_enriched, dim_small)
     out = stats.join(totals, ["offer_type", "channel"], "inner").select(
         "offer_type",
         "channel",
@@ -85,13 +87,15 @@ def offer_completion_metrics(interactions: DataFrame, offers_enriched: DataFrame
     return schemas.enforce(out, schemas.OFFER_COMPLETION_METRICS)
 
 
-def completion_avg_overall(interactions: DataFrame, offers_enriched: DataFrame) -> DataFrame:
+def completion_avg_overall(
+    interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None
+) -> DataFrame:
     """One row: mean completion time over the channel-fanned rows (as the
     programme reports it, an offer on 4 channels counts 4 times) and over
     journeys (each completed journey once)."""
     completed = interactions.filter(F.col("is_completed")).select("offer_id", "time_to_complete")
     dims = offers_enriched.select("offer_id", F.size("channels_list").alias("n_ch"))
-    per_journey = join_dimension(completed, dims, "offer_id")
+    per_journey = join_dimension(completed, dims, "offer_id", small=dim_small)
     t, n = F.col("time_to_complete"), F.col("n_ch")
     # weighted by channel count == the mean over exploded rows
     fanned_rows = F.when(t.isNotNull() & (n > 0), n)
@@ -103,10 +107,12 @@ def completion_avg_overall(interactions: DataFrame, offers_enriched: DataFrame)
     )
 
 
-def completion_avg_by(interactions: DataFrame, offers_enriched: DataFrame, key: str) -> DataFrame:
+def completion_avg_by(
+    interactions: DataFrame, offers_enriched: DataFrame, key: str, dim_small: bool | None = None
+) -> DataFrame:
     """(key, avg_hours, completions) over the channel-fanned completed rows."""
     return (
-        completion_analysis(interactions, offers_enriched)
+        completion_analysis(interactions, offers_enriched, dim_small)
         .groupBy(key)
         .agg(F.avg("time_to_complete").alias("avg_hours"), F.count(F.lit(1)).alias("completions"))
     )

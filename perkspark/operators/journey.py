@@ -36,7 +36,9 @@ def stage_times(events_processed: DataFrame, pivot: bool = False) -> DataFrame:
     )
 
 
-def build_interactions(events_processed: DataFrame, offers_enriched: DataFrame, pivot: bool = False) -> DataFrame:
+def build_interactions(
+    events_processed: DataFrame, offers_enriched: DataFrame, pivot: bool = False, dim_small: bool | None = None
+) -> DataFrame:
     """The journey table (contract ``OFFER_INTERACTIONS``).
 
     ``time_to_*`` is the difference to the receipt (null if either side is
@@ -59,7 +61,7 @@ def build_interactions(events_processed: DataFrame, offers_enriched: DataFrame,
         (comp - rec).alias("time_to_complete"),
     )
     durations = offers_enriched.select("offer_id", "duration_hours")
-    joined = join_dimension(journey, durations, "offer_id", how="left")
+    joined = join_dimension(journey, durations, "offer_id", how="left", small=dim_small)
     within = (
         F.when(F.col("is_completed") & (F.col("time_to_complete") <= F.col("duration_hours")), True)
         .when(F.col("is_completed"), False)

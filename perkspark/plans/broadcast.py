@@ -35,9 +35,22 @@ def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, bound) else df
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_rows: int | None = None) -> DataFrame:
+def join_dimension(
+    fact: DataFrame,
+    dim: DataFrame,
+    on,
+    how: str = "inner",
+    max_rows: int | None = None,
+    small: bool | None = None,
+) -> DataFrame:
     """Join a fact relation to a dimension, broadcasting the dimension when
-    it is proven small (the build side of an inner / left join)."""
+    it is proven small (the build side of an inner / left join).
+
+    ``small`` passes a proof made earlier (e.g. once per pipeline for a
+    dimension derived row-by-row from a checked table); ``None`` proves here.
+    """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         return fact.join(dim, on, how)
-    return fact.join(maybe_broadcast(dim, max_rows), on, how)
+    if small is None:
+        return fact.join(maybe_broadcast(dim, max_rows), on, how)
+    return fact.join(F.broadcast(dim) if small else dim, on, how)

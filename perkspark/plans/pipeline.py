@@ -12,9 +12,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perkspark.constants import DEFAULT_AS_OF, DEFAULT_PERIOD_START
-from perkspark.constants import LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW
+from perkspark.constants import CHANNELS, DEFAULT_AS_OF, DEFAULT_PERIOD_START, LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW
 from perkspark.operators import age, channel, cleanse, completion, journey, reports, views
+from perkspark.plans.broadcast import has_at_most, max_broadcast_rows
 
 
 class LoyaltyPipeline:
@@ -41,6 +41,17 @@ class LoyaltyPipeline:
         customers, offers, events = load_raw(spark, sf_dir)
         return cls(customers, offers, events, as_of=FIXTURE_AS_OF, period_start=FIXTURE_PERIOD_START)
 
+    @cached_property
+    def offers_small(self) -> bool:
+        """Proof, made once, that every offer dimension may be broadcast.
+
+        All of them derive row by row from the raw offers, at most one row
+        per channel of the fixed alphabet, so a bound on the raw offers
+        bounds them all.
+        """
+        bound = max_broadcast_rows(self.offers) // len(CHANNELS)
+        return has_at_most(self.offers, bound)
+
     # ------------------------------------------------------------ cleansed
     @cached_property
     def customers_cleansed(self) -> DataFrame:
@@ -56,12 +67,14 @@ class LoyaltyPipeline:
 
     @cached_property
     def offer_interactions(self) -> DataFrame:
-        return journey.build_interactions(self.events_processed, self.offers_enriched)
+        return journey.build_interactions(self.events_processed, self.offers_enriched, dim_small=self.offers_small)
 
     # ------------------------------------------------------------- metrics
     @cached_property
     def channel_effectiveness(self) -> DataFrame:
-        return channel.channel_effectiveness(self.offer_interactions, self.events_processed, self.offers_enriched)
+        return channel.channel_effectiveness(
+            self.offer_interactions, self.events_processed, self.offers_enriched, dim_small=self.offers_small
+        )
 
     @cached_property
     def age_distribution(self) -> DataFrame:
@@ -69,7 +82,7 @@ class LoyaltyPipeline:
 
     @cached_property
     def offer_completion_metrics(self) -> DataFrame:
-        return completion.offer_completion_metrics(self.offer_interactions, self.offers_enriched)
+        return completion.offer_completion_metrics(self.offer_interactions, self.offers_enriched, self.offers_small)
 
     # --------------------------------------------------------------- views
     @cached_property

@@ -50,7 +50,7 @@ def _interactions_pivot(spark, sf):
     from perkspark.operators import journey
 
     p = _p(spark, sf)
-    return journey.build_interactions(p.events_processed, p.offers_enriched, pivot=True)
+    return journey.build_interactions(p.events_processed, p.offers_enriched, pivot=True, dim_small=p.offers_small)
 
 
 def _events_value_extract(spark, sf):
@@ -74,37 +74,39 @@ def _customer_quality_counts(spark, sf):
 
 def _channel_metrics(spark, sf):
     p = _p(spark, sf)
-    return channel.channel_metrics(p.offer_interactions, p.offers_enriched).withColumn(
+    return channel.channel_metrics(p.offer_interactions, p.offers_enriched, p.offers_small).withColumn(
         "avg_completion_time_hours", F.round("avg_completion_time_hours", 2)
     )
 
 
 def _channel_revenue(spark, sf):
     p = _p(spark, sf)
-    return channel.channel_revenue(p.offer_interactions, p.events_processed, p.offers_enriched).withColumn(
+    return channel.channel_revenue(p.offer_interactions, p.events_processed, p.offers_enriched, p.offers_small).withColumn(
         "total_revenue_generated", F.round("total_revenue_generated", 2)
     )
 
 
 def _channel_rewards(spark, sf):
     p = _p(spark, sf)
-    return channel.channel_rewards(p.offer_interactions, p.offers_enriched)
+    return channel.channel_rewards(p.offer_interactions, p.offers_enriched, p.offers_small)
 
 
 def _channel_breakdown(spark, sf):
     p = _p(spark, sf)
-    return channel.channel_effectiveness(p.offer_interactions, p.events_processed, p.offers_enriched, breakdown=True)
+    return channel.channel_effectiveness(
+        p.offer_interactions, p.events_processed, p.offers_enriched, breakdown=True, dim_small=p.offers_small
+    )
 
 
 def _completion_avg_overall(spark, sf):
     p = _p(spark, sf)
-    return completion.completion_avg_overall(p.offer_interactions, p.offers_enriched)
+    return completion.completion_avg_overall(p.offer_interactions, p.offers_enriched, p.offers_small)
 
 
 def _completion_avg_by(key):
     def run(spark, sf):
         p = _p(spark, sf)
-        return completion.completion_avg_by(p.offer_interactions, p.offers_enriched, key)
+        return completion.completion_avg_by(p.offer_interactions, p.offers_enriched, key, p.offers_small)
 
     return run
 

@@ -14,7 +14,7 @@ The same formulas exist as DuckDB SQL in ``perkspark.oracle.fixture_sql``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkspark import schemas
@@ -80,23 +80,26 @@ def offers_from_warehouse(part: DataFrame) -> DataFrame:
     return schemas.enforce(df, schemas.RAW_OFFERS)
 
 
-def _offer_key() -> Column:
-    """Offer referenced by a warehouse event: ``$.k`` of ``props`` modulo 10."""
-    return F.get_json_object("props", "$.k").try_cast("int") % 10
-
-
 def events_from_warehouse(events: DataFrame) -> DataFrame:
-    k = _offer_key()
     et = F.col("event_type")
-    event = (
+    # Offer referenced by a warehouse event: ``$.k`` of ``props`` modulo 10.
+    # Computed in its own projection: the JSON parse then runs once per row
+    # (Catalyst does not inline a non-trivial expression used several times).
+    keyed = events.select(
+        "event_id", "ts", "user_id", "value", et, (F.get_json_object("props", "$.k").try_cast("int") % 10).alias("k")
+    )
+    k = F.col("k")
+    named = keyed.withColumn(
+        "event",
         F.when(et == "signup", "offer received")
         .when(et.isin("view", "error"), "offer viewed")
         # informational offers (key % 5 == 4) cannot complete: a click is a view
         .when((et == "click") & (k % 5 == 4), "offer viewed")
         .when(et == "click", "offer completed")
         .when(et == "purchase", "transaction")
-        .otherwise(et)
+        .otherwise(et),
     )
+    event = F.col("event")
     offer = F.concat(F.lit("o"), k.cast("string"))
     amount = F.col("value").cast("decimal(12,2)").cast("string")
     value = (
@@ -118,9 +121,9 @@ def events_from_warehouse(events: DataFrame) -> DataFrame:
         + F.when(event == "offer viewed", 24).otherwise(0)
         + F.when(event == "offer completed", 168).otherwise(0)
     )
-    df = events.select(
+    df = named.select(
         F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("customer_id"),
-        event.alias("event"),
+        event,
         value.alias("value"),
         time.alias("time"),
     )
