@@ -9,7 +9,8 @@ rows through the shuffle for the same result.
 
 Revenue: transactions of the member inside [received_time, completed_time]
 (both ends inclusive) of a completed offer.  The interval sums are computed
-per (customer, offer) with prefix sums (``interval_sums``), then per channel.
+per (customer, offer) (``interval_sums``: transactions collapsed to one row
+per member and hour, then a binned range join), then per channel.
 """
 
 from __future__ import annotations
@@ -78,11 +79,14 @@ def transactions(events_processed: DataFrame) -> DataFrame:
     )
 
 
-def offer_period_revenue(interactions: DataFrame, events_processed: DataFrame) -> DataFrame:
+def offer_period_revenue(
+    interactions: DataFrame, events_processed: DataFrame, keep_empty: bool = True
+) -> DataFrame:
     """Per completed (customer, offer): transactions inside the offer period.
 
     Columns: customer_id, offer_id, received_time, completed_time, matched,
-    matched_values, value_sum.
+    matched_values, value_sum.  ``keep_empty=False`` drops offers whose
+    period holds no transaction.
     """
     return interval_sums(
         transactions(events_processed),
@@ -92,6 +96,7 @@ def offer_period_revenue(interactions: DataFrame, events_processed: DataFrame) -
         value_col="transaction_amount",
         lo_col="received_time",
         hi_col="completed_time",
+        keep_empty=keep_empty,
     )
 
 
@@ -116,7 +121,7 @@ def channel_revenue(
     Only channels with at least one transaction inside an offer period
     appear; the sum is null when none of those transactions has an amount.
     """
-    pairs = offer_period_revenue(interactions, events_processed).filter(F.col("matched") > 0)
+    pairs = offer_period_revenue(interactions, events_processed, keep_empty=False)
     fanned = join_dimension(
         pairs.select("customer_id", "offer_id", "value_sum"), offer_channels(offers_enriched), "offer_id", small=dim_small
     )

@@ -13,21 +13,20 @@ Two skew-proof forms are given here:
                    its bins; each point lies in exactly one bin, so no pair is
                    produced twice.
 
-``interval_sums``  aggregates the points inside each interval (count, sum)
-                   without forming pairs: per-key prefix sums over the
-                   distinct point positions, looked up at both interval ends
-                   by equi-joins on (key, position).  Work is linear; a
-                   key's window holds one row per distinct position (bounded
-                   by the clock domain, e.g. 720 hours in 30 days), never one
-                   row per event.
+``interval_sums``  aggregates the points inside each interval (count, sum).
+                   Points are first reduced to one row per (key, position),
+                   so a hot key shrinks to its distinct positions (bounded
+                   by the clock domain, e.g. 720 hours in 30 days) before
+                   the binned join; each interval then meets at most
+                   ``bin_width`` positions per bin it spans.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_AMOUNT_TYPE = "decimal(38,9)"  # exact running sums (no cancellation error)
+_AMOUNT_TYPE = "decimal(38,9)"  # exact sums, independent of row order
 
 
 def range_join(
@@ -72,73 +71,52 @@ def interval_sums(
     value_col: str,
     lo_col: str,
     hi_col: str,
+    bin_width: int = 24,
+    keep_empty: bool = True,
 ) -> DataFrame:
     """For each interval: points inside ``[lo, hi]`` of the same key.
 
     Returns the interval columns plus
-      ``matched``       number of points inside (0 when none),
+      ``matched``        number of points inside (0 when none),
       ``matched_values`` number of non-null values inside,
-      ``value_sum``     sum of the values inside (double), null when no
-                        non-null value lies inside (SQL ``sum`` semantics).
-    ``point_col``, ``lo_col``, ``hi_col`` are integral positions.
+      ``value_sum``      sum of the values inside (double), null when no
+                         non-null value lies inside (SQL ``sum`` semantics).
+    ``point_col``, ``lo_col``, ``hi_col`` are integral positions; the
+    interval columns must identify an interval (duplicates are merged).
+    ``keep_empty=False`` returns only intervals with a point inside (saves
+    the final join back to all intervals).
+
+    Plan: points are first collapsed to one row per (key, position) by
+    partial aggregation, so a hot key shrinks to its distinct positions
+    (bounded by the clock domain) before any join; then ``range_join`` on
+    (key, bin) compares each interval with at most ``bin_width`` positions
+    per bin it spans.  Sums are kept as decimals until the end (exact,
+    independent of row order).
     """
-    pos = "_pos"
-    # 1. points collapsed to one row per (key, position): partial aggregation
-    #    map-side, so a hot key shrinks to its distinct positions.
+    pos, n, nn, s = "_pos", "_n", "_nn", "_s"
     per_pos = points.groupBy(key, F.col(point_col).alias(pos)).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count(value_col).alias("_nn"),
-        F.sum(F.col(value_col).cast(_AMOUNT_TYPE)).alias("_s"),
-    )
-    live = intervals.filter(F.col(lo_col) <= F.col(hi_col))
-    # 2. positions where a prefix sum is read: each upper end and lower end - 1
-    probes = live.select(key, F.col(hi_col).alias(pos)).union(live.select(key, (F.col(lo_col) - 1).alias(pos)))
-    grid = (
-        per_pos.unionByName(
-            probes.distinct().select(
-                key,
-                pos,
-                F.lit(0).cast("bigint").alias("_n"),
-                F.lit(0).cast("bigint").alias("_nn"),
-                F.lit(None).cast(_AMOUNT_TYPE).alias("_s"),
-            )
-        )
-        .groupBy(key, pos)
-        .agg(F.sum("_n").alias("_n"), F.sum("_nn").alias("_nn"), F.sum("_s").alias("_s"))
-    )
-    # 3. running totals per key, ordered by position (one row per position)
-    upto = Window.partitionBy(key).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prefix = grid.select(
-        key,
-        pos,
-        F.sum("_n").over(upto).alias("_cn"),
-        F.sum("_nn").over(upto).alias("_cnn"),
-        F.coalesce(F.sum("_s").over(upto), F.lit(0).cast(_AMOUNT_TYPE)).alias("_cs"),
+        F.count(F.lit(1)).alias(n),
+        F.count(value_col).alias(nn),
+        F.sum(F.col(value_col).cast(_AMOUNT_TYPE)).alias(s),
     )
-    hi = prefix.select(key, F.col(pos).alias(hi_col), "_cn", "_cnn", "_cs")
-    lo = prefix.select(
-        key,
-        (F.col(pos) + 1).alias(lo_col),
-        F.col("_cn").alias("_ln"),
-        F.col("_cnn").alias("_lnn"),
-        F.col("_cs").alias("_ls"),
+    pairs = range_join(per_pos, intervals, key, pos, lo_col, hi_col, bin_width)
+    iv_cols = [key] + [c for c in intervals.columns if c != key]
+    matched = pairs.groupBy(*iv_cols).agg(
+        F.sum(n).alias("matched"),
+        F.sum(nn).alias("matched_values"),
+        F.sum(s).cast("double").alias("value_sum"),
     )
-    # 4. read both ends with equi-joins on (key, position)
-    ends = live.join(hi, [key, hi_col], "inner").join(lo, [key, lo_col], "inner")
-    n = F.col("_cn") - F.col("_ln")
-    nn = F.col("_cnn") - F.col("_lnn")
-    sums = ends.select(
-        *[F.col(c) for c in intervals.columns],
-        n.alias("matched"),
-        nn.alias("matched_values"),
-        F.when(nn > 0, (F.col("_cs") - F.col("_ls")).cast("double")).alias("value_sum"),
-    )
-    empty = intervals.filter(~(F.col(lo_col) <= F.col(hi_col)) | F.col(lo_col).isNull() | F.col(hi_col).isNull())
-    return sums.unionByName(
-        empty.select(
+    if not keep_empty:
+        return matched.select(
             *[F.col(c) for c in intervals.columns],
-            F.lit(0).cast("bigint").alias("matched"),
-            F.lit(0).cast("bigint").alias("matched_values"),
-            F.lit(None).cast("double").alias("value_sum"),
+            "matched",
+            "matched_values",
+            F.when(F.col("matched_values") > 0, F.col("value_sum")).alias("value_sum"),
         )
+    # intervals without any point inside keep a row with zero counts
+    return intervals.join(matched, iv_cols, "left").select(
+        *[F.col(c) for c in intervals.columns],
+        F.coalesce(F.col("matched"), F.lit(0)).cast("bigint").alias("matched"),
+        F.coalesce(F.col("matched_values"), F.lit(0)).cast("bigint").alias("matched_values"),
+        F.when(F.col("matched_values") > 0, F.col("value_sum")).alias("value_sum"),
     )
