@@ -11,9 +11,17 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from perkspark.session import build_session
 
-    session = build_session("local[4]", shuffle_partitions=4, app_name="perkspark-tests")
+    warehouse = tempfile.mkdtemp(prefix="perkspark-warehouse-")
+    session = build_session(
+        "local[4]",
+        shuffle_partitions=4,
+        app_name="perkspark-tests",
+        extra_conf={"spark.sql.warehouse.dir": warehouse},
+    )
     yield session
     session.stop()
 
