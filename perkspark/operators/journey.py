@@ -47,8 +47,17 @@ def build_interactions(
     otherwise (also for unknown offers or an unknown receipt), null when not
     completed.  Unknown offer ids are kept (left join).
     """
+    return interactions_from_stage_times(stage_times(events_processed, pivot), offers_enriched, dim_small)
+
+
+def interactions_from_stage_times(
+    stages: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None
+) -> DataFrame:
+    """The journey table from (customer_id, offer_id, received_time,
+    viewed_time, completed_time) rows -- computed in batch or maintained by
+    the incremental job in ``perkspark.streaming``."""
     rec, view, comp = F.col("received_time"), F.col("viewed_time"), F.col("completed_time")
-    journey = stage_times(events_processed, pivot).select(
+    journey = stages.select(
         "customer_id",
         "offer_id",
         "received_time",
