@@ -16,7 +16,14 @@ from pyspark.sql import SparkSession
 # Settings the plans rely on.  AQE re-plans joins from runtime sizes, merges
 # small shuffle partitions and splits skewed ones; the session zone is pinned
 # so timestamps never depend on the machine.
+#
+# Broadcast policy: a side is broadcast only on proof of its size.  Static
+# broadcast from *estimated* plan sizes is off; AQE may still broadcast a
+# side whose *measured* shuffle output is small, and dimensions proven small
+# by ``perkspark.plans.broadcast`` are hinted explicitly.
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
