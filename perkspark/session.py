@@ -73,11 +73,13 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder of the cluster.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) a private scratch folder is created.
+    A cluster names it in ``spark.checkpoint.dir``.  Only a local-mode
+    session (tests, the benchmark) without that setting gets a private
+    scratch folder; on a cluster nothing machine-local is ever set, and
+    ``None`` is returned when the setting is missing.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -87,6 +89,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            return None
         configured = tempfile.mkdtemp(prefix="perkspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured
