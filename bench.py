@@ -1,6 +1,6 @@
 """Benchmark: headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
-Each query runs once to warm up, then three timed runs; the median is
+Each query runs once to warm up, then five timed runs; the median is
 reported.  Every run executes the whole plan from the parquet tables into
 Spark's ``noop`` sink, so driver transfer does not blur the engine time.
 Prints one JSON line.
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus))
     timings: dict[str, float] = {}

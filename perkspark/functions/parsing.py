@@ -41,6 +41,33 @@ def channels_array(text: Column | str) -> Column:
     return F.filter(items, lambda x: F.length(x) > 0)
 
 
+def offer_id_text(event: Column, value: Column) -> Column:
+    """Captured offer id text ('' when the pattern does not match, null for
+    events that carry no offer).  One regex evaluation per row."""
+    return F.when(event.isin(EVENT_RECEIVED, EVENT_VIEWED), F.regexp_extract(value, OFFER_ID_SPACE_PATTERN, 1)).when(
+        event == EVENT_COMPLETED, F.regexp_extract(value, OFFER_ID_UNDERSCORE_PATTERN, 1)
+    )
+
+
+def amount_text(event: Column, value: Column, strict_quotes: bool = False) -> Column:
+    pattern = AMOUNT_PATTERN_STRICT if strict_quotes else AMOUNT_PATTERN
+    return F.when(event == EVENT_TRANSACTION, F.regexp_extract(value, pattern, 1))
+
+
+def reward_text(event: Column, value: Column, strict_quotes: bool = False) -> Column:
+    pattern = REWARD_PATTERN_STRICT if strict_quotes else REWARD_PATTERN
+    return F.when(event == EVENT_COMPLETED, F.regexp_extract(value, pattern, 1))
+
+
+def non_empty(text: Column | str) -> Column:
+    return F.nullif(F.col(text) if isinstance(text, str) else text, F.lit(""))
+
+
+def number_or_null(text: Column | str) -> Column:
+    """Captured number text as double; '' or a non-number such as '1.2.3' -> null."""
+    return non_empty(text).try_cast("double")
+
+
 def offer_id_of(event: Column, value: Column) -> Column:
     return (
         F.when(event.isin(EVENT_RECEIVED, EVENT_VIEWED), extract_or_null(value, OFFER_ID_SPACE_PATTERN))

@@ -51,18 +51,27 @@ def _per_offer_reception(interactions: DataFrame) -> DataFrame:
     )
 
 
-def channel_metrics(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
-    """(channel, total_offers_sent, offers_completed, avg_completion_time_hours, completion_rate)."""
+def channel_metrics(
+    interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None, with_rewards: bool = False
+) -> DataFrame:
+    """(channel, total_offers_sent, offers_completed, avg_completion_time_hours, completion_rate).
+
+    ``with_rewards`` adds ``total_rewards_earned`` (rewards of completed
+    offers; null for a channel without completions) from the same aggregate.
+    """
     per_offer = _per_offer_reception(interactions)
-    fanned = join_dimension(per_offer, offer_channels(offers_enriched), "offer_id", small=dim_small)
-    return (
-        fanned.groupBy("channel")
-        .agg(
-            F.sum("sent").alias("total_offers_sent"),
-            F.sum("completed").alias("offers_completed"),
-            (F.sum("ttc_sum") / F.sum("ttc_n")).alias("avg_completion_time_hours"),
-        )
-        .withColumn("completion_rate", pct(F.col("offers_completed"), F.col("total_offers_sent")))
+    extra = ("reward",) if with_rewards else ()
+    fanned = join_dimension(per_offer, offer_channels(offers_enriched, extra), "offer_id", small=dim_small)
+    aggs = [
+        F.sum("sent").alias("total_offers_sent"),
+        F.sum("completed").alias("offers_completed"),
+        (F.sum("ttc_sum") / F.sum("ttc_n")).alias("avg_completion_time_hours"),
+    ]
+    if with_rewards:
+        completed = F.col("completed")
+        aggs.append(F.sum(F.when(completed > 0, F.col("reward") * completed)).alias("total_rewards_earned"))
+    return fanned.groupBy("channel").agg(*aggs).withColumn(
+        "completion_rate", pct(F.col("offers_completed"), F.col("total_offers_sent"))
     )
 
 
@@ -153,17 +162,15 @@ def channel_effectiveness(
     ``breakdown=True`` adds ``transaction_revenue``, ``reward_cost`` and
     ``revenue_source`` so the two measures stay distinguishable.
     """
-    metrics = channel_metrics(interactions, offers_enriched, dim_small)
+    metrics = channel_metrics(interactions, offers_enriched, dim_small, with_rewards=True)
     revenue = channel_revenue(interactions, events_processed, offers_enriched, dim_small).select(
         "channel", F.col("total_revenue_generated").alias("transaction_revenue")
     )
-    rewards = channel_rewards(interactions, offers_enriched, dim_small)
     revenue_total = F.coalesce(F.col("transaction_revenue"), F.col("total_rewards_earned").cast("double"), F.lit(0.0))
     # one row per channel: the window below runs on a handful of rows
     rank = F.rank().over(Window.orderBy(F.col("completion_rate").desc_nulls_last()))
     out = (
         metrics.join(revenue, "channel", "left")
-        .join(rewards, "channel", "left")
         .withColumn("revenue_total", revenue_total)
         .select(
             "channel",

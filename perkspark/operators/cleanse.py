@@ -74,14 +74,25 @@ def parse_events(
     * ``event_timestamp`` = ``period_start`` + ``time`` hours.
     """
     event, value = F.col("event"), F.col("value")
+    # Regex captures in their own projection: each pattern then runs once per
+    # row (``nullif`` reads its argument twice, and Catalyst does not inline
+    # a non-trivial expression that is read twice).
+    captured = events.select(
+        "customer_id",
+        "event",
+        "time",
+        parsing.offer_id_text(event, value).alias("_offer_text"),
+        parsing.amount_text(event, value, strict_quotes).alias("_amount_text"),
+        parsing.reward_text(event, value, strict_quotes).alias("_reward_text"),
+    )
     ts = F.timestamp_add("HOUR", F.col("time"), F.lit(period_start).cast("timestamp_ntz"))
-    df = events.select(
+    df = captured.select(
         F.concat_ws("_", "customer_id", "event", "time").alias("event_id"),
         "customer_id",
-        event.alias("event_type"),
-        parsing.offer_id_of(event, value).alias("offer_id"),
-        parsing.transaction_amount_of(event, value, strict_quotes).alias("transaction_amount"),
-        parsing.reward_amount_of(event, value, strict_quotes).alias("reward_amount"),
+        F.col("event").alias("event_type"),
+        parsing.non_empty("_offer_text").alias("offer_id"),
+        parsing.number_or_null("_amount_text").alias("transaction_amount"),
+        parsing.number_or_null("_reward_text").alias("reward_amount"),
         F.col("time").alias("event_time_hours"),
         ts.alias("event_timestamp"),
         F.to_date(ts).alias("event_date"),

@@ -1,16 +1,12 @@
 """Time from receipt to completion (question 3), by offer type and channel.
 
-The completion side fans each completed journey out to the offer's
-channels (2-4 rows) through a broadcast of the small exploded offer
-dimension; the statistics (mean, approximate median, min, max, sample
-standard deviation, distinct members) all have mergeable partial buffers,
-so the 12-odd output groups are built by partial aggregation on every
-task and never gather raw rows in one place.
-
-The received side needs only counts per (type, channel), so it is reduced
-to one row per offer first and fanned out afterwards; its distinct-member
-count is taken over distinct (offer, customer) pairs, which the journey
-already is.
+Each received or completed journey is fanned out to the offer's channels
+(2-4 rows) through a broadcast of the small exploded offer dimension, and
+one aggregate per (type, channel) computes everything.  The statistics
+(mean, approximate median, min, max, sample standard deviation, counts,
+distinct members) all have mergeable partial buffers, so the dozen output
+groups are built by partial aggregation on every task and never gather
+raw rows in one place.
 """
 
 from __future__ import annotations
@@ -37,40 +33,36 @@ def completion_analysis(interactions: DataFrame, offers_enriched: DataFrame, dim
     return join_dimension(completed, type_channels(offers_enriched), "offer_id", small=dim_small)
 
 
-def completion_stats(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
-    t = F.col("time_to_complete")
-    return (
-        completion_analysis(interactions, offers_enriched, dim_small)
-        .groupBy("offer_type", "channel")
-        .agg(
-            F.avg(t).alias("avg_t"),
-            F.percentile_approx(t, 0.5, MEDIAN_ACCURACY).alias("med_t"),
-            F.min(t).alias("min_t"),
-            F.max(t).alias("max_t"),
-            F.stddev_samp(t).alias("sd_t"),
-            F.count(F.lit(1)).alias("total_completions"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-        )
-    )
-
-
-def received_totals(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
-    received = interactions.filter(F.col("is_received")).select("offer_id", "customer_id")
-    fanned = join_dimension(received, type_channels(offers_enriched), "offer_id", small=dim_small)
-    return fanned.groupBy("offer_type", "channel").agg(
-        F.count(F.lit(1)).alias("total_received"),
-        F.count_distinct("customer_id").alias("total_customers_targeted"),
-    )
-
-
 def offer_completion_metrics(
     interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None
 ) -> DataFrame:
-    """Contract ``OFFER_COMPLETION_METRICS``; (type, channel) pairs without a
-    completion have no row (inner join), e.g. informational offers."""
-    stats = completion_stats(interactions, offers_enriched, dim_small)
-    totals = received_totals(interactions, offers_enriched, dim_small)
-    out = stats.join(totals, ["offer_type", "channel"], "inner").select(
+    """Contract ``OFFER_COMPLETION_METRICS``.
+
+    One pass: journeys that were received or completed are fanned out to
+    the offer's channels once, and a single aggregate per (type, channel)
+    takes the completion statistics over completed rows and the reception
+    counts over received rows (conditional aggregates).  Pairs need at
+    least one completion and one receipt -- the programme's inner join of
+    the two sides -- so informational offers without completions have no row.
+    """
+    journeys = interactions.filter(F.col("is_completed") | F.col("is_received")).select(
+        "offer_id", "customer_id", "time_to_complete", "is_completed", "is_received"
+    )
+    fanned = join_dimension(journeys, type_channels(offers_enriched), "offer_id", small=dim_small)
+    done, got = F.col("is_completed"), F.col("is_received")
+    t = F.when(done, F.col("time_to_complete"))
+    stats = fanned.groupBy("offer_type", "channel").agg(
+        F.avg(t).alias("avg_t"),
+        F.percentile_approx(t, 0.5, MEDIAN_ACCURACY).alias("med_t"),
+        F.min(t).alias("min_t"),
+        F.max(t).alias("max_t"),
+        F.stddev_samp(t).alias("sd_t"),
+        F.count_if(done).alias("total_completions"),
+        F.count_distinct(F.when(done, F.col("customer_id"))).alias("unique_customers"),
+        F.count_if(got).alias("total_received"),
+        F.count_distinct(F.when(got, F.col("customer_id"))).alias("total_customers_targeted"),
+    )
+    out = stats.filter((F.col("total_completions") > 0) & (F.col("total_received") > 0)).select(
         "offer_type",
         "channel",
         F.round("avg_t", 2).alias("avg_completion_time_hours"),
