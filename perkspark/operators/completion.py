@@ -108,3 +108,17 @@ def completion_avg_by(
         .groupBy(key)
         .agg(F.avg("time_to_complete").alias("avg_hours"), F.count(F.lit(1)).alias("completions"))
     )
+
+
+def completion_avg_by_type_unfanned(
+    interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None
+) -> DataFrame:
+    """(offer_type, avg_hours, completions) with each completed journey counted
+    once, whatever the number of channels of its offer."""
+    completed = interactions.filter(F.col("is_completed")).select("offer_id", "time_to_complete")
+    types = offers_enriched.select("offer_id", "offer_type")
+    return (
+        join_dimension(completed, types, "offer_id", small=dim_small)
+        .groupBy("offer_type")
+        .agg(F.avg("time_to_complete").alias("avg_hours"), F.count(F.lit(1)).alias("completions"))
+    )

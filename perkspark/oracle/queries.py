@@ -108,6 +108,11 @@ FROM completion_analysis GROUP BY offer_type""",
     "completion_avg_by_channel": """
 SELECT channel, AVG(time_to_complete) AS avg_hours, COUNT(*) AS completions
 FROM completion_analysis GROUP BY channel""",
+    "channel_effectiveness_completable": "SELECT * FROM channel_effectiveness_c",
+    "completion_avg_by_type_unfanned": """
+SELECT o.offer_type, AVG(i.time_to_complete) AS avg_hours, COUNT(*) AS completions
+FROM offer_interactions i JOIN offers_enriched o ON i.offer_id = o.offer_id
+WHERE i.is_completed GROUP BY o.offer_type""",
     "v_channel_performance": _V_CHANNEL,
     "v_age_summary": _V_AGE,
     "v_offer_summary": _V_OFFER,

@@ -98,6 +98,21 @@ def _channel_breakdown(spark, sf):
     )
 
 
+def _channel_effectiveness_completable(spark, sf):
+    """The channel ranking over offers that can be completed (difficulty > 0):
+    informational offers cannot complete and would only dilute the rates."""
+    p = _p(spark, sf)
+    completable = p.offers_enriched.filter(F.col("difficulty") > 0)
+    return channel.channel_effectiveness(
+        p.offer_interactions, p.events_processed, completable, dim_small=p.offers_small
+    )
+
+
+def _completion_avg_by_type_unfanned(spark, sf):
+    p = _p(spark, sf)
+    return completion.completion_avg_by_type_unfanned(p.offer_interactions, p.offers_enriched, p.offers_small)
+
+
 def _completion_avg_overall(spark, sf):
     p = _p(spark, sf)
     return completion.completion_avg_overall(p.offer_interactions, p.offers_enriched, p.offers_small)
@@ -135,6 +150,7 @@ QUERIES: dict[str, QueryFn] = {
     "channel_rewards": _channel_rewards,
     "channel_effectiveness": lambda s, sf: _p(s, sf).channel_effectiveness,
     "channel_revenue_breakdown": _channel_breakdown,
+    "channel_effectiveness_completable": _channel_effectiveness_completable,
     # question 2
     "customer_offer_status": _customer_offer_status,
     "age_distribution": lambda s, sf: _p(s, sf).age_distribution,
@@ -143,6 +159,7 @@ QUERIES: dict[str, QueryFn] = {
     "completion_avg_overall": _completion_avg_overall,
     "completion_avg_by_type": _completion_avg_by("offer_type"),
     "completion_avg_by_channel": _completion_avg_by("channel"),
+    "completion_avg_by_type_unfanned": _completion_avg_by_type_unfanned,
     # views
     "v_channel_performance": lambda s, sf: _p(s, sf).v_channel_performance,
     "v_age_summary": lambda s, sf: _p(s, sf).v_age_summary,
