@@ -1,5 +1,5 @@
 """DuckDB text of the raw fixture relations (same formulas as
-``perkspark.sources.fixtures``), used as a CTE prefix by every oracle query.
+``perkspark.sources.fixtures``), the first CTEs of every oracle query.
 
 The warehouse tables ``customer``, ``part`` and ``events`` are views in the
 oracle's DuckDB connection.  The raw loyalty events are named
@@ -60,7 +60,3 @@ SELECT 'c' || CAST(user_id AS VARCHAR) AS customer_id,
 FROM loyalty_events_k""",
 }
 
-
-def with_prefix(*names: str) -> str:
-    """``WITH`` clause holding the raw CTEs plus the named derived CTEs."""
-    return ",\n".join(f"{n} AS ({RAW_CTES[n]})" for n in names)
