@@ -102,11 +102,13 @@ def completion_avg_overall(
 def completion_avg_by(
     interactions: DataFrame, offers_enriched: DataFrame, key: str, dim_small: bool | None = None
 ) -> DataFrame:
-    """(key, avg_hours, completions) over the channel-fanned completed rows."""
+    """(key, avg_hours, completions) over the channel-fanned completed rows,
+    ordered by the mean (a handful of rows: types or channels)."""
     return (
         completion_analysis(interactions, offers_enriched, dim_small)
         .groupBy(key)
         .agg(F.avg("time_to_complete").alias("avg_hours"), F.count(F.lit(1)).alias("completions"))
+        .orderBy("avg_hours", key)
     )
 
 
