@@ -67,3 +67,20 @@ def test_bucketed_member_join_needs_no_shuffle(spark, run_from_csv):
     df = age_distribution(spark.table("silver.customers_cleansed"), spark.table("silver.offer_interactions"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(customer_id" not in plan
+
+
+def test_offer_csv_with_quoted_channel_list(spark):
+    from perkspark.operators.cleanse import enrich_offers
+
+    folder = tempfile.mkdtemp(prefix="perkspark-offers-")
+    path = os.path.join(folder, "offers.csv")
+    with open(path, "w") as fh:
+        fh.write("offer_id,offer_type,difficulty,reward,duration,channels\n")
+        fh.write("a1,bogo,10,10,7,\"['email', 'mobile', 'social']\"\n")
+        fh.write("a2,informational,0,0,4,\"['web', 'email', 'mobile']\"\n")
+    out = enrich_offers(read_csv(spark, path, schemas.RAW_OFFERS))
+    got = rows(out, "offer_id", "channels_list", "num_channels", "duration_hours", "roi_ratio")
+    assert got == [
+        ("a1", ["email", "mobile", "social"], 3, 168, 1.0),
+        ("a2", ["web", "email", "mobile"], 3, 96, None),
+    ]
