@@ -7,7 +7,9 @@ layer, and every plan runs once.  Audits count the written tables.
 
 Physical layout (large tables only):
 * ``events_processed`` is partitioned by ``event_date`` -- date filters
-  prune whole folders;
+  prune whole folders -- and sorted by (event_type, customer_id) inside each
+  file, so ``event_type = 'transaction'`` skips the row groups of other
+  events through parquet statistics;
 * ``customers_cleansed`` and ``offer_interactions`` are bucketed by
   ``customer_id`` with the same bucket count, so the member rollup and the
   member join of the age analysis read co-located buckets without a shuffle.
@@ -50,9 +52,17 @@ class LayerRunner:
         name: str,
         partition_by: str | None = None,
         bucket_by: str | None = None,
+        sort_by: tuple[str, ...] = (),
     ) -> DataFrame:
-        """Overwrite ``layer.name`` with ``df`` and return the stored table."""
+        """Overwrite ``layer.name`` with ``df`` and return the stored table.
+
+        ``sort_by`` orders rows inside each task (no shuffle), so parquet
+        min/max statistics let filters on those columns skip row groups.
+        """
         full = self.table_name(layer, name)
+        if sort_by:
+            lead = (partition_by,) if partition_by and partition_by not in sort_by else ()
+            df = df.sortWithinPartitions(*lead, *sort_by)
         writer = df.write.mode("overwrite").format(self.table_format)
         if partition_by:
             writer = writer.partitionBy(partition_by)
@@ -77,7 +87,16 @@ class LayerRunner:
 
         self._swap("customers_cleansed", self.write(p.customers_cleansed, LAYER_CLEANSED, "customers_cleansed", bucket_by="customer_id"))
         self._swap("offers_enriched", self.write(p.offers_enriched, LAYER_CLEANSED, "offers_enriched"))
-        self._swap("events_processed", self.write(p.events_processed, LAYER_CLEANSED, "events_processed", partition_by="event_date"))
+        self._swap(
+            "events_processed",
+            self.write(
+                p.events_processed,
+                LAYER_CLEANSED,
+                "events_processed",
+                partition_by="event_date",
+                sort_by=("event_type", "customer_id"),
+            ),
+        )
         self._swap("offer_interactions", self.write(p.offer_interactions, LAYER_CLEANSED, "offer_interactions", bucket_by="customer_id"))
 
         self._swap("channel_effectiveness", self.write(p.channel_effectiveness, LAYER_METRICS, "channel_effectiveness"))
