@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Dimension sides are a few narrow columns (ids, short labels, small
-# numbers): 2M rows stay well below 100 MB once broadcast.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# numbers): 1M rows stay around 50 MB once broadcast.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 _CONF_KEY = "perkspark.broadcast.maxRows"
 
 

@@ -11,8 +11,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from perkspark.constants import CHANNELS, DEFAULT_AS_OF, DEFAULT_PERIOD_START, LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW
+from perkspark.constants import DEFAULT_AS_OF, DEFAULT_PERIOD_START, LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW
 from perkspark.operators import age, channel, cleanse, completion, journey, reports, views
 from perkspark.plans.broadcast import has_at_most, max_broadcast_rows
 
@@ -45,12 +46,13 @@ class LoyaltyPipeline:
     def offers_small(self) -> bool:
         """Proof, made once, that every offer dimension may be broadcast.
 
-        All of them derive row by row from the raw offers, at most one row
-        per channel of the fixed alphabet, so a bound on the raw offers
-        bounds them all.
+        The offer dimensions are the offers themselves, or one row per
+        (offer, channel).  ``explode_outer`` of the channel lists has at
+        least as many rows as any of them (one row for an offer without
+        channels), so a bound on it bounds them all, whatever the lists hold.
         """
-        bound = max_broadcast_rows(self.offers) // len(CHANNELS)
-        return has_at_most(self.offers, bound)
+        widest = self.offers_enriched.select("offer_id", F.explode_outer("channels_list").alias("channel"))
+        return has_at_most(widest, max_broadcast_rows(self.offers))
 
     # ------------------------------------------------------------ cleansed
     @cached_property

@@ -53,3 +53,21 @@ def test_channel_measures_are_pre_aggregated_per_offer(spark, static_plans):
     plan = _plan(spark, "channel_metrics")
     # the journey is reduced to one row per offer before the channel fan-out
     assert re.search(r"HashAggregate\(keys=\[offer_id#\d+\]", plan)
+
+
+def test_above_the_bound_dimensions_are_not_broadcast(spark, static_plans):
+    from conftest import rows
+
+    from perkspark.plans.pipeline import LoyaltyPipeline
+
+    small = LoyaltyPipeline.from_warehouse(spark, SF_SMALL)
+    expected = rows(small.channel_effectiveness, *small.channel_effectiveness.columns)
+    spark.conf.set("perkspark.broadcast.maxRows", "1")
+    try:
+        big = LoyaltyPipeline.from_warehouse(spark, SF_SMALL)
+        assert big.offers_small is False
+        df = big.channel_effectiveness
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert rows(df, *df.columns) == expected
+    finally:
+        spark.conf.unset("perkspark.broadcast.maxRows")
