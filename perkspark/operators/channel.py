@@ -3,7 +3,7 @@
 Every measure of a channel is a sum over the offers sent on it, so the large
 journey table is first reduced to one row per offer (partial aggregation,
 one shuffle of at most #offers keys per task) and only then fanned out to
-channels through the small exploded offer dimension.  The reference order
+channels through the small exploded offer dimension.  The programme's order
 (fan out every journey row by 2-4 channels, then aggregate) moves 2-4x the
 rows through the shuffle for the same result.
 

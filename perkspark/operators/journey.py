@@ -4,7 +4,7 @@ The default form takes three conditional minima in one aggregate: a single
 shuffle on (customer_id, offer_id) with map-side partial aggregation, so a
 member with millions of events is collapsed to one row per offer before
 anything crosses the network.  ``pivot=True`` gives the same rows through
-``groupBy().pivot()`` (two shuffles), kept as the reference form.
+``groupBy().pivot()`` (two shuffles), the form the programme uses.
 """
 
 from __future__ import annotations
