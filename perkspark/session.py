@@ -69,7 +69,10 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
     # Timestamps of the loyalty data are wall-clock hours, always UTC here.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
+    try:
+        ensure_checkpoint_dir(spark)
+    except Exception:  # sessions without a SparkContext (Spark Connect) keep their own setting
+        pass
     return spark
 
 

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from conftest import SF_SMALL, rows
 
 from perkspark.operators.journey import interactions_from_stage_times
@@ -11,20 +12,28 @@ from perkspark.sources.fixtures import FIXTURE_PERIOD_START
 from perkspark.streaming.journey_stream import read_stage_times, start_journey_stream
 
 
-def test_incremental_journey_equals_batch(spark):
+def _append(df, path, fmt):
+    if fmt == "csv":
+        df.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    else:
+        df.write.mode("append").parquet(path)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_incremental_journey_equals_batch(spark, fmt):
     batch = LoyaltyPipeline.from_warehouse(spark, SF_SMALL)
     work = tempfile.mkdtemp(prefix="perkspark-stream-")
     source, sink, ckpt = (os.path.join(work, d) for d in ("source", "sink", "ckpt"))
     events = batch.events
     early, late = events.filter("time < 400"), events.filter("time >= 400")
 
-    early.write.mode("append").parquet(source)
-    q = start_journey_stream(spark, source, sink, ckpt, period_start=FIXTURE_PERIOD_START)
+    _append(early, source, fmt)
+    q = start_journey_stream(spark, source, sink, ckpt, source_format=fmt, period_start=FIXTURE_PERIOD_START)
     q.awaitTermination()
     first = read_stage_times(spark, sink).count()
 
-    late.write.mode("append").parquet(source)
-    q = start_journey_stream(spark, source, sink, ckpt, period_start=FIXTURE_PERIOD_START)
+    _append(late, source, fmt)
+    q = start_journey_stream(spark, source, sink, ckpt, source_format=fmt, period_start=FIXTURE_PERIOD_START)
     q.awaitTermination()
 
     incremental = interactions_from_stage_times(read_stage_times(spark, sink), batch.offers_enriched)
