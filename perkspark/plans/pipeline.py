@@ -8,6 +8,7 @@ fragments (and Spark may reuse their exchanges).  The writer in
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,29 +19,58 @@ from perkspark.operators import age, channel, cleanse, completion, journey, repo
 from perkspark.plans.broadcast import has_at_most, max_broadcast_rows
 
 
+Raw = DataFrame | Callable[[], DataFrame]
+
+
+def _raw_relation(name: str) -> property:
+    """A raw relation given as a DataFrame or as a zero-argument loader.
+
+    A loader runs on first use, so a query that needs only the events never
+    builds the member or offer plans.
+    """
+
+    def get(self: "LoyaltyPipeline") -> DataFrame:
+        value = self._raw[name]
+        if callable(value):
+            value = self._raw[name] = value()
+        return value
+
+    def set_(self: "LoyaltyPipeline", df: Raw) -> None:
+        self._raw[name] = df
+
+    return property(get, set_)
+
+
 class LoyaltyPipeline:
+    customers = _raw_relation("customers")
+    offers = _raw_relation("offers")
+    events = _raw_relation("events")
+
     def __init__(
         self,
-        customers: DataFrame,
-        offers: DataFrame,
-        events: DataFrame,
+        customers: Raw,
+        offers: Raw,
+        events: Raw,
         as_of: str = DEFAULT_AS_OF,
         period_start: str = DEFAULT_PERIOD_START,
         strict_quotes: bool = False,
     ):
-        self.customers = customers
-        self.offers = offers
-        self.events = events
+        self._raw: dict[str, Raw] = {"customers": customers, "offers": offers, "events": events}
         self.as_of = as_of
         self.period_start = period_start
         self.strict_quotes = strict_quotes
 
     @classmethod
     def from_warehouse(cls, spark: SparkSession, sf_dir: str) -> "LoyaltyPipeline":
-        from perkspark.sources.fixtures import FIXTURE_AS_OF, FIXTURE_PERIOD_START, load_raw
-
-        customers, offers, events = load_raw(spark, sf_dir)
-        return cls(customers, offers, events, as_of=FIXTURE_AS_OF, period_start=FIXTURE_PERIOD_START)
+        from perkspark.sources import fixtures
+
+        return cls(
+            lambda: fixtures.raw_customers(spark, sf_dir),
+            lambda: fixtures.raw_offers(spark, sf_dir),
+            lambda: fixtures.raw_events(spark, sf_dir),
+            as_of=fixtures.FIXTURE_AS_OF,
+            period_start=fixtures.FIXTURE_PERIOD_START,
+        )
 
     @cached_property
     def offers_small(self) -> bool:

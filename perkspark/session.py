@@ -29,6 +29,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # PySpark 4 records the Python call site of every Column function (four
+    # JVM round trips per call) for error messages; plans here are built from
+    # hundreds of such calls, so building one would cost about a second.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -130,11 +130,20 @@ def events_from_warehouse(events: DataFrame) -> DataFrame:
     return schemas.enforce(df, schemas.RAW_EVENTS)
 
 
-def load_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(customers, offers, events) raw relations of one warehouse folder."""
-    customers = customers_from_warehouse(read_table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"]))
-    offers = offers_from_warehouse(read_table(spark, sf_dir, "part", ["p_partkey"]))
-    events = events_from_warehouse(
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customers_from_warehouse(read_table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"]))
+
+
+def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offers_from_warehouse(read_table(spark, sf_dir, "part", ["p_partkey"]))
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_from_warehouse(
         read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     )
-    return customers, offers, events
+
+
+def load_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(customers, offers, events) raw relations of one warehouse folder."""
+    return raw_customers(spark, sf_dir), raw_offers(spark, sf_dir), raw_events(spark, sf_dir)
