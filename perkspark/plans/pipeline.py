@@ -82,7 +82,9 @@ class LoyaltyPipeline:
         channels), so a bound on it bounds them all, whatever the lists hold.
         """
         widest = self.offers_enriched.select("offer_id", F.explode_outer("channels_list").alias("channel"))
-        return has_at_most(widest, max_broadcast_rows(self.offers))
+        # the raw offers have no more rows than ``widest``: counted first
+        # (footers only for parquet), they reject a big offer table cheaply
+        return has_at_most(widest, max_broadcast_rows(self.offers), not_larger=(self.offers,))
 
     # ------------------------------------------------------------ cleansed
     @cached_property

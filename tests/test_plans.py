@@ -78,3 +78,13 @@ def test_orders_are_collapsed_per_customer_day_before_the_range_join(spark, stat
     assert re.search(r"SortMergeJoin \[custkey#\d+L?, _bin#\d+L?\]", plan), plan
     # map-side partial aggregate per (customer, day) under the join's point side
     assert re.search(r"HashAggregate\(keys=\[o_custkey#\d+L?, _groupingexpression#\d+\], functions=\[partial_count", plan)
+
+
+def test_size_proof_counts_exactly_and_rejects_from_the_base_table(spark):
+    from perkspark.plans.broadcast import has_at_most
+
+    dim = spark.range(0, 10, 1, 4)
+    assert has_at_most(dim, 10) and not has_at_most(dim, 9)
+    # a base relation above the bound rejects without counting the dimension
+    assert not has_at_most(dim, 10, not_larger=(spark.range(0, 11, 1, 4),))
+    assert has_at_most(dim, 10, not_larger=(spark.range(0, 5, 1, 4),))
