@@ -84,3 +84,16 @@ def test_offer_csv_with_quoted_channel_list(spark):
         ("a1", ["email", "mobile", "social"], 3, 168, 1.0),
         ("a2", ["web", "email", "mobile"], 3, 96, None),
     ]
+
+
+def test_audit_reports_an_unreadable_view_and_counts_the_rest(spark, run_from_csv):
+    src, runner, _ = run_from_csv
+    spark.sql("DROP VIEW gold.v_age_summary")
+    try:
+        got = {(r.layer, r.table_name): (r.row_count, r.error) for r in runner.audit().collect()}
+        count, err = got[("gold", "v_age_summary")]
+        assert count is None and err
+        assert got[("silver", "offer_interactions")] == (src.offer_interactions.count(), None)
+        assert got[("quality", "customers_not_valid")][0] >= 0
+    finally:
+        runner.create_views()
