@@ -29,12 +29,17 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+# Settings that only take effect when the session is built (static configs);
+# a session handed over by a driver or notebook keeps its own values.
+BUILD_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # PySpark 4 records the Python call site of every Column function (four
     # JVM round trips per call) for error messages; plans here are built from
     # hundreds of such calls, so building one would cost about a second.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -48,7 +53,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = {**DEFAULT_CONF, **BUILD_CONF}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -67,8 +72,6 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     session handed over by a driver or a notebook host.
     """
     for key, value in DEFAULT_CONF.items():
-        if key.startswith("spark.ui."):
-            continue
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     # Timestamps of the loyalty data are wall-clock hours, always UTC here.
