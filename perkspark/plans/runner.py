@@ -57,10 +57,22 @@ class LayerRunner:
     ) -> DataFrame:
         """Overwrite ``layer.name`` with ``df`` and return the stored table.
 
-        ``sort_by`` orders rows inside each task (no shuffle), so parquet
-        min/max statistics let filters on those columns skip row groups.
+        Every write task would open one file per bucket or per partition
+        value it holds (tasks x buckets files), so rows are first arranged
+        by the layout: a bucketed table is hash-partitioned by its bucket
+        column into one task per bucket (one file per bucket); a partitioned
+        table gets a ``REBALANCE`` on its partition column, so AQE gives each
+        task one value's rows, splitting a big value over several tasks and
+        merging small ones.  ``sort_by`` then orders rows inside each task,
+        so parquet min/max statistics let filters on those columns skip row
+        groups.
         """
         full = self.table_name(layer, name)
+        n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if bucket_by:
+            df = df.repartition(n, bucket_by)
+        elif partition_by:
+            df = df.hint("rebalance", partition_by)
         if sort_by:
             lead = (partition_by,) if partition_by and partition_by not in sort_by else ()
             df = df.sortWithinPartitions(*lead, *sort_by)
@@ -68,7 +80,6 @@ class LayerRunner:
         if partition_by:
             writer = writer.partitionBy(partition_by)
         if bucket_by:
-            n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
         writer.saveAsTable(full)
         self.written[(layer, name)] = full

@@ -97,3 +97,26 @@ def test_audit_reports_an_unreadable_view_and_counts_the_rest(spark, run_from_cs
         assert got[("quality", "customers_not_valid")][0] >= 0
     finally:
         runner.create_views()
+
+
+def test_layout_writes_one_file_per_bucket_and_per_partition_value(spark):
+    from pyspark.sql import functions as F
+
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    runner = LayerRunner(spark, pipeline=None, databases={"bronze": "layout_test"}, buckets=4)
+    runner.spark.sql("CREATE DATABASE IF NOT EXISTS layout_test")
+    # eight input tasks, each holding rows of every bucket and every day
+    df = spark.range(0, 4000, 1, 8).select(
+        F.concat(F.lit("c"), (F.col("id") % 97).cast("string")).alias("customer_id"),
+        (F.col("id") % 3).alias("day"),
+    )
+
+    def parquet_files(name):
+        root = os.path.join(warehouse, "layout_test.db", name)
+        return sum(len([f for f in fs if f.endswith(".parquet")]) for _, _, fs in os.walk(root))
+
+    runner.write(df, "bronze", "bucketed", bucket_by="customer_id")
+    runner.write(df, "bronze", "by_day", partition_by="day", sort_by=("customer_id",))
+    assert parquet_files("bucketed") == 4
+    assert parquet_files("by_day") == 3
+    assert spark.table("layout_test.bucketed").count() == spark.table("layout_test.by_day").count() == 4000
