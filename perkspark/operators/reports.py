@@ -69,6 +69,16 @@ def offer_type_summary(offer_completion_metrics: DataFrame) -> DataFrame:
     )
 
 
+def offer_type_insights(offer_completion_metrics: DataFrame) -> DataFrame:
+    """The printed per-type insight: the summary's mean time and rate at one decimal."""
+    summary = offer_type_summary(offer_completion_metrics)
+    return summary.select(
+        "offer_type",
+        F.round("avg_completion_time_hours", 1).alias("avg_completion_time_hours"),
+        F.round("completion_rate", 1).alias("completion_rate"),
+    )
+
+
 def offer_channel_matrix(offer_completion_metrics: DataFrame, measure: str) -> DataFrame:
     """offer_type x channel -> ``measure``; absent pairs are null.
 

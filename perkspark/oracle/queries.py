@@ -128,6 +128,12 @@ SELECT offer_type, {exact_mean("avg_completion_time_hours")} AS avg_completion_t
        {exact_mean("completion_rate")} AS completion_rate,
        CAST(SUM(total_completions) AS BIGINT) AS total_completions,
        CAST(SUM(total_received) AS BIGINT) AS total_received
+FROM offer_completion_metrics GROUP BY offer_type""",
+    "offer_type_insights": f"""
+SELECT offer_type,
+       CAST(ROUND(CAST(({exact_mean("avg_completion_time_hours")}) AS DECIMAL(38,12)), 1) AS DOUBLE)
+         AS avg_completion_time_hours,
+       CAST(ROUND(CAST(({exact_mean("completion_rate")}) AS DECIMAL(38,12)), 1) AS DOUBLE) AS completion_rate
 FROM offer_completion_metrics GROUP BY offer_type""",
     "offer_channel_time_matrix": f"""
 SELECT offer_type, {_PIVOT_CH.format(m="avg_completion_time_hours")}

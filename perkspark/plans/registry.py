@@ -169,6 +169,7 @@ QUERIES: dict[str, QueryFn] = {
     "channel_rates_sorted": lambda s, sf: reports.channel_rates_sorted(_p(s, sf).channel_effectiveness),
     "age_status_matrix": lambda s, sf: reports.age_status_matrix(_p(s, sf).age_distribution),
     "offer_type_summary": lambda s, sf: reports.offer_type_summary(_p(s, sf).offer_completion_metrics),
+    "offer_type_insights": lambda s, sf: reports.offer_type_insights(_p(s, sf).offer_completion_metrics),
     "offer_channel_time_matrix": lambda s, sf: reports.offer_channel_matrix(
         _p(s, sf).offer_completion_metrics, "avg_completion_time_hours"
     ),

@@ -115,3 +115,18 @@ def test_age_distribution_shares(small_pipeline):
     for status in statuses:
         total = sum(r.percentage for r in df if r.completion_status == status)
         assert abs(total - 100.0) < 0.1
+
+
+def test_offer_type_insights_round_the_exact_means_half_up(spark):
+    from perkspark.operators.reports import offer_type_insights, offer_type_summary
+
+    metrics = spark.createDataFrame(
+        [("bogo", "web", 64.44, 50.25, 10, 20), ("bogo", "email", 64.46, 50.35, 5, 10), ("discount", "web", 81.38, 64.5, 3, 4)],
+        "offer_type string, channel string, avg_completion_time_hours double, completion_rate double, "
+        "total_completions long, total_received long",
+    )
+    summary = {r.offer_type: r for r in offer_type_summary(metrics).collect()}
+    assert (summary["bogo"].avg_completion_time_hours, summary["bogo"].completion_rate) == (64.45, 50.3)
+    assert (summary["bogo"].total_completions, summary["bogo"].total_received) == (15, 30)
+    got = {r.offer_type: (r.avg_completion_time_hours, r.completion_rate) for r in offer_type_insights(metrics).collect()}
+    assert got == {"bogo": (64.5, 50.3), "discount": (81.4, 64.5)}
