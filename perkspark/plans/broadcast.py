@@ -6,8 +6,9 @@ partial count per task and one row per task through the shuffle, and for a
 parquet scan projected to a few columns it reads only the file footers.
 (``limit(n + 1).count()`` would be worse at scale: every partition sends up
 to ``n + 1`` rows into a single task.)  A derived dimension is first
-checked against a relation that cannot have more rows (the table it is
-derived from), so a big table is rejected from its own cheap count.
+checked through a relation that cannot have more rows (the table it is
+derived from, see ``LoyaltyPipeline``), so a big table is rejected from its
+own cheap count.
 
 Above the bound the join is left to Spark (sort-merge, or a runtime
 broadcast that AQE picks from the real shuffle size).
@@ -29,16 +30,8 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
 
 
-def has_at_most(df: DataFrame, max_rows: int, not_larger: tuple[DataFrame, ...] = ()) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``not_larger`` are relations with no more rows than ``df`` (e.g. the
-    table ``df`` is exploded from); they are counted first, and when one of
-    them is above the bound ``df`` is rejected without being counted.
-    """
-    for lower in not_larger:
-        if lower.count() > max_rows:
-            return False
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (an exact count)."""
     return df.count() <= max_rows
 
 

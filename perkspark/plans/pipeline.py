@@ -74,17 +74,28 @@ class LoyaltyPipeline:
 
     @cached_property
     def offers_small(self) -> bool:
-        """Proof, made once, that every offer dimension may be broadcast.
+        """Proof, made once, that the offer-keyed dimensions may be broadcast.
 
-        The offer dimensions are the offers themselves, or one row per
-        (offer, channel).  ``explode_outer`` of the channel lists has at
-        least as many rows as any of them (one row for an offer without
-        channels), so a bound on it bounds them all, whatever the lists hold.
+        Those dimensions (durations, types, channel counts) have one row per
+        offer, so the raw offer count bounds them; for parquet it reads only
+        the file footers.
         """
+        return has_at_most(self.offers, max_broadcast_rows(self.offers))
+
+    @cached_property
+    def offer_channels_small(self) -> bool:
+        """Proof, made once, that the channel-fanned offer dimensions may be broadcast.
+
+        They have one row per (offer, channel).  ``explode_outer`` of the
+        channel lists has at least as many rows as any of them (one row for
+        an offer without channels), so a bound on it bounds them all,
+        whatever the lists hold.  A big offer table is rejected from its own
+        count before anything is exploded.
+        """
+        if not self.offers_small:
+            return False
         widest = self.offers_enriched.select("offer_id", F.explode_outer("channels_list").alias("channel"))
-        # the raw offers have no more rows than ``widest``: counted first
-        # (footers only for parquet), they reject a big offer table cheaply
-        return has_at_most(widest, max_broadcast_rows(self.offers), not_larger=(self.offers,))
+        return has_at_most(widest, max_broadcast_rows(self.offers))
 
     # ------------------------------------------------------------ cleansed
     @cached_property
@@ -107,7 +118,7 @@ class LoyaltyPipeline:
     @cached_property
     def channel_effectiveness(self) -> DataFrame:
         return channel.channel_effectiveness(
-            self.offer_interactions, self.events_processed, self.offers_enriched, dim_small=self.offers_small
+            self.offer_interactions, self.events_processed, self.offers_enriched, dim_small=self.offer_channels_small
         )
 
     @cached_property
@@ -116,7 +127,9 @@ class LoyaltyPipeline:
 
     @cached_property
     def offer_completion_metrics(self) -> DataFrame:
-        return completion.offer_completion_metrics(self.offer_interactions, self.offers_enriched, self.offers_small)
+        return completion.offer_completion_metrics(
+            self.offer_interactions, self.offers_enriched, self.offer_channels_small
+        )
 
     # --------------------------------------------------------------- views
     @cached_property

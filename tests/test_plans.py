@@ -66,6 +66,7 @@ def test_above_the_bound_dimensions_are_not_broadcast(spark, static_plans):
     try:
         big = LoyaltyPipeline.from_warehouse(spark, SF_SMALL)
         assert big.offers_small is False
+        assert big.offer_channels_small is False
         df = big.channel_effectiveness
         assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
         assert rows(df, *df.columns) == expected
@@ -80,11 +81,18 @@ def test_orders_are_collapsed_per_customer_day_before_the_range_join(spark, stat
     assert re.search(r"HashAggregate\(keys=\[o_custkey#\d+L?, _groupingexpression#\d+\], functions=\[partial_count", plan)
 
 
-def test_size_proof_counts_exactly_and_rejects_from_the_base_table(spark):
+def test_size_proofs(spark):
     from perkspark.plans.broadcast import has_at_most
+    from perkspark.plans.pipeline import LoyaltyPipeline
 
     dim = spark.range(0, 10, 1, 4)
     assert has_at_most(dim, 10) and not has_at_most(dim, 9)
-    # a base relation above the bound rejects without counting the dimension
-    assert not has_at_most(dim, 10, not_larger=(spark.range(0, 11, 1, 4),))
-    assert has_at_most(dim, 10, not_larger=(spark.range(0, 5, 1, 4),))
+    # 200 offers, each on 2-4 channels: the offer-keyed dimensions fit a bound
+    # of 200 rows, the channel-fanned ones do not
+    spark.conf.set("perkspark.broadcast.maxRows", "200")
+    try:
+        p = LoyaltyPipeline.from_warehouse(spark, SF_SMALL)
+        assert p.offers.count() == 200
+        assert p.offers_small is True and p.offer_channels_small is False
+    finally:
+        spark.conf.unset("perkspark.broadcast.maxRows")
