@@ -37,18 +37,28 @@ def range_join(
     lo_col: str,
     hi_col: str,
     bin_width: int,
+    max_bins: int = 1024,
 ) -> DataFrame:
     """Inner join of points and intervals on ``key`` with ``lo <= point <= hi``.
 
     ``point_col``, ``lo_col`` and ``hi_col`` must be integral (hours, days,
     epoch seconds ...).  Intervals with ``lo > hi`` match nothing.  Column
     names of both sides must differ except for ``key``.
+
+    Bins are enumerated in chunks of at most ``max_bins`` (two nested
+    explodes), so an interval of any length -- say a corrupt end hour near
+    2^31 -- never becomes one giant array inside a task; its bin rows
+    stream out and spread over the shuffle like any others.
     """
     w = F.lit(bin_width)
+    first, last = F.floor(F.col(lo_col) / w), F.floor(F.col(hi_col) / w)
+    chunk_start = first + F.col("_chunk") * max_bins
     binned_points = points.withColumn("_bin", F.floor(F.col(point_col) / w))
-    binned_intervals = intervals.filter(F.col(lo_col) <= F.col(hi_col)).withColumn(
-        "_bin",
-        F.explode(F.sequence(F.floor(F.col(lo_col) / w), F.floor(F.col(hi_col) / w))),
+    binned_intervals = (
+        intervals.filter(F.col(lo_col) <= F.col(hi_col))
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((last - first) / max_bins))))
+        .withColumn("_bin", F.explode(F.sequence(chunk_start, F.least(last, chunk_start + (max_bins - 1)))))
+        .drop("_chunk")
     )
     cond = [
         binned_points[key] == binned_intervals[key],

@@ -55,3 +55,21 @@ def test_interval_bounds_are_inclusive(spark):
     i = spark.createDataFrame([("c", "x", 10, 20), ("c", "y", 15, 14)], "k string, iid string, lo int, hi int")
     got = {r.iid: (r.matched, r.value_sum) for r in interval_sums(p, i, "k", "t", "v", "lo", "hi").collect()}
     assert got == {"x": (2, 3.0), "y": (0, None)}
+
+
+def test_long_intervals_are_binned_in_chunks_and_match_brute_force(spark):
+    pts, ivs = _data(seed=5)
+    # intervals far longer than max_bins bins: enumerated in many chunks
+    ivs += [("k0", "long0", -10, 10_000), ("k1", "long1", 3, 200_000), ("k2", "long2", 50, 5_000)]
+    p = spark.createDataFrame(pts, "k string, t int, v double")
+    i = spark.createDataFrame(ivs, "k string, iid string, lo int, hi int")
+    key = lambda x: (x[0], x[1], -1.0 if x[2] is None else x[2], x[3])
+    got = sorted(
+        ((r.k, r.t, r.v, r.iid) for r in range_join(p, i, "k", "t", "lo", "hi", bin_width=7, max_bins=16).collect()),
+        key=key,
+    )
+    want = sorted(
+        ((pk, t, v, iid) for pk, t, v in pts for ik, iid, lo, hi in ivs if pk == ik and lo <= t <= hi), key=key
+    )
+    assert any(r[3].startswith("long") for r in want)
+    assert got == want
