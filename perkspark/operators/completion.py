@@ -1,12 +1,12 @@
 """Time from receipt to completion (question 3), by offer type and channel.
 
 Each received or completed journey is fanned out to the offer's channels
-(2-4 rows) through a broadcast of the small exploded offer dimension, and
-one aggregate per (type, channel) computes everything.  The statistics
-(mean, approximate median, min, max, sample standard deviation, counts,
-distinct members) all have mergeable partial buffers, so the dozen output
-groups are built by partial aggregation on every task and never gather
-raw rows in one place.
+(2-4 rows) through a broadcast of the small exploded offer dimension.  The
+timing statistics (mean, approximate median, min, max, sample standard
+deviation, counts) all have mergeable partial buffers, so the dozen output
+groups are built by partial aggregation on every task and never gather raw
+rows in one place; the distinct member counts come from one row per
+(type, channel, member).
 """
 
 from __future__ import annotations
@@ -38,10 +38,11 @@ def offer_completion_metrics(
 ) -> DataFrame:
     """Contract ``OFFER_COMPLETION_METRICS``.
 
-    One pass: journeys that were received or completed are fanned out to
-    the offer's channels once, and a single aggregate per (type, channel)
-    takes the completion statistics over completed rows and the reception
-    counts over received rows (conditional aggregates).  Pairs need at
+    Journeys that were received or completed are fanned out to the offer's
+    channels once; one aggregate per (type, channel) takes the completion
+    statistics over completed rows and the reception counts over received
+    rows (conditional aggregates), and a second one counts distinct members
+    from one row per (type, channel, member).  Pairs need at
     least one completion and one receipt -- the programme's inner join of
     the two sides -- so informational offers without completions have no row.
     """
@@ -51,17 +52,28 @@ def offer_completion_metrics(
     fanned = join_dimension(journeys, type_channels(offers_enriched), "offer_id", small=dim_small)
     done, got = F.col("is_completed"), F.col("is_received")
     t = F.when(done, F.col("time_to_complete"))
-    stats = fanned.groupBy("offer_type", "channel").agg(
+    keys = ["offer_type", "channel"]
+    timing = fanned.groupBy(*keys).agg(
         F.avg(t).alias("avg_t"),
         F.percentile_approx(t, 0.5, MEDIAN_ACCURACY).alias("med_t"),
         F.min(t).alias("min_t"),
         F.max(t).alias("max_t"),
         F.stddev_samp(t).alias("sd_t"),
         F.count_if(done).alias("total_completions"),
-        F.count_distinct(F.when(done, F.col("customer_id"))).alias("unique_customers"),
         F.count_if(got).alias("total_received"),
-        F.count_distinct(F.when(got, F.col("customer_id"))).alias("total_customers_targeted"),
     )
+    # Distinct members per (type, channel): one row per (type, channel,
+    # member) first, then counts.  Unlike two count-distincts in one
+    # aggregate (an Expand that triples every row and shuffles both distinct
+    # sets), each member crosses the shuffle once per pair.
+    reach = (
+        fanned.filter(F.col("customer_id").isNotNull())
+        .groupBy(*keys, "customer_id")
+        .agg(F.bool_or(done).alias("any_done"), F.bool_or(got).alias("any_got"))
+        .groupBy(*keys)
+        .agg(F.count_if("any_done").alias("unique_customers"), F.count_if("any_got").alias("total_customers_targeted"))
+    )
+    stats = timing.join(reach, keys, "left").fillna(0, ["unique_customers", "total_customers_targeted"])
     out = stats.filter((F.col("total_completions") > 0) & (F.col("total_received") > 0)).select(
         "offer_type",
         "channel",

@@ -96,3 +96,10 @@ def test_size_proofs(spark):
         assert p.offers_small is True and p.offer_channels_small is False
     finally:
         spark.conf.unset("perkspark.broadcast.maxRows")
+
+
+def test_completion_distinct_members_need_no_expand(spark, static_plans):
+    plan = _plan(spark, "offer_completion_metrics")
+    assert "Expand [" not in plan
+    # one row per (type, channel, member) before the distinct counts
+    assert re.search(r"HashAggregate\(keys=\[offer_type#\d+, channel#\d+, customer_id#\d+\], functions=\[partial_(bool_or|max)", plan), plan
