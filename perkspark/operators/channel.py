@@ -131,13 +131,33 @@ def channel_revenue(
     appear; the sum is null when none of those transactions has an amount.
     """
     pairs = offer_period_revenue(interactions, events_processed, keep_empty=False)
-    fanned = join_dimension(
-        pairs.select("customer_id", "offer_id", "value_sum"), offer_channels(offers_enriched), "offer_id", small=dim_small
+    channels = offer_channels(offers_enriched)
+    # Sums and distinct offers: pairs reduced to one row per offer before the
+    # channel fan-out (sums are additive; null stays null when no amount).
+    per_offer = pairs.groupBy("offer_id").agg(F.sum("value_sum").alias("value_sum"))
+    money = (
+        join_dimension(per_offer, channels, "offer_id", small=dim_small)
+        .groupBy("channel")
+        .agg(
+            F.sum("value_sum").alias("total_revenue_generated"),
+            F.count_distinct("offer_id").alias("offers_with_revenue"),
+        )
+    )
+    # Distinct members: one row per (channel, member), then a count -- no
+    # Expand of every pair for two count-distincts in one aggregate.
+    members = (
+        join_dimension(pairs.select("customer_id", "offer_id"), channels, "offer_id", small=dim_small)
+        .filter(F.col("customer_id").isNotNull())
+        .select("channel", "customer_id")
+        .distinct()
+        .groupBy("channel")
+        .agg(F.count(F.lit(1)).alias("customers_with_revenue"))
     )
-    return fanned.groupBy("channel").agg(
-        F.sum("value_sum").alias("total_revenue_generated"),
-        F.count_distinct("offer_id").alias("offers_with_revenue"),
-        F.count_distinct("customer_id").alias("customers_with_revenue"),
+    return money.join(members, "channel", "left").select(
+        "channel",
+        "total_revenue_generated",
+        "offers_with_revenue",
+        F.coalesce(F.col("customers_with_revenue"), F.lit(0)).alias("customers_with_revenue"),
     )
 
 

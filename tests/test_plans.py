@@ -103,3 +103,10 @@ def test_completion_distinct_members_need_no_expand(spark, static_plans):
     assert "Expand [" not in plan
     # one row per (type, channel, member) before the distinct counts
     assert re.search(r"HashAggregate\(keys=\[offer_type#\d+, channel#\d+, customer_id#\d+\], functions=\[partial_(bool_or|max)", plan), plan
+
+
+def test_channel_revenue_reduces_pairs_per_offer_and_needs_no_expand(spark, static_plans):
+    plan = _plan(spark, "channel_revenue")
+    assert "Expand [" not in plan
+    # sums are taken per offer before the channel fan-out
+    assert re.search(r"HashAggregate\(keys=\[offer_id#\d+\], functions=\[partial_sum", plan), plan
