@@ -70,10 +70,12 @@ def offer_completion_metrics(
         fanned.filter(F.col("customer_id").isNotNull())
         .groupBy(*keys, "customer_id")
         .agg(F.bool_or(done).alias("any_done"), F.bool_or(got).alias("any_got"))
-        .groupBy(*keys)
+        .groupBy(*[F.col(k).alias(f"_r_{k}") for k in keys])
         .agg(F.count_if("any_done").alias("unique_customers"), F.count_if("any_got").alias("total_customers_targeted"))
     )
-    stats = timing.join(reach, keys, "left").fillna(0, ["unique_customers", "total_customers_targeted"])
+    # null-safe: an offer without a type is a group of its own on both sides
+    on = [timing[k].eqNullSafe(reach[f"_r_{k}"]) for k in keys]
+    stats = timing.join(reach, on, "left").fillna(0, ["unique_customers", "total_customers_targeted"])
     out = stats.filter((F.col("total_completions") > 0) & (F.col("total_received") > 0)).select(
         "offer_type",
         "channel",

@@ -130,3 +130,25 @@ def test_offer_type_insights_round_the_exact_means_half_up(spark):
     assert (summary["bogo"].total_completions, summary["bogo"].total_received) == (15, 30)
     got = {r.offer_type: (r.avg_completion_time_hours, r.completion_rate) for r in offer_type_insights(metrics).collect()}
     assert got == {"bogo": (64.5, 50.3), "discount": (81.4, 64.5)}
+
+
+def test_completion_metrics_keep_member_counts_of_an_untyped_offer(spark):
+    from perkspark.operators.completion import offer_completion_metrics
+
+    offers = spark.createDataFrame(
+        [("o1", None, ["web", "email"]), ("o2", "bogo", ["web"])], "offer_id string, offer_type string, channels_list array<string>"
+    )
+    journeys = spark.createDataFrame(
+        [
+            ("c1", "o1", 5, True, True),
+            ("c2", "o1", None, False, True),
+            ("c1", "o2", 3, True, True),
+            ("c3", "o2", 7, True, True),
+        ],
+        "customer_id string, offer_id string, time_to_complete int, is_completed boolean, is_received boolean",
+    )
+    got = {
+        (r.offer_type, r.channel): (r.total_completions, r.total_received, r.unique_customers, r.total_customers_targeted)
+        for r in offer_completion_metrics(journeys, offers).collect()
+    }
+    assert got == {(None, "web"): (1, 2, 1, 2), (None, "email"): (1, 2, 1, 2), ("bogo", "web"): (2, 2, 2, 2)}
