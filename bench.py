@@ -48,7 +48,12 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         shuffle_partitions=max(8, 2 * cpus),
-        extra_conf={"spark.sql.warehouse.dir": warehouse},
+        extra_conf={
+            "spark.sql.warehouse.dir": warehouse,
+            # local mode runs every task in the driver JVM; Spark's 1g default
+            # heap makes a long benchmark session GC-bound
+            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
+        },
     )
     timings: dict[str, float] = {}
     run_layers = not sys.argv[1:] or "layer_runner_end_to_end" in names

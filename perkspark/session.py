@@ -40,6 +40,10 @@ BUILD_CONF = {
     # JVM round trips per call) for error messages; plans here are built from
     # hundreds of such calls, so building one would cost about a second.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # One session serves many different plans (every layer, view and report);
+    # with the default of 100 compiled whole-stage classes they evict each
+    # other and are compiled again on every run.
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 
