@@ -110,3 +110,8 @@ def test_channel_revenue_reduces_pairs_per_offer_and_needs_no_expand(spark, stat
     assert "Expand [" not in plan
     # sums are taken per offer before the channel fan-out
     assert re.search(r"HashAggregate\(keys=\[offer_id#\d+\], functions=\[partial_sum", plan), plan
+
+
+def test_no_registered_query_plans_an_expand(spark, static_plans):
+    with_expand = [name for name in QUERIES if "Expand [" in _plan(spark, name)]
+    assert with_expand == []
