@@ -10,14 +10,24 @@ shuffle join whose measured side is small into a broadcast.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 import sys
 
 from pyspark.sql import DataFrame
 
 
+def physical_plan(df: DataFrame) -> str:
+    """The physical plan tree as ``df.explain()`` prints it."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
 def summarize(df: DataFrame) -> dict:
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = physical_plan(df)
     exchanges = re.findall(r"Exchange (hashpartitioning\([^)]*\)|SinglePartition|rangepartitioning\([^)]*\))", plan)
     scans = re.findall(
         r"FileScan parquet \[[^\]]*\].*?PushedFilters: \[([^\]]*)\].*?ReadSchema: struct<([^>]*)>", plan

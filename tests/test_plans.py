@@ -5,12 +5,13 @@ import re
 import pytest
 from conftest import SF_SMALL
 
+from perkspark.plans.explain import physical_plan
 from perkspark.plans.registry import QUERIES
 
 
 def _plan(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
-    return df._jdf.queryExecution().executedPlan().toString()
+    return physical_plan(df)
 
 
 @pytest.fixture()
@@ -68,7 +69,7 @@ def test_above_the_bound_dimensions_are_not_broadcast(spark, static_plans):
         assert big.offers_small is False
         assert big.offer_channels_small is False
         df = big.channel_effectiveness
-        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in physical_plan(df)
         assert rows(df, *df.columns) == expected
     finally:
         spark.conf.unset("perkspark.broadcast.maxRows")

@@ -7,6 +7,7 @@ import pytest
 from conftest import SF_SMALL, rows
 
 from perkspark import schemas
+from perkspark.plans.explain import physical_plan
 from perkspark.plans.pipeline import LoyaltyPipeline
 from perkspark.plans.runner import LayerRunner
 from perkspark.sources.csv import load_raw_csv, read_csv, write_csv
@@ -65,7 +66,7 @@ def test_bucketed_member_join_needs_no_shuffle(spark, run_from_csv):
     from perkspark.operators.age import age_distribution
 
     df = age_distribution(spark.table("silver.customers_cleansed"), spark.table("silver.offer_interactions"))
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = physical_plan(df)
     assert "hashpartitioning(customer_id" not in plan
 
 
