@@ -9,8 +9,9 @@ of two constraints (words taken, documents taken), three documents at a time,
 until each is 0 or 1 but for at most two of a block.  Blocks are hash groups of
 at most about ``block`` documents of one source, so a hot source is many tasks;
 what blocks leave undecided is dealt to fewer blocks of the next round, until a
-source is one block.  Its last one or two documents are the landing problem:
-the 0/1 choice nearest to the words wanted, by enumeration.
+source is one block.  ``LANDING`` documents of it wait for the flight's last one
+or two: the landing problem takes their 0/1 choice nearest to the words wanted,
+by enumeration.
 
 Defined cases: null text has size 0; null sources are one source, last in order;
 a source without words has target 0; an empty table gives an empty result.
@@ -33,6 +34,8 @@ SHARE = 1.5
 CAP = 2.0
 BLOCK = 4096
 SEED = 20260
+#: Documents of a source, last in hash order, that join the landing problem.
+LANDING = 12
 EPS = 1e-9
 
 
@@ -96,14 +99,13 @@ def flight(pi: list[float], size: list[float], rng: np.random.Generator) -> list
 def land(pi: list[float], size: list[float]) -> list[float]:
     """Round the few undecided so that the words, then the documents, are nearest to what was wanted."""
     left = [i for i, p in enumerate(pi) if 0.0 < p < 1.0]
-    choices = []
-    for bits in range(1 << len(left)):
-        moved = [((bits >> k) & 1) - pi[i] for k, i in enumerate(left)]
-        choices.append((abs(sum(m * size[i] for m, i in zip(moved, left, strict=True))), abs(sum(moved)), bits))
-    bits = min(choices)[2]
+    choices = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    moved = choices - np.array([pi[i] for i in left])
+    words = np.abs(moved @ np.array([size[i] for i in left])).round(6)
+    best = np.lexsort((np.abs(moved.sum(axis=1)).round(6), words))[0]
     out = list(pi)
-    for k, i in enumerate(left):
-        out[i] = float((bits >> k) & 1)
+    for i, chosen in zip(left, choices[best], strict=True):
+        out[i] = float(chosen)
     return out
 
 
@@ -113,8 +115,19 @@ def _settle(seed: int):
         first = group.iloc[0]
         rng = np.random.default_rng([seed, int(first["rank"]), int(first["block"]), int(first["blocks"])])
         size = group["size"].astype(float).tolist()
-        pi = flight(group["pi"].tolist(), size, rng)
-        group["pi"] = land(pi, size) if first["blocks"] == 1 else pi
+        pi = group["pi"].tolist()
+        if first["blocks"] == 1:
+            waiting = [i for i, p in enumerate(pi) if EPS < p < 1 - EPS][-LANDING:]
+            held = [pi[i] for i in waiting]
+            for i in waiting:
+                pi[i] = 0.0
+            pi = flight(pi, size, rng)
+            for i, p in zip(waiting, held, strict=True):
+                pi[i] = p
+            pi = land(pi, size)
+        else:
+            pi = flight(pi, size, rng)
+        group["pi"] = pi
         return group
 
     return run
