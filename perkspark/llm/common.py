@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 #: Words are maximal runs of characters outside these (bytes.split() cuts at the same ones).
@@ -41,7 +42,7 @@ def crc_remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
-@pandas_udf("long")
+@pandas_udf(T.LongType())
 def word_count(text: pd.Series) -> pd.Series:
     """Words of binary texts; 0 for null."""
     return pd.Series([0 if t is None else len(t.split()) for t in text], dtype="int64")

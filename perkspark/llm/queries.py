@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from . import op4_repetition
 from .op1_cube_mixing import op1_cube_mixing
+from .op2_quality_cnn import op2_quality_cnn
+from .op3_toxicity_ftrl import op3_toxicity_ftrl
 from .op4_repetition import op4_repetition_rules
 from .op7_packing import op7_vector_packing
 
 QUERIES = {
     "op1_cube_mixing": op1_cube_mixing,
+    "op2_quality_cnn": op2_quality_cnn,
+    "op3_toxicity_ftrl": op3_toxicity_ftrl,
     "op4_repetition_rules": op4_repetition_rules,
     "op7_vector_packing": op7_vector_packing,
 }
