@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from . import op4_repetition
+from . import op4_repetition, op5_tensored_minhash as op5
 from .op1_cube_mixing import op1_cube_mixing
 from .op2_quality_cnn import op2_quality_cnn
 from .op3_toxicity_ftrl import op3_toxicity_ftrl
 from .op4_repetition import op4_repetition_rules
+from .op5_tensored_minhash import op5_tensored_minhash
 from .op7_packing import op7_vector_packing
+from .op9_secrets import op9_secrets_cnn
 
 QUERIES = {
     "op1_cube_mixing": op1_cube_mixing,
     "op2_quality_cnn": op2_quality_cnn,
     "op3_toxicity_ftrl": op3_toxicity_ftrl,
     "op4_repetition_rules": op4_repetition_rules,
+    "op5_tensored_minhash": op5_tensored_minhash,
     "op7_vector_packing": op7_vector_packing,
+    "op9_secrets_cnn": op9_secrets_cnn,
 }
 
 ORACLE_SQL = {
+    "op5_tensored_minhash": op5.ORACLE_SQL,
     "op4_repetition_rules": op4_repetition.ORACLE_SQL,
 }
