@@ -9,6 +9,7 @@ from .op3_toxicity_ftrl import op3_toxicity_ftrl
 from .op4_repetition import op4_repetition_rules
 from .op5_tensored_minhash import op5_tensored_minhash
 from .op7_packing import op7_vector_packing
+from .op8_suffix_tree import op8_suffix_tree
 from .op9_secrets import op9_secrets_cnn
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_repetition_rules": op4_repetition_rules,
     "op5_tensored_minhash": op5_tensored_minhash,
     "op7_vector_packing": op7_vector_packing,
+    "op8_suffix_tree": op8_suffix_tree,
     "op9_secrets_cnn": op9_secrets_cnn,
 }
 
