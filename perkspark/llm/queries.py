@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import op4_repetition, op5_tensored_minhash as op5
+from . import op4_repetition
+from . import op5_tensored_minhash as op5
+from . import op6_voronoi_knn as op6
 from .op1_cube_mixing import op1_cube_mixing
 from .op2_quality_cnn import op2_quality_cnn
 from .op3_toxicity_ftrl import op3_toxicity_ftrl
 from .op4_repetition import op4_repetition_rules
 from .op5_tensored_minhash import op5_tensored_minhash
+from .op6_voronoi_knn import op6_voronoi_knn
 from .op7_packing import op7_vector_packing
 from .op8_suffix_tree import op8_suffix_tree
 from .op9_secrets import op9_secrets_cnn
@@ -18,6 +21,7 @@ QUERIES = {
     "op3_toxicity_ftrl": op3_toxicity_ftrl,
     "op4_repetition_rules": op4_repetition_rules,
     "op5_tensored_minhash": op5_tensored_minhash,
+    "op6_voronoi_knn": op6_voronoi_knn,
     "op7_vector_packing": op7_vector_packing,
     "op8_suffix_tree": op8_suffix_tree,
     "op9_secrets_cnn": op9_secrets_cnn,
@@ -25,5 +29,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op5_tensored_minhash": op5.ORACLE_SQL,
+    "op6_voronoi_knn": op6.ORACLE_SQL,
     "op4_repetition_rules": op4_repetition.ORACLE_SQL,
 }
