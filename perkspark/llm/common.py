@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,20 +24,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the folder of ``spark.checkpoint.dir``.
-
-    Where no folder is set (a local session, as in tests) a temporary one is.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one where none is set (a local session, as in tests)."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir")
         if shared is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="perkspark-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once; Spark removes the files when nothing refers to them any more."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, for what is too large for uncompressed rows.
+
+    The tables stay until the folder is cleared, since the result reads them.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def crc_remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -23,7 +23,6 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, checkpointed, crc_remainder, table, word_hashes
+from .common import byte_chunks, crc_remainder, table, word_hashes, written
 
 FOLDS = 10
 SPLIT_BYTES = 24 << 20
@@ -303,23 +302,14 @@ def _score(tree: SuffixTree, n_tokens: int, n_words: int):
     return run
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared checkpoint folder (columns compress better there than rows)."""
-    spark = df.sparkSession
-    root = spark.sparkContext.getCheckpointDir()
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def suffix_tree_scores(docs: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """One row per document: the columns of ``SCORES``."""
     rows = docs.select("doc_id", "text").withColumn("held_out", crc_remainder(F.col("doc_id"), FOLDS) == 0)
-    size = checkpointed(rows.agg(F.sum(F.octet_length("text")).alias("b"))).first()["b"] or 0
+    size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     splits = max(1, -(-size // split_bytes))
     dealt = rows.withColumn("split", F.pmod(F.xxhash64("doc_id"), F.lit(splits)))
-    listed = _written(dealt.groupBy("split").applyInArrow(_split_counts, "split long, h long, c long"), "words")
-    total = _written(listed.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 0"), "counts")
+    listed = written(dealt.groupBy("split").applyInArrow(_split_counts, "split long, h long, c long"), "words")
+    total = written(listed.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 0"), "counts")
     n_tokens, n_words = total.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     frequent = total.filter((F.col("c") >= max(2.0, JOINT_SHARE * n_tokens)) | (F.col("h") == END)).toPandas().sort_values("h")
     symbols = Symbols(frequent["h"].to_numpy(np.int64))

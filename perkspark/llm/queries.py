@@ -5,6 +5,8 @@ from __future__ import annotations
 from . import op4_repetition
 from . import op5_tensored_minhash as op5
 from . import op6_voronoi_knn as op6
+from .op10_license_rules import ORACLE_SQL as LICENSE_SQL
+from .op10_license_rules import op10_license_rules
 from .op1_cube_mixing import op1_cube_mixing
 from .op2_quality_cnn import op2_quality_cnn
 from .op3_toxicity_ftrl import op3_toxicity_ftrl
@@ -25,10 +27,12 @@ QUERIES = {
     "op7_vector_packing": op7_vector_packing,
     "op8_suffix_tree": op8_suffix_tree,
     "op9_secrets_cnn": op9_secrets_cnn,
+    "op10_license_rules": op10_license_rules,
 }
 
 ORACLE_SQL = {
     "op5_tensored_minhash": op5.ORACLE_SQL,
     "op6_voronoi_knn": op6.ORACLE_SQL,
     "op4_repetition_rules": op4_repetition.ORACLE_SQL,
+    "op10_license_rules": LICENSE_SQL,
 }
