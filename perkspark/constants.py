@@ -12,7 +12,8 @@ EVENT_TRANSACTION = "transaction"
 OFFER_EVENTS = (EVENT_RECEIVED, EVENT_VIEWED, EVENT_COMPLETED)
 
 # --- fixed values: marketing channels, in the order the programme lists them
-CHANNELS = ("web", "email", "mobile", "social")
+#: Column of a channel matrix for offers whose channel text is empty.
+UNNAMED_CHANNEL = "unnamed"
 
 # --- fixed values: offer types ----------------------------------------------
 OFFER_TYPES = ("bogo", "discount", "informational")

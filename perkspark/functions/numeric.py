@@ -1,9 +1,8 @@
 """Numeric helpers with engine-independent results.
 
 Spark's ``round`` on a double rounds HALF_UP on the double's shortest decimal
-form.  Means of many doubles depend on summation order, so where a mean is
-reported at two decimals it is computed over decimals, which is exact, and
-only the rounded result becomes a double again.
+form.  Sums of many doubles depend on summation order; ``exact_sum`` and
+``exact_mean`` avoid that without rounding a value or failing on one.
 """
 
 from __future__ import annotations
@@ -12,18 +11,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def round2(c: Column | str) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 2)
+def _exact_part(col: Column) -> Column:
+    """``col`` as a decimal where that loses nothing, else null."""
+    number = col.cast("double")
+    exact = number.try_cast("decimal(24,9)")
+    return F.when(exact.cast("double") == number, exact)
 
 
-def exact_mean(c: Column | str, scale: int = 2, digits: int = 2) -> Column:
-    """Mean of ``c`` held at ``scale`` decimals, rounded HALF_UP to ``digits``.
+def exact_sum(c: Column | str) -> Column:
+    """Sum of doubles; null without a value.
 
-    ``avg`` over ``decimal(28, scale)`` keeps the whole sum exact, so the
-    result does not depend on how rows reach the aggregate.
+    Values that nine decimals hold exactly are summed as decimals, so that the
+    order of rows does not matter; all others (huge or finer ones, infinities)
+    are added as the doubles they are.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(F.avg(col.cast(f"decimal(28,{scale})")), digits).cast("double")
+    exact = _exact_part(col)
+    rest = F.sum(F.when(exact.isNull(), col.cast("double")))
+    whole = F.sum(exact).cast("double")
+    return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
+
+
+def exact_mean(c: Column | str, digits: int = 2) -> Column:
+    """Mean of doubles by ``exact_sum``, rounded HALF_UP to ``digits``."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.round(F.try_divide(exact_sum(col), F.count(col)), digits)
 
 
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:

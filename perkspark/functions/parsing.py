@@ -25,20 +25,16 @@ CHANNEL_STRIP_PATTERN = r"""[\[\]'"]"""
 CHANNEL_SPLIT_PATTERN = r",\s*"
 
 
-def extract_or_null(text: Column | str, pattern: str) -> Column:
-    """First capture group of ``pattern``, null (not '') when absent."""
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-
-
 def channels_array(text: Column | str) -> Column:
-    """``"['web', 'email']"`` -> ``["web", "email"]``; empty items removed.
+    """``"['web', 'email']"`` -> ``["web", "email"]``.
 
-    Works for single or double quotes and with or without a blank after
-    the comma; ``''`` and ``'[]'`` give an empty array, null stays null.
+    Works for single or double quotes and with or without a blank after the
+    comma.  ``''`` and ``'[]'`` hold one empty name, so that an offer without
+    channels stays in the completion metrics; the channel ranking drops empty
+    names itself.  Null stays null.
     """
     stripped = F.regexp_replace(text, CHANNEL_STRIP_PATTERN, "")
-    items = F.transform(F.split(stripped, CHANNEL_SPLIT_PATTERN), F.trim)
-    return F.filter(items, lambda x: F.length(x) > 0)
+    return F.transform(F.split(stripped, CHANNEL_SPLIT_PATTERN), F.trim)
 
 
 def offer_id_text(event: Column, value: Column) -> Column:
@@ -66,22 +62,3 @@ def non_empty(text: Column | str) -> Column:
 def number_or_null(text: Column | str) -> Column:
     """Captured number text as double; '' or a non-number such as '1.2.3' -> null."""
     return non_empty(text).try_cast("double")
-
-
-def offer_id_of(event: Column, value: Column) -> Column:
-    return (
-        F.when(event.isin(EVENT_RECEIVED, EVENT_VIEWED), extract_or_null(value, OFFER_ID_SPACE_PATTERN))
-        .when(event == EVENT_COMPLETED, extract_or_null(value, OFFER_ID_UNDERSCORE_PATTERN))
-        .otherwise(F.lit(None).cast("string"))
-    )
-
-
-def transaction_amount_of(event: Column, value: Column, strict_quotes: bool = False) -> Column:
-    pattern = AMOUNT_PATTERN_STRICT if strict_quotes else AMOUNT_PATTERN
-    # try_cast: the pattern also matches '1.2.3', which is no number
-    return F.when(event == EVENT_TRANSACTION, extract_or_null(value, pattern).try_cast("double"))
-
-
-def reward_amount_of(event: Column, value: Column, strict_quotes: bool = False) -> Column:
-    pattern = REWARD_PATTERN_STRICT if strict_quotes else REWARD_PATTERN
-    return F.when(event == EVENT_COMPLETED, extract_or_null(value, pattern).try_cast("double"))

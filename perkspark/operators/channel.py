@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from perkspark import schemas
 from perkspark.constants import EVENT_TRANSACTION
-from perkspark.functions.numeric import pct
+from perkspark.functions.numeric import exact_sum, pct
 from perkspark.operators.interval_join import interval_sums, range_join
 from perkspark.plans.broadcast import join_dimension
 
@@ -134,12 +134,12 @@ def channel_revenue(
     channels = offer_channels(offers_enriched)
     # Sums and distinct offers: pairs reduced to one row per offer before the
     # channel fan-out (sums are additive; null stays null when no amount).
-    per_offer = pairs.groupBy("offer_id").agg(F.sum("value_sum").alias("value_sum"))
+    per_offer = pairs.groupBy("offer_id").agg(exact_sum("value_sum").alias("value_sum"))
     money = (
         join_dimension(per_offer, channels, "offer_id", small=dim_small)
         .groupBy("channel")
         .agg(
-            F.sum("value_sum").alias("total_revenue_generated"),
+            exact_sum("value_sum").alias("total_revenue_generated"),
             F.count_distinct("offer_id").alias("offers_with_revenue"),
         )
     )

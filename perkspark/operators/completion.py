@@ -1,26 +1,20 @@
 """Time from receipt to completion (question 3), by offer type and channel.
 
-Each received or completed journey is fanned out to the offer's channels
-(2-4 rows) through a broadcast of the small exploded offer dimension.  The
-timing statistics (mean, approximate median, min, max, sample standard
-deviation, counts) all have mergeable partial buffers, so the dozen output
-groups are built by partial aggregation on every task and never gather raw
-rows in one place; the distinct member counts come from one row per
-(type, channel, member).
+Journeys are first counted per (offer, hours), which is bounded by the offers
+and the clock, and only these counts are fanned out to the offer's channels.
+Mean, deviation, extremes and the exact discrete median all follow from the
+counts per (type, channel, hours).  Distinct members come from one row per
+(type, channel list, member), fanned out after that reduction.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perkspark import schemas
 from perkspark.plans.broadcast import join_dimension
 
-# Accuracy of the approximate median (Spark's default): exact for groups
-# up to roughly this many rows, bounded memory beyond.
-MEDIAN_ACCURACY = 10000
-
 
 def type_channels(offers_enriched: DataFrame) -> DataFrame:
     """(offer_id, offer_type, channel): the exploded offer dimension."""
@@ -38,38 +32,47 @@ def offer_completion_metrics(
 ) -> DataFrame:
     """Contract ``OFFER_COMPLETION_METRICS``.
 
-    Journeys that were received or completed are fanned out to the offer's
-    channels once; one aggregate per (type, channel) takes the completion
-    statistics over completed rows and the reception counts over received
-    rows (conditional aggregates), and a second one counts distinct members
-    from one row per (type, channel, member).  Pairs need at
-    least one completion and one receipt -- the programme's inner join of
-    the two sides -- so informational offers without completions have no row.
+    Pairs need at least one completion and one receipt -- the programme's
+    inner join of the two sides -- so informational offers without completions
+    have no row.
     """
-    journeys = interactions.filter(F.col("is_completed") | F.col("is_received")).select(
-        "offer_id", "customer_id", "time_to_complete", "is_completed", "is_received"
-    )
-    fanned = join_dimension(journeys, type_channels(offers_enriched), "offer_id", small=dim_small)
     done, got = F.col("is_completed"), F.col("is_received")
-    t = F.when(done, F.col("time_to_complete"))
+    journeys = interactions.filter(done | got).select(
+        "offer_id", "customer_id", F.when(done, F.col("time_to_complete")).alias("t"), "is_completed", "is_received"
+    )
     keys = ["offer_type", "channel"]
-    timing = fanned.groupBy(*keys).agg(
-        F.avg(t).alias("avg_t"),
-        F.percentile_approx(t, 0.5, MEDIAN_ACCURACY).alias("med_t"),
-        F.min(t).alias("min_t"),
-        F.max(t).alias("max_t"),
-        F.stddev_samp(t).alias("sd_t"),
-        F.count_if(done).alias("total_completions"),
-        F.count_if(got).alias("total_received"),
+    per_offer = journeys.groupBy("offer_id", "t").agg(F.count_if(done).alias("n_done"), F.count_if(got).alias("n_got"))
+    hours = (
+        join_dimension(per_offer, type_channels(offers_enriched), "offer_id", small=dim_small)
+        .groupBy(*keys, "t")
+        .agg(F.sum("n_done").alias("n_done"), F.sum("n_got").alias("n_got"))
+        .withColumn("w", F.when(F.col("t").isNotNull(), F.col("n_done")).otherwise(0))
+    )
+    # a group has at most a row for each hour of the clock
+    group = Window.partitionBy(*keys)
+    t, w = F.col("t"), F.col("w")
+    hours = (
+        hours.withColumn("timed", F.sum("w").over(group))
+        .withColumn("mean", F.try_divide(F.sum(w * t).over(group), F.col("timed")))
+        .withColumn("reached", F.sum("w").over(group.orderBy(F.col("t").asc_nulls_last())))
+    )
+    timing = hours.groupBy(*keys).agg(
+        F.first("mean").alias("avg_t"),
+        F.min(F.when(2 * F.col("reached") >= F.col("timed"), t)).alias("med_t"),
+        F.min(F.when(w > 0, t)).alias("min_t"),
+        F.max(F.when(w > 0, t)).alias("max_t"),
+        F.sqrt(F.try_divide(F.sum(w * (t - F.col("mean")) * (t - F.col("mean"))), F.sum("w") - 1)).alias("sd_t"),
+        F.sum("n_done").alias("total_completions"),
+        F.sum("n_got").alias("total_received"),
     )
-    # Distinct members per (type, channel): one row per (type, channel,
-    # member) first, then counts.  Unlike two count-distincts in one
-    # aggregate (an Expand that triples every row and shuffles both distinct
-    # sets), each member crosses the shuffle once per pair.
+    dims = offers_enriched.select("offer_id", "offer_type", "channels_list")
     reach = (
-        fanned.filter(F.col("customer_id").isNotNull())
-        .groupBy(*keys, "customer_id")
+        join_dimension(journeys.filter(F.col("customer_id").isNotNull()), dims, "offer_id", small=dim_small)
+        .groupBy("offer_type", "channels_list", "customer_id")
         .agg(F.bool_or(done).alias("any_done"), F.bool_or(got).alias("any_got"))
+        .select("offer_type", F.explode("channels_list").alias("channel"), "customer_id", "any_done", "any_got")
+        .groupBy(*keys, "customer_id")
+        .agg(F.bool_or("any_done").alias("any_done"), F.bool_or("any_got").alias("any_got"))
         .groupBy(*[F.col(k).alias(f"_r_{k}") for k in keys])
         .agg(F.count_if("any_done").alias("unique_customers"), F.count_if("any_got").alias("total_customers_targeted"))
     )
@@ -113,17 +116,32 @@ def completion_avg_overall(
     )
 
 
+def _per_offer_times(interactions: DataFrame) -> DataFrame:
+    """Completed journeys reduced to one row per offer: hours in all, journeys with hours, journeys."""
+    return (
+        interactions.filter(F.col("is_completed"))
+        .groupBy("offer_id")
+        .agg(
+            F.sum("time_to_complete").alias("hours"),
+            F.count("time_to_complete").alias("timed"),
+            F.count(F.lit(1)).alias("journeys"),
+        )
+    )
+
+
+def _averages(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(
+        F.try_divide(F.sum("hours"), F.sum("timed")).alias("avg_hours"), F.sum("journeys").alias("completions")
+    )
+
+
 def completion_avg_by(
     interactions: DataFrame, offers_enriched: DataFrame, key: str, dim_small: bool | None = None
 ) -> DataFrame:
     """(key, avg_hours, completions) over the channel-fanned completed rows,
     ordered by the mean (a handful of rows: types or channels)."""
-    return (
-        completion_analysis(interactions, offers_enriched, dim_small)
-        .groupBy(key)
-        .agg(F.avg("time_to_complete").alias("avg_hours"), F.count(F.lit(1)).alias("completions"))
-        .orderBy("avg_hours", key)
-    )
+    fanned = join_dimension(_per_offer_times(interactions), type_channels(offers_enriched), "offer_id", small=dim_small)
+    return _averages(fanned, key).orderBy("avg_hours", key)
 
 
 def completion_avg_by_type_unfanned(
@@ -131,10 +149,5 @@ def completion_avg_by_type_unfanned(
 ) -> DataFrame:
     """(offer_type, avg_hours, completions) with each completed journey counted
     once, whatever the number of channels of its offer."""
-    completed = interactions.filter(F.col("is_completed")).select("offer_id", "time_to_complete")
     types = offers_enriched.select("offer_id", "offer_type")
-    return (
-        join_dimension(completed, types, "offer_id", small=dim_small)
-        .groupBy("offer_type")
-        .agg(F.avg("time_to_complete").alias("avg_hours"), F.count(F.lit(1)).alias("completions"))
-    )
+    return _averages(join_dimension(_per_offer_times(interactions), types, "offer_id", small=dim_small), "offer_type")

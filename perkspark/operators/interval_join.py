@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_AMOUNT_TYPE = "decimal(38,9)"  # exact sums, independent of row order
+from perkspark.functions.numeric import exact_sum
 
 
 def range_join(
@@ -100,21 +100,21 @@ def interval_sums(
     partial aggregation, so a hot key shrinks to its distinct positions
     (bounded by the clock domain) before any join; then ``range_join`` on
     (key, bin) compares each interval with at most ``bin_width`` positions
-    per bin it spans.  Sums are kept as decimals until the end (exact,
-    independent of row order).
+    per bin it spans.  Sums do not depend on the order of rows and fail on no
+    value (``exact_sum``).
     """
     pos, n, nn, s = "_pos", "_n", "_nn", "_s"
     per_pos = points.groupBy(key, F.col(point_col).alias(pos)).agg(
         F.count(F.lit(1)).alias(n),
         F.count(value_col).alias(nn),
-        F.sum(F.col(value_col).cast(_AMOUNT_TYPE)).alias(s),
+        exact_sum(value_col).alias(s),
     )
     pairs = range_join(per_pos, intervals, key, pos, lo_col, hi_col, bin_width)
     iv_cols = [key] + [c for c in intervals.columns if c != key]
     matched = pairs.groupBy(*iv_cols).agg(
         F.sum(n).alias("matched"),
         F.sum(nn).alias("matched_values"),
-        F.sum(s).cast("double").alias("value_sum"),
+        exact_sum(s).alias("value_sum"),
     )
     if not keep_empty:
         return matched.select(

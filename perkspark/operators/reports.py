@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perkspark.constants import CHANNELS, FLAG_VALID, OFFER_EVENTS, STATUS_COMPLETED, STATUS_NOT_COMPLETED
+from perkspark.constants import FLAG_VALID, OFFER_EVENTS, STATUS_COMPLETED, STATUS_NOT_COMPLETED, UNNAMED_CHANNEL
 from perkspark.functions.numeric import exact_mean
 
 
@@ -82,10 +82,13 @@ def offer_type_insights(offer_completion_metrics: DataFrame) -> DataFrame:
 def offer_channel_matrix(offer_completion_metrics: DataFrame, measure: str) -> DataFrame:
     """offer_type x channel -> ``measure``; absent pairs are null.
 
-    The channel alphabet is fixed, so the pivot needs no extra job to find
-    its values and the schema is stable.
+    Every channel of the metric table is a column, in name order; offers
+    without a channel name are under ``UNNAMED_CHANNEL``.
     """
-    return offer_completion_metrics.groupBy("offer_type").pivot("channel", list(CHANNELS)).agg(F.first(measure))
+    named = offer_completion_metrics.withColumn(
+        "channel", F.when(F.length("channel") > 0, F.col("channel")).otherwise(UNNAMED_CHANNEL)
+    )
+    return named.groupBy("offer_type").pivot("channel").agg(F.first(measure))
 
 
 def best_combinations(offer_completion_metrics: DataFrame, k: int = 5) -> DataFrame:

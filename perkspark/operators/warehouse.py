@@ -126,15 +126,41 @@ def lines_sum_distinct(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def median_price_by_brand(lineitem: DataFrame, part: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Per part brand: approximate median line price (mergeable sketch, no
-    group ever gathered in one task) and line count."""
+def median_price_by_brand(lineitem: DataFrame, part: DataFrame, width: float = 1000.0) -> DataFrame:
+    """Per part brand: exact discrete median line price and line count.
+
+    Lines are counted per (brand, price).  Counts per price range of ``width``
+    tell which range holds a brand's median; only that range's prices are then
+    ranked.  Both steps see at most as many rows a brand as there are ranges,
+    or prices in a range, whatever the number of lines.
+    """
     lines = lineitem.select("l_partkey", "l_extendedprice")
     brands = part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    joined = join_dimension(lines, brands, "l_partkey")
-    return joined.groupBy("p_brand").agg(
-        F.percentile_approx("l_extendedprice", 0.5, accuracy).alias("median_price"),
-        F.count(F.lit(1)).alias("line_count"),
+    counts = (
+        join_dimension(lines, brands, "l_partkey")
+        .groupBy("p_brand", F.col("l_extendedprice").alias("price"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("range", F.floor(F.col("price") / width))
+    )
+    ranges = counts.groupBy("p_brand", "range").agg(F.sum("n").alias("n"))
+    priced = F.when(F.col("range").isNotNull(), F.col("n")).otherwise(0)
+    brand = Window.partitionBy("p_brand")
+    ranges = (
+        ranges.withColumn("lines", F.sum("n").over(brand))
+        .withColumn("priced", F.sum(priced).over(brand))
+        .withColumn("reached", F.sum(priced).over(brand.orderBy(F.col("range").asc_nulls_last())))
+    )
+    # the first range in which half of the priced lines are reached; the null range for brands without a price
+    here = (2 * F.col("reached") >= F.col("priced")) & ((2 * (F.col("reached") - F.col("n")) < F.col("priced")) | F.col("range").isNull())
+    holding = ranges.filter(here & (F.col("range").isNotNull() | (F.col("priced") == 0))).select(
+        F.col("p_brand").alias("_brand"), F.col("range").alias("_range"), (F.col("reached") - F.col("n")).alias("before"), "priced", "lines"
+    )
+    inside = counts.join(holding, F.col("p_brand").eqNullSafe(F.col("_brand")) & F.col("range").eqNullSafe(F.col("_range")))
+    reached = F.col("before") + F.sum("n").over(brand.orderBy("price"))
+    return (
+        inside.withColumn("reached", reached)
+        .groupBy("p_brand")
+        .agg(F.min(F.when(2 * F.col("reached") >= F.col("priced"), F.col("price"))).alias("median_price"), F.first("lines").alias("line_count"))
     )
 
 

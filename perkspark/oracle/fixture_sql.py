@@ -8,6 +8,7 @@ oracle's DuckDB connection.  The raw loyalty events are named
 
 from __future__ import annotations
 
+# --- fixed values: channel lists and printed dictionaries, as in the programme ---
 RAW_CTES = {
     "customers": """
 SELECT 'c' || CAST(c_custkey AS VARCHAR) AS customer_id,
@@ -27,16 +28,16 @@ SELECT 'o' || CAST(p_partkey AS VARCHAR) AS offer_id,
        CAST(CASE WHEN p_partkey % 5 = 4 THEN 0 WHEN p_partkey % 5 <= 1 THEN (p_partkey % 4 + 1) * 5
                  ELSE p_partkey % 4 + 2 END AS INTEGER) AS reward,
        CAST(p_partkey % 8 + 3 AS INTEGER) AS duration,
-       replace(CASE p_partkey % 4 WHEN 0 THEN '[~email~, ~mobile~, ~social~]'
-                                  WHEN 1 THEN '[~web~, ~email~, ~mobile~, ~social~]'
-                                  WHEN 2 THEN '[~web~, ~email~]'
-                                  ELSE '[~web~, ~email~, ~mobile~]' END, '~', chr(39)) AS channels
+       CASE p_partkey % 4 WHEN 0 THEN '[''email'', ''mobile'', ''social'']'
+                          WHEN 1 THEN '[''web'', ''email'', ''mobile'', ''social'']'
+                          WHEN 2 THEN '[''web'', ''email'']'
+                          ELSE '[''web'', ''email'', ''mobile'']' END AS channels
 FROM part""",
     "loyalty_events_k": """
-SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS k,
+SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
        CASE WHEN event_type = 'signup' THEN 'offer received'
             WHEN event_type IN ('view', 'error') THEN 'offer viewed'
-            WHEN event_type = 'click' AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 % 5 = 4
+            WHEN event_type = 'click' AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 = 4
               THEN 'offer viewed'
             WHEN event_type = 'click' THEN 'offer completed'
             WHEN event_type = 'purchase' THEN 'transaction'
@@ -47,12 +48,12 @@ SELECT 'c' || CAST(user_id AS VARCHAR) AS customer_id,
        ev AS event,
        CASE WHEN event_type = 'error' THEN '{}'
             WHEN ev IN ('offer received', 'offer viewed')
-              THEN replace('{~offer id~: ~o', '~', chr(39)) || CAST(k AS VARCHAR) || chr(39) || '}'
+              THEN '{''offer id'': ''o' || CAST(k AS VARCHAR) || '''}'
             WHEN ev = 'offer completed'
-              THEN replace('{~offer_id~: ~o', '~', chr(39)) || CAST(k AS VARCHAR)
-                   || replace('~, ~reward~: ', '~', chr(39)) || CAST(k % 4 + 2 AS VARCHAR) || '}'
+              THEN '{''offer_id'': ''o' || CAST(k AS VARCHAR)
+                   || ''', ''reward'': ' || CAST(k % 4 + 2 AS VARCHAR) || '}'
             WHEN event_id % 2 = 0 THEN '{"amount": ' || CAST(CAST(value AS DECIMAL(12, 2)) AS VARCHAR) || '}'
-            ELSE replace('{~amount~: ', '~', chr(39)) || CAST(CAST(value AS DECIMAL(12, 2)) AS VARCHAR) || '}'
+            ELSE '{''amount'': ' || CAST(CAST(value AS DECIMAL(12, 2)) AS VARCHAR) || '}'
        END AS value,
        CAST(date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', ts)
             + CASE WHEN ev = 'offer viewed' THEN 24 ELSE 0 END

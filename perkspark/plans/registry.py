@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perkspark.functions.numeric import exact_sum
 from perkspark.operators import age, channel, completion, reports, warehouse
 from perkspark.plans.pipeline import LoyaltyPipeline
 from perkspark.sources.tables import read_table
@@ -60,7 +61,7 @@ def _events_value_extract(spark, sf):
         F.count("offer_id").alias("with_offer_id"),
         F.count_if(F.col("offer_id").isNull() & F.col("event_type").startswith("offer ")).alias("unparsed_offer_events"),
         F.count("transaction_amount").alias("with_amount"),
-        F.round(F.sum(F.col("transaction_amount").cast("decimal(28,2)")), 2).cast("double").alias("amount_sum"),
+        F.round(exact_sum("transaction_amount"), 2).alias("amount_sum"),
         F.count("reward_amount").alias("with_reward"),
         F.count_distinct("event_id").alias("distinct_event_ids"),
         F.min("event_date").alias("first_date"),

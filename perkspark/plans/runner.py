@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkspark.constants import FLAG_VALID, LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW
+from perkspark.constants import FLAG_VALID, LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW, OFFER_EVENTS
 from perkspark.operators import views
 from perkspark.plans.pipeline import LoyaltyPipeline
 
@@ -148,8 +148,15 @@ class LayerRunner:
                 readable[key] = self.spark.table(full)
             except Exception as exc:  # reported, not raised
                 failed[key] = _first_line(exc)
-        cc = self.spark.table(self.table_name(LAYER_CLEANSED, "customers_cleansed"))
-        readable[("quality", "customers_not_valid")] = cc.filter(F.col("data_quality_flag") != FLAG_VALID)
+        quality = {
+            "customers_not_valid": ("customers_cleansed", F.col("data_quality_flag") != FLAG_VALID),
+            "offer_events_unparsed": ("events_processed", F.col("event_type").isin(*OFFER_EVENTS) & F.col("offer_id").isNull()),
+        }
+        for name, (source, condition) in quality.items():
+            try:
+                readable[("quality", name)] = self.spark.table(self.table_name(LAYER_CLEANSED, source)).filter(condition)
+            except Exception as exc:
+                failed[("quality", name)] = _first_line(exc)
         try:
             counts = {(r.layer, r.table_name): r.row_count for r in _count_rows(readable).collect()}
         except Exception:
@@ -159,13 +166,13 @@ class LayerRunner:
                     counts[key] = df.count()
                 except Exception as exc:
                     failed[key] = _first_line(exc)
-        order = [*self.written, ("quality", "customers_not_valid")]
+        order = [*self.written, *(("quality", name) for name in quality)]
         rows = [(layer, name, counts.get((layer, name)), failed.get((layer, name))) for layer, name in order]
         return self.spark.createDataFrame(rows, schema)
 
 
 def _first_line(exc: Exception) -> str:
-    return str(exc).splitlines()[0][:200]
+    return (str(exc).splitlines() or [type(exc).__name__])[0]
 
 
 def _count_rows(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:

@@ -1,17 +1,19 @@
-"""CSV sources of the programme's raw files, always with an explicit schema.
+"""CSV sources of the programme's raw files, typed by an explicit schema.
 
 The files are RFC 4180 CSV: a quote inside a quoted field is doubled
 (``"{""amount"": 1.5}"``), so the reader sets ``escape='"'`` -- Spark's
 default escape character is a backslash, which would keep the quotes.
-Malformed rows become nulls (``PERMISSIVE``) instead of failing the job.
+Columns are found by the header's names; cells that do not fit become nulls and
+are counted by ``bad_cells``.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from perkspark import schemas
 
@@ -19,15 +21,48 @@ RAW_FILES = {"customers": "customers.csv", "offers": "offers.csv", "events": "ev
 _RAW_SCHEMAS = {"customers": schemas.RAW_CUSTOMERS, "offers": schemas.RAW_OFFERS, "events": schemas.RAW_EVENTS}
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
+def _as_text(spark: SparkSession, path: str, schema: StructType, multiline: bool) -> DataFrame:
+    """The file's columns by the names of its header, as text.
+
+    Every file of a folder must have the first one's header, or the read fails.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": multiline}
+    names = spark.read.options(**options).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    text = StructType([StructField(n, StringType()) for n in names])
+    return spark.read.schema(text).options(**options, enforceSchema=False).csv(path)
+
+
+def _typed(field: StructField) -> Column:
+    """The field's cell in its type; ``4.0`` is the integer 4, what does not fit is null."""
+    cell = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, IntegerType):
+        number = F.trim(cell).try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    if isinstance(field.dataType, StringType):
+        return cell
+    return F.trim(cell).try_cast(field.dataType)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
+    """Columns of ``schema``, found by name, whatever their order in the file.
+
+    A cell that does not fit its type is null; ``bad_cells`` counts these.
+    ``multiline`` reads fields with line breaks, and then each file in one task.
+    """
+    rows = _as_text(spark, path, schema, multiline)
+    return rows.select(*(_typed(f).alias(f.name) for f in schema.fields))
+
+
+def bad_cells(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
+    """(column, bad) for each column of ``schema``: cells with text that does not fit the type, from one scan."""
+    rows = _as_text(spark, path, schema, multiline)
+    counts = rows.agg(
+        *(F.count_if(F.col(f"`{f.name}`").isNotNull() & _typed(f).isNull()).alias(f.name) for f in schema.fields)
     )
+    return counts.unpivot([], [f.name for f in schema.fields], "column", "bad")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

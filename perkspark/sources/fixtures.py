@@ -25,8 +25,6 @@ FIXTURE_PERIOD_START = "2024-01-01 00:00:00"
 # Membership durations of the fixture are measured on this date.
 FIXTURE_AS_OF = "2024-02-01"
 
-_Q = "'"  # the programme prints dictionaries with single quotes
-
 
 def customers_from_warehouse(customer: DataFrame) -> DataFrame:
     n = F.col("c_custkey")
@@ -46,16 +44,12 @@ def customers_from_warehouse(customer: DataFrame) -> DataFrame:
     return schemas.enforce(df, schemas.RAW_CUSTOMERS)
 
 
-def _quoted_list(*items: str) -> str:
-    return "[" + ", ".join(f"{_Q}{i}{_Q}" for i in items) + "]"
-
-
 # --- fixed values: channel lists of the generated offers, by key % 4 --------
 CHANNEL_TEXT_BY_KEY_MOD4 = (
-    _quoted_list("email", "mobile", "social"),
-    _quoted_list("web", "email", "mobile", "social"),
-    _quoted_list("web", "email"),
-    _quoted_list("web", "email", "mobile"),
+    "['email', 'mobile', 'social']",
+    "['web', 'email', 'mobile', 'social']",
+    "['web', 'email']",
+    "['web', 'email', 'mobile']",
 )
 
 
@@ -82,11 +76,11 @@ def offers_from_warehouse(part: DataFrame) -> DataFrame:
 
 def events_from_warehouse(events: DataFrame) -> DataFrame:
     et = F.col("event_type")
-    # Offer referenced by a warehouse event: ``$.k`` of ``props`` modulo 10.
+    # Offer referenced by a warehouse event: ``$.k`` of ``props``.
     # Computed in its own projection: the JSON parse then runs once per row
     # (Catalyst does not inline a non-trivial expression used several times).
     keyed = events.select(
-        "event_id", "ts", "user_id", "value", et, (F.get_json_object("props", "$.k").try_cast("int") % 10).alias("k")
+        "event_id", "ts", "user_id", "value", et, F.get_json_object("props", "$.k").try_cast("int").alias("k")
     )
     k = F.col("k")
     named = keyed.withColumn(
@@ -142,8 +136,3 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_from_warehouse(
         read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     )
-
-
-def load_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(customers, offers, events) raw relations of one warehouse folder."""
-    return raw_customers(spark, sf_dir), raw_offers(spark, sf_dir), raw_events(spark, sf_dir)

