@@ -1,0 +1,18 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_docs import SCHEMA, docs_of, messy_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def messy(spark):
+    return docs_of(spark, messy_rows())
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
