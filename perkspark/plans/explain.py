@@ -28,14 +28,16 @@ def physical_plan(df: DataFrame) -> str:
 
 def summarize(df: DataFrame) -> dict:
     plan = physical_plan(df)
-    exchanges = re.findall(r"Exchange (hashpartitioning\([^)]*\)|SinglePartition|rangepartitioning\([^)]*\))", plan)
+    # a reused exchange prints the one it reuses on its own line
+    own = "\n".join(line for line in plan.splitlines() if "ReusedExchange" not in line)
+    exchanges = re.findall(r"Exchange (hashpartitioning\([^)]*\)|SinglePartition|rangepartitioning\([^)]*\))", own)
     scans = re.findall(
         r"FileScan parquet \[[^\]]*\].*?PushedFilters: \[([^\]]*)\].*?ReadSchema: struct<([^>]*)>", plan
     )
     return {
         "shuffles": [re.sub(r"#\d+L?", "", e) for e in exchanges],
         "reused_shuffles": plan.count("ReusedExchange"),
-        "broadcasts": plan.count("BroadcastExchange"),
+        "broadcasts": own.count("BroadcastExchange"),
         "sort_merge_joins": plan.count("SortMergeJoin"),
         "broadcast_hash_joins": plan.count("BroadcastHashJoin"),
         "windows": plan.count("Window ["),

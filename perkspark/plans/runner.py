@@ -199,6 +199,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", default=None, help="day membership durations are measured on")
     ap.add_argument("--period-start", default=None, help="timestamp of event hour 0")
     ap.add_argument("--strict-quotes", action="store_true", help="read amounts only from double-quoted keys")
+    ap.add_argument("--buckets", type=int, default=None, help="buckets of the member tables (default: shuffle partitions)")
+    ap.add_argument("--format", default="parquet", help="table format")
+    ap.add_argument("--database-prefix", default="", help="put before the three database names")
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -217,7 +220,8 @@ def main(argv: list[str] | None = None) -> None:
         )
     else:
         pipeline = LoyaltyPipeline.from_warehouse(spark, args.warehouse)
-    LayerRunner(spark, pipeline).run().show(truncate=False)
+    databases = {layer: args.database_prefix + layer for layer in (LAYER_RAW, LAYER_CLEANSED, LAYER_METRICS)}
+    LayerRunner(spark, pipeline, databases, args.format, args.buckets).run().show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -8,9 +8,6 @@ function.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the plans rely on.  AQE re-plans joins from runtime sizes, merges
@@ -78,33 +75,4 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULT_CONF.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    # Timestamps of the loyalty data are wall-clock hours, always UTC here.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        ensure_checkpoint_dir(spark)
-    except Exception:  # sessions without a SparkContext (Spark Connect) keep their own setting
-        pass
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the shared checkpoint folder of the cluster.
-
-    A cluster names it in ``spark.checkpoint.dir``.  Only a local-mode
-    session (tests, the benchmark) without that setting gets a private
-    scratch folder; on a cluster nothing machine-local is ever set, and
-    ``None`` is returned when the setting is missing.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if not configured:
-        if not sc.master.startswith("local"):
-            return None
-        configured = tempfile.mkdtemp(prefix="perkspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return configured
