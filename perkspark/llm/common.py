@@ -24,6 +24,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a batch between Spark and Python, where the session sets no number.
+BATCH_ROWS = "1000"
+BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with small Arrow batches in a session that leaves their size open.
+
+    Spark's own default of 10,000 rows of text would be tens of megabytes several
+    times over in every task.
+    """
+    conf = df.sparkSession.conf
+    if BATCH_ROWS_KEY not in conf.getAll:
+        conf.set(BATCH_ROWS_KEY, BATCH_ROWS)
+    return df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one where none is set (a local session, as in tests)."""
     sc = spark.sparkContext
@@ -88,13 +105,15 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes], cache: dict[bytes, int], limit: int = 400_000) -> np.ndarray:
+def word_hashes(words: list[bytes], cache: dict[bytes, int], limit: int = 200_000) -> np.ndarray:
     """64-bit hashes of words; ``cache`` holds those of frequent ones and is emptied at ``limit``."""
     import xxhash
 
     digest = xxhash.xxh64_intdigest
     if len(cache) > limit:
         cache.clear()
+    if not cache and len(words) == len(set(words)):  # distinct words need no cache
+        return np.fromiter(map(digest, words), dtype=np.uint64, count=len(words))
     for w in set(words).difference(cache):
         cache[w] = digest(w)
     return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))

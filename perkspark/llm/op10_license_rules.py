@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import byte_chunks, table
+from .common import bounded_batches, byte_chunks, table
 
 # Sentences of published licences and notices, by identifier.
 SENTENCES = {
@@ -153,7 +153,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def license_scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_known, sentence_ids (in order), licenses (sorted), matches (licence:first:last sentence)."""
-    return docs.select("doc_id", "text").mapInArrow(_scan, SCHEMA)
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(_scan, SCHEMA)
 
 
 def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, table, word_count
+from .common import bounded_batches, checkpointed, table, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -139,7 +139,7 @@ def cube_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     ``sure`` of the ``times`` are taken whatever the sample.
     """
     text = F.col("text").cast("binary")
-    sized = checkpointed(docs.select("doc_id", "source", word_count(text).alias("size"), F.xxhash64("text").alias("text_hash")))
+    sized = checkpointed(bounded_batches(docs).select("doc_id", "source", word_count(text).alias("size"), F.xxhash64("text").alias("text_hash")))
     sources = source_targets(sized, weights, share, cap)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sure = F.floor(F.col("ratio") + F.lit(EPS))

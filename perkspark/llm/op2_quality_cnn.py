@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, crc_remainder, table
+from .common import bounded_batches, byte_chunks, crc_remainder, table
 from .convnet import ConvNet
 from .training import FOLDS, HELD_OUT, labelled_sample
 
 SAMPLE = 4000
-SAMPLE_BYTES = 1 << 18
+SAMPLE_BYTES = 1 << 16
 FILTERS = 16
 EPOCHS = 14
 HOP = 256
@@ -77,7 +77,7 @@ def score_texts(docs: DataFrame, scorer: Callable[[list[bytes]], np.ndarray], ma
             scores = scorer([t or b"" for t in texts])
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -108,7 +108,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
             out.extend(scorer(block))
         return pd.Series(out, dtype="float64")
 
-    return docs.filter(score(F.col("text").cast("binary")) >= THRESHOLD)
+    return bounded_batches(docs).filter(score(F.col("text").cast("binary")) >= THRESHOLD)
 
 
 def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

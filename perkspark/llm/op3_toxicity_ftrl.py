@@ -28,7 +28,7 @@ from .training import FOLDS, HELD_OUT, labelled_sample
 
 BITS = 24
 SAMPLE = 12000
-SAMPLE_BYTES = 1 << 18
+SAMPLE_BYTES = 1 << 15
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 8.0, 1.0
 #: Features that fewer documents of the sample hold are not learned.

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ASCII_SPACE, CONTINUATION, byte_chunks, mix64, table
+from .common import ASCII_SPACE, CONTINUATION, bounded_batches, byte_chunks, mix64, table
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -131,7 +131,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repetition_rules(docs: DataFrame) -> DataFrame:
     """One row per document: base counts, covered characters by length, verdict."""
-    return docs.select("doc_id", "text").mapInArrow(_measure, SCHEMA)
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(_measure, SCHEMA)
 
 
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from .common import bounded_batches, checkpointed, table
 
 K = 20
 SCALE = 64
@@ -158,7 +158,7 @@ def _solve(k: int, pivots: np.ndarray):
 def top_k(vectors: DataFrame, is_query: str, k: int = K, scale: int = SCALE, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of each query row (SQL condition ``is_query``) against all other ids' rows."""
     spark = vectors.sparkSession
-    whole = integer_vectors(vectors, scale)
+    whole = integer_vectors(bounded_batches(vectors), scale)
     schema = "query_id long, rank int, vec_id long, score long"
     lengths = [r[0] for r in whole.select(F.size("v").alias("n")).filter("n > 0").distinct().orderBy("n").collect()]
     results = []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_chunks, checkpointed, table
+from .common import bounded_batches, byte_chunks, checkpointed, table
 
 CAPACITY = 2048
 MAX_SEGMENTS = 1024
@@ -201,7 +201,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str | None = None, capacity:
         import public_tokenizers
 
         tokenizer_file = public_tokenizers.path("word_bpe_49k.json")
-    pieces = docs.select("doc_id", "text").mapInArrow(_tokenise(tokenizer_file, capacity, END_ID), PIECES)
+    pieces = bounded_batches(docs).select("doc_id", "text").mapInArrow(_tokenise(tokenizer_file, capacity, END_ID), PIECES)
     sized = checkpointed(pieces).withColumns(
         {"tokens": F.col("length"), "segments": F.lit(1).cast("long"), "loss_tokens": F.col("length"), "_h": F.xxhash64("doc_id", "start", "ids_crc32")}
     )
