@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, checkpointed, mix64, table, word_hashes
+from .common import bounded_batches, byte_chunks, checkpointed, mix64, table, word_hashes
 from .components import components
 
 COLLECTIONS = 16
 ROWS = 3
 SEED = 55
+#: Ids of texts to compare that are sent to every task at most (16 bytes each).
+BROADCAST_NODES = 1_000_000
 #: Texts agree when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
@@ -156,7 +158,9 @@ def verified(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, p
     n = sizes.select("node", "n_shingles")
     near = pairs.join(n.withColumnsRenamed({"node": "a", "n_shingles": "na"}), "a").join(n.withColumnsRenamed({"node": "b", "n_shingles": "nb"}), "b")
     near = checkpointed(near.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"))
-    nodes = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
+    nodes = checkpointed(near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct())
+    if nodes.count() <= BROADCAST_NODES:  # else texts are shuffled to their ids
+        nodes = F.broadcast(nodes)
     sets = texts.join(nodes, "doc_id", "left_semi").mapInArrow(_sets(width), "node long, members binary")
     x = sets.withColumnsRenamed({"node": "a", "members": "x"})
     y = sets.withColumnsRenamed({"node": "b", "members": "y"})
@@ -166,14 +170,14 @@ def verified(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, p
 
 def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT, count: int = COLLECTIONS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
-    texts = docs.select("doc_id", "text")
+    texts = bounded_batches(docs).select("doc_id", "text")
     every = checkpointed(texts.mapInArrow(_signatures(width, count, rows), SIGNATURE))
     classes = every.filter(F.col("n_shingles") > 0).groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig"))
     classes = checkpointed(classes.filter(F.col("node").isNotNull()))
 
     rows_of = classes.select("node", "sig").mapInArrow(_table_keys(count), "key long, t short, node long")
-    heads = rows_of.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"), F.count("*").alias("n"))
-    heads = heads.filter(F.col("head") != F.col("last")).select("key", "head", "n")
+    heads = rows_of.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"))
+    heads = heads.filter(F.col("head") != F.col("last"))
     members = checkpointed(rows_of.join(heads, "key"))
     first = checkpointed(members.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
     links = verified(first, classes, texts, width, percent)
@@ -181,7 +185,7 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT, count:
 
     # classes of one key that no chain of links has joined yet
     where = F.coalesce(F.col("component"), F.col("node"))
-    large = members.filter("n > 2").select("key", "t", "node")
+    large = members.join(members.filter("node != head and node != last").select("key").distinct(), "key", "left_semi").select("key", "t", "node")
     placed = large.join(found, "node", "left").select("key", "t", "node", where.alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
     apart = placed.join(split, "key").join(classes.groupBy("node").agg(F.min("sig").alias("sig")), "node")
