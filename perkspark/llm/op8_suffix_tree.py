@@ -23,15 +23,15 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, crc_remainder, table, word_hashes, written
+from .common import bounded_batches, byte_chunks, crc_remainder, table, word_hashes, written
 
 FOLDS = 10
 SPLIT_BYTES = 24 << 20
@@ -52,23 +52,33 @@ def _words(batch_texts: list[bytes | None]) -> list[list[bytes]]:
 
 def _split_counts(group: pa.Table) -> pa.Table:
     """Distinct words of a split with their counts in training documents."""
-    cache: dict[bytes, int] = {}
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    number: dict[bytes, int] = {}
+    counts = np.zeros(0, np.int64)
     trained = 0
     for batch, texts in byte_chunks(group.to_batches(), 4 << 20):
         words = _words(texts)
+        flat = [w for ws in words for w in ws]
+        at = numbered(flat, number, lambda new: range(len(number), len(number) + len(new)))
         train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
-        h = word_hashes([w for ws in words for w in ws], cache, limit=1 << 62).view(np.int64)
         learned = np.repeat(train, [len(ws) for ws in words])
-        value, where = np.unique(h, return_inverse=True)
-        parts.append((value, np.bincount(where.reshape(-1), learned, len(value)).astype(np.int64)))
+        seen = np.bincount(at[learned], minlength=len(number))
+        seen[: len(counts)] += counts
+        counts = seen
         trained += int(train.sum())
-    values = np.concatenate([v for v, _ in parts] + [np.array([END], np.int64)])
-    counts = np.concatenate([c for _, c in parts] + [np.array([trained], np.int64)])
-    value, where = np.unique(values, return_inverse=True)
-    total = np.bincount(where.reshape(-1), counts, len(value)).astype(np.int64)
-    split = np.full(len(value), group.column("split")[0].as_py(), np.int64)
-    return pa.table({"split": split, "h": value, "c": total})
+    h = np.append(word_hashes(list(number), {}).view(np.int64), END)
+    split = np.full(len(h), group.column("split")[0].as_py(), np.int64)
+    return pa.table({"split": split, "h": h, "c": np.append(counts, trained).astype(np.int64)})
+
+
+def numbered(words: list[bytes], known: dict[bytes, int], learn: Callable[[list[bytes]], Iterable[int]]) -> np.ndarray:
+    """The number that ``known`` has for each word; ``learn`` gives those of new words, in one go."""
+    out = np.fromiter(map(known.get, words, repeat(-2)), np.int64, len(words))
+    new = np.flatnonzero(out == -2)
+    if len(new):
+        fresh = list({words[i] for i in new.tolist()})
+        known.update(zip(fresh, learn(fresh), strict=True))
+        out[new] = [known[words[i]] for i in new.tolist()]
+    return out
 
 
 class Symbols:
@@ -83,23 +93,22 @@ class Symbols:
         at = int(np.searchsorted(self.hashes, h))
         return at if at < len(self.hashes) and self.hashes[at] == h else -1
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Symbol of each word."""
-        import xxhash
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Symbol of each word, by its hash."""
+        return _lookup(self.hashes, word_hashes(words, {}).view(np.int64))
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """Symbol of each word; those of frequent words are kept."""
         if len(self.known) > 400_000:
             self.known.clear()
-        new = list(set(words).difference(self.known))
-        if new:
-            h = np.array([xxhash.xxh64_intdigest(w) for w in new], np.uint64).view(np.int64)
-            at = np.minimum(np.searchsorted(self.hashes, h), max(0, len(self.hashes) - 1))
-            found = np.where(self.hashes[at] == h, at, -1) if len(self.hashes) else np.full(len(h), -1)
-            self.known.update(zip(new, found.tolist(), strict=True))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return numbered(words, self.known, lambda new: self.numbers(new).tolist())
 
     def sequence(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all tokens of all texts (ends included), and the place in its text of each."""
-        flat = self.of([w for ws in docs for w in ws])
+        return self.placed(self.of([w for ws in docs for w in ws]), docs)
+
+    def placed(self, flat: np.ndarray, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """``sequence``, where the symbols of the words are at hand."""
         n = np.array([len(ws) for ws in docs], np.int64)
         ends = np.cumsum(n + 1) - 1
         out = np.full(int(n.sum()) + len(docs), self.end, np.int64)
@@ -133,19 +142,16 @@ class SuffixTree:
         before[place == 0] = self.symbols.start
         out: list[np.ndarray] = []
         for level in range(levels):
-            if level == 0:
-                code = before
-                ok = before >= 0
-            else:
-                earlier = np.concatenate([[-1], out[-1][:-1]])
-                earlier[place == 0] = -1
-                ok = (earlier >= 0) & (before >= 0)
-                code = earlier * self.width + before
-            codes = self.codes[level]
+            if level == 0:  # codes are symbols, and few: a table, with a last place for -1
+                direct = np.full(self.width + 1, -1, np.int64)
+                direct[self.codes[0]] = np.arange(len(self.codes[0]))
+                out.append(direct[before])
+                continue
+            earlier = np.concatenate([[-1], out[-1][:-1]])
+            earlier[place == 0] = -1
+            ok = np.flatnonzero((earlier >= 0) & (before >= 0))
             found = np.full(len(tokens), -1, np.int64)
-            if len(codes):
-                at = np.minimum(np.searchsorted(codes, code[ok]), len(codes) - 1)
-                found[ok] = np.where(codes[at] == code[ok], at, -1)
+            found[ok] = _lookup(self.codes[level], earlier[ok] * self.width + before[ok])
             out.append(found)
         return out
 
@@ -157,11 +163,9 @@ class SuffixTree:
             at = at[self.is_state[level][context[at]]]
             p[at] *= self.rest[level][context[at]]
             known = at[tokens[at] >= 0]
-            key = context[known] * self.width + tokens[known]
-            if len(self.keys[level]):
-                place_of = np.minimum(np.searchsorted(self.keys[level], key), len(self.keys[level]) - 1)
-                hit = self.keys[level][place_of] == key
-                p[known[hit]] += self.mass[level][place_of[hit]]
+            entry = _lookup(self.keys[level], context[known] * self.width + tokens[known])
+            hit = entry >= 0
+            p[known[hit]] += self.mass[level][entry[hit]]
         return p
 
 
@@ -170,14 +174,22 @@ def _followers(tree: SuffixTree):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            value, where = np.unique(np.concatenate([keys, *(k for k, _ in waiting)]), return_inverse=True)
+            total = np.bincount(where.reshape(-1), np.concatenate([counts, *(n for _, n in waiting)]), len(value)).astype(np.int64)
+            waiting.clear()
+            return value, total
+
         for _, texts in byte_chunks(batches, 4 << 20):
             tokens, place = tree.symbols.sequence(_words(texts))
             context = tree.contexts(tokens, place, len(tree.codes))[-1]
             use = (context >= 0) & (tokens >= 0)
-            new, n = np.unique(context[use] * tree.width + tokens[use], return_counts=True)
-            value, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            counts = np.bincount(where.reshape(-1), np.concatenate([counts, n]), len(value)).astype(np.int64)
-            keys = value
+            waiting.append(np.unique(context[use] * tree.width + tokens[use], return_counts=True))
+            if sum(len(k) for k, _ in waiting) > 2_000_000:
+                keys, counts = merged()
+        keys, counts = merged()
         for a in range(0, len(keys), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 16)]), pa.array(counts[a : a + (1 << 16)])], names=["key", "c"])
 
@@ -258,8 +270,15 @@ def _lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Place of each value in the sorted ``table``, or -1."""
     if not len(table):
         return np.full(len(values), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return np.where(table[at] == values, at, -1)
+    if len(values) < 1000:
+        at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+        return np.where(table[at] == values, at, -1)
+    order = np.argsort(values)  # in order, neighbouring searches touch the same memory
+    ranked = values[order]
+    at = np.minimum(np.searchsorted(table, ranked), len(table) - 1)
+    out = np.empty(len(values), np.int64)
+    out[order] = np.where(table[at] == ranked, at, -1)
+    return out
 
 
 def _score(tree: SuffixTree, n_tokens: int, n_words: int):
@@ -270,22 +289,26 @@ def _score(tree: SuffixTree, n_tokens: int, n_words: int):
         hashes, known = counts.column("h").to_numpy()[order], counts.column("c").to_numpy()[order]
         at_end = _lookup(hashes, np.array([END]))[0]
         end_count = known[at_end] if at_end >= 0 else 0
+        # each distinct word of the split has a number, and by it a count and a symbol
         number: dict[bytes, int] = {}
-        cache: dict[bytes, int] = {}
+        word_counts, word_symbols = np.zeros(0, np.int64), np.zeros(0, np.int64)
         columns: list[list] = [[] for _ in range(7)]
         for batch, texts in byte_chunks(docs.to_batches(), 2 << 20):
             words = _words(texts)
             flat = [w for ws in words for w in ws]
-            new = list(set(flat).difference(number))
-            if new:
-                hit = _lookup(hashes, word_hashes(new, cache).view(np.int64))
-                number.update(zip(new, np.where(hit >= 0, known[hit] if len(known) else 0, 0).tolist(), strict=True))
-            tokens, place = tree.symbols.sequence(words)
+            old = len(number)
+            at = numbered(flat, number, lambda new: range(len(number), len(number) + len(new)))
+            if len(number) > old:
+                h = word_hashes(list(islice(number, old, None)), {}).view(np.int64)
+                hit = _lookup(hashes, h)
+                word_counts = np.append(word_counts, np.where(hit >= 0, known[hit] if len(known) else 0, 0))
+                word_symbols = np.append(word_symbols, _lookup(tree.symbols.hashes, h))
+            tokens, place = tree.symbols.placed(word_symbols[at], words)
             n = np.array([len(ws) + 1 for ws in words], np.int64)
             c = np.full(len(tokens), end_count, np.int64)
             inner = np.ones(len(tokens), bool)
             inner[np.cumsum(n) - 1] = False
-            c[inner] = np.fromiter(map(number.get, flat, repeat(0)), np.int64, len(flat))
+            c[inner] = word_counts[at]
             base = (c + 0.1) / denominator
             p = tree.probabilities(tokens, place, base)
             starts = np.cumsum(n) - n
@@ -304,7 +327,7 @@ def _score(tree: SuffixTree, n_tokens: int, n_words: int):
 
 def suffix_tree_scores(docs: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """One row per document: the columns of ``SCORES``."""
-    rows = docs.select("doc_id", "text").withColumn("held_out", crc_remainder(F.col("doc_id"), FOLDS) == 0)
+    rows = bounded_batches(docs).select("doc_id", "text").withColumn("held_out", crc_remainder(F.col("doc_id"), FOLDS) == 0)
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     splits = max(1, -(-size // split_bytes))
     dealt = rows.withColumn("split", F.pmod(F.xxhash64("doc_id"), F.lit(splits)))
