@@ -124,3 +124,19 @@ def channels_for_offer_type(offer_completion_metrics: DataFrame) -> DataFrame:
 
 def offer_types(offer_completion_metrics: DataFrame) -> DataFrame:
     return offer_completion_metrics.select("offer_type").distinct()
+
+
+# fixed values: the order in which each result is presented; ties by the last columns
+PRESENTED_BY = {
+    "v_channel_performance": [("effectiveness_rank", "asc"), ("channel", "asc")],
+    "v_age_summary": [("age_group", "asc")],
+    "v_offer_summary": [("avg_completion_rate", "desc"), ("offer_type", "asc")],
+    "age_distribution": [("completion_status", "asc"), ("age_group", "asc")],
+    "offer_completion_metrics": [("offer_type", "asc"), ("avg_completion_time_hours", "asc"), ("channel", "asc")],
+}
+
+
+def presented(result: DataFrame, name: str) -> DataFrame:
+    """``result`` (a few metric rows) in its presented order, with its ``position`` from 1; nulls come last."""
+    keys = [F.col(c).desc_nulls_last() if way == "desc" else F.col(c).asc_nulls_last() for c, way in PRESENTED_BY[name]]
+    return result.withColumn("position", F.row_number().over(Window.orderBy(*keys))).orderBy("position")

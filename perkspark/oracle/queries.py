@@ -156,6 +156,17 @@ FROM offer_completion_metrics""",
     "offer_types": "SELECT DISTINCT offer_type FROM offer_completion_metrics",
 }
 
+for _name, _order in {
+    "v_channel_performance": "effectiveness_rank, channel",
+    "v_age_summary": "age_group NULLS LAST",
+    "v_offer_summary": "avg_completion_rate DESC NULLS LAST, offer_type NULLS LAST",
+    "age_distribution": "completion_status, age_group NULLS LAST",
+    "offer_completion_metrics": "offer_type NULLS LAST, avg_completion_time_hours NULLS LAST, channel",
+}.items():
+    _SELECTS[f"{_name}_sorted"] = (
+        f"SELECT *, CAST(row_number() OVER (ORDER BY {_order}) AS INTEGER) AS position FROM ({_SELECTS[_name]})"
+    )
+
 ORACLE_SQL: dict[str, str] = {name: with_layers(select) for name, select in _SELECTS.items()}
 
 # Warehouse-size operator queries: plain SQL over the star-schema views.

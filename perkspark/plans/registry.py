@@ -165,6 +165,11 @@ QUERIES: dict[str, QueryFn] = {
     "v_channel_performance": lambda s, sf: _p(s, sf).v_channel_performance,
     "v_age_summary": lambda s, sf: _p(s, sf).v_age_summary,
     "v_offer_summary": lambda s, sf: _p(s, sf).v_offer_summary,
+    # the same results in their presented order
+    **{
+        f"{name}_sorted": (lambda s, sf, name=name: reports.presented(getattr(_p(s, sf), name), name))
+        for name in reports.PRESENTED_BY
+    },
     # reports
     "layer_audit": lambda s, sf: _p(s, sf).layer_audit(),
     "channel_rates_sorted": lambda s, sf: reports.channel_rates_sorted(_p(s, sf).channel_effectiveness),
