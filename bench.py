@@ -24,6 +24,7 @@ HEADLINE = [
     "events_parsed",
     "offer_interactions",
     "channel_effectiveness",
+    "channel_revenue",
     "age_distribution",
     "offer_completion_metrics",
     "v_channel_performance",
