@@ -8,9 +8,10 @@ largest distance to its pivot and, for queries, also their largest norm.
 For a query q of a cell with pivot p and a data row x of a cell with pivot s,
 q.x = p.s + (q-p).s + q.(x-s), so |q.x - p.s| <= r_q |s| + n_q r_x with the
 query cell's radius r_q and norm n_q and the data cell's radius r_x.  Going
-through data cells by their lower bounds until they hold k + 1 rows (one may be
-the query itself) gives each query cell a score that its queries' k-th best must
-reach; only data cells whose upper bound reaches it are needed.  Neighbouring
+through data cells by their lower bounds until they hold k rows besides those of
+a query's own id (at most as many as the query cell's most repeated id has in the
+table) gives each query cell a score that its queries' k-th best must reach; only
+data cells whose upper bound reaches it are needed.  Neighbouring
 query cells are grouped, and a data row is replicated once to each group that
 needs its cell.  Cells and groups have at most about ``BLOCK`` rows; larger ones
 are cut by hash, so that a cell with most rows is many tasks.  Every (group, data
@@ -78,7 +79,10 @@ def _cells(pivots: np.ndarray):
 
 
 def cell_targets(pivots: np.ndarray, data: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """(cell, target, least): the data cells that each query cell needs, and the score its k-th best reaches."""
+    """(cell, target, least): the data cells that each query cell needs, and the score its k-th best reaches.
+
+    ``own`` of a query cell is the most rows that one of its query ids has in all data cells.
+    """
     rows = []
     centre = pivots[data["cell"]]
     for q in queries.itertuples():
@@ -87,7 +91,7 @@ def cell_targets(pivots: np.ndarray, data: pd.DataFrame, queries: pd.DataFrame,
         low, high = middle - slack, middle + slack
         order = np.argsort(-low)
         held = np.cumsum(data["n"].to_numpy()[order])
-        enough = np.flatnonzero(held > k)
+        enough = np.flatnonzero(held >= k + q.own)
         least = low[order[enough[0]]] if len(enough) else -np.inf
         rows += [(int(q.cell), int(c), float(least)) for c in data["cell"].to_numpy()[high >= least]]
     return pd.DataFrame(rows, columns=["cell", "target", "least"]).astype({"cell": "int32", "target": "int32", "least": "float64"})
@@ -171,6 +175,10 @@ def top_k(vectors: DataFrame, is_query: str, k: int = K, scale: int = SCALE, piv
         # a row of queries is known by its number, so that repeated ids are separate queries
         queries = placed.filter(is_query).withColumn("nth", F.row_number().over(Window.partitionBy("vec_id").orderBy("v")).cast("long"))
         query_stats = queries.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.max("norm").alias("norm")).toPandas()
+        # rows of a query's own id are no candidates of it, however many they are
+        repeated = placed.groupBy("vec_id").agg(F.count("*").alias("own")).filter("own > 1")
+        copies = queries.select("cell", "vec_id").join(repeated, "vec_id").groupBy("cell").agg(F.max("own").alias("own")).toPandas()
+        query_stats["own"] = query_stats["cell"].map(dict(zip(copies["cell"], copies["own"], strict=True))).fillna(1).astype("int64")
         needed = cell_targets(centres, stats, query_stats, k)
         groups = query_groups(centres, query_stats, block)
         parts = {int(c): max(1, -(-int(n) // block)) for c, n in zip(stats["cell"], stats["n"], strict=True)}

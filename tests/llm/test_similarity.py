@@ -1,5 +1,6 @@
 """Near duplicates and kNN against brute force, components, and the pipeline's invariants."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -88,6 +89,22 @@ def test_knn_against_brute_force(spark):
     assert op6.top_k(frame.limit(0), "vec_id % 20 = 0").count() == 0
 
 
+def test_knn_of_an_id_with_a_third_of_the_rows(spark):
+    """Its own rows fill the nearest cells, and none of them is a neighbour of it."""
+    rng = random.Random(4)
+    rows = [(20, [30.0 + rng.gauss(0, 0.1) if d == 0 else rng.gauss(0, 0.1) for d in range(4)]) for _ in range(100)]
+    rows += [(1000 + 2 * i + 1, [rng.gauss(0, 3) for _ in range(4)]) for i in range(200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    want = Counter()
+    for q, a in whole:
+        if q == 20:
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole if i != q)[:20]
+            want.update((q, n + 1, i, -s) for n, (s, i) in enumerate(scored))
+    got = op6.top_k(frame, "vec_id % 20 = 0", pivots=300, block=64).collect()
+    assert Counter(map(tuple, got)) == want
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
