@@ -5,14 +5,18 @@ the id) lists its distinct words with their training counts; summed by word they
 give c, N and V for the whole corpus, and joined back they give each split the
 counts of its own words, so that no vocabulary is ever in one place.
 
-The tree: contexts of one word, then longer ones, that make up ``CONTEXT_SHARE``
-of the training tokens at least; symbols that follow one with ``JOINT_SHARE`` of
-them at least.  Both shares bound the tree (1 / share entries a level, whatever
-the corpus), so that it can be sent to every task.  A context stays a state when
-the divergence of its next-symbol distribution from that of its longest retained
-suffix is ``DIVERGENCE`` nats or more.  Distributions are smoothed by absolute
-discounting: what a state's symbols give up goes to the distribution of its
-suffix, the root's being the base distribution.  A text is scored with the
+The tree: a context of one to ``DEPTH`` words counts when it occurs ``LEAST`` times
+in the training texts, and so does a symbol that follows it; these counts do not
+rise with the corpus, so that nothing but the divergence test prunes.  A sequence
+that is found ``LEAST`` times has a context and a suffix that are, so each level
+lists, split by split, only sequences whose both were found at the level before.
+Sequences are known by 64-bit hashes; the tree is a table of (context, symbol)
+sequences and a table of states, joined back to each split's own sequences as the
+base counts are, so that it is never in one place either.  A context stays a state
+when the divergence of its next-symbol distribution from that of its longest
+retained suffix is ``DIVERGENCE`` nats or more.  Distributions are smoothed by
+absolute discounting: what a state's symbols give up goes to the distribution of
+its suffix, the root's being the base distribution.  A text is scored with the
 longest suffix state before each token, a start mark counting as a word.
 
 Defined cases: null text is empty text, the end token alone; without training
@@ -31,13 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, byte_chunks, crc_remainder, table, word_hashes, written
+from .common import bounded_batches, byte_chunks, crc_remainder, mix64, table, word_hashes, written
 
 FOLDS = 10
 SPLIT_BYTES = 24 << 20
 DEPTH = 3
-CONTEXT_SHARE = 2e-4
-JOINT_SHARE = 2e-6
+#: Occurrences that a context, and a symbol after it, must have; no share of the corpus is asked.
+LEAST = 2
+CONTEXT_SHARE = JOINT_SHARE = 0.0
 DIVERGENCE = 0.01
 DISCOUNT = 0.5
 #: Hashes of the end token and of the mark before the first word.
@@ -81,189 +86,9 @@ def numbered(words: list[bytes], known: dict[bytes, int], learn: Callable[[list[
     return out
 
 
-class Symbols:
-    """Numbers of the frequent words (by their sorted hashes); -1 for all others."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = hashes
-        self.end, self.start = self.number(END), len(hashes)
-        self.known: dict[bytes, int] = {}
-
-    def number(self, h: int) -> int:
-        at = int(np.searchsorted(self.hashes, h))
-        return at if at < len(self.hashes) and self.hashes[at] == h else -1
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """Symbol of each word, by its hash."""
-        return _lookup(self.hashes, word_hashes(words, {}).view(np.int64))
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Symbol of each word; those of frequent words are kept."""
-        if len(self.known) > 400_000:
-            self.known.clear()
-        return numbered(words, self.known, lambda new: self.numbers(new).tolist())
-
-    def sequence(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of all tokens of all texts (ends included), and the place in its text of each."""
-        return self.placed(self.of([w for ws in docs for w in ws]), docs)
-
-    def placed(self, flat: np.ndarray, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """``sequence``, where the symbols of the words are at hand."""
-        n = np.array([len(ws) for ws in docs], np.int64)
-        ends = np.cumsum(n + 1) - 1
-        out = np.full(int(n.sum()) + len(docs), self.end, np.int64)
-        inner = np.ones(len(out), bool)
-        inner[ends] = False
-        out[inner] = flat
-        place = np.arange(len(out)) - np.repeat(ends - n, n + 1)
-        return out, place
-
-
-class SuffixTree:
-    """Contexts by level, and the states among them."""
-
-    def __init__(self, symbols: Symbols):
-        self.symbols = symbols
-        self.width = len(symbols.hashes) + 1
-        #: Per level: sorted codes of contexts; of states their keys, masses, rests.
-        self.codes: list[np.ndarray] = []
-        self.keys: list[np.ndarray] = []
-        self.mass: list[np.ndarray] = []
-        self.rest: list[np.ndarray] = []
-        self.is_state: list[np.ndarray] = []
-
-    def contexts(self, tokens: np.ndarray, place: np.ndarray, levels: int) -> list[np.ndarray]:
-        """For each level, the number of the context before each token, or -1.
-
-        A context of level k is (context of level k - 1 that ends one word
-        earlier, last word), coded by their numbers.
-        """
-        before = np.concatenate([[-1], tokens[:-1]])
-        before[place == 0] = self.symbols.start
-        out: list[np.ndarray] = []
-        for level in range(levels):
-            if level == 0:  # codes are symbols, and few: a table, with a last place for -1
-                direct = np.full(self.width + 1, -1, np.int64)
-                direct[self.codes[0]] = np.arange(len(self.codes[0]))
-                out.append(direct[before])
-                continue
-            earlier = np.concatenate([[-1], out[-1][:-1]])
-            earlier[place == 0] = -1
-            ok = np.flatnonzero((earlier >= 0) & (before >= 0))
-            found = np.full(len(tokens), -1, np.int64)
-            found[ok] = _lookup(self.codes[level], earlier[ok] * self.width + before[ok])
-            out.append(found)
-        return out
-
-    def probabilities(self, tokens: np.ndarray, place: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """Of each token, given the base distribution's value for it."""
-        p = base.copy()
-        for level, context in enumerate(self.contexts(tokens, place, len(self.keys))):
-            at = np.flatnonzero(context >= 0)
-            at = at[self.is_state[level][context[at]]]
-            p[at] *= self.rest[level][context[at]]
-            known = at[tokens[at] >= 0]
-            entry = _lookup(self.keys[level], context[known] * self.width + tokens[known])
-            hit = entry >= 0
-            p[known[hit]] += self.mass[level][entry[hit]]
-        return p
-
-
-def _followers(tree: SuffixTree):
-    """Training counts of (context of the last level, next symbol) in a task's texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            value, where = np.unique(np.concatenate([keys, *(k for k, _ in waiting)]), return_inverse=True)
-            total = np.bincount(where.reshape(-1), np.concatenate([counts, *(n for _, n in waiting)]), len(value)).astype(np.int64)
-            waiting.clear()
-            return value, total
-
-        for _, texts in byte_chunks(batches, 4 << 20):
-            tokens, place = tree.symbols.sequence(_words(texts))
-            context = tree.contexts(tokens, place, len(tree.codes))[-1]
-            use = (context >= 0) & (tokens >= 0)
-            waiting.append(np.unique(context[use] * tree.width + tokens[use], return_counts=True))
-            if sum(len(k) for k, _ in waiting) > 2_000_000:
-                keys, counts = merged()
-        keys, counts = merged()
-        for a in range(0, len(keys), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + (1 << 16)]), pa.array(counts[a : a + (1 << 16)])], names=["key", "c"])
-
-    return run
-
-
-def grow(train: DataFrame, symbols: Symbols, word_share: np.ndarray, n_docs: int, n_tokens: int, n_words: int) -> SuffixTree:
-    """Levels of contexts until none is frequent enough, at most ``DEPTH``.
-
-    ``word_share`` has the base probability of each symbol.  What is collected is
-    at most 1 / ``JOINT_SHARE`` rows a level.
-    """
-    tree = SuffixTree(symbols)
-    frequent = max(2.0, CONTEXT_SHARE * n_tokens)
-    denominator = n_tokens + 0.1 * (n_words + 1)
-    counts = np.append(np.round(word_share * denominator - 0.1), n_docs)  # the start mark is last
-    starts = np.flatnonzero(counts >= frequent)
-    codes, totals, parents = starts[starts != symbols.end], None, None
-    totals = counts[codes]
-    # probability of every symbol after a context's longest retained suffix, level by level
-    for level in range(DEPTH):
-        if not len(codes):
-            break
-        tree.codes.append(codes)
-        least = max(2.0, JOINT_SHARE * n_tokens)
-        rows = train.select("text").mapInArrow(_followers(tree), "key long, c long").groupBy("key").agg(F.sum("c").alias("c")).filter(F.col("c") >= least).toPandas()
-        rows = rows.sort_values("key")
-        key, c = rows["key"].to_numpy(np.int64), rows["c"].to_numpy(np.float64)
-        context, symbol = key // tree.width, key % tree.width
-        mass = np.maximum(c - DISCOUNT, 0) / totals[context]
-        rest = 1.0 - np.bincount(context, mass, len(codes))
-        lower = _suffix_probability(tree, level, codes, context, symbol, word_share, parents)
-        share = c / totals[context]
-        # the symbols listed, and all others as one
-        left = np.maximum(1 - np.bincount(context, share, len(codes)), 0)
-        lower_left = np.maximum(1 - np.bincount(context, lower, len(codes)), 1e-12)
-        divergence = np.bincount(context, share * np.log(share / lower), len(codes)) + np.where(left > 0, left * np.log(np.maximum(left, 1e-12) / lower_left), 0)
-        state = divergence >= DIVERGENCE
-        tree.keys.append(key)
-        tree.mass.append(mass)
-        tree.rest.append(rest)
-        tree.is_state.append(state)
-        longer = (c >= frequent) & (symbol != symbols.end)
-        codes, totals = key[longer], c[longer]
-        parents = symbol[longer]
-    return tree
-
-
-def _suffix_probability(tree: SuffixTree, level: int, codes: np.ndarray, context: np.ndarray, symbol: np.ndarray, word_share: np.ndarray, parents: np.ndarray | None) -> np.ndarray:
-    """Probability of each (context, symbol) entry under the context's suffixes of lower levels."""
-    p = word_share[symbol]
-    if level == 0:
-        return p
-    # words of each context, last one first, from the codes of the levels
-    words = []
-    code, at = codes, level
-    while at >= 0:
-        words.append(code % tree.width if at else code)
-        code = tree.codes[at - 1][code // tree.width] if at else None
-        at -= 1
-    number = None
-    for lower in range(level):  # the suffix of lower + 1 words
-        suffix = words[: lower + 1][::-1]
-        number = _lookup(tree.codes[0], suffix[0])
-        for k, w in enumerate(suffix[1:], 1):
-            number = np.where(number >= 0, _lookup(tree.codes[k], number * tree.width + w), -1)
-        own = number[context]
-        ok = np.flatnonzero(own >= 0)
-        ok = ok[tree.is_state[lower][own[ok]]]
-        p = p.copy()
-        p[ok] *= tree.rest[lower][own[ok]]
-        hit = _lookup(tree.keys[lower], own[ok] * tree.width + symbol[ok])
-        p[ok[hit >= 0]] += tree.mass[lower][hit[hit >= 0]]
-    return p
+def _joined(context: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of each context followed by a word."""
+    return mix64(mix64(context.view(np.uint64), 2) ^ last.view(np.uint64), 3).view(np.int64)
 
 
 def _lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -281,36 +106,132 @@ def _lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _score(tree: SuffixTree, n_tokens: int, n_words: int):
-    denominator = max(n_tokens + 0.1 * (n_words + 1), 0.1)
+class Known:
+    """What a split knows: counts of its words, and by level its sequences and states."""
+
+    def __init__(self, rows: pa.Table, levels: int, n_tokens: int, n_words: int):
+        level, key, c, rest = (rows.column(n).to_numpy() for n in ("level", "key", "c", "rest"))
+        is_state = ~np.isnan(rest)
+        self.denominator = max(n_tokens + 0.1 * (n_words + 1), 0.1)
+        self.words = self._sorted(key, c, level == 0)
+        self.sequences = [self._sorted(key, c, (level == n) & ~is_state) for n in range(1, levels + 1)]
+        self.states = [self._sorted(key, rest, (level == n) & is_state) for n in range(1, levels + 1)]
+        at = _lookup(self.words[0], np.array([END]))[0]
+        self.end_count = int(self.words[1][at]) if at >= 0 else 0
+        # each distinct word of the split has a number, and by it a hash and a count
+        self.number: dict[bytes, int] = {}
+        self.hashes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    @staticmethod
+    def _sorted(key: np.ndarray, value: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key, value = key[which], value[which]
+        order = np.argsort(key)
+        return key[order], value[order]
+
+    def tokens(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash and count of each token of the texts (ends included), its place in its text, and each text's length."""
+        words = _words(texts)
+        old = len(self.number)
+        at = numbered([w for ws in words for w in ws], self.number, lambda new: range(old, old + len(new)))
+        if len(self.number) > old:
+            h = word_hashes(list(islice(self.number, old, None)), {}).view(np.int64)
+            hit = _lookup(self.words[0], h)
+            self.hashes = np.append(self.hashes, h)
+            self.counts = np.append(self.counts, np.where(hit >= 0, self.words[1][hit] if len(self.words[1]) else 0, 0))
+        n = np.array([len(ws) + 1 for ws in words], np.int64)
+        ends = np.cumsum(n) - 1
+        inner = np.ones(int(n.sum()), bool)
+        inner[ends] = False
+        h, c = np.full(len(inner), END, np.int64), np.full(len(inner), self.end_count, np.int64)
+        h[inner], c[inner] = self.hashes[at], self.counts[at]
+        return h, c, np.arange(len(inner)) - np.repeat(ends + 1 - n, n), n
+
+    def walk(self, h: np.ndarray, c: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each token: its probability by the known levels, the next level's context and its count, and the count of the sequence after that context's first word."""
+        p = (c + 0.1) / self.denominator
+        context = np.concatenate([[START], h[:-1]])
+        total = np.concatenate([[0], c[:-1]])
+        context[place == 0], total[place == 0] = START, self.end_count
+        for level, ((keys, counts), (states, rests)) in enumerate(zip(self.sequences, self.states, strict=True)):
+            key = _joined(context, h)
+            at = np.flatnonzero(total >= LEAST)
+            entry = _lookup(keys, key[at])
+            found = at[entry >= 0]
+            c = np.zeros(len(h), np.int64)
+            c[found] = counts[entry[entry >= 0]]
+            state = _lookup(states, context[at])
+            inside = at[state >= 0]
+            p[inside] = p[inside] * rests[state[state >= 0]] + np.maximum(c[inside] - DISCOUNT, 0) / total[inside]
+            context, total = np.concatenate([[0], key[:-1]]), np.concatenate([[0], c[:-1]])
+            total[place <= level] = 0
+        return p, context, total, c
+
+
+def _sequences(levels: int, n_tokens: int, n_words: int):
+    """A split's sequences that may be in the tree at the next level, with their training counts; and, with no ``key``, its contexts."""
+
+    def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
+        known = Known(rows, levels, n_tokens, n_words)
+        keys, values, asked = [], [], []
+        for batch, texts in byte_chunks(docs.to_batches(), 4 << 20):
+            h, c, place, n = known.tokens(texts)
+            p, context, total, suffix = known.walk(h, c, place)
+            asked.append(np.unique(context[total >= LEAST]))
+            at = np.flatnonzero((total >= LEAST) & (suffix >= LEAST))
+            train = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), n)
+            key, first, where = np.unique(_joined(context[at], h[at]), return_index=True, return_inverse=True)
+            keys.append(key)
+            values.append((context[at][first], total[at][first], np.bincount(where.reshape(-1), train[at], len(key)), p[at][first]))
+        key, first, where = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_index=True, return_inverse=True)
+        context, total, c, p = (np.concatenate([*(v[i] for v in values), np.zeros(0, kind)]) for i, kind in enumerate((np.int64, np.int64, np.float64, np.float64)))
+        c = np.bincount(where.reshape(-1), c, len(key))
+        contexts = np.unique(np.concatenate([*asked, np.zeros(0, np.int64)]))
+        none = [None] * len(contexts)
+        size = len(key) + len(contexts)
+        split = docs.column("split")[0].as_py() if docs.num_rows else 0
+        return pa.table({
+            "split": pa.array(np.full(size, split, np.int64)), "context": pa.array(np.append(context[first], contexts)),
+            "total": pa.chunked_array([pa.array(total[first]), pa.array(none, pa.int64())]), "key": pa.chunked_array([pa.array(key), pa.array(none, pa.int64())]),
+            "c": pa.chunked_array([pa.array(c.astype(np.int64)), pa.array(none, pa.int64())]), "p": pa.chunked_array([pa.array(p[first]), pa.array(none, pa.float64())]),
+        })
+
+    return run
+
 
-    def run(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        order = np.argsort(counts.column("h").to_numpy())
-        hashes, known = counts.column("h").to_numpy()[order], counts.column("c").to_numpy()[order]
-        at_end = _lookup(hashes, np.array([END]))[0]
-        end_count = known[at_end] if at_end >= 0 else 0
-        # each distinct word of the split has a number, and by it a count and a symbol
-        number: dict[bytes, int] = {}
-        word_counts, word_symbols = np.zeros(0, np.int64), np.zeros(0, np.int64)
+def grow(dealt: DataFrame, known: DataFrame, level: int, n_tokens: int, n_words: int) -> DataFrame:
+    """The rows that each split knows of the next level: its sequences with their counts, its states with what they leave to their suffix."""
+    schema = "split long, context long, total long, key long, c long, p double"
+    own = written(dealt.groupBy("split").cogroup(known.groupBy("split")).applyInArrow(_sequences(level - 1, n_tokens, n_words), schema), f"sequences{level}")
+    counted = own.filter("key is not null").groupBy("key").agg(*(F.min(n).alias(n) for n in ("context", "total", "p")), F.sum("c").alias("c"))
+    tree = written(counted.filter(F.col("c") >= LEAST), f"tree{level}")
+    share = F.col("c") / F.col("total")
+    sums = tree.groupBy("context").agg(
+        F.sum(share * F.log(share / F.col("p"))).alias("listed"),
+        F.sum(share).alias("share"),
+        F.sum("p").alias("lower"),
+        F.sum(F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.col("total")).alias("mass"),
+    )
+    # the symbols listed, and all others as one
+    left, lower_left = 1 - F.col("share"), F.greatest(1 - F.col("lower"), F.lit(1e-12))
+    divergence = F.col("listed") + F.when(left > 1e-12, left * F.log(left / lower_left)).otherwise(0.0)
+    states = sums.filter(divergence >= DIVERGENCE).select("context", (1 - F.col("mass")).alias("rest"))
+    sequences = own.filter("key is not null").select("split", "key").join(tree.select("key", "c"), "key")
+    kept = own.filter("key is null").select("split", "context").join(states, "context")
+    columns = ["split", F.lit(level).alias("level")]
+    return written(
+        sequences.select(*columns, "key", "c", F.lit(float("nan")).alias("rest")).unionByName(kept.select(*columns, F.col("context").alias("key"), F.lit(0).cast("long").alias("c"), "rest")),
+        f"level{level}",
+    )
+
+
+def _score(n_tokens: int, n_words: int):
+    def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
+        known = Known(rows, DEPTH, n_tokens, n_words)
         columns: list[list] = [[] for _ in range(7)]
         for batch, texts in byte_chunks(docs.to_batches(), 2 << 20):
-            words = _words(texts)
-            flat = [w for ws in words for w in ws]
-            old = len(number)
-            at = numbered(flat, number, lambda new: range(len(number), len(number) + len(new)))
-            if len(number) > old:
-                h = word_hashes(list(islice(number, old, None)), {}).view(np.int64)
-                hit = _lookup(hashes, h)
-                word_counts = np.append(word_counts, np.where(hit >= 0, known[hit] if len(known) else 0, 0))
-                word_symbols = np.append(word_symbols, _lookup(tree.symbols.hashes, h))
-            tokens, place = tree.symbols.placed(word_symbols[at], words)
-            n = np.array([len(ws) + 1 for ws in words], np.int64)
-            c = np.full(len(tokens), end_count, np.int64)
-            inner = np.ones(len(tokens), bool)
-            inner[np.cumsum(n) - 1] = False
-            c[inner] = word_counts[at]
-            base = (c + 0.1) / denominator
-            p = tree.probabilities(tokens, place, base)
+            h, c, place, n = known.tokens(texts)
+            p = known.walk(h, c, place)[0]
+            base = (c + 0.1) / known.denominator
             starts = np.cumsum(n) - n
             columns[0] += batch.column("doc_id").to_pylist()
             columns[1] += batch.column("held_out").to_pylist()
@@ -334,14 +255,10 @@ def suffix_tree_scores(docs: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataF
     listed = written(dealt.groupBy("split").applyInArrow(_split_counts, "split long, h long, c long"), "words")
     total = written(listed.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 0"), "counts")
     n_tokens, n_words = total.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    frequent = total.filter((F.col("c") >= max(2.0, JOINT_SHARE * n_tokens)) | (F.col("h") == END)).toPandas().sort_values("h")
-    symbols = Symbols(frequent["h"].to_numpy(np.int64))
-    share = (frequent["c"].to_numpy(np.float64) + 0.1) / max(n_tokens + 0.1 * (n_words + 1), 0.1)
-    at_end = symbols.number(END)
-    n_docs = int(frequent["c"].iloc[at_end]) if at_end >= 0 else 0
-    tree = grow(rows.filter(~F.col("held_out")), symbols, share, n_docs, n_tokens, n_words)
-    own = listed.select("split", "h").join(total, "h")
-    return dealt.groupBy("split").cogroup(own.groupBy("split")).applyInArrow(_score(tree, n_tokens, n_words), SCORES)
+    known = listed.select("split", "h").join(total, "h").select("split", F.lit(0).alias("level"), F.col("h").alias("key"), "c", F.lit(float("nan")).alias("rest"))
+    for level in range(1, DEPTH + 1):
+        known = known.unionByName(grow(dealt, known, level, n_tokens, n_words))
+    return dealt.groupBy("split").cogroup(known.groupBy("split")).applyInArrow(_score(n_tokens, n_words), SCORES)
 
 
 def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,6 +127,16 @@ def test_suffix_tree_against_plain(spark):
     compare_scores(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), 1 << 16)
 
 
+def test_what_the_suffix_tree_keeps_does_not_fall_with_the_corpus(spark):
+    """A passage found three times lifts its own score, however many other words there are."""
+    passage = " ".join(f"rare{i}" for i in range(30))
+    train = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 10 != 0]
+    rows = [(i, " ".join(f"w{(i * 31 + k * k) % 997}" for k in range(60))) for i in train[3:8000]] + [(i, passage) for i in train[:3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in op8.suffix_tree_scores(docs).collect()}
+    assert got[train[0]]["score"] > got[train[0]]["base_score"] / 4
+
+
 def test_suffix_tree_of_messy_rows(messy, empty, spark):
     compare_scores(messy, 1 << 14)
     assert op8.suffix_tree_scores(empty).count() == 0
