@@ -1,7 +1,9 @@
 """Repetition rules, secret scans and licence rules against plain versions and SQL."""
 
 import hashlib
+import random
 import re
+import string
 from collections import Counter
 
 import duckdb
@@ -97,6 +99,27 @@ def test_network_finds_unnamed_secrets_and_spares_prose(spark):
     assert sum(any(k == 3 for _, k, _ in s) for s in find(clean)) <= 2
 
 
+def test_network_sees_whole_candidates(spark):
+    """Keys in the middle of long runs, about a base span, and without digits."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    find = op9.span_finder(op9.fit_detector(op9.finding_sample(docs)))
+    rng = random.Random(6)
+
+    def key(letters):
+        return "".join(rng.choice(letters) for _ in range(36))
+
+    letters = string.ascii_letters
+    long = [f"see {'/some/long/path/of/words' * 2}/{key(letters + string.digits)}/{'and/other/words/after/it' * 2} there" for _ in range(60)]
+    plain = [f"the river is {key(letters)} and so on" for _ in range(60)]
+    touching = [f"the river is {key(letters + string.digits)}{'0123456789abcdef' * 2}XYZ and so on" for _ in range(60)]
+    for texts in (long, plain, touching):
+        found = find([t.encode() for t in texts])
+        assert sum(any(k == 3 for _, k, _ in s) for s in found) >= 0.7 * len(texts)
+    assert op9.redact(touching[0], find([touching[0].encode()])[0], "*").count("XYZ") == 0
+    (spans,) = find([b"token=0123456789abcdef"])
+    assert [k for _, k, _ in spans] == [0]
+
+
 def test_redaction_keeps_rows_and_columns(messy, spark):
     out = op9.redacted_documents(messy)
     assert out.columns == messy.columns and out.count() == messy.count()
