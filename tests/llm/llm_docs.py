@@ -1,4 +1,6 @@
-"""Small document tables for the tests of this folder."""
+"""Small document tables for the tests of this folder; test modules import the fixtures they use."""
+
+import pytest
 
 SF_SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, node long, block int, h long, `odd.name` string"
@@ -30,3 +32,13 @@ def messy_rows():
         (7, prose(2, 30_000), "c"), (8, "Ünïcode naïve — 東京   words " * 30, "é"), (None, same, "a"), (None, None, None),
         (9, same.upper(), "a"), (10, "\n".join([prose(3, 20)] * 8), "b"), (11, prose(4, 200), "b"), (11, prose(5, 200), "b"),
     ]
+
+
+@pytest.fixture(scope="session")
+def messy(spark):
+    return docs_of(spark, messy_rows())
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

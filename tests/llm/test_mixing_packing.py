@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm_docs import SF_SMALL
+from llm_docs import SF_SMALL, empty, messy  # noqa: F401
 from pyspark.sql import functions as F
 
 from perkspark.llm import op1_cube_mixing as op1

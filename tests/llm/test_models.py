@@ -5,7 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from llm_docs import SF_SMALL
+from llm_docs import SF_SMALL, empty, messy  # noqa: F401
 
 from perkspark.llm import op2_quality_cnn as op2
 from perkspark.llm import op3_toxicity_ftrl as op3

@@ -8,7 +8,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from llm_docs import SF_SMALL, prose
+from llm_docs import SF_SMALL, empty, messy, prose  # noqa: F401
 
 from perkspark.llm import op4_repetition as op4
 from perkspark.llm import op9_secrets as op9
