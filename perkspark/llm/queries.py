@@ -7,6 +7,8 @@ from . import op5_tensored_minhash as op5
 from . import op6_voronoi_knn as op6
 from .op10_license_rules import ORACLE_SQL as LICENSE_SQL
 from .op10_license_rules import op10_license_rules
+from .op12_merkle_manifest import ORACLE_SQL as MANIFEST_SQL
+from .op12_merkle_manifest import op12_merkle_manifest
 from .op1_cube_mixing import op1_cube_mixing
 from .op2_quality_cnn import op2_quality_cnn
 from .op3_toxicity_ftrl import op3_toxicity_ftrl
@@ -28,6 +30,7 @@ QUERIES = {
     "op8_suffix_tree": op8_suffix_tree,
     "op9_secrets_cnn": op9_secrets_cnn,
     "op10_license_rules": op10_license_rules,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -35,4 +38,5 @@ ORACLE_SQL = {
     "op6_voronoi_knn": op6.ORACLE_SQL,
     "op4_repetition_rules": op4_repetition.ORACLE_SQL,
     "op10_license_rules": LICENSE_SQL,
+    "op12_merkle_manifest": MANIFEST_SQL,
 }
