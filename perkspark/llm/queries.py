@@ -9,6 +9,7 @@ from .op10_license_rules import ORACLE_SQL as LICENSE_SQL
 from .op10_license_rules import op10_license_rules
 from .op12_merkle_manifest import ORACLE_SQL as MANIFEST_SQL
 from .op12_merkle_manifest import op12_merkle_manifest
+from .op13_feast_whitening import op13_feast_whitening
 from .op1_cube_mixing import op1_cube_mixing
 from .op2_quality_cnn import op2_quality_cnn
 from .op3_toxicity_ftrl import op3_toxicity_ftrl
@@ -31,6 +32,7 @@ QUERIES = {
     "op9_secrets_cnn": op9_secrets_cnn,
     "op10_license_rules": op10_license_rules,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_feast_whitening": op13_feast_whitening,
 }
 
 ORACLE_SQL = {
