@@ -7,6 +7,8 @@ from . import op5_tensored_minhash as op5
 from . import op6_voronoi_knn as op6
 from .op10_license_rules import ORACLE_SQL as LICENSE_SQL
 from .op10_license_rules import op10_license_rules
+from .op11_line_bloom import ORACLE_SQL as LINES_SQL
+from .op11_line_bloom import op11_line_bloom
 from .op12_merkle_manifest import ORACLE_SQL as MANIFEST_SQL
 from .op12_merkle_manifest import op12_merkle_manifest
 from .op13_feast_whitening import op13_feast_whitening
@@ -31,6 +33,7 @@ QUERIES = {
     "op8_suffix_tree": op8_suffix_tree,
     "op9_secrets_cnn": op9_secrets_cnn,
     "op10_license_rules": op10_license_rules,
+    "op11_line_bloom": op11_line_bloom,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_feast_whitening": op13_feast_whitening,
 }
@@ -40,5 +43,6 @@ ORACLE_SQL = {
     "op6_voronoi_knn": op6.ORACLE_SQL,
     "op4_repetition_rules": op4_repetition.ORACLE_SQL,
     "op10_license_rules": LICENSE_SQL,
+    "op11_line_bloom": LINES_SQL,
     "op12_merkle_manifest": MANIFEST_SQL,
 }
