@@ -41,3 +41,28 @@ def exact_mean(c: Column | str, digits: int = 2) -> Column:
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:
     """``round(part / whole * 100, digits)``; null when ``whole`` is 0."""
     return F.round(F.try_divide(part, whole) * 100, digits)
+
+
+def sum_parts(value: Column) -> dict[str, Column]:
+    """Aggregates from which sums can be added and subtracted (``sum_of_parts``).
+
+    A value below 1e19 is a nine-decimal number, summed exactly, and what that
+    leaves of the double (nothing for money).  Larger and non-finite values are
+    counted and summed on their own.
+    """
+    number = value.cast("double")
+    near = number.try_cast("decimal(28,9)")
+    odd = number.isNotNull() & near.isNull()
+    return {
+        "values": F.count(number),
+        "whole": F.sum(near).cast("decimal(38,9)"),
+        "rest": F.sum(number - near.cast("double")),
+        "odd": F.count_if(odd),
+        "odd_sum": F.sum(F.when(odd, number)),
+    }
+
+
+def sum_of_parts(values: Column, whole: Column, rest: Column, odd: Column, odd_sum: Column) -> Column:
+    """The sum behind ``sum_parts``; null without a value."""
+    usual = whole.cast("double") + rest
+    return F.when(values > 0, F.when(odd > 0, usual + odd_sum).otherwise(usual))

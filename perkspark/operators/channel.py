@@ -8,9 +8,10 @@ channels through the small exploded offer dimension.  The programme's order
 rows through the shuffle for the same result.
 
 Revenue: transactions of the member inside [received_time, completed_time]
-(both ends inclusive) of a completed offer.  The interval sums are computed
-per (customer, offer) (``interval_sums``: transactions collapsed to one row
-per member and hour, then a binned range join), then per channel.
+(both ends inclusive) of a completed offer.  One aggregate of the events gives
+both the journeys and the members' transaction hours (``period_money``); a
+running sum per member over hours and interval ends gives each interval's sum
+(``operators.interval_join``), which is then summed per channel.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perkspark import schemas
-from perkspark.constants import EVENT_TRANSACTION
+from perkspark.constants import EVENT_COMPLETED, EVENT_RECEIVED, EVENT_TRANSACTION
 from perkspark.functions.numeric import exact_sum, pct
-from perkspark.operators.interval_join import interval_sums, range_join
+from perkspark.operators.interval_join import POINT, dealt_marks, ends, interval_sums, mark, point_sums, range_join, swept
 from perkspark.plans.broadcast import join_dimension
+from perkspark.plans.skew import heavy_keys
 
 
 def offer_channels(offers_enriched: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -106,9 +108,34 @@ def offer_period_revenue(
         lo_col="received_time",
         hi_col="completed_time",
         keep_empty=keep_empty,
+        hot=heavy_keys(events_processed, "customer_id"),
     )
 
 
+def period_money(events_processed: DataFrame) -> DataFrame:
+    """``offer_period_revenue(..., keep_empty=False)`` from the events alone.
+
+    One aggregate over the events holds a row for each journey and one for each
+    member's transaction hour, so the events are read and shuffled once; only the
+    count that finds heavy members reads their ids again.
+    """
+    member, kind, hour = F.col("customer_id"), F.col("event_type"), F.col("event_time_hours")
+    sale = kind == EVENT_TRANSACTION
+    used = events_processed.filter(member.isNotNull() & (F.col("offer_id").isNotNull() | sale))
+    first = lambda event: F.min(F.when(kind == event, hour))
+    timeline = used.groupBy("customer_id", "offer_id", F.when(sale, hour).alias("hour")).agg(
+        first(EVENT_RECEIVED).alias("received_time"),
+        first(EVENT_COMPLETED).alias("completed_time"),
+        *(c.alias(n) for n, c in point_sums(F.when(sale, F.col("transaction_amount"))).items()),
+    )
+    offer = F.struct("offer_id", "received_time", "completed_time")
+    of_hour = mark(F.col("hour"), POINT, F.when(F.lit(False), offer), {c: F.col(c) for c in point_sums(F.lit(0.0))})
+    marks = F.when(F.col("hour").isNotNull(), F.array(of_hour)).otherwise(ends(F.col("received_time"), F.col("completed_time"), offer))
+    rows = timeline.select("customer_id", marks.alias("marks"))
+    sums = swept(dealt_marks(rows, "customer_id", heavy_keys(events_processed, "customer_id")), "customer_id", "deal")
+    return sums.filter("matched > 0").select("customer_id", "interval.*", "matched", "matched_values", "value_sum")
+
+
 def offer_period_transactions(interactions: DataFrame, events_processed: DataFrame, bin_width: int = 24) -> DataFrame:
     """The matching (transaction, completed offer) pairs themselves (binned range join)."""
     return range_join(
@@ -122,42 +149,25 @@ def offer_period_transactions(interactions: DataFrame, events_processed: DataFra
     )
 
 
-def channel_revenue(
-    interactions: DataFrame, events_processed: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None
-) -> DataFrame:
+def channel_revenue(money: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
     """(channel, total_revenue_generated, offers_with_revenue, customers_with_revenue).
 
-    Only channels with at least one transaction inside an offer period
-    appear; the sum is null when none of those transactions has an amount.
+    ``money`` has the offer periods with a transaction (``period_money``).  Only
+    channels with at least one of them appear; the sum is null when none of the
+    transactions has an amount.
+
+    One aggregate gives all three: a period is a row for its offer, with the sum,
+    and a row for its member, so that both distinct counts are counts of groups.
     """
-    pairs = offer_period_revenue(interactions, events_processed, keep_empty=False)
-    channels = offer_channels(offers_enriched)
-    # Sums and distinct offers: pairs reduced to one row per offer before the
-    # channel fan-out (sums are additive; null stays null when no amount).
-    per_offer = pairs.groupBy("offer_id").agg(exact_sum("value_sum").alias("value_sum"))
-    money = (
-        join_dimension(per_offer, channels, "offer_id", small=dim_small)
-        .groupBy("channel")
-        .agg(
-            exact_sum("value_sum").alias("total_revenue_generated"),
-            F.count_distinct("offer_id").alias("offers_with_revenue"),
-        )
-    )
-    # Distinct members: one row per (channel, member), then a count -- no
-    # Expand of every pair for two count-distincts in one aggregate.
-    members = (
-        join_dimension(pairs.select("customer_id", "offer_id"), channels, "offer_id", small=dim_small)
-        .filter(F.col("customer_id").isNotNull())
-        .select("channel", "customer_id")
-        .distinct()
-        .groupBy("channel")
-        .agg(F.count(F.lit(1)).alias("customers_with_revenue"))
-    )
-    return money.join(members, "channel", "left").select(
-        "channel",
-        "total_revenue_generated",
-        "offers_with_revenue",
-        F.coalesce(F.col("customers_with_revenue"), F.lit(0)).alias("customers_with_revenue"),
+    offer = F.struct(F.lit(True).alias("is_offer"), F.col("offer_id").alias("id"), F.col("value_sum").alias("value"))
+    member = F.struct(F.lit(False).alias("is_offer"), F.col("customer_id").alias("id"), F.lit(None).cast("double").alias("value"))
+    each = money.select("offer_id", F.explode(F.array(offer, member)).alias("of"))
+    fanned = join_dimension(each, offer_channels(offers_enriched), "offer_id", small=dim_small)
+    ids = fanned.groupBy("channel", "of.is_offer", "of.id").agg(exact_sum(F.col("of.value")).alias("value"))
+    return ids.groupBy("channel").agg(
+        exact_sum("value").alias("total_revenue_generated"),
+        F.count_if("is_offer").alias("offers_with_revenue"),
+        F.count_if(~F.col("is_offer")).alias("customers_with_revenue"),
     )
 
 
@@ -170,12 +180,12 @@ def channel_rewards(interactions: DataFrame, offers_enriched: DataFrame, dim_sma
 
 def channel_effectiveness(
     interactions: DataFrame,
-    events_processed: DataFrame,
+    money: DataFrame,
     offers_enriched: DataFrame,
     breakdown: bool = False,
     dim_small: bool | None = None,
 ) -> DataFrame:
-    """The channel ranking (contract ``CHANNEL_EFFECTIVENESS``).
+    """The channel ranking (contract ``CHANNEL_EFFECTIVENESS``); ``money`` as in ``channel_revenue``.
 
     ``total_revenue_generated`` is the transaction sum, or when a channel has
     none, the sum of rewards, or 0 -- the programme's fallback.
@@ -183,7 +193,7 @@ def channel_effectiveness(
     ``revenue_source`` so the two measures stay distinguishable.
     """
     metrics = channel_metrics(interactions, offers_enriched, dim_small, with_rewards=True)
-    revenue = channel_revenue(interactions, events_processed, offers_enriched, dim_small).select(
+    revenue = channel_revenue(money, offers_enriched, dim_small).select(
         "channel", F.col("total_revenue_generated").alias("transaction_revenue")
     )
     revenue_total = F.coalesce(F.col("transaction_revenue"), F.col("total_rewards_earned").cast("double"), F.lit(0.0))

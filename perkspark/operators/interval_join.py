@@ -13,20 +13,22 @@ Two skew-proof forms are given here:
                    its bins; each point lies in exactly one bin, so no pair is
                    produced twice.
 
-``interval_sums``  aggregates the points inside each interval (count, sum).
-                   Points are first reduced to one row per (key, position),
-                   so a hot key shrinks to its distinct positions (bounded
-                   by the clock domain, e.g. 720 hours in 30 days) before
-                   the binned join; each interval then meets at most
-                   ``bin_width`` positions per bin it spans.
+``interval_sums``  aggregates the points inside each interval (count, sum)
+                   without joining the two: points are reduced to one row per
+                   (key, position), interval ends become marks between them,
+                   one running sum per key passes over both, and an interval's
+                   sum is the running sum at its end less that at its start.
+                   A key with very many rows is dealt over several running
+                   sums: each takes a share of its intervals and all of its
+                   positions, which the clock bounds (``hot``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perkspark.functions.numeric import exact_sum
+from perkspark.functions.numeric import sum_of_parts, sum_parts
 
 
 def range_join(
@@ -73,6 +75,49 @@ def range_join(
     return joined.select(*out_cols)
 
 
+#: Marks at one position: an interval's start, the points there, an interval's end.
+START, POINT, END = 0, 1, 2
+_RUNNING = {"n": "bigint", "values": "bigint", "whole": "decimal(38,9)", "rest": "double", "odd": "bigint", "odd_sum": "double"}
+
+
+def mark(pos: Column, kind: int, interval: Column, sums: dict[str, Column] | None = None) -> Column:
+    """A mark of the sweep; ``sums`` are a point's."""
+    parts = [F.coalesce((sums or {}).get(c, F.lit(0)).cast(t), F.lit(0).cast(t)).alias(c) for c, t in _RUNNING.items()]
+    return F.struct(pos.cast("bigint").alias("pos"), F.lit(kind).alias("kind"), interval.alias("interval"), *parts)
+
+
+def ends(lo: Column, hi: Column, interval: Column) -> Column:
+    """The two marks of an interval that is not empty, else none."""
+    return F.when(lo <= hi, F.array(mark(lo, START, interval), mark(hi, END, interval)))
+
+
+def point_sums(value: Column) -> dict[str, Column]:
+    """Aggregates of the points at one position."""
+    return {"n": F.count(F.lit(1)), **sum_parts(value)}
+
+
+def swept(marks: DataFrame, key: str, deal: str | None = None) -> DataFrame:
+    """(key, interval, matched, matched_values, value_sum) from rows with a column ``mark``.
+
+    Marks of one key (and one ``deal`` of a key) meet in one running sum; equal
+    intervals are one.
+    """
+    keys = [key, deal] if deal else [key]
+    order = Window.partitionBy(*keys).orderBy("mark.pos", "mark.kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = marks.select(*keys, "mark.kind", "mark.interval", *(F.sum(f"mark.{c}").over(order).cast(t).alias(c) for c, t in _RUNNING.items()))
+    at_end = F.col("kind") == END
+    inside = running.filter(F.col("kind") != POINT).groupBy(*keys, "interval").agg(
+        *((F.max(F.when(at_end, F.col(c))) - F.max(F.when(~at_end, F.col(c)))).cast(t).alias(c) for c, t in _RUNNING.items())
+    )
+    return inside.select(
+        key,
+        "interval",
+        F.col("n").alias("matched"),
+        F.col("values").alias("matched_values"),
+        sum_of_parts(*(F.col(c) for c in _RUNNING if c != "n")).alias("value_sum"),
+    )
+
+
 def interval_sums(
     points: DataFrame,
     intervals: DataFrame,
@@ -81,8 +126,8 @@ def interval_sums(
     value_col: str,
     lo_col: str,
     hi_col: str,
-    bin_width: int = 24,
     keep_empty: bool = True,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """For each interval: points inside ``[lo, hi]`` of the same key.
 
@@ -93,40 +138,47 @@ def interval_sums(
                          non-null value lies inside (SQL ``sum`` semantics).
     ``point_col``, ``lo_col``, ``hi_col`` are integral positions; the
     interval columns must identify an interval (duplicates are merged).
-    ``keep_empty=False`` returns only intervals with a point inside (saves
-    the final join back to all intervals).
-
-    Plan: points are first collapsed to one row per (key, position) by
-    partial aggregation, so a hot key shrinks to its distinct positions
-    (bounded by the clock domain) before any join; then ``range_join`` on
-    (key, bin) compares each interval with at most ``bin_width`` positions
-    per bin it spans.  Sums do not depend on the order of rows and fail on no
-    value (``exact_sum``).
+    ``keep_empty=False`` returns only intervals with a point inside.  ``hot``
+    (key, deals), as of ``plans.skew.heavy_keys``, spreads heavy keys.
+
+    Sums do not depend on the order of rows: values below 1e19 are added and
+    subtracted exactly.  Only the sum of an interval that holds a larger or
+    non-finite value is as good as the difference of two sums of doubles.
     """
-    pos, n, nn, s = "_pos", "_n", "_nn", "_s"
-    per_pos = points.groupBy(key, F.col(point_col).alias(pos)).agg(
-        F.count(F.lit(1)).alias(n),
-        F.count(value_col).alias(nn),
-        exact_sum(value_col).alias(s),
-    )
-    pairs = range_join(per_pos, intervals, key, pos, lo_col, hi_col, bin_width)
-    iv_cols = [key] + [c for c in intervals.columns if c != key]
-    matched = pairs.groupBy(*iv_cols).agg(
-        F.sum(n).alias("matched"),
-        F.sum(nn).alias("matched_values"),
-        exact_sum(s).alias("value_sum"),
-    )
+    keyed = points.filter(F.col(key).isNotNull() & F.col(point_col).isNotNull())
+    at = keyed.groupBy(key, F.col(point_col).alias("_pos")).agg(*(c.alias(f"_{n}") for n, c in point_sums(F.col(value_col)).items()))
+    columns = [F.col(c) for c in intervals.columns if c != key]
+    interval = F.struct(*columns)
+    no_interval = F.lit(None).cast(intervals.select(interval.alias("i")).schema["i"].dataType)
+    of_points = at.select(key, F.array(mark(F.col("_pos"), POINT, no_interval, {c: F.col(f"_{c}") for c in _RUNNING})).alias("marks"))
+    of_intervals = intervals.filter(F.col(key).isNotNull()).select(key, ends(F.col(lo_col), F.col(hi_col), interval).alias("marks"))
+    both = dealt_marks(of_points.unionByName(of_intervals), key, hot)
+    sums = swept(both, key, "deal")
+    found = sums.filter("matched > 0").select(key, *(F.col(f"interval.`{c}`").alias(c) for c in intervals.columns if c != key), "matched", "matched_values", "value_sum")
+    measures = ["matched", "matched_values", "value_sum"]
     if not keep_empty:
-        return matched.select(
-            *[F.col(c) for c in intervals.columns],
-            "matched",
-            "matched_values",
-            F.when(F.col("matched_values") > 0, F.col("value_sum")).alias("value_sum"),
-        )
+        return found.select(*intervals.columns, *measures)
     # intervals without any point inside keep a row with zero counts
-    return intervals.join(matched, iv_cols, "left").select(
-        *[F.col(c) for c in intervals.columns],
+    back = found.select(*(F.col(c).alias(f"_{c}") for c in intervals.columns), *measures)
+    same = [intervals[c].eqNullSafe(back[f"_{c}"]) for c in intervals.columns]
+    return intervals.join(back, same, "left").select(
+        *(intervals[c] for c in intervals.columns),
         F.coalesce(F.col("matched"), F.lit(0)).cast("bigint").alias("matched"),
         F.coalesce(F.col("matched_values"), F.lit(0)).cast("bigint").alias("matched_values"),
-        F.when(F.col("matched_values") > 0, F.col("value_sum")).alias("value_sum"),
+        "value_sum",
     )
+
+
+def dealt_marks(rows: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """One row per mark of ``rows`` (key, marks), with its ``deal``.
+
+    The points of a key in ``hot`` go to all of its deals, each interval to one.
+    """
+    if hot is None:
+        return rows.select(key, F.lit(0).alias("deal"), F.explode("marks").alias("mark"))
+    sized = rows.join(F.broadcast(hot.select(F.col(key).alias("_hot"), "deals")), F.col(key) == F.col("_hot"), "left")
+    deals = F.coalesce(F.col("deals"), F.lit(1)).cast("int")
+    marked = sized.select(key, deals.alias("deals"), F.explode("marks").alias("mark"))
+    every = F.sequence(F.lit(0), F.col("deals") - 1)
+    own = F.array(F.pmod(F.xxhash64("mark.interval"), F.col("deals").cast("bigint")).cast("int"))
+    return marked.select(key, F.explode(F.when(F.col("mark.kind") == POINT, every).otherwise(own)).alias("deal"), "mark")

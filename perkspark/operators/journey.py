@@ -59,8 +59,21 @@ def interactions_from_stage_times(
     """The journey table from (customer_id, offer_id, received_time,
     viewed_time, completed_time) rows -- computed in batch or maintained by
     the incremental job in ``perkspark.streaming``."""
+    journey = journeys_from_stage_times(stages)
+    durations = offers_enriched.select("offer_id", "duration_hours")
+    joined = join_dimension(journey, durations, "offer_id", how="left", small=dim_small)
+    within = (
+        F.when(F.col("is_completed") & (F.col("time_to_complete") <= F.col("duration_hours")), True)
+        .when(F.col("is_completed"), False)
+        .otherwise(F.lit(None).cast("boolean"))
+    )
+    return schemas.enforce(joined.withColumn("completion_within_duration", within), schemas.OFFER_INTERACTIONS)
+
+
+def journeys_from_stage_times(stages: DataFrame) -> DataFrame:
+    """Journeys with their flags and times, without the offer's duration; the metrics need no more."""
     rec, view, comp = F.col("received_time"), F.col("viewed_time"), F.col("completed_time")
-    journey = stages.select(
+    return stages.select(
         "customer_id",
         "offer_id",
         "received_time",
@@ -72,11 +85,3 @@ def interactions_from_stage_times(
         (view - rec).alias("time_to_view"),
         (comp - rec).alias("time_to_complete"),
     )
-    durations = offers_enriched.select("offer_id", "duration_hours")
-    joined = join_dimension(journey, durations, "offer_id", how="left", small=dim_small)
-    within = (
-        F.when(F.col("is_completed") & (F.col("time_to_complete") <= F.col("duration_hours")), True)
-        .when(F.col("is_completed"), False)
-        .otherwise(F.lit(None).cast("boolean"))
-    )
-    return schemas.enforce(joined.withColumn("completion_within_duration", within), schemas.OFFER_INTERACTIONS)

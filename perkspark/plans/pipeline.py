@@ -114,21 +114,35 @@ class LoyaltyPipeline:
     def offer_interactions(self) -> DataFrame:
         return journey.build_interactions(self.events_processed, self.offers_enriched, dim_small=self.offers_small)
 
+    @cached_property
+    def journeys(self) -> DataFrame:
+        """The journeys as the metrics need them: no join to the offers' durations."""
+        return journey.journeys_from_stage_times(journey.stage_times(self.events_processed))
+
+    @cached_property
+    def period_money(self) -> DataFrame:
+        return channel.period_money(self.events_processed)
+
+    def journeys_are_stored(self, stored: DataFrame) -> None:
+        """From now on the metrics read the stored journey table."""
+        self.__dict__["offer_interactions"] = self.__dict__["journeys"] = stored
+        self.__dict__["period_money"] = channel.offer_period_revenue(stored, self.events_processed, keep_empty=False)
+
     # ------------------------------------------------------------- metrics
     @cached_property
     def channel_effectiveness(self) -> DataFrame:
         return channel.channel_effectiveness(
-            self.offer_interactions, self.events_processed, self.offers_enriched, dim_small=self.offer_channels_small
+            self.journeys, self.period_money, self.offers_enriched, dim_small=self.offer_channels_small
         )
 
     @cached_property
     def age_distribution(self) -> DataFrame:
-        return age.age_distribution(self.customers_cleansed, self.offer_interactions)
+        return age.age_distribution(self.customers_cleansed, self.journeys)
 
     @cached_property
     def offer_completion_metrics(self) -> DataFrame:
         return completion.offer_completion_metrics(
-            self.offer_interactions, self.offers_enriched, self.offer_channels_small
+            self.journeys, self.offers_enriched, self.offer_channels_small
         )
 
     # --------------------------------------------------------------- views

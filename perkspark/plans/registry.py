@@ -75,27 +75,27 @@ def _customer_quality_counts(spark, sf):
 
 def _channel_metrics(spark, sf):
     p = _p(spark, sf)
-    return channel.channel_metrics(p.offer_interactions, p.offers_enriched, p.offer_channels_small).withColumn(
+    return channel.channel_metrics(p.journeys, p.offers_enriched, p.offer_channels_small).withColumn(
         "avg_completion_time_hours", F.round("avg_completion_time_hours", 2)
     )
 
 
 def _channel_revenue(spark, sf):
     p = _p(spark, sf)
-    return channel.channel_revenue(p.offer_interactions, p.events_processed, p.offers_enriched, p.offer_channels_small).withColumn(
+    return channel.channel_revenue(p.period_money, p.offers_enriched, p.offer_channels_small).withColumn(
         "total_revenue_generated", F.round("total_revenue_generated", 2)
     )
 
 
 def _channel_rewards(spark, sf):
     p = _p(spark, sf)
-    return channel.channel_rewards(p.offer_interactions, p.offers_enriched, p.offer_channels_small)
+    return channel.channel_rewards(p.journeys, p.offers_enriched, p.offer_channels_small)
 
 
 def _channel_breakdown(spark, sf):
     p = _p(spark, sf)
     return channel.channel_effectiveness(
-        p.offer_interactions, p.events_processed, p.offers_enriched, breakdown=True, dim_small=p.offer_channels_small
+        p.journeys, p.period_money, p.offers_enriched, breakdown=True, dim_small=p.offer_channels_small
     )
 
 
@@ -105,30 +105,30 @@ def _channel_effectiveness_completable(spark, sf):
     p = _p(spark, sf)
     completable = p.offers_enriched.filter(F.col("difficulty") > 0)
     return channel.channel_effectiveness(
-        p.offer_interactions, p.events_processed, completable, dim_small=p.offer_channels_small
+        p.journeys, p.period_money, completable, dim_small=p.offer_channels_small
     )
 
 
 def _completion_avg_by_type_unfanned(spark, sf):
     p = _p(spark, sf)
-    return completion.completion_avg_by_type_unfanned(p.offer_interactions, p.offers_enriched, p.offers_small)
+    return completion.completion_avg_by_type_unfanned(p.journeys, p.offers_enriched, p.offers_small)
 
 
 def _completion_avg_overall(spark, sf):
     p = _p(spark, sf)
-    return completion.completion_avg_overall(p.offer_interactions, p.offers_enriched, p.offers_small)
+    return completion.completion_avg_overall(p.journeys, p.offers_enriched, p.offers_small)
 
 
 def _completion_avg_by(key):
     def run(spark, sf):
         p = _p(spark, sf)
-        return completion.completion_avg_by(p.offer_interactions, p.offers_enriched, key, p.offer_channels_small)
+        return completion.completion_avg_by(p.journeys, p.offers_enriched, key, p.offer_channels_small)
 
     return run
 
 
 def _customer_offer_status(spark, sf):
-    return age.customer_offer_status(_p(spark, sf).offer_interactions)
+    return age.customer_offer_status(_p(spark, sf).journeys)
 
 
 QUERIES: dict[str, QueryFn] = {

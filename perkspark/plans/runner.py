@@ -109,7 +109,7 @@ class LayerRunner:
                 sort_by=("event_type", "customer_id"),
             ),
         )
-        self._swap("offer_interactions", self.write(p.offer_interactions, LAYER_CLEANSED, "offer_interactions", bucket_by="customer_id"))
+        p.journeys_are_stored(self.write(p.offer_interactions, LAYER_CLEANSED, "offer_interactions", bucket_by="customer_id"))
 
         self._swap("channel_effectiveness", self.write(p.channel_effectiveness, LAYER_METRICS, "channel_effectiveness"))
         self._swap("age_distribution", self.write(p.age_distribution, LAYER_METRICS, "age_distribution_analysis"))

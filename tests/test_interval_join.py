@@ -37,7 +37,7 @@ def test_interval_sums_matches_brute_force(spark):
     pts, ivs = _data(seed=11)
     p = spark.createDataFrame(pts, "k string, t int, v double")
     i = spark.createDataFrame(ivs, "k string, iid string, lo int, hi int")
-    out = {r.iid: (r.matched, r.matched_values, r.value_sum) for r in interval_sums(p, i, "k", "t", "v", "lo", "hi", 24).collect()}
+    out = {r.iid: (r.matched, r.matched_values, r.value_sum) for r in interval_sums(p, i, "k", "t", "v", "lo", "hi").collect()}
     assert len(out) == len(ivs)
     for k, iid, lo, hi in ivs:
         inside = [v for pk, t, v in pts if pk == k and lo <= t <= hi]
@@ -50,6 +50,41 @@ def test_interval_sums_matches_brute_force(spark):
             assert s is None
 
 
+def test_heavy_keys_are_dealt_over_several_running_sums(spark):
+    from perkspark.plans.skew import heavy_keys
+
+    pts, ivs = _data(seed=13, points=900, intervals=400)
+    p = spark.createDataFrame(pts, "k string, t int, v double")
+    i = spark.createDataFrame(ivs, "k string, iid string, lo int, hi int")
+    spark.conf.set("perkspark.skew.heavyRows", "30")
+    try:
+        hot = heavy_keys(i, "k")
+        assert {r.k: r.deals for r in hot.collect()}["k0"] >= 4
+        got = interval_sums(p, i, "k", "t", "v", "lo", "hi", hot=hot).collect()
+    finally:
+        spark.conf.unset("perkspark.skew.heavyRows")
+    want = interval_sums(p, i, "k", "t", "v", "lo", "hi").collect()
+    key = lambda r: r.iid
+    assert sorted(got, key=key) == sorted(want, key=key) and len(got) == len(ivs)
+
+
+def test_sums_of_odd_values_and_keys(spark):
+    """Money is exact beside huge amounts; nulls match nothing; equal intervals are one."""
+    pts = [("a", 1, 1e25), ("a", 2, 0.1), ("a", 3, 0.2), ("a", 4, 1e-12), ("b", 1, float("inf")), ("b", 2, 5.0), ("b", 3, None), (None, 2, 1.0), ("a", None, 1.0)]
+    ivs = [("a", "later", 2, 3), ("a", "tiny", 2, 4), ("a", "all", 0, 9), ("b", "with", 0, 2), ("b", "after", 2, 3), (None, "none", 0, 9), ("a", "open", None, 3)]
+    p = spark.createDataFrame(pts, "k string, t int, v double")
+    i = spark.createDataFrame([*ivs, ivs[0]], "k string, iid string, lo int, hi int")
+    out = {}
+    for r in interval_sums(p, i, "k", "t", "v", "lo", "hi").collect():
+        out.setdefault(r.iid, []).append((r.matched, r.matched_values, r.value_sum))
+    assert out["later"] == [(2, 2, 0.3)] * 2 and out["all"] == [(4, 4, 1e25)]
+    assert out["tiny"][0][:2] == (3, 3) and abs(out["tiny"][0][2] - 0.300000000001) < 1e-15
+    assert out["with"] == [(2, 2, float("inf"))] and out["after"] == [(2, 1, 5.0)]
+    assert out["none"] == out["open"] == [(0, 0, None)]
+    some = interval_sums(p, i, "k", "t", "v", "lo", "hi", keep_empty=False)
+    assert some.columns[:4] == i.columns and {r.iid for r in some.collect()} == {"later", "tiny", "all", "with", "after"}
+
+
 def test_interval_bounds_are_inclusive(spark):
     p = spark.createDataFrame([("c", 10, 1.0), ("c", 20, 2.0), ("c", 9, 4.0), ("c", 21, 8.0)], "k string, t int, v double")
     i = spark.createDataFrame([("c", "x", 10, 20), ("c", "y", 15, 14)], "k string, iid string, lo int, hi int")

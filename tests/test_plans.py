@@ -22,12 +22,18 @@ def static_plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_revenue_joins_on_member_and_bin(spark, static_plans):
+def test_revenue_is_a_sweep_over_one_scan_of_the_events(spark, static_plans):
     plan = _plan(spark, "channel_revenue")
-    # the range join is keyed by (member, bin), never by member alone
-    assert re.search(r"(SortMergeJoin|BroadcastHashJoin) \[customer_id#\d+, _bin#\d+L?\]", plan), plan
-    # transactions are collapsed to (member, hour) before the join
-    assert re.search(r"HashAggregate\(keys=\[customer_id#\d+, event_time_hours#\d+\], functions=\[partial_", plan)
+    assert "_bin" not in plan and "SortMergeJoin" not in plan
+    # journeys and transaction hours from one aggregate; besides, only the members' ids are counted
+    scans = [s for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "user_id" in s]
+    assert len(scans) == 2 and "user_id:bigint" in scans, scans
+    assert re.search(r"HashAggregate\(keys=\[customer_id#\d+, offer_id#\d+, hour#\d+", plan) or re.search(r"HashAggregate\(keys=\[customer_id#\d+, offer_id#\d+, _groupingexpression#\d+\]", plan), plan
+
+
+def test_metrics_do_not_join_the_durations(spark, static_plans):
+    for name in ("age_distribution", "customer_offer_status", "channel_metrics", "offer_completion_metrics"):
+        assert "duration" not in _plan(spark, name), name
 
 
 def test_journey_is_one_partial_aggregate(spark, static_plans):
@@ -41,7 +47,7 @@ def test_only_proven_dimensions_are_broadcast(spark, static_plans):
     # aggregate (grows with the data) must not be broadcast
     plan = _plan(spark, "channel_revenue")
     for m in re.finditer(r"BroadcastExchange.*\n(.*\n){0,3}", plan):
-        assert "event_time_hours" not in m.group(0)
+        assert "event_time_hours" not in m.group(0) and "hour" not in m.group(0)
 
 
 def test_scans_read_only_needed_columns(spark, static_plans):
@@ -69,7 +75,8 @@ def test_above_the_bound_dimensions_are_not_broadcast(spark, static_plans):
         assert big.offers_small is False
         assert big.offer_channels_small is False
         df = big.channel_effectiveness
-        assert "BroadcastExchange" not in physical_plan(df)
+        # only the bounded list of heavy members is broadcast
+        assert re.findall(r"BroadcastHashJoin \[(\w+)#", physical_plan(df)) == ["customer_id"]
         assert rows(df, *df.columns) == expected
     finally:
         spark.conf.unset("perkspark.broadcast.maxRows")
@@ -106,11 +113,11 @@ def test_completion_distinct_members_need_no_expand(spark, static_plans):
     assert re.search(r"HashAggregate\(keys=\[offer_type#\d+, channel#\d+, customer_id#\d+\], functions=\[partial_(bool_or|max)", plan), plan
 
 
-def test_channel_revenue_reduces_pairs_per_offer_and_needs_no_expand(spark, static_plans):
+def test_channel_revenue_counts_offers_and_members_in_one_aggregate(spark, static_plans):
     plan = _plan(spark, "channel_revenue")
     assert "Expand [" not in plan
-    # sums are taken per offer before the channel fan-out
-    assert re.search(r"HashAggregate\(keys=\[offer_id#\d+\], functions=\[partial_sum", plan), plan
+    # partial sums per (channel, id) before anything is shuffled
+    assert re.search(r"HashAggregate\(keys=\[channel#\d+, .*functions=\[partial_sum", plan), plan
 
 
 def test_no_registered_query_plans_an_expand(spark, static_plans):

@@ -47,6 +47,16 @@ def test_hot_member_matches_oracle(spark, skewed_dir, name):
     assert res["match"], res
 
 
+@pytest.mark.parametrize("name", ["channel_revenue", "channel_effectiveness"])
+def test_hot_member_dealt_over_several_sweeps(spark, skewed_dir, name):
+    spark.conf.set("perkspark.skew.heavyRows", "500")
+    try:
+        res = compare(QUERIES[name](spark, skewed_dir), ORACLE_SQL[name], duck_connection(skewed_dir))
+    finally:
+        spark.conf.unset("perkspark.skew.heavyRows")
+    assert res["match"], res
+
+
 @pytest.fixture(scope="module")
 def skewed_orders_dir(spark):
     """Every third order belongs to customer 1 (a third of all orders)."""
