@@ -13,29 +13,79 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perkspark.constants import FLAG_VALID, OFFER_EVENTS, STATUS_COMPLETED, STATUS_NOT_COMPLETED, UNNAMED_CHANNEL
+from perkspark.constants import (
+    FLAG_VALID,
+    LAYER_CLEANSED,
+    LAYER_METRICS,
+    LAYER_RAW,
+    OFFER_EVENTS,
+    STATUS_COMPLETED,
+    STATUS_NOT_COMPLETED,
+    UNNAMED_CHANNEL,
+)
 from perkspark.functions.numeric import exact_mean
 
 
-def _count_row(df: DataFrame, layer: str, name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"
-    )
+#: (name, SQL condition) of the audit's quality counts, by the table they are taken from.
+QUALITY = {
+    "customers_cleansed": ("customers_not_valid", f"data_quality_flag <> '{FLAG_VALID}'"),
+    "events_processed": ("offer_events_unparsed", f"event_type IN {OFFER_EVENTS} AND offer_id IS NULL"),
+}
 
 
-def layer_audit(tables: dict[tuple[str, str], DataFrame], customers_cleansed: DataFrame, events_processed: DataFrame) -> DataFrame:
+def _lines(counts: DataFrame, lines: list[tuple[str, str, str]]) -> DataFrame:
+    """One row of counts as (layer, table_name, row_count) rows; a null count is 0."""
+    structs = [
+        F.struct(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("row_count"))
+        for layer, name, c in lines
+    ]
+    return counts.select(F.inline(F.array(*structs)))
+
+
+def layer_audit(
+    customers_cleansed: DataFrame,
+    offers_enriched: DataFrame,
+    events_processed: DataFrame,
+    offer_interactions: DataFrame,
+    channel_effectiveness: DataFrame,
+    age_distribution: DataFrame,
+    offer_completion_metrics: DataFrame,
+) -> DataFrame:
     """(layer, table_name, row_count) for every table and view, plus two
-    quality lines: members not flagged valid, offer events without offer id."""
-    rows = [_count_row(df, layer, name) for (layer, name), df in tables.items()]
-    rows.append(_count_row(customers_cleansed.filter(F.col("data_quality_flag") != FLAG_VALID), "quality", "customers_not_valid"))
-    rows.append(
-        _count_row(
-            events_processed.filter(F.col("event_type").isin(*OFFER_EVENTS) & F.col("offer_id").isNull()),
-            "quality",
-            "offer_events_unparsed",
-        )
-    )
-    return reduce(DataFrame.unionByName, rows)
+    quality lines: members not flagged valid, offer events without offer id.
+
+    Cleansing keeps every row, so a raw table and its cleansed one are counted
+    together, with their quality line; a view that groups a metric table is
+    counted with it.  All counts of journeys are made to depend on receipt and
+    completion, as the metrics do, so that their plans share one aggregate of the
+    events: these are scanned twice in all.
+    """
+    rows = F.count(F.lit(1)).alias("n")
+    parts = []
+    for raw, cleansed, df in (
+        ("customers", "customers_cleansed", customers_cleansed),
+        ("offers", "offers_enriched", offers_enriched),
+        ("events", "events_processed", events_processed),
+    ):
+        lines = [(LAYER_RAW, raw, "n"), (LAYER_CLEANSED, cleansed, "n")]
+        counts = [rows]
+        if cleansed in QUALITY:
+            name, condition = QUALITY[cleansed]
+            counts.append(F.count_if(F.expr(condition)).alias("q"))
+            lines.append(("quality", name, "q"))
+        parts.append(_lines(df.agg(*counts), lines))
+    got, done = F.col("received_time").isNotNull(), F.col("completed_time").isNotNull()
+    journeys = offer_interactions.agg((F.count_if(got) + F.count_if(~got & done) + F.count_if(~got & ~done)).alias("n"))
+    parts.append(_lines(journeys, [(LAYER_CLEANSED, "offer_interactions", "n")]))
+    channels = channel_effectiveness.agg(F.count("completion_rate").alias("n"))  # never null: a channel has receipts
+    parts.append(_lines(channels, [(LAYER_METRICS, "channel_effectiveness", "n"), (LAYER_METRICS, "v_channel_performance", "n")]))
+    for table, view, df, key in (
+        ("age_distribution_analysis", "v_age_summary", age_distribution, "age_group"),
+        ("offer_completion_metrics", "v_offer_summary", offer_completion_metrics, "offer_type"),
+    ):
+        groups = df.groupBy(key).agg(rows).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups"))
+        parts.append(_lines(groups, [(LAYER_METRICS, table, "n"), (LAYER_METRICS, view, "groups")]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def channel_rates_sorted(channel_effectiveness: DataFrame) -> DataFrame:

@@ -156,6 +156,23 @@ FROM offer_completion_metrics""",
     "offer_types": "SELECT DISTINCT offer_type FROM offer_completion_metrics",
 }
 
+# fixed values: the columns that the raw and cleansed contracts declare non-null
+_NON_NULL = {
+    "customers": "customer_id",
+    "offers": "offer_id offer_type difficulty reward duration channels",
+    "events": "customer_id event time",
+    "customers_cleansed": "customer_id data_quality_flag",
+    "offers_enriched": "offer_id offer_type difficulty reward duration duration_hours",
+    "events_processed": "event_id customer_id event_type event_time_hours event_timestamp event_date",
+    "offer_interactions": "customer_id offer_id is_received is_viewed is_completed",
+}
+_SELECTS["contract_violations"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{column}' AS column_name, COUNT(*) FILTER (WHERE {column} IS NULL) AS violations "
+    f"FROM {'loyalty_events' if table == 'events' else table}"
+    for table, columns in _NON_NULL.items()
+    for column in columns.split()
+)
+
 for _name, _order in {
     "v_channel_performance": "effectiveness_rank, channel",
     "v_age_summary": "age_group NULLS LAST",
@@ -172,6 +189,8 @@ ORACLE_SQL: dict[str, str] = {name: with_layers(select) for name, select in _SEL
 # Warehouse-size operator queries: plain SQL over the star-schema views.
 ORACLE_SQL.update(
     {
+        "events_csv_round_trip": "SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts) FROM events",
+        "part_csv_round_trip": "SELECT * FROM part",
         "tpch_segment_conditional_sums": f"""
 SELECT c.c_mktsegment, COUNT(*) AS orders,
        CAST(SUM(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS finished_orders,

@@ -14,7 +14,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkspark.constants import DEFAULT_AS_OF, DEFAULT_PERIOD_START, LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW
+from perkspark import schemas
+from perkspark.constants import DEFAULT_AS_OF, DEFAULT_PERIOD_START
 from perkspark.operators import age, channel, cleanse, completion, journey, reports, views
 from perkspark.plans.broadcast import has_at_most, max_broadcast_rows
 
@@ -159,22 +160,18 @@ class LoyaltyPipeline:
         return views.offer_summary_view(self.offer_completion_metrics)
 
     # ------------------------------------------------------------- reports
-    def layer_tables(self) -> dict[tuple[str, str], DataFrame]:
-        return {
-            (LAYER_RAW, "customers"): self.customers,
-            (LAYER_RAW, "offers"): self.offers,
-            (LAYER_RAW, "events"): self.events,
-            (LAYER_CLEANSED, "customers_cleansed"): self.customers_cleansed,
-            (LAYER_CLEANSED, "offers_enriched"): self.offers_enriched,
-            (LAYER_CLEANSED, "events_processed"): self.events_processed,
-            (LAYER_CLEANSED, "offer_interactions"): self.offer_interactions,
-            (LAYER_METRICS, "channel_effectiveness"): self.channel_effectiveness,
-            (LAYER_METRICS, "age_distribution_analysis"): self.age_distribution,
-            (LAYER_METRICS, "offer_completion_metrics"): self.offer_completion_metrics,
-            (LAYER_METRICS, "v_channel_performance"): self.v_channel_performance,
-            (LAYER_METRICS, "v_age_summary"): self.v_age_summary,
-            (LAYER_METRICS, "v_offer_summary"): self.v_offer_summary,
-        }
-
     def layer_audit(self) -> DataFrame:
-        return reports.layer_audit(self.layer_tables(), self.customers_cleansed, self.events_processed)
+        return reports.layer_audit(
+            self.customers_cleansed,
+            self.offers_enriched,
+            self.events_processed,
+            self.offer_interactions,
+            self.channel_effectiveness,
+            self.age_distribution,
+            self.offer_completion_metrics,
+        )
+
+    def contract_violations(self) -> DataFrame:
+        """Nulls where the raw and cleansed contracts declare none."""
+        names = ("customers", "offers", "events", "customers_cleansed", "offers_enriched", "events_processed", "offer_interactions")
+        return schemas.contract_violations({name: getattr(self, name) for name in names})

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from perkspark.functions.numeric import exact_sum
 from perkspark.operators import age, channel, completion, reports, warehouse
 from perkspark.plans.pipeline import LoyaltyPipeline
+from perkspark.sources.csv import as_csv_lines, from_csv_lines
 from perkspark.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -172,6 +173,7 @@ QUERIES: dict[str, QueryFn] = {
     },
     # reports
     "layer_audit": lambda s, sf: _p(s, sf).layer_audit(),
+    "contract_violations": lambda s, sf: _p(s, sf).contract_violations(),
     "channel_rates_sorted": lambda s, sf: reports.channel_rates_sorted(_p(s, sf).channel_effectiveness),
     "age_status_matrix": lambda s, sf: reports.age_status_matrix(_p(s, sf).age_distribution),
     "offer_type_summary": lambda s, sf: reports.offer_type_summary(_p(s, sf).offer_completion_metrics),
@@ -189,6 +191,19 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 
+def _csv_round_trip(name: str):
+    """Every row of a warehouse table written as CSV text and read back, typed."""
+
+    def run(spark, sf):
+        rows = read_table(spark, sf, name)
+        return from_csv_lines(as_csv_lines(rows), rows.schema)
+
+    return run
+
+
+QUERIES.update({f"{name}_csv_round_trip": _csv_round_trip(name) for name in ("events", "part")})
+
+
 def _t(spark, sf, name, cols):
     return read_table(spark, sf, name, cols)
 

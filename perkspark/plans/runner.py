@@ -3,7 +3,14 @@
 Each layer is written as a managed table (full overwrite) and the next
 layer reads the *written* table, not the plan that produced it: lineage is
 cut at every layer boundary, so a lost executor costs at most the current
-layer, and every plan runs once.  Audits count the written tables.
+layer, and every plan runs once.
+
+* An overwrite first writes a staging table and then swaps names, so a write
+  that fails half-way leaves the table as it was.
+* Rows, quality lines and nulls against the contract are observed while a table
+  is written (``DataFrame.observe``), so that the audit scans no stored table.
+* Rows of CSV files that do not fit go to a quarantine table, with their file
+  and text, and the audit has a line for each file.
 
 Physical layout (large tables only):
 * ``events_processed`` is partitioned by ``event_date`` -- date filters
@@ -17,15 +24,22 @@ Physical layout (large tables only):
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from perkspark.constants import FLAG_VALID, LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW, OFFER_EVENTS
+from perkspark import schemas
+from perkspark.constants import LAYER_CLEANSED, LAYER_METRICS, LAYER_RAW
 from perkspark.operators import views
+from perkspark.operators.reports import QUALITY
 from perkspark.plans.pipeline import LoyaltyPipeline
+from perkspark.sources.csv import CsvFiles
+
+REJECTS = "rejects"
+_TRACKED = "spark.sql.hive.manageFilesourcePartitions"
 
 
 @dataclass
@@ -37,7 +51,10 @@ class LayerRunner:
     )
     table_format: str = "parquet"
     buckets: int | None = None
+    csv_files: dict[str, CsvFiles] = field(default_factory=dict)
     written: dict[tuple[str, str], str] = field(default_factory=dict)
+    observed: dict[tuple[str, str], dict[str, int]] = field(default_factory=dict)
+    rejected: dict[str, int] = field(default_factory=dict)
 
     def table_name(self, layer: str, name: str) -> str:
         return f"{self.databases[layer]}.{name}"
@@ -55,7 +72,9 @@ class LayerRunner:
         bucket_by: str | None = None,
         sort_by: tuple[str, ...] = (),
     ) -> DataFrame:
-        """Overwrite ``layer.name`` with ``df`` and return the stored table.
+        """Replace ``layer.name`` by ``df`` and return the stored table.
+
+        Readers see the old table until the new one is complete.
 
         Every write task would open one file per bucket or per partition
         value it holds (tasks x buckets files), so rows are first arranged
@@ -76,15 +95,66 @@ class LayerRunner:
         if sort_by:
             lead = (partition_by,) if partition_by and partition_by not in sort_by else ()
             df = df.sortWithinPartitions(*lead, *sort_by)
+        # observed on top of the plan: counted once by the tasks that write
+        observation = Observation(f"{full}-{uuid.uuid4().hex}")
+        measures = {"rows": F.count(F.lit(1)), **{f"null {c}": v for c, v in schemas.violations(schemas.CONTRACTS.get(name, schemas.NO_CONTRACT)).items()}}
+        if name in QUALITY:
+            line, condition = QUALITY[name]
+            measures[line] = F.count_if(F.expr(condition))
+        df = df.observe(observation, *(m.alias(n) for n, m in measures.items()))
+        staging = f"{full}__staging"
         writer = df.write.mode("overwrite").format(self.table_format)
         if partition_by:
             writer = writer.partitionBy(partition_by)
         if bucket_by:
             writer = writer.bucketBy(n, bucket_by).sortBy(bucket_by)
-        writer.saveAsTable(full)
+        self._recover(full)
+        # partitions are found in the table's folder, so that they follow its name
+        tracked = self.spark.conf.get(_TRACKED)
+        self.spark.conf.set(_TRACKED, "false")
+        try:
+            writer.saveAsTable(staging)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            raise
+        finally:
+            self.spark.conf.set(_TRACKED, tracked)
+        self._replace(full, staging)
         self.written[(layer, name)] = full
+        self.observed[(layer, name)] = observation.get
         return self.spark.table(full)
 
+    def _recover(self, full: str) -> None:
+        """Put back the old table of a swap that was broken off between its two renames."""
+        exists = self.spark.catalog.tableExists
+        if exists(f"{full}__previous"):
+            if exists(full):
+                self.spark.sql(f"DROP TABLE {full}__previous")
+            else:
+                self.spark.sql(f"ALTER TABLE {full}__previous RENAME TO {full}")
+
+    def _replace(self, full: str, staging: str) -> None:
+        old = self.spark.catalog.tableExists(full)
+        if old:
+            self.spark.sql(f"ALTER TABLE {full} RENAME TO {full}__previous")
+        try:
+            self.spark.sql(f"ALTER TABLE {staging} RENAME TO {full}")
+        except Exception:
+            self._recover(full)
+            raise
+        if old:
+            self.spark.sql(f"DROP TABLE {full}__previous")
+
+    def write_rejects(self) -> None:
+        """The rows of the CSV files that do not fit, as a table of the raw layer, and their number by file."""
+        rejects = [files.rejects().select(F.lit(source).alias("source"), "*") for source, files in self.csv_files.items()]
+        if not rejects:
+            return
+        table = self.write(reduce(DataFrame.unionByName, rejects), LAYER_RAW, REJECTS)
+        found = {r["file"]: r["n"] for r in table.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}
+        files = [f for source in self.csv_files.values() for f in source.files()]
+        self.rejected = {f: found.get(f, 0) for f in files}
+
     def _swap(self, attr: str, stored: DataFrame) -> None:
         """Later layers read the stored table instead of re-running the plan."""
         self.pipeline.__dict__[attr] = stored
@@ -93,6 +163,7 @@ class LayerRunner:
         """Run every layer; returns the audit of the written tables and views."""
         p = self.pipeline
         self.create_databases()
+        self.write_rejects()
         p.customers = self.write(p.customers, LAYER_RAW, "customers")
         p.offers = self.write(p.offers, LAYER_RAW, "offers")
         p.events = self.write(p.events, LAYER_RAW, "events")
@@ -134,58 +205,38 @@ class LayerRunner:
     def audit(self) -> DataFrame:
         """(layer, table_name, row_count, error) over the stored tables and views.
 
-        All counts run as one job (a union of per-table counts, whose stages
-        run side by side).  A table or view that cannot be read gets a null
-        count and the error text instead of failing the whole audit: names
-        that do not resolve are caught one by one, and if the combined job
-        fails the tables are counted one at a time.
+        Counts of tables are those observed when they were written; only the
+        views, a few rows each, are counted now.  Further lines: the quality
+        counts, nulls in contract columns (a line for each table, and one for each
+        column that has any), and rejected rows of each CSV file.  A table or view
+        that cannot be resolved or read gets a null count and the error text.
         """
-        schema = "layer string, table_name string, row_count long, error string"
-        readable: dict[tuple[str, str], DataFrame] = {}
-        failed: dict[tuple[str, str], str] = {}
-        for key, full in self.written.items():
+        rows: list[tuple[str, str, int | None, str | None]] = []
+        lost: dict[str, str] = {}
+        for (layer, name), full in self.written.items():
+            count, error = None, None
             try:
-                readable[key] = self.spark.table(full)
+                stored = self.spark.table(full)
+                count = self.observed[layer, name]["rows"] if (layer, name) in self.observed else stored.count()
             except Exception as exc:  # reported, not raised
-                failed[key] = _first_line(exc)
-        quality = {
-            "customers_not_valid": ("customers_cleansed", F.col("data_quality_flag") != FLAG_VALID),
-            "offer_events_unparsed": ("events_processed", F.col("event_type").isin(*OFFER_EVENTS) & F.col("offer_id").isNull()),
-        }
-        for name, (source, condition) in quality.items():
-            try:
-                readable[("quality", name)] = self.spark.table(self.table_name(LAYER_CLEANSED, source)).filter(condition)
-            except Exception as exc:
-                failed[("quality", name)] = _first_line(exc)
-        try:
-            counts = {(r.layer, r.table_name): r.row_count for r in _count_rows(readable).collect()}
-        except Exception:
-            counts = {}
-            for key, df in readable.items():
-                try:
-                    counts[key] = df.count()
-                except Exception as exc:
-                    failed[key] = _first_line(exc)
-        order = [*self.written, *(("quality", name) for name in quality)]
-        rows = [(layer, name, counts.get((layer, name)), failed.get((layer, name))) for layer, name in order]
-        return self.spark.createDataFrame(rows, schema)
+                error = lost[name] = _first_line(exc)
+            rows.append((layer, name, count, error))
+        for name, (line, _) in QUALITY.items():
+            observed = self.observed.get((LAYER_CLEANSED, name), {})
+            rows.append(("quality", line, None if name in lost else observed.get(line), lost.get(name)))
+        for (_, name), observed in self.observed.items():
+            nulls = {f"{name}.{key.removeprefix('null ')}": n for key, n in observed.items() if key.startswith("null ")}
+            if nulls:
+                rows.append(("contract", name, sum(nulls.values()), None))
+                rows.extend(("contract", column, n, None) for column, n in nulls.items() if n)
+        rows.extend((REJECTS, file, n, None) for file, n in self.rejected.items())
+        return self.spark.createDataFrame(rows, "layer string, table_name string, row_count long, error string")
 
 
 def _first_line(exc: Exception) -> str:
     return (str(exc).splitlines() or [type(exc).__name__])[0]
 
 
-def _count_rows(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
-    """One (layer, table_name, row_count) row per table, as a single plan."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"
-        )
-        for (layer, name), df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
-
-
 def main(argv: list[str] | None = None) -> None:
     """``python -m perkspark.plans.runner (--csv FOLDER | --warehouse SF_DIR)``"""
     import argparse
@@ -205,11 +256,13 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = build_session()
+    files = {}
     if args.csv:
         from perkspark.constants import DEFAULT_AS_OF, DEFAULT_PERIOD_START
-        from perkspark.sources.csv import load_raw_csv
+        from perkspark.sources.csv import raw_csv_files
 
-        customers, offers, events = load_raw_csv(spark, args.csv)
+        files = raw_csv_files(spark, args.csv)
+        customers, offers, events = (files[name].rows() for name in ("customers", "offers", "events"))
         pipeline = LoyaltyPipeline(
             customers,
             offers,
@@ -221,7 +274,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         pipeline = LoyaltyPipeline.from_warehouse(spark, args.warehouse)
     databases = {layer: args.database_prefix + layer for layer in (LAYER_RAW, LAYER_CLEANSED, LAYER_METRICS)}
-    LayerRunner(spark, pipeline, databases, args.format, args.buckets).run().show(truncate=False)
+    LayerRunner(spark, pipeline, databases, args.format, args.buckets, files).run().show(truncate=False)
 
 
 if __name__ == "__main__":

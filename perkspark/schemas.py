@@ -3,12 +3,16 @@
 ``enforce(df, CONTRACT)`` ends each layer function: it selects the contract's
 columns in the contract's order and casts each to the contract's type, so a
 drifting expression type (``count`` giving bigint, an integer median, a
-decimal literal) can never leak into a written table.
+decimal literal) can never leak into a written table.  A null in a column that
+the contract declares non-null is no error, since no row may be lost for it; it
+is counted (``violations``), by the runner while it writes the table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,6 +129,9 @@ OFFER_COMPLETION_METRICS = _s(
     ("total_customers_targeted", L, False),
 )
 
+#: Of tables without a contract (rejected rows).
+NO_CONTRACT = T.StructType([])
+
 CONTRACTS: dict[str, T.StructType] = {
     "customers": RAW_CUSTOMERS,
     "offers": RAW_OFFERS,
@@ -148,3 +155,18 @@ def enforce(df: DataFrame, contract: T.StructType) -> DataFrame:
     if missing:
         raise ValueError(f"columns {missing} required by the contract are missing")
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])
+
+
+def violations(contract: T.StructType) -> dict[str, Column]:
+    """For each non-null column of ``contract``, the aggregate that counts its nulls."""
+    return {f.name: F.count_if(F.col(f"`{f.name}`").isNull()) for f in contract.fields if not f.nullable}
+
+
+def contract_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, violations) of every non-null contract column; one aggregate a table."""
+    parts = []
+    for name, df in tables.items():
+        counts = violations(CONTRACTS[name])
+        lines = [F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("violations")) for c in counts]
+        parts.append(df.agg(*(v.alias(c) for c, v in counts.items())).select(F.inline(F.array(*lines))))
+    return reduce(DataFrame.unionByName, parts)
