@@ -7,8 +7,11 @@ form.  Sums of many doubles depend on summation order; ``exact_sum`` and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 
 def _exact_part(col: Column) -> Column:
@@ -25,10 +28,19 @@ def exact_sum(c: Column | str) -> Column:
     order of rows does not matter; all others (huge or finer ones, infinities)
     are added as the doubles they are.
     """
+    return _exact_sum(c, lambda part: F.sum(part))
+
+
+def exact_sum_over(c: Column | str, window: WindowSpec) -> Column:
+    """``exact_sum`` over a window."""
+    return _exact_sum(c, lambda part: F.sum(part).over(window))
+
+
+def _exact_sum(c: Column | str, total: Callable[[Column], Column]) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     exact = _exact_part(col)
-    rest = F.sum(F.when(exact.isNull(), col.cast("double")))
-    whole = F.sum(exact).cast("double")
+    rest = total(F.when(exact.isNull(), col.cast("double")))
+    whole = total(exact).cast("double")
     return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
 
 

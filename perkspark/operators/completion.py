@@ -24,7 +24,7 @@ def type_channels(offers_enriched: DataFrame) -> DataFrame:
 def completion_analysis(interactions: DataFrame, offers_enriched: DataFrame, dim_small: bool | None = None) -> DataFrame:
     """Completed journeys, one row per channel of the offer."""
     completed = interactions.filter(F.col("is_completed")).select("offer_id", "customer_id", "time_to_complete")
-    return join_dimension(completed, type_channels(offers_enriched), "offer_id", small=dim_small)
+    return join_dimension(completed, type_channels(offers_enriched), "offer_id", small=dim_small, hot=True)
 
 
 def offer_completion_metrics(
@@ -67,7 +67,7 @@ def offer_completion_metrics(
     )
     dims = offers_enriched.select("offer_id", "offer_type", "channels_list")
     reach = (
-        join_dimension(journeys.filter(F.col("customer_id").isNotNull()), dims, "offer_id", small=dim_small)
+        join_dimension(journeys.filter(F.col("customer_id").isNotNull()), dims, "offer_id", small=dim_small, hot=True)
         .groupBy("offer_type", "channels_list", "customer_id")
         .agg(F.bool_or(done).alias("any_done"), F.bool_or(got).alias("any_got"))
         .select("offer_type", F.explode("channels_list").alias("channel"), "customer_id", "any_done", "any_got")
@@ -102,17 +102,15 @@ def completion_avg_overall(
     """One row: mean completion time over the channel-fanned rows (as the
     programme reports it, an offer on 4 channels counts 4 times) and over
     journeys (each completed journey once)."""
-    completed = interactions.filter(F.col("is_completed")).select("offer_id", "time_to_complete")
     dims = offers_enriched.select("offer_id", F.size("channels_list").alias("n_ch"))
-    per_journey = join_dimension(completed, dims, "offer_id", small=dim_small)
-    t, n = F.col("time_to_complete"), F.col("n_ch")
+    per_offer = join_dimension(_per_offer_times(interactions), dims, "offer_id", small=dim_small)
+    n = F.greatest(F.col("n_ch"), F.lit(0))
     # weighted by channel count == the mean over exploded rows
-    fanned_rows = F.when(t.isNotNull() & (n > 0), n)
-    return per_journey.agg(
-        F.round(F.sum(t * fanned_rows) / F.sum(fanned_rows), 2).alias("avg_hours_channel_rows"),
-        F.round(F.avg(t), 2).alias("avg_hours_per_journey"),
-        F.coalesce(F.sum(F.greatest(n, F.lit(0))), F.lit(0)).cast("bigint").alias("completions_channel_rows"),
-        F.count(F.lit(1)).alias("completions_journeys"),
+    return per_offer.agg(
+        F.round(F.try_divide(F.sum(F.col("hours") * n), F.sum(F.when(F.col("timed") > 0, F.col("timed") * n))), 2).alias("avg_hours_channel_rows"),
+        F.round(F.try_divide(F.sum("hours"), F.sum("timed")), 2).alias("avg_hours_per_journey"),
+        F.coalesce(F.sum(F.col("journeys") * n), F.lit(0)).cast("bigint").alias("completions_channel_rows"),
+        F.coalesce(F.sum("journeys"), F.lit(0)).cast("bigint").alias("completions_journeys"),
     )
 
 

@@ -61,7 +61,7 @@ def interactions_from_stage_times(
     the incremental job in ``perkspark.streaming``."""
     journey = journeys_from_stage_times(stages)
     durations = offers_enriched.select("offer_id", "duration_hours")
-    joined = join_dimension(journey, durations, "offer_id", how="left", small=dim_small)
+    joined = join_dimension(journey, durations, "offer_id", how="left", small=dim_small, hot=True)
     within = (
         F.when(F.col("is_completed") & (F.col("time_to_complete") <= F.col("duration_hours")), True)
         .when(F.col("is_completed"), False)

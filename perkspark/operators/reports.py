@@ -24,6 +24,7 @@ from perkspark.constants import (
     UNNAMED_CHANNEL,
 )
 from perkspark.functions.numeric import exact_mean
+from perkspark.plans.stored import stored
 
 
 #: (name, SQL condition) of the audit's quality counts, by the table they are taken from.
@@ -133,12 +134,16 @@ def offer_channel_matrix(offer_completion_metrics: DataFrame, measure: str) -> D
     """offer_type x channel -> ``measure``; absent pairs are null.
 
     Every channel of the metric table is a column, in name order; offers
-    without a channel name are under ``UNNAMED_CHANNEL``.
+    without a channel name are under ``UNNAMED_CHANNEL``.  Which columns there are
+    depends on the rows, so each type's cells are first stored as one map, from a
+    single run of the metrics; the maps' keys then name the columns.
     """
-    named = offer_completion_metrics.withColumn(
-        "channel", F.when(F.length("channel") > 0, F.col("channel")).otherwise(UNNAMED_CHANNEL)
-    )
-    return named.groupBy("offer_type").pivot("channel").agg(F.first(measure))
+    channel = F.when(F.length("channel") > 0, F.col("channel")).otherwise(UNNAMED_CHANNEL)
+    cells = F.map_from_entries(F.collect_list(F.struct(channel.alias("channel"), F.col(measure).alias("value"))))
+    maps = stored(offer_completion_metrics.groupBy("offer_type").agg(cells.alias("cells")), "offer-channel-cells")
+    channels = maps.select(F.explode(F.map_keys("cells")).alias("channel")).distinct()
+    names = sorted(r["channel"] for r in channels.collect())
+    return maps.select("offer_type", *(F.col("cells").getItem(name).alias(name) for name in names))
 
 
 def best_combinations(offer_completion_metrics: DataFrame, k: int = 5) -> DataFrame:

@@ -3,13 +3,13 @@
 The loyalty tables are small by nature (a few offers, a month of events);
 these queries run the same operator shapes -- conditional sums and means
 over a fact-dimension join, an equi + range join, count-distincts next to
-plain aggregates, an approximate median over a join, a pivot of minima,
-share-of-partition and rank windows -- over the big tables.
+plain aggregates, an exact median over a join, a pivot of minima,
+share-of-partition and rank windows, a rank over all customers -- over the big tables.
 
 Plan shape: facts are reduced to one row per join key (partial
 aggregation) before they meet a dimension whose size grows with the data
-(customers), so the shuffle carries keys, not facts.  Money is summed as
-``decimal(28,2)``, which is exact and order independent.
+(customers), so the shuffle carries keys, not facts.  Money is summed by
+``exact_sum``, which does not depend on the order of rows and fails on no amount.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perkspark.operators.interval_join import range_join
+from perkspark.functions.numeric import exact_sum, exact_sum_over
+from perkspark.operators.distinct import distinct_counts
+from perkspark.operators.ranking import medians, ranked, splitters
 from perkspark.plans.broadcast import join_dimension
+from perkspark.plans.stored import stored
 
-MONEY = "decimal(28,2)"
 # --- fixed values: TPC-H order priorities and their column names ------------
 PRIORITIES = (
     ("1-URGENT", "urgent"),
@@ -31,18 +33,14 @@ PRIORITIES = (
 )
 
 
-def _money_sum(c) -> F.Column:
-    return F.sum(F.col(c).cast(MONEY) if isinstance(c, str) else c.cast(MONEY))
-
-
 def orders_per_customer(orders: DataFrame) -> DataFrame:
     """One row per customer key: order count, finished orders, money sums."""
     finished = F.col("o_orderstatus") == "F"
     return orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.count_if(finished).alias("n_finished"),
-        _money_sum(F.when(finished, F.col("o_totalprice"))).alias("finished_price"),
-        _money_sum("o_totalprice").alias("total_price"),
+        exact_sum(F.when(finished, F.col("o_totalprice"))).alias("finished_price"),
+        exact_sum("o_totalprice").alias("total_price"),
     )
 
 
@@ -54,41 +52,39 @@ def segment_conditional_sums(customer: DataFrame, orders: DataFrame) -> DataFram
     agg = joined.groupBy("c_mktsegment").agg(
         F.sum("n_orders").alias("orders"),
         F.sum("n_finished").alias("finished_orders"),
-        F.sum("finished_price").alias("_fp"),
-        F.sum("total_price").alias("_tp"),
+        exact_sum("finished_price").alias("_fp"),
+        exact_sum("total_price").alias("_tp"),
     )
     return agg.select(
         "c_mktsegment",
         "orders",
         "finished_orders",
-        F.round(F.try_divide(F.col("_fp"), F.col("finished_orders")), 2).cast("double").alias("avg_finished_price"),
-        F.round("_tp", 2).cast("double").alias("total_price"),
+        F.round(F.try_divide(F.col("_fp"), F.col("finished_orders")), 2).alias("avg_finished_price"),
+        F.round("_tp", 2).alias("total_price"),
         F.round(F.col("finished_orders") / F.col("orders") * 100, 2).alias("finished_share"),
     )
 
 
-def orders_in_customer_interval(orders: DataFrame, days: int = 365, bin_days: int = 30) -> DataFrame:
+def orders_in_customer_interval(orders: DataFrame, days: int = 365) -> DataFrame:
     """Per customer: orders dated within [first order, first order + ``days``]
-    (both ends inclusive) and their total price -- an equi + range join.
+    (both ends inclusive) and their total price -- an equi + range join whose
+    interval starts at the customer's own first row, so that it needs no join.
 
     Orders are first collapsed to one row per (customer, day) by partial
-    aggregation, so a customer holding a third of all orders becomes at
-    most ``bin_days`` rows per bin before the range join; the first order
-    day is taken from the same collapsed rows (one shared shuffle).
+    aggregation, so a customer holding a third of all orders has at most a row for
+    each day of the calendar in the window that finds the first day.
     """
     day = F.datediff(F.col("o_orderdate"), F.lit("1970-01-01").cast("date"))
-    per_day = orders.groupBy(F.col("o_custkey").alias("custkey"), day.alias("order_day")).agg(
+    per_day = orders.filter(F.col("o_custkey").isNotNull()).groupBy(F.col("o_custkey"), day.alias("order_day")).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.col("o_totalprice").cast(MONEY)).alias("price"),
+        exact_sum("o_totalprice").alias("price"),
     )
-    first = per_day.groupBy("custkey").agg(F.min("order_day").alias("first_day"))
-    intervals = first.select("custkey", "first_day", (F.col("first_day") + days).alias("last_day"))
-    pairs = range_join(per_day, intervals, "custkey", "order_day", "first_day", "last_day", bin_width=bin_days)
-    return pairs.groupBy("custkey", "first_day").agg(
+    dated = per_day.withColumn("first_day", F.min("order_day").over(Window.partitionBy("o_custkey")))
+    return dated.filter(F.col("order_day") <= F.col("first_day") + days).groupBy("o_custkey", "first_day").agg(
         F.sum("n_orders").alias("orders_first_year"),
-        F.round(F.sum("price"), 2).cast("double").alias("revenue_first_year"),
+        F.round(exact_sum("price"), 2).alias("revenue_first_year"),
     ).select(
-        F.col("custkey").alias("o_custkey"),
+        "o_custkey",
         F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("first_day")), "yyyy-MM-dd").alias(
             "first_order_date"
         ),
@@ -101,66 +97,52 @@ def lines_sum_distinct(lineitem: DataFrame) -> DataFrame:
     """Per return flag: lines, mean quantity, two exact distinct counts, and
     the sample standard deviation of the price.
 
-    Two count-distincts in one aggregate would be planned as an Expand that
-    triples every line before the partial aggregate; here the plain
-    aggregates and each distinct count are separate branches (each scan
-    reads only its own columns), joined on the flag (a few rows each).
+    Both distinct counts come from one scan, as bitmaps (``operators.distinct``);
+    the plain aggregates are a branch of their own, since a deviation cannot be put
+    together from parts without loss.  The branches read different columns and are
+    joined on the flag (a few rows each).
     """
     flag = "l_returnflag"
     plain = lineitem.groupBy(flag).agg(
         F.count(F.lit(1)).alias("line_count"),
-        F.round(F.avg(F.col("l_quantity").cast("decimal(18,2)")), 2).cast("double").alias("avg_quantity"),
+        F.round(F.try_divide(exact_sum("l_quantity"), F.count("l_quantity")), 2).alias("avg_quantity"),
         F.round(F.stddev_samp("l_extendedprice"), 2).alias("price_stddev"),
     )
-
-    def distinct_count(col: str, name: str) -> DataFrame:
-        return lineitem.groupBy(F.col(flag).alias(f"_{name}_flag")).agg(F.count_distinct(col).alias(name))
-
-    orders = distinct_count("l_orderkey", "distinct_orders")
-    suppliers = distinct_count("l_suppkey", "distinct_suppliers")
-    # null-safe: a null flag is a group of its own in every branch
-    return (
-        plain.join(orders, plain[flag].eqNullSafe(orders["_distinct_orders_flag"]), "left")
-        .join(suppliers, plain[flag].eqNullSafe(suppliers["_distinct_suppliers_flag"]), "left")
-        .select(flag, "line_count", "avg_quantity", "distinct_orders", "distinct_suppliers", "price_stddev")
+    counts = distinct_counts(lineitem, flag, {"distinct_orders": "l_orderkey", "distinct_suppliers": "l_suppkey"})
+    counts = counts.withColumnRenamed(flag, "_flag")
+    # null-safe: a null flag is a group of its own in both branches
+    joined = plain.join(counts, plain[flag].eqNullSafe(counts["_flag"]), "left")
+    return joined.fillna(0, ["distinct_orders", "distinct_suppliers"]).select(
+        flag, "line_count", "avg_quantity", "distinct_orders", "distinct_suppliers", "price_stddev"
     )
 
 
-def median_price_by_brand(lineitem: DataFrame, part: DataFrame, width: float = 1000.0) -> DataFrame:
+def median_price_by_brand(lineitem: DataFrame, part: DataFrame, ranges: int | None = None) -> DataFrame:
     """Per part brand: exact discrete median line price and line count.
 
-    Lines are counted per (brand, price).  Counts per price range of ``width``
-    tell which range holds a brand's median; only that range's prices are then
-    ranked.  Both steps see at most as many rows a brand as there are ranges,
-    or prices in a range, whatever the number of lines.
+    Lines are counted per (brand, price), and the median is found among the counts
+    of price ranges and then among the prices of one range (``operators.ranking``).
     """
     lines = lineitem.select("l_partkey", "l_extendedprice")
     brands = part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     counts = (
-        join_dimension(lines, brands, "l_partkey")
+        join_dimension(lines, brands, "l_partkey", hot=True)
         .groupBy("p_brand", F.col("l_extendedprice").alias("price"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("range", F.floor(F.col("price") / width))
-    )
-    ranges = counts.groupBy("p_brand", "range").agg(F.sum("n").alias("n"))
-    priced = F.when(F.col("range").isNotNull(), F.col("n")).otherwise(0)
-    brand = Window.partitionBy("p_brand")
-    ranges = (
-        ranges.withColumn("lines", F.sum("n").over(brand))
-        .withColumn("priced", F.sum(priced).over(brand))
-        .withColumn("reached", F.sum(priced).over(brand.orderBy(F.col("range").asc_nulls_last())))
     )
-    # the first range in which half of the priced lines are reached; the null range for brands without a price
-    here = (2 * F.col("reached") >= F.col("priced")) & ((2 * (F.col("reached") - F.col("n")) < F.col("priced")) | F.col("range").isNull())
-    holding = ranges.filter(here & (F.col("range").isNotNull() | (F.col("priced") == 0))).select(
-        F.col("p_brand").alias("_brand"), F.col("range").alias("_range"), (F.col("reached") - F.col("n")).alias("before"), "priced", "lines"
-    )
-    inside = counts.join(holding, F.col("p_brand").eqNullSafe(F.col("_brand")) & F.col("range").eqNullSafe(F.col("_range")))
-    reached = F.col("before") + F.sum("n").over(brand.orderBy("price"))
-    return (
-        inside.withColumn("reached", reached)
-        .groupBy("p_brand")
-        .agg(F.min(F.when(2 * F.col("reached") >= F.col("priced"), F.col("price"))).alias("median_price"), F.first("lines").alias("line_count"))
+    found = medians(counts, "p_brand", "price", "n", splitters(lineitem, "l_extendedprice", ranges))
+    return found.select("p_brand", F.col("median").alias("median_price"), F.col("rows").alias("line_count"))
+
+
+def customers_ranked_by_revenue(orders: DataFrame, ranges: int | None = None) -> DataFrame:
+    """(o_custkey, revenue, revenue_rank) of every customer with orders; ties share a rank, null revenue is last.
+
+    The sums are stored once, as both the splitters and the ranks read them.
+    """
+    sums = orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("revenue"))
+    sums = stored(sums, "customer-revenue")
+    return ranked(sums, "revenue", "revenue_rank", splitters(sums, "revenue", ranges)).select(
+        "o_custkey", F.round("revenue", 2).alias("revenue"), "revenue_rank"
     )
 
 
@@ -193,15 +175,13 @@ def share_and_rank(customer: DataFrame, orders: DataFrame, nation: DataFrame) ->
     joined = per_cust.join(
         customer.select("c_custkey", "c_mktsegment", "c_nationkey"), per_cust.o_custkey == F.col("c_custkey")
     )
-    per_nation = joined.groupBy("c_mktsegment", "c_nationkey").agg(F.sum("total_price").alias("revenue"))
+    per_nation = joined.groupBy("c_mktsegment", "c_nationkey").agg(exact_sum("total_price").alias("revenue"))
     seg = Window.partitionBy("c_mktsegment")
     ranked = per_nation.select(
         "c_mktsegment",
         "c_nationkey",
-        F.round("revenue", 2).cast("double").alias("revenue"),
-        F.round(
-            F.col("revenue").cast("double") / F.sum("revenue").over(seg).cast("double") * 100, 2
-        ).alias("revenue_share"),
+        F.round("revenue", 2).alias("revenue"),
+        F.round(F.try_divide(F.col("revenue"), exact_sum_over("revenue", seg)) * 100, 2).alias("revenue_share"),
         F.rank().over(seg.orderBy(F.col("revenue").desc())).alias("nation_rank"),
     )
     names = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")

@@ -4,31 +4,33 @@ from __future__ import annotations
 
 from perkspark.oracle.sql import exact_mean, r2, with_layers
 
-_PIVOT_CH = ", ".join(
-    f"MAX(CASE WHEN channel = '{c}' THEN {{m}} END) AS {c}" for c in ("web", "email", "mobile", "social")
-)
 _V_CHANNEL = """
 SELECT channel, total_offers_sent, offers_completed, completion_rate, total_revenue_generated, effectiveness_rank,
        CASE WHEN completion_rate >= 50 THEN 'High' WHEN completion_rate >= 30 THEN 'Medium' ELSE 'Low' END
          AS performance_level
 FROM channel_effectiveness"""
+# members by age group, straight from their profiles; the mean income is that of the (one or two) means by status
 _V_AGE = f"""
-SELECT age_group,
-       CAST(SUM(CASE WHEN completion_status = 'Completed' THEN customer_count ELSE 0 END) AS BIGINT) AS completed_count,
-       CAST(SUM(CASE WHEN completion_status = 'Not Completed' THEN customer_count ELSE 0 END) AS BIGINT)
-         AS not_completed_count,
-       AVG(avg_income) AS avg_income,
-       CAST(SUM(customer_count) AS BIGINT) AS total_customers,
-       {r2("SUM(CASE WHEN completion_status = 'Completed' THEN customer_count ELSE 0 END) * 100.0 / SUM(customer_count)")}
-         AS completion_rate
-FROM age_distribution_analysis GROUP BY age_group"""
+SELECT age_group, COUNT(*) FILTER (WHERE completer) AS completed_count, COUNT(*) FILTER (WHERE NOT completer) AS not_completed_count,
+       list_avg([{exact_mean("CASE WHEN completer THEN income END")}, {exact_mean("CASE WHEN NOT completer THEN income END")}]) AS avg_income,
+       COUNT(*) AS total_customers, {r2("100.0 * COUNT(*) FILTER (WHERE completer) / COUNT(*)")} AS completion_rate
+FROM profile_valid GROUP BY age_group"""
+# journeys by type and channel, then the unweighted mean over the type's channels
 _V_OFFER = f"""
-SELECT offer_type,
-       {r2("AVG(CAST(completion_rate AS DECIMAL(10,2)))")} AS avg_completion_rate,
-       {r2("AVG(CAST(avg_completion_time_hours AS DECIMAL(12,2)))")} AS avg_completion_time,
-       CAST(SUM(total_completions) AS BIGINT) AS total_completions,
-       CAST(SUM(total_received) AS BIGINT) AS total_received
-FROM offer_completion_metrics GROUP BY offer_type"""
+SELECT offer_type, {r2("AVG(CAST(rate AS DECIMAL(10,2)))")} AS avg_completion_rate, {r2("AVG(CAST(mean_hours AS DECIMAL(12,2)))")} AS avg_completion_time,
+       CAST(SUM(n_done) AS BIGINT) AS total_completions, CAST(SUM(n_got) AS BIGINT) AS total_received
+FROM (SELECT offer_type, channel, COUNT(*) FILTER (WHERE done) AS n_done, COUNT(*) FILTER (WHERE got) AS n_got,
+             {r2("100 * COUNT(*) FILTER (WHERE done) / COUNT(*) FILTER (WHERE got)")} AS rate, {r2("AVG(hours) FILTER (WHERE done)")} AS mean_hours
+      FROM facts_on_channel GROUP BY offer_type, channel HAVING bool_or(done) AND bool_or(got))
+GROUP BY offer_type"""
+
+
+def _matrix(measure: str) -> str:
+    """All channels of the metric table as columns; without a name: ``unnamed``."""
+    cells = f"SELECT offer_type, CASE WHEN channel = '' THEN 'unnamed' ELSE channel END AS channel, {measure} AS cell FROM offer_completion_metrics"
+    return f"SELECT * FROM (PIVOT ({cells}) ON channel USING first(cell) GROUP BY offer_type)"
+
+
 _AUDIT_TABLES = [
     ("bronze", "customers", "customers"),
     ("bronze", "offers", "offers"),
@@ -64,7 +66,9 @@ SELECT data_quality_flag, COUNT(*) AS customers FROM customers_cleansed GROUP BY
 SELECT offer_id, offer_type, difficulty, reward, duration, duration_hours,
        array_to_string(channels_list, ',') AS channels_list, num_channels, is_multichannel, roi_ratio
 FROM offers_enriched""",
-    "offer_channels": "SELECT DISTINCT offer_id, channel FROM offers_by_channel",
+    "offer_channels": """
+SELECT DISTINCT offer_id, channel FROM (SELECT offer_id, unnest(channels_list) AS channel FROM offers_enriched)
+WHERE channel <> ''""",
     "events_parsed": """
 SELECT * REPLACE (strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
                   strftime(event_date, '%Y-%m-%d') AS event_date)
@@ -82,37 +86,35 @@ FROM events_processed GROUP BY event_type""",
     "offer_interactions": "SELECT * FROM offer_interactions",
     "offer_interactions_pivot": "SELECT * FROM offer_interactions",
     "channel_metrics": f"""
-SELECT channel, total_offers_sent, offers_completed, {r2("avg_completion_time_hours")} AS avg_completion_time_hours,
-       completion_rate
-FROM channel_metrics""",
+SELECT channel, sent AS total_offers_sent, completed AS offers_completed, {r2("mean_hours")} AS avg_completion_time_hours,
+       {r2("100 * completed / sent")} AS completion_rate FROM channel_measures""",
     "channel_revenue": f"""
-SELECT channel, {r2("total_revenue_generated")} AS total_revenue_generated, offers_with_revenue,
-       customers_with_revenue
-FROM channel_revenue""",
-    "channel_rewards": "SELECT * FROM channel_rewards",
+SELECT channel, {r2("sold")} AS total_revenue_generated, selling_offers AS offers_with_revenue, buying_members AS customers_with_revenue
+FROM channel_measures WHERE selling_offers > 0""",
+    "channel_rewards": "SELECT channel, rewarded AS total_rewards_earned FROM channel_measures WHERE completed > 0",
+    "channel_reach": """
+SELECT channel, COUNT(DISTINCT i.customer_id) FILTER (WHERE i.is_received) AS customers_received,
+       COUNT(DISTINCT i.customer_id) FILTER (WHERE i.is_viewed) AS customers_viewed,
+       COUNT(DISTINCT i.customer_id) FILTER (WHERE i.is_completed) AS customers_completed
+FROM (SELECT offer_id, unnest(channels_list) AS channel FROM offers_enriched) o JOIN offer_interactions i USING (offer_id)
+WHERE channel <> '' GROUP BY channel""",
     "channel_effectiveness": "SELECT * FROM channel_effectiveness",
     "channel_revenue_breakdown": "SELECT * FROM channel_effectiveness_wide",
-    "customer_offer_status": "SELECT * FROM customer_offer_status",
+    "customer_offer_status": """
+SELECT customer_id, COUNT(*) FILTER (WHERE is_completed) AS offers_completed, COUNT(*) AS offers_received,
+       CASE WHEN bool_or(is_completed) THEN 'Completed' ELSE 'Not Completed' END AS completion_status
+FROM offer_interactions WHERE is_received GROUP BY customer_id""",
     "age_distribution": "SELECT * FROM age_distribution_analysis",
     "offer_completion_metrics": "SELECT * FROM offer_completion_metrics",
     "completion_avg_overall": f"""
-SELECT (SELECT {r2("AVG(time_to_complete)")} FROM completion_analysis) AS avg_hours_channel_rows,
-       (SELECT {r2("AVG(i.time_to_complete)")} FROM offer_interactions i JOIN offers_enriched o
-          ON i.offer_id = o.offer_id WHERE i.is_completed) AS avg_hours_per_journey,
-       (SELECT COUNT(*) FROM completion_analysis) AS completions_channel_rows,
-       (SELECT COUNT(*) FROM offer_interactions i JOIN offers_enriched o
-          ON i.offer_id = o.offer_id WHERE i.is_completed) AS completions_journeys""",
-    "completion_avg_by_type": """
-SELECT offer_type, AVG(time_to_complete) AS avg_hours, COUNT(*) AS completions
-FROM completion_analysis GROUP BY offer_type""",
-    "completion_avg_by_channel": """
-SELECT channel, AVG(time_to_complete) AS avg_hours, COUNT(*) AS completions
-FROM completion_analysis GROUP BY channel""",
+SELECT {r2("SUM(hours * len(channels_list)) / SUM(CASE WHEN hours IS NOT NULL THEN len(channels_list) END)")} AS avg_hours_channel_rows,
+       {r2("AVG(hours)")} AS avg_hours_per_journey, CAST(SUM(len(channels_list)) AS BIGINT) AS completions_channel_rows,
+       COUNT(*) AS completions_journeys
+FROM facts WHERE done""",
+    "completion_avg_by_type": "SELECT offer_type, AVG(hours) AS avg_hours, COUNT(*) AS completions FROM facts_on_channel WHERE done GROUP BY offer_type",
+    "completion_avg_by_channel": "SELECT channel, AVG(hours) AS avg_hours, COUNT(*) AS completions FROM facts_on_channel WHERE done GROUP BY channel",
     "channel_effectiveness_completable": "SELECT * FROM channel_effectiveness_c",
-    "completion_avg_by_type_unfanned": """
-SELECT o.offer_type, AVG(i.time_to_complete) AS avg_hours, COUNT(*) AS completions
-FROM offer_interactions i JOIN offers_enriched o ON i.offer_id = o.offer_id
-WHERE i.is_completed GROUP BY o.offer_type""",
+    "completion_avg_by_type_unfanned": "SELECT offer_type, AVG(hours) AS avg_hours, COUNT(*) AS completions FROM facts WHERE done GROUP BY offer_type",
     "v_channel_performance": _V_CHANNEL,
     "v_age_summary": _V_AGE,
     "v_offer_summary": _V_OFFER,
@@ -135,12 +137,8 @@ SELECT offer_type,
          AS avg_completion_time_hours,
        CAST(ROUND(CAST(({exact_mean("completion_rate")}) AS DECIMAL(38,12)), 1) AS DOUBLE) AS completion_rate
 FROM offer_completion_metrics GROUP BY offer_type""",
-    "offer_channel_time_matrix": f"""
-SELECT offer_type, {_PIVOT_CH.format(m="avg_completion_time_hours")}
-FROM offer_completion_metrics GROUP BY offer_type""",
-    "offer_channel_rate_matrix": f"""
-SELECT offer_type, {_PIVOT_CH.format(m="completion_rate")}
-FROM offer_completion_metrics GROUP BY offer_type""",
+    "offer_channel_time_matrix": _matrix("avg_completion_time_hours"),
+    "offer_channel_rate_matrix": _matrix("completion_rate"),
     "best_combinations": """
 SELECT offer_type, channel, completion_rate, avg_completion_time_hours FROM offer_completion_metrics
 ORDER BY completion_rate DESC, offer_type, channel LIMIT 5""",
@@ -217,6 +215,9 @@ FROM lineitem GROUP BY l_returnflag""",
 SELECT p.p_brand, quantile_disc(l.l_extendedprice, 0.5) AS median_price, COUNT(*) AS line_count
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY p.p_brand""",
+        "tpch_customers_ranked_by_revenue": f"""
+WITH r AS (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(28,2))) AS revenue FROM orders GROUP BY o_custkey)
+SELECT o_custkey, {r2("revenue")} AS revenue, RANK() OVER (ORDER BY revenue DESC NULLS LAST) AS revenue_rank FROM r""",
         "tpch_priority_pivot": "SELECT o_custkey, "
         + ", ".join(
             f"strftime(MIN(CASE WHEN o_orderpriority = '{p}' THEN o_orderdate END), '%Y-%m-%d') AS first_{n}"

@@ -11,7 +11,10 @@ derived from, see ``LoyaltyPipeline``), so a big table is rejected from its
 own cheap count.
 
 Above the bound the join is left to Spark (sort-merge, or a runtime
-broadcast that AQE picks from the real shuffle size).
+broadcast that AQE picks from the real shuffle size).  Where the fact side may have
+hot keys, these are found by a count (``plans.skew``) and joined apart: their slice
+of the dimension is small enough to broadcast, so that the rows of a hot key stay
+where they are, and only the others are shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from perkspark.plans.skew import heavy_keys
+
 # Dimension sides are a few narrow columns (ids, short labels, small
 # numbers): 1M rows stay around 50 MB once broadcast.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -48,15 +53,31 @@ def join_dimension(
     how: str = "inner",
     max_rows: int | None = None,
     small: bool | None = None,
+    hot: bool = False,
 ) -> DataFrame:
     """Join a fact relation to a dimension, broadcasting the dimension when
     it is proven small (the build side of an inner / left join).
 
     ``small`` passes a proof made earlier (e.g. once per pipeline for a
     dimension derived row-by-row from a checked table); ``None`` proves here.
+    ``hot`` says that the fact side may have most rows on a few keys.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         return fact.join(dim, on, how)
+    bound = max_broadcast_rows(dim) if max_rows is None else max_rows
     if small is None:
-        return fact.join(maybe_broadcast(dim, max_rows), on, how)
-    return fact.join(F.broadcast(dim) if small else dim, on, how)
+        small = has_at_most(dim, bound)
+    if small:
+        return fact.join(F.broadcast(dim), on, how)
+    return _join_heavy_apart(fact, dim, on, how, bound) if hot else fact.join(dim, on, how)
+
+
+def _join_heavy_apart(fact: DataFrame, dim: DataFrame, key: str, how: str, bound: int) -> DataFrame:
+    heavy = F.broadcast(heavy_keys(fact, key).select(F.col(key).alias("_heavy")))  # bounded by its limit
+    of_heavy = dim.join(heavy, F.col(key) == F.col("_heavy"), "left_semi")
+    if not has_at_most(of_heavy, bound):
+        return fact.join(dim, key, how)
+    marked = fact.join(heavy, F.col(key) == F.col("_heavy"), "left")
+    apart = marked.filter(F.col("_heavy").isNotNull()).drop("_heavy").join(F.broadcast(of_heavy), key, how)
+    others = marked.filter(F.col("_heavy").isNull()).drop("_heavy").join(dim, key, how)
+    return apart.unionByName(others)

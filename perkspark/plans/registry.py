@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perkspark.functions.numeric import exact_sum
-from perkspark.operators import age, channel, completion, reports, warehouse
+from perkspark.operators import age, channel, completion, distinct, reports, warehouse
 from perkspark.plans.pipeline import LoyaltyPipeline
 from perkspark.sources.csv import as_csv_lines, from_csv_lines
 from perkspark.sources.tables import read_table
@@ -153,6 +153,7 @@ QUERIES: dict[str, QueryFn] = {
     "channel_effectiveness": lambda s, sf: _p(s, sf).channel_effectiveness,
     "channel_revenue_breakdown": _channel_breakdown,
     "channel_effectiveness_completable": _channel_effectiveness_completable,
+    "channel_reach": lambda s, sf: distinct.channel_reach(_p(s, sf).journeys, _p(s, sf).offers_enriched),
     # question 2
     "customer_offer_status": _customer_offer_status,
     "age_distribution": lambda s, sf: _p(s, sf).age_distribution,
@@ -225,6 +226,9 @@ QUERIES.update(
         "tpch_median_price_by_brand": lambda s, sf: warehouse.median_price_by_brand(
             _t(s, sf, "lineitem", ["l_partkey", "l_extendedprice"]), _t(s, sf, "part", ["p_partkey", "p_brand"])
         ),
+        "tpch_customers_ranked_by_revenue": lambda s, sf: warehouse.customers_ranked_by_revenue(
+            _t(s, sf, "orders", ["o_custkey", "o_totalprice"])
+        ),
         "tpch_priority_pivot": lambda s, sf: warehouse.priority_pivot(
             _t(s, sf, "orders", ["o_custkey", "o_orderpriority", "o_orderdate"])
         ),

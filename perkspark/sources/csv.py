@@ -18,6 +18,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from perkspark import schemas
@@ -46,15 +47,20 @@ def _read_text(spark: SparkSession, paths: str | list[str], names: list[str], mu
     return reader.csv(paths).withColumn(_FILE, F.col("_metadata.file_path"))
 
 
+def _header(spark: SparkSession, path: str, schema: StructType, multiline: bool) -> list[str]:
+    names = spark.read.options(**_DIALECT, header=True, multiLine=multiline).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    return names
+
+
 def _as_text(spark: SparkSession, path: str, schema: StructType, multiline: bool | None) -> DataFrame:
     """The file's columns by the names of its header, as text, with the text of odd records and the file.
 
     Every file of a folder must have the first one's header, or the read fails.
     """
-    names = spark.read.options(**_DIALECT, header=True, multiLine=bool(multiline)).csv(path).columns
-    missing = [f.name for f in schema.fields if f.name not in names]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    names = _header(spark, path, schema, bool(multiline))
     if multiline is not None:
         return _read_text(spark, path, names, multiline)
     broken = [r["file"] for r in open_quotes(spark, path).collect()]
@@ -126,6 +132,14 @@ def bad_cells(spark: SparkSession, path: str, schema: StructType, multiline: boo
     return CsvFiles(spark, path, schema, multiline).bad_cells()
 
 
+def csv_stream(reader: DataStreamReader, spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stream of the typed rows of CSV files; a file whose header differs from the first one's fails the stream."""
+    names = _header(spark, path, schema, False)
+    text = StructType([StructField(n, StringType()) for n in names])
+    rows = reader.schema(text).options(**_DIALECT, header=True, enforceSchema=False).load(path)
+    return rows.select(*(_typed(f).alias(f.name) for f in schema.fields))
+
+
 def as_csv_lines(df: DataFrame) -> DataFrame:
     """(line): the rows of ``df`` as records of the dialect ``CsvFiles`` reads."""
     options = {**_WRITTEN, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}

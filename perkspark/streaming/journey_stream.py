@@ -23,6 +23,7 @@ from perkspark import schemas
 from perkspark.constants import DEFAULT_PERIOD_START
 from perkspark.operators.cleanse import parse_events
 from perkspark.operators.journey import stage_times
+from perkspark.sources.csv import csv_stream
 
 KEYS = ("customer_id", "offer_id")
 STAGES = ("received_time", "viewed_time", "completed_time")
@@ -66,16 +67,20 @@ def start_journey_stream(
 
     ``checkpoint_dir`` must be on shared storage (offsets and state live
     there).  With ``available_now`` the query processes what is present and
-    stops, which suits scheduled runs.
+    stops, which suits scheduled runs.  CSV files have their columns in any
+    order, the same in all files; the header of the files present at the start
+    names them.
     """
     if spark.conf.get(_STATE_STORE, None) is None:
         spark.conf.set(_STATE_STORE, _ROCKSDB)  # state larger than memory
-    reader = spark.readStream.schema(schemas.RAW_EVENTS).format(source_format)
-    if source_format == "csv":
-        reader = reader.option("header", True).option("escape", '"')
+    reader = spark.readStream.format(source_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stages = stage_minima_stream(reader.load(source_dir), period_start, strict_quotes)
+    if source_format == "csv":
+        events = csv_stream(reader, spark, source_dir, schemas.RAW_EVENTS)
+    else:
+        events = reader.schema(schemas.RAW_EVENTS).load(source_dir)
+    stages = stage_minima_stream(events, period_start, strict_quotes)
     writer = (
         stages.writeStream.outputMode("update")
         .foreachBatch(EpochPartitionWriter(sink_dir))
