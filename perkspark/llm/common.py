@@ -84,17 +84,23 @@ def byte_chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) ->
 
     A slice holds at most ``max_bytes`` of text, or one longer text.
     """
+    for batch, column in text_chunks(batches, max_bytes):
+        yield batch, column.to_pylist()
+
+
+def text_chunks(batches: Iterable[pa.RecordBatch], max_bytes: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """``byte_chunks`` with the texts as an Arrow array."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index("text")).cast(pa.large_string()).cast(pa.large_binary())
         sizes = np.diff(np.frombuffer(column.buffers()[1], dtype=np.int64, count=len(column) + 1 + column.offset)[column.offset :]) if len(column) else []
         start, size = 0, 0
         for i, n in enumerate(sizes):
             if size and size + n > max_bytes:
-                yield batch.slice(start, i - start), column.slice(start, i - start).to_pylist()
+                yield batch.slice(start, i - start), column.slice(start, i - start)
                 start, size = i, 0
             size += int(n)
         if start < len(column):
-            yield batch.slice(start), column.slice(start).to_pylist()
+            yield batch.slice(start), column.slice(start)
 
 
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 Input symbols (small integers, 0: padding) are dealt into rows of ``hop``
 positions; learned filters of ``WIDTH`` symbols slide over them with a stride,
-each row keeps a filter's maximum.  Two rows in a row make a chunk, so chunks
+each row keeps a filter's maximum.  An item is followed by padding of a filter's
+width at least, so that its score depends on itself alone.  Two rows in a row make a chunk, so chunks
 overlap by half and cover the whole input.  The rectified chunk maxima of an
 item are combined by their mean and their maximum into one logistic unit.
 
@@ -30,37 +31,40 @@ class ConvNet:
             "bias": np.zeros(1, np.float32),
         }
 
-    def rows(self, items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """All items padded to whole rows (plus one filter width), and each item's number of rows."""
+    def rows(self, items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All items padded to whole rows and one filter's width of zeros, each item's number of rows, where each row starts."""
         counts = np.array([max(1, -(-len(x) // self.hop)) for x in items], np.int64)
-        flat = np.zeros(int(counts.sum()) * self.hop + self.hop, np.uint8)
-        at = 0
-        for x, n in zip(items, counts.tolist(), strict=True):
+        sizes = counts * self.hop + WIDTH
+        first = np.cumsum(sizes) - sizes
+        flat = np.zeros(int(sizes.sum()), np.uint8)
+        for x, at in zip(items, first.tolist(), strict=True):
             flat[at : at + len(x)] = x
-            at += n * self.hop
-        return flat, counts
+        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        return flat, counts, np.repeat(first, counts) + nth * self.hop
 
     def pair_tables(self) -> np.ndarray:
         table = self.params["table"]
         return np.stack([(table[k][:, None, :] + table[k + 1][None, :, :]).reshape(-1, self.filters) for k in range(0, WIDTH, 2)])
 
-    def maxima(self, flat: np.ndarray, n_rows: int, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    def maxima(self, flat: np.ndarray, starts: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """Each row's greatest response of each filter (and the position that had it)."""
         pairs = flat[:-1].astype(np.int64) * self.symbols + flat[1:]
         tables = self.pair_tables()
+        n_rows = len(starts)
+        inside = np.arange(0, self.hop, self.stride)
         out = np.empty((n_rows, self.filters), np.float32)
         places = np.empty((n_rows, self.filters), np.int64) if where else None
         step = max(1, (1 << 15) // (self.hop // self.stride))
         for a in range(0, n_rows, step):
             b = min(n_rows, a + step)
-            at = np.arange(a * self.hop, b * self.hop, self.stride)
+            at = (starts[a:b, None] + inside).ravel()
             total = tables[0].take(pairs[at], axis=0)
             for k in range(1, WIDTH // 2):
                 total += tables[k].take(pairs[at + 2 * k], axis=0)
             total = total.reshape(b - a, -1, self.filters)
             out[a:b] = total.max(axis=1)
             if where:
-                places[a:b] = total.argmax(axis=1) * self.stride + (np.arange(a, b) * self.hop)[:, None]
+                places[a:b] = total.argmax(axis=1) * self.stride + starts[a:b, None]
         return out, places
 
     def _chunks(self, row_max: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,15 +88,15 @@ class ConvNet:
         """Probabilities of the items."""
         if not items:
             return np.zeros(0)
-        flat, counts = self.rows(items)
-        row_max, _ = self.maxima(flat, int(counts.sum()))
+        flat, counts, starts = self.rows(items)
+        row_max, _ = self.maxima(flat, starts)
         chunks, _, n_chunks = self._chunks(row_max, counts)
         logits, _, _ = self._logits(chunks, n_chunks)
         return 1 / (1 + np.exp(-logits.astype(np.float64)))
 
     def _gradients(self, items: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
-        flat, counts = self.rows(items)
-        row_max, places = self.maxima(flat, int(counts.sum()), where=True)
+        flat, counts, starts = self.rows(items)
+        row_max, places = self.maxima(flat, starts, where=True)
         chunks, source, n_chunks = self._chunks(row_max, counts)
         logits, mean, most = self._logits(chunks, n_chunks)
         error = (1 / (1 + np.exp(-logits)) - labels) * weights / len(items)

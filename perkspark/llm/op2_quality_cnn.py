@@ -31,7 +31,7 @@ SAMPLE_BYTES = 1 << 16
 FILTERS = 16
 EPOCHS = 14
 HOP = 256
-STRIDE = 2
+STRIDE = 1
 THRESHOLD = 0.5
 #: Weight of the rarer class: the ratio of the classes to this power.
 BALANCE = 0.7

@@ -9,12 +9,15 @@ part-filled sequences.
 
 For documents, texts are tokenised once and cut every ``capacity`` ids; full
 pieces are sequences of their own, the last pieces are packed.  Tokens are found
-word by word: the tokenizer's normaliser and splitter never look across white
-space, so ids of a text are those of its words in order.
-
-Defined cases: null or empty text is the end id alone; an empty table gives an
-empty result; equal rows are separate documents; an example beyond a limit by
-itself gets a sequence of its own; other columns are not read.
+word by word: the tokenizer's added tokens have no white space, and its normaliser
+and splitter never look across any, so ids of a text are those of its words in
+order.  Words are split and told apart in Arrow, each distinct one is tokenised once.
+
+Defined cases: null or empty text is the end id alone; text that spells an added
+token has that token's id, as in the tokenizer's plain call; an empty table gives an
+empty result; equal rows are separate documents, dealt to blocks by their place; very
+long texts are tokenised whole, one at a time; an example beyond a limit by itself
+gets a sequence of its own; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,11 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, byte_chunks, checkpointed, table
+from .common import bounded_batches, checkpointed, table, text_chunks
 
 CAPACITY = 2048
 MAX_SEGMENTS = 1024
@@ -60,7 +64,7 @@ class WordIds:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.merge = self.tokenizer.model.tokenize
         self.plain = re.compile(f"[!-~{LATIN_LETTERS}]+")
         self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN_LOWER}]+|[0-9]|[^a-z0-9{LATIN_LOWER}]+")
@@ -77,7 +81,7 @@ class WordIds:
 
     def _word(self, word: str) -> bytes:
         """Its ids as four bytes each; bytes, unlike lists, cost the garbage collector nothing."""
-        if not self.plain.fullmatch(word):
+        if not self.plain.fullmatch(word) or any(t in word for t in self.added):
             return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         out = b""
         for part in self.parts.findall(word.lower()):
@@ -88,11 +92,13 @@ class WordIds:
             out += ids
         return out
 
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row, and how many each word has."""
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words (binary) in a row, and how many each word has."""
         if len(self.number) > CACHE_WORDS:
             self._clear()
-        new = list(set(words).difference(self.number))
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.number]
         if new:
             found = [self._word(w.decode()) for w in new]
             counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
@@ -100,21 +106,31 @@ class WordIds:
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
-        index = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        index = numbers[coded.indices.to_numpy()]
         counts = self.counts[index]
         ends = np.cumsum(counts)
         place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[index] - (ends - counts), counts)
         return self.ids[place], counts
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts (UTF-8 bytes) in a row, and the number of words up to each text's end."""
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    words = lists.flatten()  # white space at either end leaves an empty word
+    some = pc.greater(pc.binary_length(words), 0)
+    up_to = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    offsets = lists.offsets.to_numpy()
+    return words.filter(some).cast(pa.large_binary()), up_to[offsets[1:] - offsets[0]]
+
+
 def _tokenise(tokenizer_file: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_ids = None
-        for batch, texts in byte_chunks(batches, 2 << 20):
+        for batch, texts in text_chunks(batches, 2 << 20):
             words_ids = words_ids or WordIds(tokenizer_file)
-            split = [(t or b"").split() for t in texts]
-            ids, counts = words_ids.encode([w for ws in split for w in ws])
-            word_ends = np.cumsum([len(ws) for ws in split])
+            words, word_ends = split_words(texts)
+            ids, counts = words_ids.encode(words)
             ends = np.concatenate([[0], np.cumsum(counts)])[word_ends]
             out: list[tuple] = []
             begin = 0
@@ -203,7 +219,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str | None = None, capacity:
         tokenizer_file = public_tokenizers.path("word_bpe_49k.json")
     pieces = bounded_batches(docs).select("doc_id", "text").mapInArrow(_tokenise(tokenizer_file, capacity, END_ID), PIECES)
     sized = checkpointed(pieces).withColumns(
-        {"tokens": F.col("length"), "segments": F.lit(1).cast("long"), "loss_tokens": F.col("length"), "_h": F.xxhash64("doc_id", "start", "ids_crc32")}
+        {"tokens": F.col("length"), "segments": F.lit(1).cast("long"), "loss_tokens": F.col("length"), "_h": F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id())}
     )
     packed = pack_examples(sized, capacity, max_segments, max_loss_tokens)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -4,8 +4,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from llm_docs import SF_SMALL, empty, messy  # noqa: F401
+from llm_docs import SF_SMALL, docs_of, empty, messy  # noqa: F401
 from pyspark.sql import functions as F
 
 from perkspark.llm import op1_cube_mixing as op1
@@ -75,7 +76,6 @@ def check_packed(rows, texts, capacity):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     want = Counter()
     for doc_id, text in texts:
         ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
@@ -109,7 +109,20 @@ def test_words_as_the_tokenizer_cuts_them():
 
     ids = op7.WordIds(public_tokenizers.path("word_bpe_49k.json"))
     text = "Don't STOP!! L'ÉTÉ ÀÖß×÷ÿ 東京 áb <|endoftext|> İI ΣΑΣ 12ab34 ''s'll ªº²µ !'s x y"
-    assert ids.encode(text.encode().split())[0].tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
+    text += " foo<|endoftext|>bar <|startoftext|> <|ENDOFTEXT|> <|endoftext|><|endoftext|> \u3000x\u00a0y "
+    words, ends = op7.split_words(pa.array([b"", text.encode(), None, b" \t a\n"]))
+    tokens, counts = ids.encode(words)
+    plain = [ids.tokenizer.encode(t, add_special_tokens=False).ids for t in (text, "a")]
+    assert tokens.tolist() == plain[0] + plain[1] and 49407 in plain[0]
+    assert ends.tolist() == [0, len(text.encode().split()), len(text.encode().split()), len(text.encode().split()) + 1]
+
+
+def test_equal_rows_are_dealt_over_blocks(spark):
+    rows = op7.pack_documents(docs_of(spark, [(1, "the same text", "a")] * 4000), capacity=16, max_segments=8).collect()
+    check_packed(rows, [(1, "the same text")] * 4000, 16)
+    many = spark.range(40_000).select(F.lit(1).cast("long").alias("tokens"), F.lit(1).cast("long").alias("segments"), F.lit(0).cast("long").alias("loss_tokens"), F.xxhash64(F.monotonically_increasing_id()).alias("_h"))
+    blocks = op7.pack_examples(many, 8, 8, 8, block=1000).groupBy((F.col("sequence_id") / (1 << 32)).cast("long")).count()
+    assert blocks.count() == 40 and blocks.agg(F.max("count")).first()[0] < 1300
 
 
 def test_three_limits_hold(spark):

@@ -4,12 +4,14 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_docs import SF_SMALL, empty, messy  # noqa: F401
 
 from perkspark.llm import op2_quality_cnn as op2
 from perkspark.llm import op3_toxicity_ftrl as op3
 from perkspark.llm import op8_suffix_tree as op8
+from perkspark.llm.convnet import ConvNet
 
 SF = "/root/testdata/sf0.1"
 
@@ -142,3 +144,29 @@ def test_suffix_tree_of_messy_rows(messy, empty, spark):
     assert op8.suffix_tree_scores(empty).count() == 0
     untrained = spark.createDataFrame([(i, "some words here") for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0], "doc_id long, text string")
     assert {(r["n_known"], r["train_tokens"], r["score"]) for r in op8.suffix_tree_scores(untrained).collect()} == {(0, 0, 0.0)}
+
+
+def plain_forward(net, item):
+    """One item's probability, window by window, with zeros around it."""
+    width, p = len(net.params["table"]), net.params
+    rows = max(1, -(-len(item) // net.hop))
+    padded = np.concatenate([item, np.zeros(rows * net.hop + width - len(item), np.uint8)])
+    best = [[sum(p["table"][k][padded[r * net.hop + i + k]] for k in range(width)) for i in range(0, net.hop, net.stride)] for r in range(rows)]
+    best = np.array(best).max(axis=1)
+    chunks = [np.maximum(np.maximum(best[r], best[min(r + 1, rows - 1)]) + p["shift"], 0) for r in range(max(1, rows - 1))]
+    logit = np.mean(chunks, axis=0) @ p["mean"] + np.max(chunks, axis=0) @ p["max"] + p["bias"][0]
+    return 1 / (1 + math.exp(-logit))
+
+
+@pytest.mark.parametrize(("hop", "stride"), [(32, 1), (16, 2)])
+def test_a_score_depends_on_its_own_item_alone(hop, stride):
+    rng = np.random.default_rng(2)
+    net = ConvNet(12, 5, hop, stride, seed=3)
+    items = [rng.integers(1, 12, n).astype(np.uint8) for n in [0, 1, *range(hop - 9, hop + 3), 2 * hop - 7, 2 * hop, 5 * hop - 1]]
+    together = net.score(items)
+    assert together.tolist() == [net.score([x])[0] for x in items] == net.score(items[::-1])[::-1].tolist()
+    assert np.allclose(together, [plain_forward(net, x) for x in items], atol=1e-5)
+
+
+def test_quality_reads_every_byte_offset():
+    assert op2.STRIDE == 1
