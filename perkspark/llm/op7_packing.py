@@ -50,13 +50,39 @@ LATIN_LOWER = "\u00df-\u00f6\u00f8-\u00ff"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class Runs:
+    """Numbered runs of ids: each key's ids, found once."""
+
+    def __init__(self):
+        self.number: dict = {}
+        self.ids = np.zeros(0, "<u4")
+        self.starts = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+
+    def add(self, keys: list, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.number.update(zip(keys, range(len(self.counts), len(self.counts) + len(keys)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def numbers(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+
+    def of(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered keys in a row, and how many each has."""
+        counts = self.counts[index]
+        ends = np.cumsum(counts)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[index] - (ends - counts), counts)
+        return self.ids[place], counts
+
+
 class WordIds:
     """Ids of words, each distinct word tokenised once.
 
     Words of printable ASCII and Latin-1 letters, which any normalisation but
-    lower case leaves alone, are split here by the tokenizer's own pattern, and
-    each distinct part goes through its merges once; other words go through
-    the whole tokenizer.
+    lower case leaves alone, are split here by the tokenizer's own pattern, all new
+    ones in one go, and each distinct part goes through its merges once; other words
+    go through the whole tokenizer.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -67,51 +93,57 @@ class WordIds:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.merge = self.tokenizer.model.tokenize
         self.plain = re.compile(f"[!-~{LATIN_LETTERS}]+")
-        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN_LOWER}]+|[0-9]|[^a-z0-9{LATIN_LOWER}]+")
+        self.plain_words = re.compile(f"[ -~{LATIN_LETTERS}]*")
+        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN_LOWER}]+|[0-9]| |[^ a-z0-9{LATIN_LOWER}]+")
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.to_bytes = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100) if c != 0xF7}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.part_ids: dict[str, bytes] = {}
-        self.ids = np.zeros(0, "<u4")
-        self.starts = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
-
-    def _word(self, word: str) -> bytes:
-        """Its ids as four bytes each; bytes, unlike lists, cost the garbage collector nothing."""
-        if not self.plain.fullmatch(word) or any(t in word for t in self.added):
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        out = b""
-        for part in self.parts.findall(word.lower()):
-            ids = self.part_ids.get(part)
-            if ids is None:
-                ids = b"".join([t.id.to_bytes(4, "little") for t in self.merge(part.translate(self.to_bytes))])
-                self.part_ids[part] = ids
-            out += ids
-        return out
+        self.words, self.of_parts = Runs(), Runs()
+
+    def _is_plain(self, word: str) -> bool:
+        return self.plain.fullmatch(word) is not None and not any(t in word for t in self.added)
+
+    def _plain_words(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words joined by single spaces, and each word's number of them."""
+        parts = self.parts.findall(joined.lower())
+        new = list(set(parts).difference(self.of_parts.number))
+        flat: list[int] = []
+        counts = np.zeros(len(new), np.int64)
+        for i, part in enumerate(new):
+            if part != " ":
+                tokens = self.merge(part if part.isascii() else part.translate(self.to_bytes))
+                flat += [t.id for t in tokens]
+                counts[i] = len(tokens)
+        self.of_parts.add(new, np.array(flat, "<u4"), counts)
+        index = self.of_parts.numbers(parts)
+        ids, each = self.of_parts.of(index)
+        gaps = index == self.of_parts.number.get(" ", -1)
+        word = np.cumsum(gaps)
+        return ids, np.bincount(word, each, int(gaps.sum()) + 1).astype(np.int64)
+
+    def _add(self, new: list[bytes]) -> None:
+        joined = b" ".join(new).decode()
+        if self.plain_words.fullmatch(joined) and not any(t in joined for t in self.added):
+            self.words.add(new, *self._plain_words(joined))
+            return
+        texts = [w.decode() for w in new]
+        plain = [self._is_plain(t) for t in texts]
+        if any(plain):
+            some = [w for w, yes in zip(new, plain, strict=True) if yes]
+            self.words.add(some, *self._plain_words(b" ".join(some).decode()))
+        others = [w for w, yes in zip(new, plain, strict=True) if not yes]
+        found = [self.tokenizer.encode(w.decode(), add_special_tokens=False).ids for w in others]
+        self.words.add(others, np.array([i for ids in found for i in ids], "<u4"), np.array([len(ids) for ids in found], np.int64))
 
     def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words (binary) in a row, and how many each word has."""
-        if len(self.number) > CACHE_WORDS:
-            self._clear()
+        if len(self.words.number) > CACHE_WORDS:
+            self.words, self.of_parts = Runs(), Runs()
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.number]
+        new = [w for w in distinct if w not in self.words.number]
         if new:
-            found = [self._word(w.decode()) for w in new]
-            counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-            self.number.update(zip(new, range(len(self.counts), len(self.counts) + len(new)), strict=True))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
-        numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
-        index = numbers[coded.indices.to_numpy()]
-        counts = self.counts[index]
-        ends = np.cumsum(counts)
-        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[index] - (ends - counts), counts)
-        return self.ids[place], counts
+            self._add(new)
+        return self.words.of(self.words.numbers(distinct)[coded.indices.to_numpy()])
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
