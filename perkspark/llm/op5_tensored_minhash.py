@@ -3,16 +3,20 @@
 A document is the set of its word shingles as 64-bit hashes.  Documents with
 equal sets are one class, linked without any comparison.  Each class gets
 ``COLLECTIONS`` collections of ``ROWS`` minhashes.  A table's key is a pair of
-collections, so that 16 collections (48 minhashes) make 120 tables of six
-minhashes each, which would otherwise take 720.  Two sets of similarity 0.8 miss
-all tables with probability 1.8e-4, of 0.85 with 1e-5.
+collections, so that 14 collections (42 minhashes) make 91 tables of six
+minhashes each, which would otherwise take 546.  Two sets of similarity 0.8 miss
+all tables with probability 7e-4, of 0.85 with 4e-5.
 
 Classes that share a key are candidates.  Within a key every class is first
 compared with the smallest one (a star, not all pairs).  Links that pass the
-test on full sets give components; only where classes of one key are still in
-different components are their other pairs tested too, each in the first table
-that holds it.  So every candidate pair is compared or already linked, and a
-large group of copies costs a comparison or so for each member and key.
+test on full sets give components.  Where classes of one key are still in
+different components, the largest of these stands for the key, and the key's other
+classes are questions to it: all questions to a component are compared with its
+classes and with each other, in blocks of about ``BLOCK`` shingles a side, so that a
+task holds two blocks of sets and gives out only the pairs that agree.  No pair of
+classes is a row before it is a link, so a group of copies, whether its members
+agree or not, makes rows for its members alone; and every candidate pair is compared
+or already linked.
 
 Defined cases: null or empty text (or text without words) has no shingle and
 links with nothing; a null doc_id ranks after all others, and rows of null ids
@@ -31,14 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, byte_chunks, checkpointed, mix64, table, word_hashes
+from .common import bounded_batches, byte_chunks, checkpointed, mix64, table, word_hashes, written
 from .components import components
 
-COLLECTIONS = 16
+COLLECTIONS = 14
 ROWS = 3
 SEED = 55
 #: Ids of texts to compare that are sent to every task at most (16 bytes each).
 BROADCAST_NODES = 1_000_000
+#: Shingles of a block of sets, and the most of sets that one task compares with another block.
+BLOCK = 200_000
 #: Texts agree when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
@@ -107,7 +113,7 @@ def _signatures(width: int, count: int, rows: int):
 
 
 def _table_keys(count: int):
-    """(class, signature) -> a row for each table: its number, its key, the class."""
+    """(class, signature) -> a row for each table: its key, the class."""
     pairs = list(combinations(range(count), 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +123,7 @@ def _table_keys(count: int):
                 node = part.column(0).to_numpy()
                 sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(len(node), count).astype(np.uint64)
                 keys = [mix64((sig[:, i] << np.uint64(32)) | sig[:, j], 100 + t) for t, (i, j) in enumerate(pairs)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.arange(len(pairs), dtype=np.int16), len(node))), pa.array(np.tile(node, len(pairs)))],
-                    names=["key", "t", "node"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.tile(node, len(pairs)))], names=["key", "node"])
 
     return run
 
@@ -149,6 +152,13 @@ def _agree(percent: int):
     return run
 
 
+def sets_of(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(node, members) for the texts (doc_id, text) of the distinct ``nodes`` (doc_id)."""
+    if nodes.count() <= BROADCAST_NODES:  # else texts are shuffled to their ids
+        nodes = F.broadcast(nodes)
+    return texts.join(nodes, "doc_id", "left_semi").mapInArrow(_sets(width), "node long, members binary")
+
+
 def verified(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Of distinct node pairs (a, b), those whose full sets agree.
 
@@ -159,48 +169,86 @@ def verified(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, p
     near = pairs.join(n.withColumnsRenamed({"node": "a", "n_shingles": "na"}), "a").join(n.withColumnsRenamed({"node": "b", "n_shingles": "nb"}), "b")
     near = checkpointed(near.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"))
     nodes = checkpointed(near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct())
-    if nodes.count() <= BROADCAST_NODES:  # else texts are shuffled to their ids
-        nodes = F.broadcast(nodes)
-    sets = texts.join(nodes, "doc_id", "left_semi").mapInArrow(_sets(width), "node long, members binary")
+    sets = sets_of(nodes, texts, width)
     x = sets.withColumnsRenamed({"node": "a", "members": "x"})
     y = sets.withColumnsRenamed({"node": "b", "members": "y"})
     both = near.join(x, "a").join(y, "b").select("a", "b", "x", "y")
     return checkpointed(both.mapInArrow(_agree(percent), "a long, b long").distinct())
 
 
+def _agree_in_blocks(percent: int, count: int):
+    """Pairs of a question and another class, of different components, that share a table's key and agree."""
+
+    def parts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint32).reshape(rows.num_rows, count)
+        return rows["node"].to_numpy(), rows["component"].to_numpy(), sig, [np.frombuffer(m, np.uint64) for m in rows["members"].to_pylist()]
+
+    def run(asked: pa.Table, others: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if asked.num_rows and others.num_rows:
+            node, component, sig, sets = parts(others.rename_columns([c.removeprefix("o_") for c in others.column_names]))
+            sizes = np.array([len(s) for s in sets], np.int64)
+            starts = np.cumsum(sizes) - sizes
+            tokens, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+            for a, c, s, own in zip(*parts(asked), strict=True):
+                # two equal collections are an equal key
+                fits = (component != c) & ((sig == s).sum(axis=1) >= 2) & (100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own)))
+                if not fits.any():
+                    continue
+                at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
+                held = np.zeros(len(tokens), bool)
+                held[at[tokens[at] == own]] = True
+                both = np.add.reduceat(held[inverse], starts, dtype=np.int64)
+                agree = fits & (100 * both >= percent * (sizes + len(own) - both))
+                found += [(min(a, b), max(a, b)) for b in node[agree].tolist()]
+        found = sorted(set(found))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
+
+
+def links_across(members: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, count: int, block: int = BLOCK) -> DataFrame:
+    """Links between classes that share a key of ``members`` and are in different components."""
+    placed = members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    held = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = held.groupBy("key").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("hub"), F.count("*").alias("parts"))
+    asks = F.col("component") != F.col("hub")
+    rows = placed.join(largest.filter("parts > 1"), "key").select("hub", "node", "component", asks.alias("asks")).distinct()
+    info = classes.groupBy("node").agg(F.min("sig").alias("sig"), F.max("n_shingles").alias("n"))
+    rows = written(rows.join(info, "node"), "minhash-apart")
+    sides = rows.groupBy("hub").agg(F.ceil(F.sum(F.when(F.col("asks"), F.col("n"))) / block).alias("nq"), F.ceil(F.sum("n") / block).alias("nd"))
+    sets = sets_of(checkpointed(rows.select(F.col("node").alias("doc_id")).distinct()), texts, width)
+    full = rows.join(sides, "hub").join(sets, "node")
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    columns = ["hub", "node", "component", "sig", "members"]
+    asked = full.filter("asks").select(*columns, deal("nq").alias("q"), every("nd").alias("d"))
+    others = full.select(*(F.col(c).alias(f"o_{c}") for c in columns), deal("nd").alias("o_d"), every("nq").alias("o_q"))
+    pairs = asked.groupBy("hub", "q", "d").cogroup(others.groupBy("o_hub", "o_q", "o_d")).applyInArrow(_agree_in_blocks(percent, count), "a long, b long")
+    return checkpointed(pairs.distinct())
+
+
 def near_duplicates(docs: DataFrame, width: int, percent: int = PERCENT, count: int = COLLECTIONS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     texts = bounded_batches(docs).select("doc_id", "text")
-    every = checkpointed(texts.mapInArrow(_signatures(width, count, rows), SIGNATURE))
+    every = written(texts.mapInArrow(_signatures(width, count, rows), SIGNATURE), "minhash-rows")
     classes = every.filter(F.col("n_shingles") > 0).groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("node"), F.min("sig").alias("sig"))
-    classes = checkpointed(classes.filter(F.col("node").isNotNull()))
+    classes = written(classes.filter(F.col("node").isNotNull()), "minhash-classes")
 
-    rows_of = classes.select("node", "sig").mapInArrow(_table_keys(count), "key long, t short, node long")
+    rows_of = classes.select("node", "sig").mapInArrow(_table_keys(count), "key long, node long")
     heads = rows_of.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last"))
     heads = heads.filter(F.col("head") != F.col("last"))
-    members = checkpointed(rows_of.join(heads, "key"))
+    members = written(rows_of.join(heads, "key"), "minhash-members")
     first = checkpointed(members.filter("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
     links = verified(first, classes, texts, width, percent)
     found = checkpointed(components(links))
 
-    # classes of one key that no chain of links has joined yet
+    # keys of two classes are done; in others, classes that no chain of links has joined yet
     where = F.coalesce(F.col("component"), F.col("node"))
-    large = members.join(members.filter("node != head and node != last").select("key").distinct(), "key", "left_semi").select("key", "t", "node")
-    placed = large.join(found, "node", "left").select("key", "t", "node", where.alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
-    apart = placed.join(split, "key").join(classes.groupBy("node").agg(F.min("sig").alias("sig")), "node")
-    x = apart.select("key", "t", *(F.col(c).alias(f"x_{c}") for c in ("node", "component", "sig")))
-    y = apart.select("key", *(F.col(c).alias(f"y_{c}") for c in ("node", "component", "sig")))
-    tables = F.array(*(F.lit(i * count + j) for i, j in combinations(range(count), 2)))
-    same = F.filter(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.substring("x_sig", i * 4 + 1, F.lit(4)) == F.substring("y_sig", i * 4 + 1, F.lit(4)))
-    here = same[0] * count + same[1] == F.element_at(tables, F.col("t").cast("int") + 1)
-    pairs = x.join(y, "key").filter((F.col("x_node") < F.col("y_node")) & (F.col("x_component") != F.col("y_component")) & here)
-    pairs = pairs.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    pairs = checkpointed(pairs)
-    if not pairs.isEmpty():
-        more = verified(pairs, classes, texts, width, percent)
-        if not more.isEmpty():
-            found = checkpointed(components(links.unionByName(more)))
+    large = members.join(members.filter("node != head and node != last").select("key").distinct(), "key", "left_semi").select("key", "node")
+    more = links_across(large, found, classes, texts, width, percent, count, BLOCK)
+    if not more.isEmpty():
+        found = checkpointed(components(links.unionByName(more)))
 
     named = classes.join(found, "node", "left").select("f1", "f2", "n_shingles", where.alias("component_id"))
     out = every.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2", "n_shingles"], "left")
@@ -213,12 +261,15 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = PERCENT) -> Dat
 
     Of rows that share a doc_id one stays; rows without an id take no part and stay.
     """
-    found = near_duplicates(docs.filter(F.col("doc_id").isNotNull()), width, percent)
-    stay = found.filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.filter(F.col("doc_id").isNotNull())
-    one = named.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).filter("_nth = 1")
-    one = one.join(stay, F.col("doc_id") == F.col("_id"), "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
-    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
+    # whole rows in one column, so that no name of theirs can clash
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, F.col("doc_id").alias("node"), F.xxhash64("text").alias("h"))
+    named = rows.filter(F.col("node").isNotNull())
+    found = near_duplicates(docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull()), width, percent)
+    stay = found.filter("kept").select(F.col("doc_id").alias("node")).distinct()
+    one = named.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy("h"))).filter("nth = 1")
+    one = one.join(stay, "node", "left_semi").select("row")
+    return one.unionByName(rows.filter(F.col("node").isNull()).select("row")).select("row.*")
 
 
 def op5_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,6 +52,31 @@ def test_near_copies_against_brute_force(spark):
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_copies_below_the_threshold_make_no_pairs(spark):
+    """300 copies of one text, most of them too far apart, and some chains among them; tiny blocks."""
+    text = prose(77, 150)
+    rows = [(i, edited(text, 0.06 + 0.02 * (i % 7), i), "a") for i in range(1, 301)]
+    rows += [(1000 + i, edited(rows[250 + i][1], 0.01, i), "a") for i in range(30)]
+    docs = docs_of(spark, rows)
+    want = plain_components(rows, 2)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in op5.near_duplicates(docs, 2).collect())
+    assert sum((want - got).values()) <= 3  # each miss has a probability of 7e-4 at most
+    assert 40 < len({c for *_, c in want}) < 320
+    whole = op5.BLOCK
+    try:
+        op5.BLOCK = 900
+        assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in op5.near_duplicates(docs, 2).collect()) == got
+    finally:
+        op5.BLOCK = whole
+
+
+def test_deduplicated_rows_with_clashing_names(spark):
+    names = "doc_id long, text string, _id long, _nth int, node string, row string, h int, `a.b` int"
+    docs = spark.createDataFrame([(1, "one two three", 5, 1, "n", "r", 3, 4), (2, "one two three", 6, 1, "n", "r", 3, 4), (None, "x", 7, 1, "n", "r", 3, 4)], names)
+    kept = op5.deduplicated(docs)
+    assert kept.columns == docs.columns and {(r["doc_id"], r["_id"], r["a.b"]) for r in kept.collect()} == {(1, 5, 4), (None, 7, 4)}
+
+
 def test_near_duplicates_of_messy_rows(messy, empty):
     got = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in op5.near_duplicates(messy, 2).collect())
     assert sum(got.values()) == messy.count()
