@@ -1,78 +1,95 @@
 """LM scoring: a probabilistic suffix tree over words.
 
-Base counts: every split of the corpus (about ``SPLIT_BYTES`` of text, by hash of
-the id) lists its distinct words with their training counts; summed by word they
-give c, N and V for the whole corpus, and joined back they give each split the
-counts of its own words, so that no vocabulary is ever in one place.
-
-The tree: a context of one to ``DEPTH`` words counts when it occurs ``LEAST`` times
-in the training texts, and so does a symbol that follows it; these counts do not
-rise with the corpus, so that nothing but the divergence test prunes.  A sequence
-that is found ``LEAST`` times has a context and a suffix that are, so each level
-lists, split by split, only sequences whose both were found at the level before.
-Sequences are known by 64-bit hashes; the tree is a table of (context, symbol)
-sequences and a table of states, joined back to each split's own sequences as the
-base counts are, so that it is never in one place either.  A context stays a state
-when the divergence of its next-symbol distribution from that of its longest
-retained suffix is ``DIVERGENCE`` nats or more.  Distributions are smoothed by
+The texts are read once: every split of the corpus (about ``SPLIT_BYTES`` of one
+input partition, however its rows are keyed) numbers its distinct words and is
+stored as lists of numbers beside its words' hashes, in a table bucketed by split.
+Whatever a split has to know later (the corpus-wide counts of its own words and
+sequences, the states among its own contexts) is appended to a second table with the
+same buckets, so that no pass shuffles documents or that knowledge again, and no
+vocabulary or tree is ever in one place.  What is shuffled is one (key, split, count)
+row per distinct word or sequence of a split, and one row of sums per context.
+
+The tree: a context of one to ``DEPTH`` words counts when it occurs ``CONTEXT_LEAST``
+times in the training texts, a symbol after it when the two occur ``LEAST`` times;
+these counts do not rise with the corpus.  A sequence that is found ``LEAST`` times
+has a suffix that is, so each level lists, split by split, only sequences whose
+context and suffix were found at the level before.  Sequences are known by 64-bit
+hashes.  A context stays a state when the divergence of its next-symbol distribution
+from that of its longest retained suffix, times its occurrences, is ``SIGNIFICANCE``
+nats or more (the log likelihood that it gains).  Distributions are smoothed by
 absolute discounting: what a state's symbols give up goes to the distribution of
 its suffix, the root's being the base distribution.  A text is scored with the
 longest suffix state before each token, a start mark counting as a word.
 
 Defined cases: null text is empty text, the end token alone; without training
 documents N and V are 0 and every token has probability 1; rows without an id
-fall into a fold by the empty text; equal texts have equal scores; an empty
-table gives an empty result; other columns are not read.
+fall into a fold by the empty text; equal texts have equal scores; a text of any
+length is one row of its split; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, byte_chunks, crc_remainder, mix64, table, word_hashes, written
+from .common import bounded_batches, byte_chunks, crc_remainder, mix64, shared_folder, table, word_hashes
 
 FOLDS = 10
 SPLIT_BYTES = 24 << 20
+#: Tokens that a task walks at once.
+WALK_TOKENS = 1 << 20
 DEPTH = 3
 #: Occurrences that a context, and a symbol after it, must have; no share of the corpus is asked.
+CONTEXT_LEAST = 3
 LEAST = 2
-CONTEXT_SHARE = JOINT_SHARE = 0.0
-DIVERGENCE = 0.01
+SIGNIFICANCE = 10.0
 DISCOUNT = 0.5
 #: Hashes of the end token and of the mark before the first word.
 END, START = -1, -2
+#: Spark's bound on the buckets of a table.
+MOST_BUCKETS = 100_000
+#: Removes a query's shuffle files when it ends; what it computed is in a table by then.
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+DEALT = "split long, doc_id long, held_out boolean, ids binary, words binary, counts binary"
 
 
-def _words(batch_texts: list[bytes | None]) -> list[list[bytes]]:
-    return [(t or b"").lower().split() for t in batch_texts]
+class SplitTable:
+    """A table under the shared folder, bucketed by split and appended to."""
 
+    def __init__(self, spark: SparkSession, name: str, buckets: int):
+        self.spark, self.buckets = spark, buckets
+        self.name = f"{name}_{uuid.uuid4().hex}"
+        self.path = f"{shared_folder(spark)}/{self.name}"
 
-def _split_counts(group: pa.Table) -> pa.Table:
-    """Distinct words of a split with their counts in training documents."""
-    number: dict[bytes, int] = {}
-    counts = np.zeros(0, np.int64)
-    trained = 0
-    for batch, texts in byte_chunks(group.to_batches(), 4 << 20):
-        words = _words(texts)
-        flat = [w for ws in words for w in ws]
-        at = numbered(flat, number, lambda new: range(len(number), len(number) + len(new)))
-        train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
-        learned = np.repeat(train, [len(ws) for ws in words])
-        seen = np.bincount(at[learned], minlength=len(number))
-        seen[: len(counts)] += counts
-        counts = seen
-        trained += int(train.sum())
-    h = np.append(word_hashes(list(number), {}).view(np.int64), END)
-    split = np.full(len(h), group.column("split")[0].as_py(), np.int64)
-    return pa.table({"split": split, "h": h, "c": np.append(counts, trained).astype(np.int64)})
+    def append(self, df: DataFrame) -> None:
+        conf = self.spark.conf
+        before = conf.get(CLEANUP_KEY, None)
+        conf.set(CLEANUP_KEY, "true")
+        try:
+            out = df.write.mode("append").format("parquet").option("compression", "zstd").option("path", self.path)
+            out.bucketBy(self.buckets, "split").saveAsTable(self.name)
+        finally:
+            if before is None:
+                conf.unset(CLEANUP_KEY)
+            else:
+                conf.set(CLEANUP_KEY, before)
+
+    def gather(self, df: DataFrame) -> None:
+        """Append rows that lie anywhere, with one file a bucket."""
+        self.append(df.repartition(self.buckets, "split"))
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
 
 
 def numbered(words: list[bytes], known: dict[bytes, int], learn: Callable[[list[bytes]], Iterable[int]]) -> np.ndarray:
@@ -86,6 +103,51 @@ def numbered(words: list[bytes], known: dict[bytes, int], learn: Callable[[list[
     return out
 
 
+def _deal(split_bytes: int):
+    """Documents as numbers of their words, and after the last of a split a row of its words' hashes and training counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        part, size, trained = 0, 0, 0
+        number: dict[bytes, int] = {}
+        counts = np.zeros(0, np.int64)
+        schema = pa.schema([("split", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
+
+        def dictionary() -> pa.RecordBatch:
+            h = np.append(word_hashes(list(number), {}).view(np.int64), END)
+            c = np.append(counts, trained).astype(np.int64)
+            return pa.RecordBatch.from_pylist([{"split": first | part, "words": h.tobytes(), "counts": c.tobytes()}], schema)
+
+        for batch, texts in byte_chunks(batches, 4 << 20):
+            words = [(t or b"").lower().split() for t in texts]
+            at = numbered([w for ws in words for w in ws], number, lambda new: range(len(number), len(number) + len(new)))
+            lengths = np.array([len(ws) for ws in words], np.int64)
+            train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+            seen = np.bincount(at[np.repeat(train, lengths)], minlength=len(number))
+            seen[: len(counts)] += counts
+            counts, trained = seen, trained + int(train.sum())
+            offsets = np.concatenate([[0], np.cumsum(lengths * 4)]).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(at.astype(np.int32))])
+            none = pa.nulls(len(words), pa.binary())
+            columns = [pa.array(np.full(len(words), first | part, np.int64)), batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), ids, none, none]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            size += sum(len(t or b"") for t in texts)
+            if size >= split_bytes:
+                yield dictionary()
+                part, size, trained, number, counts = part + 1, 0, 0, {}, np.zeros(0, np.int64)
+        if len(number) or trained:
+            yield dictionary()
+
+    return run
+
+
+def _split_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            h, c = np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), row["split"], np.int64)), pa.array(c)], ["key", "split", "c"])
+
+
 def _joined(context: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of each context followed by a word."""
     return mix64(mix64(context.view(np.uint64), 2) ^ last.view(np.uint64), 3).view(np.int64)
@@ -106,59 +168,57 @@ def _lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
-class Known:
-    """What a split knows: counts of its words, and by level its sequences and states."""
+class Split:
+    """A split's documents, and what it knows: counts of its words, and by level its sequences and states."""
 
-    def __init__(self, rows: pa.Table, levels: int, n_tokens: int, n_words: int):
-        level, key, c, rest = (rows.column(n).to_numpy() for n in ("level", "key", "c", "rest"))
-        is_state = ~np.isnan(rest)
+    def __init__(self, docs: pa.Table, rows: pa.Table, levels: int, n_tokens: int, n_words: int):
         self.denominator = max(n_tokens + 0.1 * (n_words + 1), 0.1)
-        self.words = self._sorted(key, c, level == 0)
-        self.sequences = [self._sorted(key, c, (level == n) & ~is_state) for n in range(1, levels + 1)]
-        self.states = [self._sorted(key, rest, (level == n) & is_state) for n in range(1, levels + 1)]
-        at = _lookup(self.words[0], np.array([END]))[0]
-        self.end_count = int(self.words[1][at]) if at >= 0 else 0
-        # each distinct word of the split has a number, and by it a hash and a count
-        self.number: dict[bytes, int] = {}
-        self.hashes, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    @staticmethod
-    def _sorted(key: np.ndarray, value: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key, value = key[which], value[which]
-        order = np.argsort(key)
-        return key[order], value[order]
-
-    def tokens(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hash and count of each token of the texts (ends included), its place in its text, and each text's length."""
-        words = _words(texts)
-        old = len(self.number)
-        at = numbered([w for ws in words for w in ws], self.number, lambda new: range(old, old + len(new)))
-        if len(self.number) > old:
-            h = word_hashes(list(islice(self.number, old, None)), {}).view(np.int64)
-            hit = _lookup(self.words[0], h)
-            self.hashes = np.append(self.hashes, h)
-            self.counts = np.append(self.counts, np.where(hit >= 0, self.words[1][hit] if len(self.words[1]) else 0, 0))
-        n = np.array([len(ws) + 1 for ws in words], np.int64)
-        ends = np.cumsum(n) - 1
-        inner = np.ones(int(n.sum()), bool)
-        inner[ends] = False
-        h, c = np.full(len(inner), END, np.int64), np.full(len(inner), self.end_count, np.int64)
-        h[inner], c[inner] = self.hashes[at], self.counts[at]
-        return h, c, np.arange(len(inner)) - np.repeat(ends + 1 - n, n), n
-
-    def walk(self, h: np.ndarray, c: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each token: its probability by the known levels, the next level's context and its count, and the count of the sequence after that context's first word."""
+        level, key, c, rest, owner = (rows.column(n).to_numpy() for n in ("level", "key", "c", "rest", "owner"))
+        is_state = ~np.isnan(rest)
+
+        def ranked(which: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+            order = np.flatnonzero(which)[np.argsort(key[which])]
+            return [key[order], *(v[order] for v in values)]
+
+        known, counts = ranked(level == 0, c)
+        self.sequences = [ranked((level == n) & ~is_state, c, owner) for n in range(1, levels + 1)]
+        self.states = [ranked((level == n) & is_state, rest) for n in range(1, levels + 1)]
+        words = [w for w in docs.column("words").to_pylist() if w is not None]
+        self.hashes = np.frombuffer(words[0], np.int64) if words else np.zeros(0, np.int64)
+        # every word of the split is among its rows of level 0
+        self.counts = counts[_lookup(known, self.hashes)] if len(known) else np.zeros(len(self.hashes), np.int64)
+        self.end_count = int(self.counts[-1]) if len(self.counts) else 0
+        self.docs = docs.filter(pa.compute.is_valid(docs.column("ids"))) if docs.num_rows else docs
+        self.id = docs.column("split")[0].as_py() if docs.num_rows else 0
+
+    def chunks(self) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Documents with the hash and count of each of their tokens (ends included), its place in its text, and each text's length."""
+        lengths = pa.compute.binary_length(self.docs.column("ids")).to_numpy() // 4 + 1 if self.docs.num_rows else np.zeros(0, np.int64)
+        chunk = (np.cumsum(lengths) - 1) // WALK_TOKENS
+        edges = np.flatnonzero(np.diff(chunk, prepend=-1, append=-1)) if len(chunk) else []
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            docs, n = self.docs.slice(start, end - start), lengths[start:end].astype(np.int64)
+            ends = np.cumsum(n) - 1
+            number = np.full(int(n.sum()), len(self.hashes) - 1, np.int64)  # the end token is the last of the words
+            inner = np.ones(len(number), bool)
+            inner[ends] = False
+            number[inner] = np.frombuffer(b"".join(docs.column("ids").to_pylist()), np.int32)
+            yield docs, self.hashes[number], self.counts[number], np.arange(len(number)) - np.repeat(ends + 1 - n, n), n
+
+    def walk(self, h: np.ndarray, c: np.ndarray, place: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each token: its probability by so many levels, the next level's context and its count, and the count of the sequence after that context's first word."""
         p = (c + 0.1) / self.denominator
         context = np.concatenate([[START], h[:-1]])
         total = np.concatenate([[0], c[:-1]])
         context[place == 0], total[place == 0] = START, self.end_count
-        for level, ((keys, counts), (states, rests)) in enumerate(zip(self.sequences, self.states, strict=True)):
+        for level, ((keys, counts, _), (states, rests)) in enumerate(zip(self.sequences[:levels], self.states[:levels], strict=True)):
             key = _joined(context, h)
-            at = np.flatnonzero(total >= LEAST)
+            at = np.flatnonzero((total >= CONTEXT_LEAST) & (c >= LEAST))
             entry = _lookup(keys, key[at])
             found = at[entry >= 0]
             c = np.zeros(len(h), np.int64)
             c[found] = counts[entry[entry >= 0]]
+            at = np.flatnonzero(total >= CONTEXT_LEAST)
             state = _lookup(states, context[at])
             inside = at[state >= 0]
             p[inside] = p[inside] * rests[state[state >= 0]] + np.maximum(c[inside] - DISCOUNT, 0) / total[inside]
@@ -167,98 +227,113 @@ class Known:
         return p, context, total, c
 
 
-def _sequences(levels: int, n_tokens: int, n_words: int):
-    """A split's sequences that may be in the tree at the next level, with their training counts; and, with no ``key``, its contexts."""
+def _sequences(level: int, n_tokens: int, n_words: int):
+    """A split's sequences that may be in the tree at this level, with their training counts."""
 
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
-        known = Known(rows, levels, n_tokens, n_words)
-        keys, values, asked = [], [], []
-        for batch, texts in byte_chunks(docs.to_batches(), 4 << 20):
-            h, c, place, n = known.tokens(texts)
-            p, context, total, suffix = known.walk(h, c, place)
-            asked.append(np.unique(context[total >= LEAST]))
-            at = np.flatnonzero((total >= LEAST) & (suffix >= LEAST))
-            train = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), n)
-            key, first, where = np.unique(_joined(context[at], h[at]), return_index=True, return_inverse=True)
+        split = Split(docs, rows, level - 1, n_tokens, n_words)
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for batch, h, c, place, n in split.chunks():
+            _, context, total, suffix = split.walk(h, c, place, level - 1)
+            at = np.flatnonzero((total >= CONTEXT_LEAST) & (suffix >= LEAST))
+            train = np.repeat(~batch.column("held_out").to_numpy(), n)
+            key, where = np.unique(_joined(context[at], h[at]), return_inverse=True)
             keys.append(key)
-            values.append((context[at][first], total[at][first], np.bincount(where.reshape(-1), train[at], len(key)), p[at][first]))
-        key, first, where = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_index=True, return_inverse=True)
-        context, total, c, p = (np.concatenate([*(v[i] for v in values), np.zeros(0, kind)]) for i, kind in enumerate((np.int64, np.int64, np.float64, np.float64)))
-        c = np.bincount(where.reshape(-1), c, len(key))
-        contexts = np.unique(np.concatenate([*asked, np.zeros(0, np.int64)]))
-        none = [None] * len(contexts)
-        size = len(key) + len(contexts)
-        split = docs.column("split")[0].as_py() if docs.num_rows else 0
-        return pa.table({
-            "split": pa.array(np.full(size, split, np.int64)), "context": pa.array(np.append(context[first], contexts)),
-            "total": pa.chunked_array([pa.array(total[first]), pa.array(none, pa.int64())]), "key": pa.chunked_array([pa.array(key), pa.array(none, pa.int64())]),
-            "c": pa.chunked_array([pa.array(c.astype(np.int64)), pa.array(none, pa.int64())]), "p": pa.chunked_array([pa.array(p[first]), pa.array(none, pa.float64())]),
-        })
+            counts.append(np.bincount(where.reshape(-1), train[at], len(key)))
+        key, where = np.unique(np.concatenate(keys), return_inverse=True)
+        c = np.bincount(where.reshape(-1), np.concatenate(counts), len(key)).astype(np.int64)
+        return pa.table({"key": key, "split": np.full(len(key), split.id, np.int64), "c": c})
+
+    return run
+
+
+def _contexts(level: int, n_tokens: int, n_words: int):
+    """A split's contexts of this level, with what the sequences it owns add to the sums of their divergence."""
+
+    def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
+        split = Split(docs, rows, level, n_tokens, n_words)
+        keys, counts, owner = split.sequences[-1]
+        contexts, totals, lower = np.zeros(len(keys), np.int64), np.ones(len(keys), np.int64), np.ones(len(keys))
+        for _, h, c, place, _ in split.chunks():
+            p, context, total, suffix = split.walk(h, c, place, level - 1)
+            at = np.flatnonzero((total >= CONTEXT_LEAST) & (suffix >= LEAST))
+            entry = _lookup(keys, _joined(context[at], h[at]))
+            at, entry = at[entry >= 0], entry[entry >= 0]
+            contexts[entry], totals[entry], lower[entry] = context[at], total[at], p[at]
+        context, first, where = np.unique(contexts, return_index=True, return_inverse=True)
+        share = counts / totals
+        sums = {"listed": share * np.log(np.maximum(share, 1e-300) / lower), "share": share, "lower": lower, "mass": np.maximum(counts - DISCOUNT, 0) / totals}
+        summed = {name: np.bincount(where.reshape(-1), v * owner, len(context)).astype(np.float64) for name, v in sums.items()}
+        return pa.table({"context": context, "split": np.full(len(context), split.id, np.int64), "total": totals[first], **summed})
 
     return run
 
 
-def grow(dealt: DataFrame, known: DataFrame, level: int, n_tokens: int, n_words: int) -> DataFrame:
-    """The rows that each split knows of the next level: its sequences with their counts, its states with what they leave to their suffix."""
-    schema = "split long, context long, total long, key long, c long, p double"
-    own = written(dealt.groupBy("split").cogroup(known.groupBy("split")).applyInArrow(_sequences(level - 1, n_tokens, n_words), schema), f"sequences{level}")
-    counted = own.filter("key is not null").groupBy("key").agg(*(F.min(n).alias(n) for n in ("context", "total", "p")), F.sum("c").alias("c"))
-    tree = written(counted.filter(F.col("c") >= LEAST), f"tree{level}")
-    share = F.col("c") / F.col("total")
-    sums = tree.groupBy("context").agg(
-        F.sum(share * F.log(share / F.col("p"))).alias("listed"),
-        F.sum(share).alias("share"),
-        F.sum("p").alias("lower"),
-        F.sum(F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.col("total")).alias("mass"),
+def _totals(own: DataFrame) -> DataFrame:
+    """Rows (key, split, c) with the whole corpus's count instead, and one owner split a key; one exchange serves the sum and the join."""
+    dealt = own.repartition("key")
+    total = dealt.groupBy("key").agg(F.sum("c").alias("total"), F.min("split").alias("owner"))
+    return dealt.select("key", "split").join(total, "key")
+
+
+def _known(rows: DataFrame, level: int) -> DataFrame:
+    return rows.select(
+        "split", F.lit(level).alias("level"), "key", F.col("total").alias("c"), F.lit(float("nan")).alias("rest"), (F.col("owner") == F.col("split")).alias("owner")
     )
+
+
+def _grow(dealt: SplitTable, known: SplitTable, level: int, sizes: tuple[int, int]) -> None:
+    """Add to what each split knows its sequences of this level, with their counts, and its states, with what they leave to their suffix."""
+
+    def over_splits(run, schema: str) -> DataFrame:
+        return dealt.read().groupBy("split").cogroup(known.read().groupBy("split")).applyInArrow(run, schema)
+
+    own = over_splits(_sequences(level, *sizes), "key long, split long, c long")
+    known.gather(_known(_totals(own).filter(F.col("total") >= LEAST), level))
+    sums = over_splits(_contexts(level, *sizes), "context long, split long, total long, listed double, share double, lower double, mass double").repartition("context")
+    by_context = sums.groupBy("context").agg(F.max("total").alias("total"), *(F.sum(n).alias(n) for n in ("listed", "share", "lower", "mass")))
     # the symbols listed, and all others as one
     left, lower_left = 1 - F.col("share"), F.greatest(1 - F.col("lower"), F.lit(1e-12))
     divergence = F.col("listed") + F.when(left > 1e-12, left * F.log(left / lower_left)).otherwise(0.0)
-    states = sums.filter(divergence >= DIVERGENCE).select("context", (1 - F.col("mass")).alias("rest"))
-    sequences = own.filter("key is not null").select("split", "key").join(tree.select("key", "c"), "key")
-    kept = own.filter("key is null").select("split", "context").join(states, "context")
-    columns = ["split", F.lit(level).alias("level")]
-    return written(
-        sequences.select(*columns, "key", "c", F.lit(float("nan")).alias("rest")).unionByName(kept.select(*columns, F.col("context").alias("key"), F.lit(0).cast("long").alias("c"), "rest")),
-        f"level{level}",
-    )
+    states = by_context.filter(F.col("total") * divergence >= SIGNIFICANCE).select("context", (1 - F.col("mass")).alias("rest"))
+    kept = sums.select("context", "split").join(states, "context")
+    known.gather(kept.select("split", F.lit(level).alias("level"), F.col("context").alias("key"), F.lit(0).cast("long").alias("c"), "rest", F.lit(False).alias("owner")))
 
 
 def _score(n_tokens: int, n_words: int):
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
-        known = Known(rows, DEPTH, n_tokens, n_words)
-        columns: list[list] = [[] for _ in range(7)]
-        for batch, texts in byte_chunks(docs.to_batches(), 2 << 20):
-            h, c, place, n = known.tokens(texts)
-            p = known.walk(h, c, place)[0]
-            base = (c + 0.1) / known.denominator
-            starts = np.cumsum(n) - n
-            columns[0] += batch.column("doc_id").to_pylist()
-            columns[1] += batch.column("held_out").to_pylist()
-            columns[2] += n.tolist()
-            columns[3] += np.add.reduceat((c > 0).astype(np.int64), starts).tolist()
-            columns[4] += [n_tokens] * len(n)
-            columns[5] += np.add.reduceat(np.log10(base), starts).tolist()
-            columns[6] += np.add.reduceat(np.log10(p), starts).tolist()
+        split = Split(docs, rows, DEPTH, n_tokens, n_words)
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.table({name.split()[0]: pa.array(c, k) for name, c, k in zip(SCORES.split(", "), columns, kinds, strict=True)})
+        schema = pa.schema(list(zip([column.split()[0] for column in SCORES.split(", ")], kinds, strict=True)))
+        out = []
+        for batch, h, c, place, n in split.chunks():
+            p = split.walk(h, c, place, DEPTH)[0]
+            base = (c + 0.1) / split.denominator
+            starts = np.cumsum(n) - n
+            known = np.add.reduceat((c > 0).astype(np.int64), starts)
+            sums = (np.add.reduceat(np.log10(x), starts) for x in (base, p))
+            columns = [batch.column("doc_id").combine_chunks(), batch.column("held_out").combine_chunks(), n, known, np.full(len(n), n_tokens, np.int64), *sums]
+            out.append(pa.table([pa.array(x) if isinstance(x, np.ndarray) else x for x in columns], schema=schema))
+        return pa.concat_tables(out) if out else schema.empty_table()
 
     return run
 
 
 def suffix_tree_scores(docs: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """One row per document: the columns of ``SCORES``."""
-    rows = bounded_batches(docs).select("doc_id", "text").withColumn("held_out", crc_remainder(F.col("doc_id"), FOLDS) == 0)
+    spark = docs.sparkSession
+    rows = bounded_batches(docs).select("doc_id", "text", (crc_remainder(F.col("doc_id"), FOLDS) == 0).alias("held_out"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    splits = max(1, -(-size // split_bytes))
-    dealt = rows.withColumn("split", F.pmod(F.xxhash64("doc_id"), F.lit(splits)))
-    listed = written(dealt.groupBy("split").applyInArrow(_split_counts, "split long, h long, c long"), "words")
-    total = written(listed.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 0"), "counts")
-    n_tokens, n_words = total.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    known = listed.select("split", "h").join(total, "h").select("split", F.lit(0).alias("level"), F.col("h").alias("key"), "c", F.lit(float("nan")).alias("rest"))
+    # twice the splits expected, so that few share a bucket
+    buckets = min(MOST_BUCKETS, 2 * max(4, -(-size // split_bytes)))
+    dealt, known = (SplitTable(spark, name, buckets) for name in ("suffix_dealt", "suffix_known"))
+    dealt.append(rows.mapInArrow(_deal(split_bytes), DEALT))
+    words = dealt.read().filter("words is not null").select("split", "words", "counts").mapInArrow(_split_words, "key long, split long, c long")
+    known.gather(_known(_totals(words), 0))
+    sizes = known.read().filter("owner").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     for level in range(1, DEPTH + 1):
-        known = known.unionByName(grow(dealt, known, level, n_tokens, n_words))
-    return dealt.groupBy("split").cogroup(known.groupBy("split")).applyInArrow(_score(n_tokens, n_words), SCORES)
+        _grow(dealt, known, level, tuple(sizes))
+    return dealt.read().groupBy("split").cogroup(known.read().groupBy("split")).applyInArrow(_score(*sizes), SCORES)
 
 
 def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

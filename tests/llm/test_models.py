@@ -70,7 +70,7 @@ class PlainTree:
                 for k in range(1, op8.DEPTH + 1):
                     if i + 1 - k >= 0:
                         follow[k - 1][tuple(before[i + 1 - k : i + 1])][w] += 1
-        frequent, least = max(2, op8.CONTEXT_SHARE * self.n), max(2, op8.JOINT_SHARE * self.n)
+        frequent, least = op8.CONTEXT_LEAST, op8.LEAST
         total = {(w,): n for w, n in self.c.items() if w != END and n >= frequent}
         if len(seqs) >= frequent:
             total[(START,)] = len(seqs)
@@ -89,7 +89,7 @@ class PlainTree:
                 left = max(0, 1 - listed)
                 if left > 1e-12:
                     divergence += left * math.log(left / max(1 - below, 1e-12))
-                if divergence >= op8.DIVERGENCE:
+                if n * divergence >= op8.SIGNIFICANCE:
                     mass = {w: (x - op8.DISCOUNT) / n for w, x in entries.items()}
                     found[ctx] = (mass, 1 - sum(mass.values()))
             self.states |= found
