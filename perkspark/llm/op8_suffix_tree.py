@@ -6,8 +6,10 @@ stored as lists of numbers beside its words' hashes, in a table bucketed by spli
 Whatever a split has to know later (the corpus-wide counts of its own words and
 sequences, the states among its own contexts) is appended to a second table with the
 same buckets, so that no pass shuffles documents or that knowledge again, and no
-vocabulary or tree is ever in one place.  What is shuffled is one (key, split, count)
-row per distinct word or sequence of a split, and one row of sums per context.
+vocabulary or tree is ever in one place.  Shuffled are, to ranges of the hash space
+(one for each ``RANGE_BYTES`` of text, so that a range's size does not grow with the
+corpus, and a key is there once a split, however frequent), the sorted keys and counts
+of a split's words, sequences and contexts, packed by range, and back what is kept.
 
 The tree: a context of one to ``DEPTH`` words counts when it occurs ``CONTEXT_LEAST``
 times in the training texts, a symbol after it when the two occur ``LEAST`` times;
@@ -44,8 +46,10 @@ from .common import bounded_batches, byte_chunks, crc_remainder, mix64, shared_f
 
 FOLDS = 10
 SPLIT_BYTES = 24 << 20
+#: Text for each range of the hash space; its keys are merged by one task.
+RANGE_BYTES = 6 << 20
 #: Tokens that a task walks at once.
-WALK_TOKENS = 1 << 20
+WALK_TOKENS = 1 << 19
 DEPTH = 3
 #: Occurrences that a context, and a symbol after it, must have; no share of the corpus is asked.
 CONTEXT_LEAST = 3
@@ -60,6 +64,8 @@ MOST_BUCKETS = 100_000
 CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+PACKED = "range long, split long, keys binary, data binary"
+KNOWN = "split long, level int, state boolean, keys binary, data binary, owner binary, n long, v long"
 DEALT = "split long, doc_id long, held_out boolean, ids binary, words binary, counts binary"
 
 
@@ -141,11 +147,83 @@ def _deal(split_bytes: int):
     return run
 
 
-def _split_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            h, c = np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), row["split"], np.int64)), pa.array(c)], ["key", "split", "c"])
+def _packed(split: int, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa.Table:
+    """Distinct keys, each with a value or a row of them, as a row for each range of the hash space."""
+    which = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    order = np.lexsort((keys, which))
+    keys, values, which = keys[order], values[order], which[order].astype(np.int64)
+    starts = np.flatnonzero(np.diff(which, prepend=-1))
+    spans = list(zip(starts.tolist(), np.append(starts, len(keys))[1:].tolist(), strict=True))
+    return pa.table({
+        "range": which[starts], "split": np.full(len(starts), split, np.int64),
+        "keys": pa.array([keys[i:j].tobytes() for i, j in spans], pa.binary()), "data": pa.array([values[i:j].tobytes() for i, j in spans], pa.binary()),
+    })
+
+
+def _split_words(ranges: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from _packed(row["split"], np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64), ranges).to_batches()
+
+    return run
+
+
+class Merged:
+    """The packed rows of a range: its keys and values, and for each the number of its key and its row."""
+
+    def __init__(self, rows: pa.Table, kind: type):
+        rows = rows.sort_by("split")
+        self.splits = rows.column("split").to_numpy()
+        packed = rows.column("keys").to_pylist()
+        self.keys = np.frombuffer(b"".join(packed), np.int64)
+        self.values = np.frombuffer(b"".join(rows.column("data").to_pylist()), kind)
+        self.edges = np.concatenate([[0], np.cumsum([len(k) // 8 for k in packed])])
+        self.distinct, self.first, where = np.unique(self.keys, return_index=True, return_inverse=True)
+        self.where = where.reshape(-1)
+
+    def rows(self, level: int, state: bool, keep: np.ndarray, values: np.ndarray, owner: np.ndarray) -> pa.Table:
+        """Rows of ``KNOWN``: of each split's keys those to ``keep``."""
+        n = np.cumsum(np.concatenate([[0], np.where(owner & keep, values, 0)])) if not state else np.zeros(len(keep) + 1)
+        v = np.cumsum(np.concatenate([[0], owner & keep & (values > 0)]))
+        out = []
+        for split, i, j in zip(self.splits.tolist(), self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True):
+            at = np.flatnonzero(keep[i:j]) + i
+            if len(at):
+                out.append((split, level, state, self.keys[at].tobytes(), values[at].tobytes(), owner[at].tobytes(), int(n[j] - n[i]), int(v[j] - v[i])))
+        kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        names = [column.split()[0] for column in KNOWN.split(", ")]
+        return pa.table({name: pa.array([row[i] for row in out], kind) for i, (name, kind) in enumerate(zip(names, kinds, strict=True))})
+
+
+def _totals(level: int, least: int):
+    """What each split is to know of its keys in a range: the whole corpus's counts of ``least`` and more, and whether it is the key's owner, the first split with it."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        merged = Merged(rows, np.int64)
+        total = np.bincount(merged.where, merged.values, len(merged.distinct)).astype(np.int64)[merged.where]
+        owner = np.zeros(len(total), bool)
+        owner[merged.first] = True
+        return merged.rows(level, False, total >= least, total, owner)
+
+    return run
+
+
+def _states(level: int):
+    """What each split is to know of its contexts in a range: those that stay states, and what they leave to their suffix."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        merged = Merged(rows, np.float64)
+        values = merged.values.reshape(-1, 5)
+        total = values[merged.first, 0]
+        listed, share, lower, mass = (np.bincount(merged.where, values[:, i], len(total)) for i in range(1, 5))
+        # the symbols listed, and all others as one
+        left = 1 - share
+        others = np.where(left > 1e-12, left * np.log(np.maximum(left, 1e-12) / np.maximum(1 - lower, 1e-12)), 0.0)
+        keep = total * (listed + others) >= SIGNIFICANCE
+        return merged.rows(level, True, keep[merged.where], (1 - mass)[merged.where], np.zeros(len(merged.keys), bool))
+
+    return run
 
 
 def _joined(context: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -173,16 +251,17 @@ class Split:
 
     def __init__(self, docs: pa.Table, rows: pa.Table, levels: int, n_tokens: int, n_words: int):
         self.denominator = max(n_tokens + 0.1 * (n_words + 1), 0.1)
-        level, key, c, rest, owner = (rows.column(n).to_numpy() for n in ("level", "key", "c", "rest", "owner"))
-        is_state = ~np.isnan(rest)
+        level, state = rows.column("level").to_numpy(), rows.column("state").to_numpy(zero_copy_only=False)
 
-        def ranked(which: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-            order = np.flatnonzero(which)[np.argsort(key[which])]
+        def ranked(level_of: int, is_state: bool, **columns: type) -> list[np.ndarray]:
+            own = rows.filter(pa.array((level == level_of) & (state == is_state)))
+            key, *values = (np.frombuffer(b"".join(own.column(name).to_pylist()), kind) for name, kind in {"keys": np.int64, **columns}.items())
+            order = np.argsort(key)
             return [key[order], *(v[order] for v in values)]
 
-        known, counts = ranked(level == 0, c)
-        self.sequences = [ranked((level == n) & ~is_state, c, owner) for n in range(1, levels + 1)]
-        self.states = [ranked((level == n) & is_state, rest) for n in range(1, levels + 1)]
+        known, counts = ranked(0, False, data=np.int64)
+        self.sequences = [ranked(n, False, data=np.int64, owner=np.bool_) for n in range(1, levels + 1)]
+        self.states = [ranked(n, True, data=np.float64) for n in range(1, levels + 1)]
         words = [w for w in docs.column("words").to_pylist() if w is not None]
         self.hashes = np.frombuffer(words[0], np.int64) if words else np.zeros(0, np.int64)
         # every word of the split is among its rows of level 0
@@ -227,79 +306,54 @@ class Split:
         return p, context, total, c
 
 
-def _sequences(level: int, n_tokens: int, n_words: int):
+def _sequences(level: int, n_tokens: int, n_words: int, ranges: int):
     """A split's sequences that may be in the tree at this level, with their training counts."""
 
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
         split = Split(docs, rows, level - 1, n_tokens, n_words)
-        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0)]
+        keys, learned = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
         for batch, h, c, place, n in split.chunks():
             _, context, total, suffix = split.walk(h, c, place, level - 1)
             at = np.flatnonzero((total >= CONTEXT_LEAST) & (suffix >= LEAST))
-            train = np.repeat(~batch.column("held_out").to_numpy(), n)
-            key, where = np.unique(_joined(context[at], h[at]), return_inverse=True)
-            keys.append(key)
-            counts.append(np.bincount(where.reshape(-1), train[at], len(key)))
+            keys.append(_joined(context[at], h[at]))
+            learned.append(np.repeat(~batch.column("held_out").to_numpy(), n)[at])
         key, where = np.unique(np.concatenate(keys), return_inverse=True)
-        c = np.bincount(where.reshape(-1), np.concatenate(counts), len(key)).astype(np.int64)
-        return pa.table({"key": key, "split": np.full(len(key), split.id, np.int64), "c": c})
+        return _packed(split.id, key, np.bincount(where.reshape(-1), np.concatenate(learned), len(key)).astype(np.int64), ranges)
 
     return run
 
 
-def _contexts(level: int, n_tokens: int, n_words: int):
-    """A split's contexts of this level, with what the sequences it owns add to the sums of their divergence."""
+def _contexts(level: int, n_tokens: int, n_words: int, ranges: int):
+    """A split's contexts of this level: their counts, and what the sequences it owns add to the sums of their divergence."""
 
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
         split = Split(docs, rows, level, n_tokens, n_words)
         keys, counts, owner = split.sequences[-1]
-        contexts, totals, lower = np.zeros(len(keys), np.int64), np.ones(len(keys), np.int64), np.ones(len(keys))
+        of, totals, lower = np.zeros(len(keys), np.int64), np.ones(len(keys), np.int64), np.ones(len(keys))
+        seen, seen_total = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for _, h, c, place, _ in split.chunks():
             p, context, total, suffix = split.walk(h, c, place, level - 1)
-            at = np.flatnonzero((total >= CONTEXT_LEAST) & (suffix >= LEAST))
+            at = np.flatnonzero(total >= CONTEXT_LEAST)
+            distinct, first = np.unique(context[at], return_index=True)
+            seen.append(distinct)
+            seen_total.append(total[at][first])
+            at = at[suffix[at] >= LEAST]
             entry = _lookup(keys, _joined(context[at], h[at]))
             at, entry = at[entry >= 0], entry[entry >= 0]
-            contexts[entry], totals[entry], lower[entry] = context[at], total[at], p[at]
-        context, first, where = np.unique(contexts, return_index=True, return_inverse=True)
-        share = counts / totals
-        sums = {"listed": share * np.log(np.maximum(share, 1e-300) / lower), "share": share, "lower": lower, "mass": np.maximum(counts - DISCOUNT, 0) / totals}
-        summed = {name: np.bincount(where.reshape(-1), v * owner, len(context)).astype(np.float64) for name, v in sums.items()}
-        return pa.table({"context": context, "split": np.full(len(context), split.id, np.int64), "total": totals[first], **summed})
+            of[entry], totals[entry], lower[entry] = context[at], total[at], p[at]
+        context, first = np.unique(np.concatenate(seen), return_index=True)
+        values = np.zeros((len(context), 5))
+        values[:, 0] = np.concatenate(seen_total)[first]
+        own = owner & (counts > 0)
+        share, where = counts[own] / totals[own], np.searchsorted(context, of[own])
+        sums = [share * np.log(share / lower[own]), share, lower[own], np.maximum(counts[own] - DISCOUNT, 0) / totals[own]]
+        for i, v in enumerate(sums, 1):
+            values[:, i] = np.bincount(where, v, len(context))
+        return _packed(split.id, context, values, ranges)
 
     return run
 
 
-def _totals(own: DataFrame) -> DataFrame:
-    """Rows (key, split, c) with the whole corpus's count instead, and one owner split a key; one exchange serves the sum and the join."""
-    dealt = own.repartition("key")
-    total = dealt.groupBy("key").agg(F.sum("c").alias("total"), F.min("split").alias("owner"))
-    return dealt.select("key", "split").join(total, "key")
-
-
-def _known(rows: DataFrame, level: int) -> DataFrame:
-    return rows.select(
-        "split", F.lit(level).alias("level"), "key", F.col("total").alias("c"), F.lit(float("nan")).alias("rest"), (F.col("owner") == F.col("split")).alias("owner")
-    )
-
-
-def _grow(dealt: SplitTable, known: SplitTable, level: int, sizes: tuple[int, int]) -> None:
-    """Add to what each split knows its sequences of this level, with their counts, and its states, with what they leave to their suffix."""
-
-    def over_splits(run, schema: str) -> DataFrame:
-        return dealt.read().groupBy("split").cogroup(known.read().groupBy("split")).applyInArrow(run, schema)
-
-    own = over_splits(_sequences(level, *sizes), "key long, split long, c long")
-    known.gather(_known(_totals(own).filter(F.col("total") >= LEAST), level))
-    sums = over_splits(_contexts(level, *sizes), "context long, split long, total long, listed double, share double, lower double, mass double").repartition("context")
-    by_context = sums.groupBy("context").agg(F.max("total").alias("total"), *(F.sum(n).alias(n) for n in ("listed", "share", "lower", "mass")))
-    # the symbols listed, and all others as one
-    left, lower_left = 1 - F.col("share"), F.greatest(1 - F.col("lower"), F.lit(1e-12))
-    divergence = F.col("listed") + F.when(left > 1e-12, left * F.log(left / lower_left)).otherwise(0.0)
-    states = by_context.filter(F.col("total") * divergence >= SIGNIFICANCE).select("context", (1 - F.col("mass")).alias("rest"))
-    kept = sums.select("context", "split").join(states, "context")
-    known.gather(kept.select("split", F.lit(level).alias("level"), F.col("context").alias("key"), F.lit(0).cast("long").alias("c"), "rest", F.lit(False).alias("owner")))
-
-
 def _score(n_tokens: int, n_words: int):
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
         split = Split(docs, rows, DEPTH, n_tokens, n_words)
@@ -326,13 +380,21 @@ def suffix_tree_scores(docs: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataF
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     # twice the splits expected, so that few share a bucket
     buckets = min(MOST_BUCKETS, 2 * max(4, -(-size // split_bytes)))
+    ranges = max(4, -(-size // RANGE_BYTES))
     dealt, known = (SplitTable(spark, name, buckets) for name in ("suffix_dealt", "suffix_known"))
     dealt.append(rows.mapInArrow(_deal(split_bytes), DEALT))
-    words = dealt.read().filter("words is not null").select("split", "words", "counts").mapInArrow(_split_words, "key long, split long, c long")
-    known.gather(_known(_totals(words), 0))
-    sizes = known.read().filter("owner").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+
+    def learn(packed: DataFrame, merge) -> None:
+        known.gather(packed.repartition(min(ranges, MOST_BUCKETS), "range").groupBy("range").applyInArrow(merge, KNOWN))
+
+    def of_splits(run) -> DataFrame:
+        return dealt.read().groupBy("split").cogroup(known.read().groupBy("split")).applyInArrow(run, PACKED)
+
+    learn(dealt.read().filter("words is not null").select("split", "words", "counts").mapInArrow(_split_words(ranges), PACKED), _totals(0, 0))
+    sizes = known.read().agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     for level in range(1, DEPTH + 1):
-        _grow(dealt, known, level, tuple(sizes))
+        learn(of_splits(_sequences(level, *sizes, ranges)), _totals(level, LEAST))
+        learn(of_splits(_contexts(level, *sizes, ranges)), _states(level))
     return dealt.read().groupBy("split").cogroup(known.read().groupBy("split")).applyInArrow(_score(*sizes), SCORES)
 
 
