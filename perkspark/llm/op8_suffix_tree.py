@@ -148,7 +148,7 @@ def _deal(split_bytes: int):
 
 
 def _packed(split: int, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa.Table:
-    """Distinct keys, each with a value or a row of them, as a row for each range of the hash space."""
+    """Distinct keys, each with a value or a row of them, as a row for each range of the hash space; values lie column by column."""
     which = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
     order = np.lexsort((keys, which))
     keys, values, which = keys[order], values[order], which[order].astype(np.int64)
@@ -156,7 +156,7 @@ def _packed(split: int, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa
     spans = list(zip(starts.tolist(), np.append(starts, len(keys))[1:].tolist(), strict=True))
     return pa.table({
         "range": which[starts], "split": np.full(len(starts), split, np.int64),
-        "keys": pa.array([keys[i:j].tobytes() for i, j in spans], pa.binary()), "data": pa.array([values[i:j].tobytes() for i, j in spans], pa.binary()),
+        "keys": pa.array([keys[i:j].tobytes() for i, j in spans], pa.binary()), "data": pa.array([values[i:j].T.tobytes() for i, j in spans], pa.binary()),
     })
 
 
@@ -172,12 +172,12 @@ def _split_words(ranges: int):
 class Merged:
     """The packed rows of a range: its keys and values, and for each the number of its key and its row."""
 
-    def __init__(self, rows: pa.Table, kind: type):
+    def __init__(self, rows: pa.Table, kind: type, columns: int = 1):
         rows = rows.sort_by("split")
         self.splits = rows.column("split").to_numpy()
         packed = rows.column("keys").to_pylist()
         self.keys = np.frombuffer(b"".join(packed), np.int64)
-        self.values = np.frombuffer(b"".join(rows.column("data").to_pylist()), kind)
+        self.values = np.concatenate([np.frombuffer(d, kind).reshape(columns, -1) for d in rows.column("data").to_pylist()], axis=1)
         self.edges = np.concatenate([[0], np.cumsum([len(k) // 8 for k in packed])])
         self.distinct, self.first, where = np.unique(self.keys, return_index=True, return_inverse=True)
         self.where = where.reshape(-1)
@@ -201,7 +201,7 @@ def _totals(level: int, least: int):
 
     def run(rows: pa.Table) -> pa.Table:
         merged = Merged(rows, np.int64)
-        total = np.bincount(merged.where, merged.values, len(merged.distinct)).astype(np.int64)[merged.where]
+        total = np.bincount(merged.where, merged.values[0], len(merged.distinct)).astype(np.int64)[merged.where]
         owner = np.zeros(len(total), bool)
         owner[merged.first] = True
         return merged.rows(level, False, total >= least, total, owner)
@@ -210,18 +210,20 @@ def _totals(level: int, least: int):
 
 
 def _states(level: int):
-    """What each split is to know of its contexts in a range: those that stay states, and what they leave to their suffix."""
+    """What each split is to know of its contexts in a range: those that stay states, and the mass of their symbols in discounts."""
 
     def run(rows: pa.Table) -> pa.Table:
-        merged = Merged(rows, np.float64)
-        values = merged.values.reshape(-1, 5)
-        total = values[merged.first, 0]
-        listed, share, lower, mass = (np.bincount(merged.where, values[:, i], len(total)) for i in range(1, 5))
+        merged = Merged(rows, np.float64, 5)
+        # a context's owners send its count with their sums, others ask
+        total = np.ones(len(merged.distinct))
+        np.maximum.at(total, merged.where, merged.values[0])
+        seen, symbols, listed, lower = (np.bincount(merged.where, v, len(total)) for v in merged.values[1:])
         # the symbols listed, and all others as one
-        left = 1 - share
+        left = 1 - seen / total
         others = np.where(left > 1e-12, left * np.log(np.maximum(left, 1e-12) / np.maximum(1 - lower, 1e-12)), 0.0)
         keep = total * (listed + others) >= SIGNIFICANCE
-        return merged.rows(level, True, keep[merged.where], (1 - mass)[merged.where], np.zeros(len(merged.keys), bool))
+        mass = (seen / DISCOUNT - symbols).astype(np.int64)  # in units of the discount
+        return merged.rows(level, True, keep[merged.where], mass[merged.where], np.zeros(len(merged.keys), bool))
 
     return run
 
@@ -261,17 +263,23 @@ class Split:
 
         known, counts = ranked(0, False, data=np.int64)
         self.sequences = [ranked(n, False, data=np.int64, owner=np.bool_) for n in range(1, levels + 1)]
-        self.states = [ranked(n, True, data=np.float64) for n in range(1, levels + 1)]
         words = [w for w in docs.column("words").to_pylist() if w is not None]
         self.hashes = np.frombuffer(words[0], np.int64) if words else np.zeros(0, np.int64)
         # every word of the split is among its rows of level 0
         self.counts = counts[_lookup(known, self.hashes)] if len(known) else np.zeros(len(self.hashes), np.int64)
-        self.end_count = int(self.counts[-1]) if len(self.counts) else 0
+        # the contexts of each level are the sequences (at first the words, and the start mark) of the level before
+        end_count = self.counts[-1:] if len(self.counts) else np.zeros(1, np.int64)
+        self.contexts = [(np.append(self.hashes, START), np.append(self.counts, end_count)), *(x[:2] for x in self.sequences)]
+        self.mass = []
+        for n in range(1, levels + 1):
+            states, mass = ranked(n, True, data=np.int64)
+            at = _lookup(states, self.contexts[n - 1][0])
+            self.mass.append(np.where(at >= 0, mass[at], -1) if len(states) else np.full(len(at), -1))
         self.docs = docs.filter(pa.compute.is_valid(docs.column("ids"))) if docs.num_rows else docs
         self.id = docs.column("split")[0].as_py() if docs.num_rows else 0
 
-    def chunks(self) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Documents with the hash and count of each of their tokens (ends included), its place in its text, and each text's length."""
+    def chunks(self) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
+        """Documents with the number of each of their tokens (ends included), its place in its text, and each text's length."""
         lengths = pa.compute.binary_length(self.docs.column("ids")).to_numpy() // 4 + 1 if self.docs.num_rows else np.zeros(0, np.int64)
         chunk = (np.cumsum(lengths) - 1) // WALK_TOKENS
         edges = np.flatnonzero(np.diff(chunk, prepend=-1, append=-1)) if len(chunk) else []
@@ -282,26 +290,27 @@ class Split:
             inner = np.ones(len(number), bool)
             inner[ends] = False
             number[inner] = np.frombuffer(b"".join(docs.column("ids").to_pylist()), np.int32)
-            yield docs, self.hashes[number], self.counts[number], np.arange(len(number)) - np.repeat(ends + 1 - n, n), n
+            yield docs, number, np.arange(len(number)) - np.repeat(ends + 1 - n, n), n
 
-    def walk(self, h: np.ndarray, c: np.ndarray, place: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each token: its probability by so many levels, the next level's context and its count, and the count of the sequence after that context's first word."""
+    def walk(self, number: np.ndarray, place: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each token: its probability by so many levels, the next level's context (by its place among the contexts) and its count, and the count of the sequence after that context's first word."""
+        h, c = self.hashes[number], self.counts[number]
         p = (c + 0.1) / self.denominator
-        context = np.concatenate([[START], h[:-1]])
-        total = np.concatenate([[0], c[:-1]])
-        context[place == 0], total[place == 0] = START, self.end_count
-        for level, ((keys, counts, _), (states, rests)) in enumerate(zip(self.sequences[:levels], self.states[:levels], strict=True)):
-            key = _joined(context, h)
-            at = np.flatnonzero((total >= CONTEXT_LEAST) & (c >= LEAST))
-            entry = _lookup(keys, key[at])
-            found = at[entry >= 0]
-            c = np.zeros(len(h), np.int64)
-            c[found] = counts[entry[entry >= 0]]
+        context = np.concatenate([[0], number[:-1]])
+        context[place == 0] = len(self.hashes)
+        total = self.contexts[0][1][context]
+        for level in range(levels):
+            keys, counts, _ = self.sequences[level]
             at = np.flatnonzero(total >= CONTEXT_LEAST)
-            state = _lookup(states, context[at])
-            inside = at[state >= 0]
-            p[inside] = p[inside] * rests[state[state >= 0]] + np.maximum(c[inside] - DISCOUNT, 0) / total[inside]
-            context, total = np.concatenate([[0], key[:-1]]), np.concatenate([[0], c[:-1]])
+            inside = at[c[at] >= LEAST]
+            found = _lookup(keys, _joined(self.contexts[level][0][context[inside]], h[inside]))
+            entry, c = np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64)
+            entry[inside] = found
+            c[inside[found >= 0]] = counts[found[found >= 0]]
+            mass = self.mass[level][context[at]]
+            at, mass = at[mass >= 0], mass[mass >= 0]
+            p[at] = p[at] * (1 - mass * DISCOUNT / total[at]) + np.maximum(c[at] - DISCOUNT, 0) / total[at]
+            context, total = np.concatenate([[0], entry[:-1]]), np.concatenate([[0], c[:-1]])
             total[place <= level] = 0
         return p, context, total, c
 
@@ -312,10 +321,11 @@ def _sequences(level: int, n_tokens: int, n_words: int, ranges: int):
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
         split = Split(docs, rows, level - 1, n_tokens, n_words)
         keys, learned = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-        for batch, h, c, place, n in split.chunks():
-            _, context, total, suffix = split.walk(h, c, place, level - 1)
+        names = split.contexts[level - 1][0]
+        for batch, number, place, n in split.chunks():
+            _, context, total, suffix = split.walk(number, place, level - 1)
             at = np.flatnonzero((total >= CONTEXT_LEAST) & (suffix >= LEAST))
-            keys.append(_joined(context[at], h[at]))
+            keys.append(_joined(names[context[at]], split.hashes[number[at]]))
             learned.append(np.repeat(~batch.column("held_out").to_numpy(), n)[at])
         key, where = np.unique(np.concatenate(keys), return_inverse=True)
         return _packed(split.id, key, np.bincount(where.reshape(-1), np.concatenate(learned), len(key)).astype(np.int64), ranges)
@@ -328,28 +338,23 @@ def _contexts(level: int, n_tokens: int, n_words: int, ranges: int):
 
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
         split = Split(docs, rows, level, n_tokens, n_words)
+        names, totals = split.contexts[level - 1]
         keys, counts, owner = split.sequences[-1]
-        of, totals, lower = np.zeros(len(keys), np.int64), np.ones(len(keys), np.int64), np.ones(len(keys))
-        seen, seen_total = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for _, h, c, place, _ in split.chunks():
-            p, context, total, suffix = split.walk(h, c, place, level - 1)
+        of, lower, asked = np.zeros(len(keys), np.int64), np.ones(len(keys)), np.zeros(len(names), bool)
+        for _, number, place, _ in split.chunks():
+            p, context, total, suffix = split.walk(number, place, level - 1)
             at = np.flatnonzero(total >= CONTEXT_LEAST)
-            distinct, first = np.unique(context[at], return_index=True)
-            seen.append(distinct)
-            seen_total.append(total[at][first])
+            asked[context[at]] = True
             at = at[suffix[at] >= LEAST]
-            entry = _lookup(keys, _joined(context[at], h[at]))
+            entry = _lookup(keys, _joined(names[context[at]], split.hashes[number[at]]))
             at, entry = at[entry >= 0], entry[entry >= 0]
-            of[entry], totals[entry], lower[entry] = context[at], total[at], p[at]
-        context, first = np.unique(np.concatenate(seen), return_index=True)
-        values = np.zeros((len(context), 5))
-        values[:, 0] = np.concatenate(seen_total)[first]
+            of[entry], lower[entry] = context[at], p[at]
         own = owner & (counts > 0)
-        share, where = counts[own] / totals[own], np.searchsorted(context, of[own])
-        sums = [share * np.log(share / lower[own]), share, lower[own], np.maximum(counts[own] - DISCOUNT, 0) / totals[own]]
-        for i, v in enumerate(sums, 1):
-            values[:, i] = np.bincount(where, v, len(context))
-        return _packed(split.id, context, values, ranges)
+        of, lower, c = of[own], lower[own], counts[own]
+        share = c / totals[of]
+        seen, symbols, listed, below = (np.bincount(of, v, len(names)) for v in (c, np.ones(len(c)), share * np.log(share / lower), lower))
+        values = np.column_stack([np.where(symbols > 0, totals, 0), seen, symbols, listed, below]).astype(np.float64)
+        return _packed(split.id, names[asked], values[asked], ranges)
 
     return run
 
@@ -360,8 +365,8 @@ def _score(n_tokens: int, n_words: int):
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         schema = pa.schema(list(zip([column.split()[0] for column in SCORES.split(", ")], kinds, strict=True)))
         out = []
-        for batch, h, c, place, n in split.chunks():
-            p = split.walk(h, c, place, DEPTH)[0]
+        for batch, number, place, n in split.chunks():
+            p, c = split.walk(number, place, DEPTH)[0], split.counts[number]
             base = (c + 0.1) / split.denominator
             starts = np.cumsum(n) - n
             known = np.add.reduceat((c > 0).astype(np.int64), starts)
