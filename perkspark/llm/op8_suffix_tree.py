@@ -15,7 +15,8 @@ The tree: a context of one to ``DEPTH`` words counts when it occurs ``CONTEXT_LE
 times in the training texts, a symbol after it when the two occur ``LEAST`` times;
 these counts do not rise with the corpus.  A sequence that is found ``LEAST`` times
 has a suffix that is, so each level lists, split by split, only sequences whose
-context and suffix were found at the level before.  Sequences are known by 64-bit
+context and suffix were found at the level before.  That needs no states, so one pass
+lists a level's contexts with their sums and the next level's sequences.  Sequences are known by 64-bit
 hashes.  A context stays a state when the divergence of its next-symbol distribution
 from that of its longest retained suffix, times its occurrences, is ``SIGNIFICANCE``
 nats or more (the log likelihood that it gains).  Distributions are smoothed by
@@ -45,9 +46,9 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, byte_chunks, crc_remainder, mix64, shared_folder, table, word_hashes
 
 FOLDS = 10
-SPLIT_BYTES = 24 << 20
+SPLIT_BYTES = 16 << 20
 #: Text for each range of the hash space; its keys are merged by one task.
-RANGE_BYTES = 6 << 20
+RANGE_BYTES = 4 << 20
 #: Tokens that a task walks at once.
 WALK_TOKENS = 1 << 19
 DEPTH = 3
@@ -64,7 +65,7 @@ MOST_BUCKETS = 100_000
 CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-PACKED = "range long, split long, keys binary, data binary"
+PACKED = "range long, split long, state boolean, keys binary, data binary"
 KNOWN = "split long, level int, state boolean, keys binary, data binary, owner binary, n long, v long"
 DEALT = "split long, doc_id long, held_out boolean, ids binary, words binary, counts binary"
 
@@ -147,7 +148,17 @@ def _deal(split_bytes: int):
     return run
 
 
-def _packed(split: int, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa.Table:
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as their first bytes, then their second ones and so on, which are alike and compress well."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _numbers(packed: list[bytes], kind: type) -> list[np.ndarray]:
+    """The numbers of each of ``_planes``."""
+    return [np.frombuffer(x, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.reshape(-1).view(kind) for x in packed]
+
+
+def _packed(split: int, state: bool, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa.Table:
     """Distinct keys, each with a value or a row of them, as a row for each range of the hash space; values lie column by column."""
     which = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
     order = np.lexsort((keys, which))
@@ -155,8 +166,8 @@ def _packed(split: int, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa
     starts = np.flatnonzero(np.diff(which, prepend=-1))
     spans = list(zip(starts.tolist(), np.append(starts, len(keys))[1:].tolist(), strict=True))
     return pa.table({
-        "range": which[starts], "split": np.full(len(starts), split, np.int64),
-        "keys": pa.array([keys[i:j].tobytes() for i, j in spans], pa.binary()), "data": pa.array([values[i:j].T.tobytes() for i, j in spans], pa.binary()),
+        "range": which[starts], "split": np.full(len(starts), split, np.int64), "state": np.full(len(starts), state),
+        "keys": pa.array([_planes(keys[i:j]) for i, j in spans], pa.binary()), "data": pa.array([_planes(values[i:j].T.reshape(-1)) for i, j in spans], pa.binary()),
     })
 
 
@@ -164,7 +175,7 @@ def _split_words(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _packed(row["split"], np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64), ranges).to_batches()
+                yield from _packed(row["split"], False, np.frombuffer(row["words"], np.int64), np.frombuffer(row["counts"], np.int64), ranges).to_batches()
 
     return run
 
@@ -175,10 +186,10 @@ class Merged:
     def __init__(self, rows: pa.Table, kind: type, columns: int = 1):
         rows = rows.sort_by("split")
         self.splits = rows.column("split").to_numpy()
-        packed = rows.column("keys").to_pylist()
-        self.keys = np.frombuffer(b"".join(packed), np.int64)
-        self.values = np.concatenate([np.frombuffer(d, kind).reshape(columns, -1) for d in rows.column("data").to_pylist()], axis=1)
-        self.edges = np.concatenate([[0], np.cumsum([len(k) // 8 for k in packed])])
+        packed = _numbers(rows.column("keys").to_pylist(), np.int64)
+        self.keys = np.concatenate(packed)
+        self.values = np.concatenate([d.reshape(columns, -1) for d in _numbers(rows.column("data").to_pylist(), kind)], axis=1)
+        self.edges = np.concatenate([[0], np.cumsum([len(k) for k in packed])])
         self.distinct, self.first, where = np.unique(self.keys, return_index=True, return_inverse=True)
         self.where = where.reshape(-1)
 
@@ -190,40 +201,46 @@ class Merged:
         for split, i, j in zip(self.splits.tolist(), self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True):
             at = np.flatnonzero(keep[i:j]) + i
             if len(at):
-                out.append((split, level, state, self.keys[at].tobytes(), values[at].tobytes(), owner[at].tobytes(), int(n[j] - n[i]), int(v[j] - v[i])))
+                out.append((split, level, state, _planes(self.keys[at]), _planes(values[at]), _planes(owner[at]), int(n[j] - n[i]), int(v[j] - v[i])))
         kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
         names = [column.split()[0] for column in KNOWN.split(", ")]
         return pa.table({name: pa.array([row[i] for row in out], kind) for i, (name, kind) in enumerate(zip(names, kinds, strict=True))})
 
 
-def _totals(level: int, least: int):
+def _totals(rows: pa.Table, level: int, least: int) -> pa.Table:
     """What each split is to know of its keys in a range: the whole corpus's counts of ``least`` and more, and whether it is the key's owner, the first split with it."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        merged = Merged(rows, np.int64)
-        total = np.bincount(merged.where, merged.values[0], len(merged.distinct)).astype(np.int64)[merged.where]
-        owner = np.zeros(len(total), bool)
-        owner[merged.first] = True
-        return merged.rows(level, False, total >= least, total, owner)
-
-    return run
+    merged = Merged(rows, np.int64)
+    total = np.bincount(merged.where, merged.values[0], len(merged.distinct)).astype(np.int64)[merged.where]
+    owner = np.zeros(len(total), bool)
+    owner[merged.first] = True
+    return merged.rows(level, False, total >= least, total, owner)
 
 
-def _states(level: int):
+def _states(rows: pa.Table, level: int) -> pa.Table:
     """What each split is to know of its contexts in a range: those that stay states, and the mass of their symbols in discounts."""
+    merged = Merged(rows, np.float64, 5)
+    # a context's owners send its count with their sums, others ask
+    total = np.ones(len(merged.distinct))
+    np.maximum.at(total, merged.where, merged.values[0])
+    seen, symbols, listed, lower = (np.bincount(merged.where, v, len(total)) for v in merged.values[1:])
+    # the symbols listed, and all others as one
+    left = 1 - seen / total
+    others = np.where(left > 1e-12, left * np.log(np.maximum(left, 1e-12) / np.maximum(1 - lower, 1e-12)), 0.0)
+    keep = total * (listed + others) >= SIGNIFICANCE
+    mass = (seen / DISCOUNT - symbols).astype(np.int64)  # in units of the discount
+    return merged.rows(level, True, keep[merged.where], mass[merged.where], np.zeros(len(merged.keys), bool))
+
+
+def _merge(level: int, least: int):
+    """The rows of ``KNOWN`` of a range: states of this level, counts of the sequences after it."""
 
     def run(rows: pa.Table) -> pa.Table:
-        merged = Merged(rows, np.float64, 5)
-        # a context's owners send its count with their sums, others ask
-        total = np.ones(len(merged.distinct))
-        np.maximum.at(total, merged.where, merged.values[0])
-        seen, symbols, listed, lower = (np.bincount(merged.where, v, len(total)) for v in merged.values[1:])
-        # the symbols listed, and all others as one
-        left = 1 - seen / total
-        others = np.where(left > 1e-12, left * np.log(np.maximum(left, 1e-12) / np.maximum(1 - lower, 1e-12)), 0.0)
-        keep = total * (listed + others) >= SIGNIFICANCE
-        mass = (seen / DISCOUNT - symbols).astype(np.int64)  # in units of the discount
-        return merged.rows(level, True, keep[merged.where], mass[merged.where], np.zeros(len(merged.keys), bool))
+        state = rows.column("state")
+        contexts, sequences = rows.filter(state), rows.filter(pa.compute.invert(state))
+        out = [_states(contexts, level)] if contexts.num_rows else []
+        if sequences.num_rows:
+            out.append(_totals(sequences, level + 1, least))
+        return pa.concat_tables(out)
 
     return run
 
@@ -251,25 +268,27 @@ def _lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
 class Split:
     """A split's documents, and what it knows: counts of its words, and by level its sequences and states."""
 
-    def __init__(self, docs: pa.Table, rows: pa.Table, levels: int, n_tokens: int, n_words: int):
+    def __init__(self, docs: pa.Table, rows: pa.Table, levels: int, n_tokens: int, n_words: int, owned: bool = False):
         self.denominator = max(n_tokens + 0.1 * (n_words + 1), 0.1)
         level, state = rows.column("level").to_numpy(), rows.column("state").to_numpy(zero_copy_only=False)
 
         def ranked(level_of: int, is_state: bool, **columns: type) -> list[np.ndarray]:
             own = rows.filter(pa.array((level == level_of) & (state == is_state)))
-            key, *values = (np.frombuffer(b"".join(own.column(name).to_pylist()), kind) for name, kind in {"keys": np.int64, **columns}.items())
-            order = np.argsort(key)
+            parts = ([np.zeros(0, kind), *_numbers(own.column(name).to_pylist(), kind)] for name, kind in {"keys": np.int64, **columns}.items())
+            key, *values = (np.concatenate(x) for x in parts)
+            order = np.argsort(key, kind="stable")  # each range's keys are in order
             return [key[order], *(v[order] for v in values)]
 
         known, counts = ranked(0, False, data=np.int64)
-        self.sequences = [ranked(n, False, data=np.int64, owner=np.bool_) for n in range(1, levels + 1)]
+        self.sequences = [ranked(n, False, data=np.int64) for n in range(1, levels + 1)]
+        self.owner = ranked(levels, False, owner=np.bool_)[1] if owned else None
         words = [w for w in docs.column("words").to_pylist() if w is not None]
         self.hashes = np.frombuffer(words[0], np.int64) if words else np.zeros(0, np.int64)
         # every word of the split is among its rows of level 0
         self.counts = counts[_lookup(known, self.hashes)] if len(known) else np.zeros(len(self.hashes), np.int64)
         # the contexts of each level are the sequences (at first the words, and the start mark) of the level before
         end_count = self.counts[-1:] if len(self.counts) else np.zeros(1, np.int64)
-        self.contexts = [(np.append(self.hashes, START), np.append(self.counts, end_count)), *(x[:2] for x in self.sequences)]
+        self.contexts = [(np.append(self.hashes, START), np.append(self.counts, end_count)), *self.sequences]
         self.mass = []
         for n in range(1, levels + 1):
             states, mass = ranked(n, True, data=np.int64)
@@ -292,6 +311,16 @@ class Split:
             number[inner] = np.frombuffer(b"".join(docs.column("ids").to_pylist()), np.int32)
             yield docs, number, np.arange(len(number)) - np.repeat(ends + 1 - n, n), n
 
+    def follow(self, level: int, h: np.ndarray, context: np.ndarray, total: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each token the place and count of the sequence that it ends after its context; -1 and 0 where there is none."""
+        keys, counts = self.sequences[level]
+        inside = np.flatnonzero((total >= CONTEXT_LEAST) & (c >= LEAST))
+        found = _lookup(keys, _joined(self.contexts[level][0][context[inside]], h[inside]))
+        inside, found = inside[found >= 0], found[found >= 0]
+        entry, count = np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64)
+        entry[inside], count[inside] = found, counts[found]
+        return entry, count
+
     def walk(self, number: np.ndarray, place: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For each token: its probability by so many levels, the next level's context (by its place among the contexts) and its count, and the count of the sequence after that context's first word."""
         h, c = self.hashes[number], self.counts[number]
@@ -300,61 +329,65 @@ class Split:
         context[place == 0] = len(self.hashes)
         total = self.contexts[0][1][context]
         for level in range(levels):
-            keys, counts, _ = self.sequences[level]
+            entry, c = self.follow(level, h, context, total, c)
             at = np.flatnonzero(total >= CONTEXT_LEAST)
-            inside = at[c[at] >= LEAST]
-            found = _lookup(keys, _joined(self.contexts[level][0][context[inside]], h[inside]))
-            entry, c = np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64)
-            entry[inside] = found
-            c[inside[found >= 0]] = counts[found[found >= 0]]
             mass = self.mass[level][context[at]]
             at, mass = at[mass >= 0], mass[mass >= 0]
             p[at] = p[at] * (1 - mass * DISCOUNT / total[at]) + np.maximum(c[at] - DISCOUNT, 0) / total[at]
-            context, total = np.concatenate([[0], entry[:-1]]), np.concatenate([[0], c[:-1]])
-            total[place <= level] = 0
+            context, total = _before(level, place, entry, c)
         return p, context, total, c
 
 
-def _sequences(level: int, n_tokens: int, n_words: int, ranges: int):
-    """A split's sequences that may be in the tree at this level, with their training counts."""
+def _before(level: int, place: np.ndarray, entry: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's context at the next level, the sequence that ends before it, and its count."""
+    context, total = np.concatenate([[0], entry[:-1]]), np.concatenate([[0], count[:-1]])
+    total[place <= level] = 0
+    return context, total
 
-    def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
-        split = Split(docs, rows, level - 1, n_tokens, n_words)
-        keys, learned = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-        names = split.contexts[level - 1][0]
-        for batch, number, place, n in split.chunks():
-            _, context, total, suffix = split.walk(number, place, level - 1)
-            at = np.flatnonzero((total >= CONTEXT_LEAST) & (suffix >= LEAST))
-            keys.append(_joined(names[context[at]], split.hashes[number[at]]))
-            learned.append(np.repeat(~batch.column("held_out").to_numpy(), n)[at])
-        key, where = np.unique(np.concatenate(keys), return_inverse=True)
-        return _packed(split.id, key, np.bincount(where.reshape(-1), np.concatenate(learned), len(key)).astype(np.int64), ranges)
 
-    return run
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with their counts."""
+    key, where = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_inverse=True)
+    return key, np.bincount(where.reshape(-1), np.concatenate([np.zeros(0, np.int64), *counts]), len(key)).astype(np.int64)
 
 
-def _contexts(level: int, n_tokens: int, n_words: int, ranges: int):
-    """A split's contexts of this level: their counts, and what the sequences it owns add to the sums of their divergence."""
+def _listed(level: int, n_tokens: int, n_words: int, ranges: int):
+    """What a split lists when sequences up to this level are known.
+
+    Its contexts of this level (above 0): their counts, and what the sequences it owns add to the sums of their
+    divergence.  Its sequences of the next level (up to ``DEPTH``) that may be in the tree, with their training counts.
+    """
 
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
-        split = Split(docs, rows, level, n_tokens, n_words)
-        names, totals = split.contexts[level - 1]
-        keys, counts, owner = split.sequences[-1]
-        of, lower, asked = np.zeros(len(keys), np.int64), np.ones(len(keys)), np.zeros(len(names), bool)
-        for _, number, place, _ in split.chunks():
-            p, context, total, suffix = split.walk(number, place, level - 1)
-            at = np.flatnonzero(total >= CONTEXT_LEAST)
-            asked[context[at]] = True
-            at = at[suffix[at] >= LEAST]
-            entry = _lookup(keys, _joined(names[context[at]], split.hashes[number[at]]))
-            at, entry = at[entry >= 0], entry[entry >= 0]
-            of[entry], lower[entry] = context[at], p[at]
-        own = owner & (counts > 0)
-        of, lower, c = of[own], lower[own], counts[own]
-        share = c / totals[of]
-        seen, symbols, listed, below = (np.bincount(of, v, len(names)) for v in (c, np.ones(len(c)), share * np.log(share / lower), lower))
-        values = np.column_stack([np.where(symbols > 0, totals, 0), seen, symbols, listed, below]).astype(np.float64)
-        return _packed(split.id, names[asked], values[asked], ranges)
+        split = Split(docs, rows, level, n_tokens, n_words, owned=level > 0)
+        names, totals = split.contexts[max(level - 1, 0)]
+        counts = split.sequences[-1][1] if level else np.zeros(0, np.int64)
+        of, lower, asked = np.zeros(len(counts), np.int64), np.ones(len(counts)), np.zeros(len(names), bool)
+        keys, learned = [], []
+        for batch, number, place, n in split.chunks():
+            h = split.hashes[number]
+            p, context, total, c = split.walk(number, place, max(level - 1, 0))
+            if level:
+                asked[context[total >= CONTEXT_LEAST]] = True
+                entry, c = split.follow(level - 1, h, context, total, c)
+                at = np.flatnonzero(entry >= 0)
+                of[entry[at]], lower[entry[at]] = context[at], p[at]
+                context, total = _before(level - 1, place, entry, c)
+            if level < DEPTH:
+                at = np.flatnonzero((total >= CONTEXT_LEAST) & (c >= LEAST))
+                train = np.repeat(~batch.column("held_out").to_numpy(), n)[at]
+                key, count = _summed([_joined(split.contexts[level][0][context[at]], h[at])], [train])
+                keys.append(key)
+                learned.append(count)
+        out = [_packed(split.id, False, *_summed(keys, learned), ranges)]
+        if level:
+            own = split.owner & (counts > 0)
+            of, lower, c = of[own], lower[own], counts[own]
+            share = c / totals[of]
+            seen, symbols, listed, below = (np.bincount(of, v, len(names)) for v in (c, np.ones(len(c)), share * np.log(share / lower), lower))
+            values = np.column_stack([np.where(symbols > 0, totals, 0), seen, symbols, listed, below]).astype(np.float64)
+            out.append(_packed(split.id, True, names[asked], values[asked], ranges))
+        return pa.concat_tables(out)
 
     return run
 
@@ -392,14 +425,11 @@ def suffix_tree_scores(docs: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataF
     def learn(packed: DataFrame, merge) -> None:
         known.gather(packed.repartition(min(ranges, MOST_BUCKETS), "range").groupBy("range").applyInArrow(merge, KNOWN))
 
-    def of_splits(run) -> DataFrame:
-        return dealt.read().groupBy("split").cogroup(known.read().groupBy("split")).applyInArrow(run, PACKED)
-
-    learn(dealt.read().filter("words is not null").select("split", "words", "counts").mapInArrow(_split_words(ranges), PACKED), _totals(0, 0))
+    learn(dealt.read().filter("words is not null").select("split", "words", "counts").mapInArrow(_split_words(ranges), PACKED), _merge(-1, 0))
     sizes = known.read().agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    for level in range(1, DEPTH + 1):
-        learn(of_splits(_sequences(level, *sizes, ranges)), _totals(level, LEAST))
-        learn(of_splits(_contexts(level, *sizes, ranges)), _states(level))
+    for level in range(DEPTH + 1):
+        splits = dealt.read().groupBy("split").cogroup(known.read().groupBy("split"))
+        learn(splits.applyInArrow(_listed(level, *sizes, ranges), PACKED), _merge(level, LEAST))
     return dealt.read().groupBy("split").cogroup(known.read().groupBy("split")).applyInArrow(_score(*sizes), SCORES)
 
 
