@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -171,3 +172,55 @@ def test_licence_rules(spark, messy, empty):
     rows = {(r["doc_id"], r["licenses"]): r["matches"] for r in op10.license_scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert rows == {(1, "MIT"): "MIT:1:3", (2, ""): "", (3, "CC-BY-NC-4.0"): "CC-BY-NC-4.0:1:1", (4, "Apache-2.0"): "Apache-2.0:0:0", (5, ""): ""}
     assert op10.license_scan(messy).count() == messy.count() and op10.license_scan(empty).count() == 0
+
+
+def licence_text(*names, prefix="", width=72):
+    """Sentences one after the other, wrapped as in a file's head; those that end in a colon or without a stop end their paragraph."""
+    paragraphs, now = [], []
+    for name in names:
+        now.append(op10.SENTENCES[name])
+        if not now[-1].endswith("."):
+            paragraphs.append(" ".join(now))
+            now = []
+    lines = ["Copyright (c) 2020 Some Body", ""]
+    for paragraph in [*paragraphs, " ".join(now)]:
+        lines += [*textwrap.wrap(paragraph, width), ""]
+    return "\n".join((prefix + line).rstrip() for line in lines)
+
+
+LICENCE_CASES = {
+    "MIT": licence_text("mit-grant", "mit-condition", "mit-warranty", width=76),
+    "BSD-3-Clause": licence_text("bsd-allow", "bsd-source", "bsd-binary", "bsd-names", "bsd-warranty", prefix=" * "),
+    "BSD-2-Clause": licence_text("bsd-allow", "bsd-source", "bsd-binary", "bsd-warranty", prefix="// ", width=40),
+    "Apache-2.0": licence_text("apache-header", "apache-copy", "apache-required", prefix="# ").replace("\n", "\r\n"),
+    "GPL-3.0-or-later": licence_text("gpl-free", "gpl-hope", prefix="    "),
+    "LGPL-3.0-or-later": licence_text("lgpl3-free", "gpl-hope"),
+    "LGPL-2.1-or-later": licence_text("lgpl21-free", "lgpl21-hope", prefix="-- "),
+    "AGPL-3.0-or-later": licence_text("agpl3-free", "gpl-hope", prefix=";; "),
+    "EPL-2.0": licence_text("epl2-terms-2", prefix=" * "),
+    "Zlib": licence_text("zlib-as-is", "zlib-liable", "zlib-grant", prefix="  "),
+    "MPL-2.0": licence_text("mpl-subject", prefix="# ", width=30),
+    "BSD-3-Clause OR MIT": "code\n// SPDX-License-Identifier: BSD-3-Clause OR MIT\nmore code",
+    "CDDL-1.1": "/* SPDX-License-Identifier: CDDL-1.1. */",
+}
+NO_LICENCE = [
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+    "Permission is hereby granted, free of charge,\n\nto any person obtaining a copy of this software",
+    op10.SENTENCES["gpl-free"].replace("either version 3", "either\n\nversion 3") + "\n" + op10.SENTENCES["gpl-hope"],
+    "the whole of: " + op10.SENTENCES["mit-notice"],
+    "v. " * 400 + "mozilla " * 3000,
+]
+
+
+def test_wrapped_licence_texts(spark):
+    """Texts as files hold them, against the names given, and against the SQL row by row."""
+    cases = [*LICENCE_CASES.items(), *(("", text) for text in NO_LICENCE)]
+    # an Apache header whose first line alone would be a notice
+    cases.append(("Apache-2.0", op10.SENTENCES["apache-header"].replace("2.0 (", "2.0\n(") + "\n" + op10.SENTENCES["apache-copy"] + "\n\n" + op10.SENTENCES["apache-required"]))
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r) for r in op10.license_scan(docs).collect()}
+    assert {i: got[i][3] for i in got} == {i: name for i, (name, _) in enumerate(cases)}
+    assert got[len(cases) - 1][2] == "apache-header,apache-copy,apache-required"
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert {r[0]: r for r in con.execute(op10.ORACLE_SQL).fetchall()} == got
