@@ -5,9 +5,9 @@ digits at both ends.  Features are the distinct hashes of words, of pairs of
 neighbours and of pairs with one word between them, in ``2 ** BITS`` slots.
 FTRL-proximal gives each coordinate its own learning rate and, by its L1 term,
 leaves nearly all weights at exactly zero; the few others (at most
-``2 ** BITS``) go to every task.  The model is fitted on the driver on a bounded
-sample of labelled documents outside the held-out fold (``SAMPLE`` documents of
-at most ``SAMPLE_BYTES`` each).
+``2 ** BITS``) go to every task; no other rule selects features.  The model is
+fitted on the driver on a bounded sample of labelled documents outside the
+held-out fold (``SAMPLE`` documents of at most ``SAMPLE_BYTES`` in all).
 
 Defined cases: null text is scored as empty text (the intercept alone); without
 labelled documents, or with one class alone, every score is that class's share
@@ -28,11 +28,9 @@ from .training import FOLDS, HELD_OUT, labelled_sample
 
 BITS = 24
 SAMPLE = 12000
-SAMPLE_BYTES = 1 << 15
+SAMPLE_BYTES = 48 << 20
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 8.0, 1.0
-#: Features that fewer documents of the sample hold are not learned.
-MIN_DOCUMENTS = 10
 #: Weight of a toxic document in learning.
 POSITIVE_WEIGHT = 3.0
 THRESHOLD = 0.7
@@ -74,17 +72,13 @@ class Features:
 def fit_weights(texts: list[bytes], labels: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, float]:
     """Slots with a weight, their weights, and the intercept."""
     features = Features(bits)
-    holders = np.zeros(1 << bits, np.uint16)
-    for t in texts:
-        x = np.unique(features.slots([t])[0])
-        holders[x] = np.minimum(holders[x], 65000) + 1
-    learned = np.flatnonzero(holders >= MIN_DOCUMENTS)
-    index = np.full(1 << bits, -1, np.int32)
-    index[learned] = np.arange(len(learned))
-    known = []
-    for t in texts:
-        x = index[np.unique(features.slots([t])[0])]
-        known.append(x[x >= 0])
+    known = [np.unique(features.slots([t])[0]).astype(np.int32) for t in texts]
+    present = np.zeros(1 << bits, bool)
+    for x in known:
+        present[x] = True
+    learned = np.flatnonzero(present)
+    index = np.cumsum(present, dtype=np.int32) - 1
+    known = [index[x] for x in known]
     n, z = np.zeros(len(learned)), np.zeros(len(learned))
     n0 = z0 = 0.0
 
@@ -135,7 +129,7 @@ def fit_scorer(texts: list[bytes], labels: np.ndarray) -> Callable[[list[bytes]]
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    scorer = fit_scorer(*labelled_sample(docs, labels, "toxic", sample, SAMPLE_BYTES))
+    scorer = fit_scorer(*labelled_sample(docs, labels, "toxic", sample, total_bytes=SAMPLE_BYTES))
     scored = score_texts(docs, scorer)
     return scored.select(
         "doc_id", (crc_remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")

@@ -12,12 +12,26 @@ from .common import crc_remainder
 FOLDS, HELD_OUT = 3, 1
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most_rows: int, most_bytes: int) -> tuple[list[bytes], np.ndarray]:
+def _within(texts: DataFrame, known: DataFrame, total_bytes: int) -> DataFrame:
+    """Of the ``known`` ids (few) the first in hash order whose texts come to ``total_bytes`` at most."""
+    sizes = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "_label").agg(F.max(F.octet_length("_text")).alias("n"))
+    left, chosen = total_bytes, []
+    for r in sizes.filter(F.col("n") <= total_bytes).select(F.xxhash64("doc_id").alias("h"), "doc_id", "_label", "n").orderBy("h", "doc_id").collect():
+        left -= r["n"]
+        if left < 0:
+            break
+        chosen.append((r["doc_id"], r["_label"]))
+    return texts.sparkSession.createDataFrame(chosen, known.schema)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most_rows: int, most_bytes: int | None = None, total_bytes: int | None = None) -> tuple[list[bytes], np.ndarray]:
     """Texts and labels of at most ``most_rows`` documents outside the held-out fold.
 
-    The first ids in hash order are taken; of those, longer texts than
-    ``most_bytes`` teach nothing.  Null labels and ids are left out, a document
-    labelled twice differently has its smaller label.
+    The first ids in hash order are taken: of those the texts of at most
+    ``most_bytes``, or, whatever their lengths, as many as ``total_bytes`` hold
+    together (a text above that bound alone is passed over).  Null labels and ids
+    are left out, a document labelled twice differently has its smaller label, a
+    document with several texts the first in hash order.
     """
     known = (
         labels.select("doc_id", F.col(column).alias("_label"))
@@ -28,12 +42,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, most_rows:
         .limit(most_rows)
     )
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("_text"))
-    rows = (
-        texts.join(F.broadcast(known), "doc_id")
-        .filter(F.col("_text").isNotNull() & (F.octet_length("_text") <= most_bytes))
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "_text", "_label")
-        .collect()
-    )
+    texts = texts.filter(F.col("_text").isNotNull())
+    if total_bytes is None:
+        texts = texts.filter(F.octet_length("_text") <= most_bytes)
+    else:
+        known = _within(texts, known, total_bytes)
+    one = F.min(F.struct(F.xxhash64("_text").alias("_h"), "_text")).alias("_one")
+    found = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "_label").agg(one)
+    rows = found.select("doc_id", F.col("_one._text").alias("_text"), "_label").collect()
     rows.sort(key=lambda r: (hash(r["doc_id"]), bytes(r["_text"])))
     return [bytes(r["_text"]) for r in rows], np.array([r["_label"] for r in rows], np.int64)
