@@ -1,8 +1,8 @@
 """Exact top-k search by inner product: a Voronoi kNN join.
 
-Vectors become integers (floor of ``scale`` times each component).  ``PIVOTS``
-of them, first in hash order, are the pivots; every vector belongs to the cell of
-its nearest one.  Per cell a summary keeps the number of its data rows, the
+Vectors become integers (floor of ``scale`` times each component).  Some of them,
+first in hash order, are the pivots (a few for each ``BLOCK`` rows, ``PIVOTS`` to
+``MOST_PIVOTS``); every vector belongs to the cell of its nearest one.  Per cell a summary keeps the number of its data rows, the
 largest distance to its pivot and, for queries, also their largest norm.
 
 For a query q of a cell with pivot p and a data row x of a cell with pivot s,
@@ -18,14 +18,16 @@ are cut by hash, so that a cell with most rows is many tasks.  Every (group, dat
 block) pair is solved on its own, after the same bound for each single query, and
 the best ``k`` of a query are merged at the end.
 
-Integers up to 2 ** 53 in sum are exact in float64 products; larger ones raise.
+Sums up to 2 ** 53 are exact in float64 products.  Beyond that the products
+bound the scores, and those that may be among the best are computed in integers.
 
 Defined cases: vectors that are null, hold null or non-finite components, or
 have no id take no part; vectors of another length than the first pivot's are
 matched only with their like (lengths are dealt apart); with fewer than k
 candidates all are returned; ties go to the smaller vec_id; rows that share a
 vec_id are separate candidates, none of them one of its own queries'; an empty
-table gives an empty result; other columns are not read.
+table gives an empty result; components and scores beyond 64 bits are held at the
+bounds of a long (ranked before that within a block); other columns are not read.
 """
 
 from __future__ import annotations
@@ -43,8 +45,10 @@ from .common import bounded_batches, checkpointed, table
 K = 20
 SCALE = 64
 QUERY_EVERY = 20
-PIVOTS = 64
+PIVOTS, MOST_PIVOTS = 64, 1024
 BLOCK = 8192
+#: Relative error that float64 sums over a vector's components stay far below.
+ROUNDING = 1e-9
 
 
 def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -65,13 +69,12 @@ def _cells(pivots: np.ndarray):
                 continue
             v = batch.column(1).flatten().to_numpy().astype(np.float64).reshape(batch.num_rows, -1)
             square = (v**2).sum(axis=1)
-            if square.max(initial=0) >= 2.0**53:
-                raise ValueError("inner products of these vectors are not exact in float64")
-            apart = square[:, None] - 2 * v @ pivots.T + norms
-            cell = apart.argmin(axis=1)
-            far = np.sqrt(np.maximum(apart[np.arange(len(v)), cell], 0))
+            cell = (square[:, None] - 2 * v @ pivots.T + norms).argmin(axis=1)
+            far = np.sqrt(((v - pivots[cell]) ** 2).sum(axis=1))  # the bounds need no more than this to be right
+            whole = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+            kind = "<i4" if np.abs(v).max(initial=0) < 2**31 else "<i8"
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cell, pa.int32()), pa.array(far), pa.array(np.sqrt(square)), pa.array([x.tobytes() for x in v.astype("<i4" if np.abs(v).max(initial=0) < 2**31 else "<f8")], pa.binary())],
+                [batch.column(0), pa.array(cell, pa.int32()), pa.array(far), pa.array(np.sqrt(square)), pa.array([x.tobytes() for x in whole.astype(kind)], pa.binary())],
                 names=["vec_id", "cell", "far", "norm", "v"],
             )
 
@@ -87,7 +90,8 @@ def cell_targets(pivots: np.ndarray, data: pd.DataFrame, queries: pd.DataFrame,
     centre = pivots[data["cell"]]
     for q in queries.itertuples():
         middle = centre @ pivots[q.cell]
-        slack = q.far * np.sqrt((centre**2).sum(axis=1)) + q.norm * data["far"].to_numpy() + 1e-6
+        length, reach = np.sqrt((centre**2).sum(axis=1)), data["far"].to_numpy()
+        slack = q.far * length + q.norm * reach + 1e-6 + ROUNDING * (q.norm + q.far) * (length + reach)
         low, high = middle - slack, middle + slack
         order = np.argsort(-low)
         held = np.cumsum(data["n"].to_numpy()[order])
@@ -98,11 +102,15 @@ def cell_targets(pivots: np.ndarray, data: pd.DataFrame, queries: pd.DataFrame,
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Vectors from their bytes, four or eight a component by batch."""
+    """Integer vectors from their bytes, four or eight a component by batch."""
     raw = column.to_pylist()
     if all(len(x) == 4 * width for x in raw):
-        return np.frombuffer(b"".join(raw), "<i4").reshape(-1, width).astype(np.float64)
-    return np.stack([np.frombuffer(x, "<i4" if len(x) == 4 * width else "<f8").astype(np.float64) for x in raw])
+        return np.frombuffer(b"".join(raw), "<i4").reshape(-1, width)
+    return np.stack([np.frombuffer(x, "<i4" if len(x) == 4 * width else "<i8").astype(np.int64) for x in raw])
+
+
+def exact_product(a: np.ndarray, b: np.ndarray) -> int:
+    return sum(x * y for x, y in zip(a.tolist(), b.tolist(), strict=True))
 
 
 def query_groups(pivots: np.ndarray, queries: pd.DataFrame, block: int) -> pd.DataFrame:
@@ -136,39 +144,51 @@ def _solve(k: int, pivots: np.ndarray):
             x = _matrix(data.column("v"), pivots.shape[1])
             ids = data.column("vec_id").to_numpy()
             by_id = np.argsort(ids, kind="stable")
-            ids, x = ids[by_id], x[by_id]
+            ids, whole = ids[by_id], x[by_id]
+            x = whole.astype(np.float64)
+            lengths = np.sqrt((x**2).sum(axis=1))
             reach = data.column("far").to_numpy().max()
             centre = pivots[data.column("target")[0].as_py()]
-            q = _matrix(queries.column("v"), pivots.shape[1])
-            own = queries.column("vec_id").to_numpy()
-            bound = q @ centre + queries.column("norm").to_numpy() * reach + 1e-6
+            asked = _matrix(queries.column("v"), pivots.shape[1])
+            q = asked.astype(np.float64)
+            own, norms = queries.column("vec_id").to_numpy(), queries.column("norm").to_numpy()
+            bound = q @ centre + norms * reach + 1e-6 + ROUNDING * norms * (np.sqrt((centre**2).sum()) + reach)
             able = np.flatnonzero(bound >= queries.column("least").to_numpy())
             for a in range(0, len(able), 256):
                 part = able[a : a + 256]
                 scores = q[part] @ x.T
                 scores[own[part][:, None] == ids[None, :]] = -np.inf
                 n = min(k, scores.shape[1])
-                kth = np.partition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n]
-                for row, least, i in zip(scores, kth, part, strict=True):
-                    near = np.flatnonzero((row >= least) & (row > -np.inf))
-                    near = near[np.lexsort((ids[near], -row[near]))][:k]
-                    out += [(int(own[i]), int(queries.column("nth")[int(i)].as_py()), int(ids[j]), int(row[j])) for j in near]
+                exact = norms[part].max() * lengths.max() < 2.0**52
+                # how far a score may be off
+                off = None if exact else ROUNDING * norms[part][:, None] * lengths[None, :]
+                kth = np.partition(scores if exact else scores - off, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n]
+                for at, (row, least, i) in enumerate(zip(scores, kth, part, strict=True)):
+                    near = np.flatnonzero(((row if exact else row + off[at]) >= least) & (row > -np.inf))
+                    if exact:
+                        near = near[np.lexsort((ids[near], -row[near]))][:k]
+                        found = [(-int(row[j]), int(ids[j])) for j in near]
+                    else:
+                        found = sorted((-exact_product(asked[i], whole[j]), int(ids[j])) for j in near)[:k]
+                    nth = int(queries.column("nth")[int(i)].as_py())
+                    out += [(int(own[i]), nth, j, max(-(2**63), min(2**63 - 1, -score))) for score, j in found]
         columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "nth", "vec_id", "score"), columns, strict=True)})
 
     return run
 
 
-def top_k(vectors: DataFrame, is_query: str, k: int = K, scale: int = SCALE, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: str, k: int = K, scale: int = SCALE, pivots: int | None = None, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of each query row (SQL condition ``is_query``) against all other ids' rows."""
     spark = vectors.sparkSession
     whole = integer_vectors(bounded_batches(vectors), scale)
     schema = "query_id long, rank int, vec_id long, score long"
-    lengths = [r[0] for r in whole.select(F.size("v").alias("n")).filter("n > 0").distinct().orderBy("n").collect()]
+    lengths = whole.groupBy(F.size("v").alias("n")).count().filter("n > 0").orderBy("n").collect()
     results = []
-    for length in lengths:
+    for length, count in lengths:
         rows = whole.filter(F.size("v") == length)
-        chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
+        many = pivots or min(MOST_PIVOTS, max(PIVOTS, 8 * count // block))
+        chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(many).collect()
         centres = np.unique(np.array([r["v"] for r in chosen], np.float64), axis=0)
         placed = checkpointed(rows.mapInArrow(_cells(centres), "vec_id long, cell int, far double, norm double, v binary"))
         stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).toPandas()

@@ -129,6 +129,25 @@ def test_knn_of_an_id_with_a_third_of_the_rows(spark):
     assert Counter(map(tuple, got)) == want
 
 
+def test_knn_of_large_vectors(spark):
+    """Finite vectors whose products float64 does not hold, among ordinary ones; what no long holds is at its bounds."""
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 3) for _ in range(4)]) for i in range(300)]
+    rows += [(400, [3e6, 1.0, 0.0, 0.0]), (401, [3e6 + 1 / 64, 1.0, 0.0, 0.0]), (402, [3e6, 1.0 + 1 / 64, 0.0, 0.0]), (420, [-4e7, 2.0, 1e3, 5.0]), (403, [7e7, 0.25, 3.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    want = Counter()
+    for q, a in whole:
+        if q % 20 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole if i != q)[:20]
+            want.update((q, n + 1, i, -s) for n, (s, i) in enumerate(scored))
+    for pivots, block in ((8, 40), (None, 8192)):
+        assert Counter(map(tuple, op6.top_k(frame, "vec_id % 20 = 0", pivots=pivots, block=block).collect())) == want
+    huge = spark.createDataFrame([(20, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [-1e300, 0.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in op6.top_k(huge, "vec_id = 20").orderBy("rank").collect()]
+    assert [i for i, _ in got] == [1, 3, 2] and got[0][1] == 2**63 - 1 and got[2][1] == -(2**63)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
