@@ -33,6 +33,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 CAP = 2.0
 BLOCK = 4096
+#: Equal rows that one task makes out of their count at once.
+COPIES = 10_000
 SEED = 20260
 #: Documents of a source, last in hash order, that join the landing problem.
 LANDING = 12
@@ -133,13 +135,25 @@ def _settle(seed: int):
     return run
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``nth``, from 0, among those equal to them, so that a great many equal rows are dealt to many blocks.
+
+    Equal rows are counted, which partial aggregates do well, and made rows again ``COPIES`` at a time.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))).alias("first")
+    parts = counted.select("*", first).repartition("doc_id", "text_hash", "first")
+    return parts.select(*rows.columns, F.explode(F.sequence("first", F.least(F.col("first") + COPIES, F.col("n")) - 1)).alias("nth"))
+
+
 def cube_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, times, text_hash, source, sure.
 
     ``sure`` of the ``times`` are taken whatever the sample.
     """
     text = F.col("text").cast("binary")
-    sized = checkpointed(bounded_batches(docs).select("doc_id", "source", word_count(text).alias("size"), F.xxhash64("text").alias("text_hash")))
+    rows = bounded_batches(docs).select("doc_id", "source", word_count(text).alias("size"), F.xxhash64("text").alias("text_hash"))
+    sized = checkpointed(_numbered(rows))
     sources = source_targets(sized, weights, share, cap)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sure = F.floor(F.col("ratio") + F.lit(EPS))
@@ -149,7 +163,7 @@ def cube_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
         .withColumn("ratio", ratio)
         .withColumn("sure", sure.cast("long"))
         .withColumn("pi", F.greatest(F.col("ratio") - F.col("sure"), F.lit(0.0)))
-        .withColumn("h", F.xxhash64("doc_id", "text_hash"))
+        .withColumn("h", F.xxhash64("doc_id", "text_hash", "nth"))
         .select("doc_id", "source", "size", "text_hash", "rank", "source_size", "n_docs", "target", "sure", "pi", "h")
     )
     decided = []
@@ -179,15 +193,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Rows that agree in id, source and text share what was decided for them.
     """
-    plan = cube_mix(docs, **options).withColumn("_row", F.xxhash64("doc_id", "source"))
-    counts = plan.groupBy("_row", "text_hash").agg(F.first("sure").alias("_sure"), F.sum(F.col("times") - F.col("sure")).alias("_more"))
-    counts = counts.withColumnRenamed("text_hash", "_hash")
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "source")).withColumn("_hash", F.xxhash64("text"))
-    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_row", "_hash").orderBy(F.lit(0))))
-    times = F.col("_sure") + (F.col("_nth") <= F.col("_more")).cast("long")
-    rows = rows.join(counts, ["_row", "_hash"]).withColumn("_times", times).filter(F.col("_times") > 0)
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+    plan = cube_mix(docs, **options).withColumn("place", F.xxhash64("doc_id", "source"))
+    counts = plan.groupBy("place", "text_hash").agg(F.first("sure").alias("sure"), F.sum(F.col("times") - F.col("sure")).alias("more"))
+    # whole rows in one column, so that no name of theirs can clash
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, F.xxhash64("doc_id", "source").alias("place"), F.xxhash64("text").alias("text_hash"))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("place", "text_hash").orderBy(F.lit(0))))
+    times = F.col("sure") + (F.col("nth") <= F.col("more")).cast("long")
+    rows = rows.join(counts, ["place", "text_hash"]).withColumn("times", times).filter(F.col("times") > 0)
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
 
 
 def op1_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import pytest
 
 SF_SMALL = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, node long, block int, h long, `odd.name` string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, node long, block int, h long, `odd.name` string, _hash long, _row long, _nth long, _id long, _clean string, row string, clean string, place long, nth long, times long"
 WORDS = "the of and to in is that it for on was with as by this are at from be an river stone cloud lamp green quiet".split()
 
 
@@ -21,7 +21,7 @@ def prose(seed: int, n: int) -> str:
 
 def docs_of(spark, rows):
     """Documents from (doc_id, text, source) rows, with extra columns whose names the operators use inside."""
-    return spark.createDataFrame([(i, t, "en", s, None if t is None else len(t), 7, 0.5, 3, 1, 9, "x") for i, t, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, "en", s, None if t is None else len(t), 7, 0.5, 3, 1, 9, "x", 4, 4, 4, 4, "c", "r", "c", 4, 4, 4) for i, t, s in rows], SCHEMA)
 
 
 def messy_rows():

@@ -71,6 +71,20 @@ def test_mix_of_messy_rows(messy, empty):
     assert op1.cube_mix(empty).count() == 0 and op1.mixed_documents(empty).count() == 0
 
 
+def test_mix_deals_equal_rows_to_many_blocks(spark):
+    """A third of the rows are one row; their numbers tell them apart, and reruns still agree."""
+    rows = [(7, "the same few words", "a")] * 30_000 + [(100 + i, "word " * (i % 50), "ab"[i % 2]) for i in range(2_000)]
+    docs = docs_of(spark, rows).select("doc_id", "text", "source")
+    sized = docs.select("doc_id", "source", F.length("text").alias("size"), F.xxhash64("text").alias("text_hash"))
+    numbered = op1._numbered(sized)
+    assert numbered.filter("doc_id = 7").select("nth").distinct().count() == 30_000 and numbered.count() == 32_000
+    first = op1.cube_mix(docs)
+    taken = Counter((r["doc_id"], r["taken"]) for r in first.collect())
+    assert sum(taken.values()) == 32_000 and taken == Counter((r["doc_id"], r["taken"]) for r in op1.cube_mix(docs.repartition(5)).collect())
+    sums = first.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 0.02 * r["target"] + 5 for r in sums)
+
+
 def check_packed(rows, texts, capacity):
     import public_tokenizers
     from tokenizers import Tokenizer
