@@ -78,7 +78,9 @@ def fit_weights(texts: list[bytes], labels: np.ndarray, bits: int = BITS) -> tup
         present[x] = True
     learned = np.flatnonzero(present)
     index = np.cumsum(present, dtype=np.int32) - 1
-    known = [index[x] for x in known]
+    for i, x in enumerate(known):
+        known[i] = index[x]
+    del index, present
     n, z = np.zeros(len(learned)), np.zeros(len(learned))
     n0 = z0 = 0.0
 
@@ -98,9 +100,8 @@ def fit_weights(texts: list[bytes], labels: np.ndarray, bits: int = BITS) -> tup
             n[x] = nx + g * g
             z0 += g - ((n0 + g * g) ** 0.5 - n0**0.5) / ALPHA * w0
             n0 += g * g
-    w = weights_at(z, n)
-    used = np.flatnonzero(w)
-    return learned[used], w[used], float(-z0 / ((BETA + n0**0.5) / ALPHA))
+    used = np.flatnonzero(np.abs(z) > L1)
+    return learned[used], weights_at(z[used], n[used]), float(-z0 / ((BETA + n0**0.5) / ALPHA))
 
 
 def fit_scorer(texts: list[bytes], labels: np.ndarray) -> Callable[[list[bytes]], np.ndarray]:
