@@ -111,8 +111,11 @@ class ConvNet:
             table[k] = np.bincount(cell.ravel(), to_chunk.ravel(), self.symbols * self.filters).reshape(self.symbols, self.filters)
         return {"table": table, "shift": to_chunk.sum(axis=0), "mean": mean.T @ error, "max": most.T @ error, "bias": np.array([error.sum()])}
 
-    def fit(self, items: list[np.ndarray], labels: np.ndarray, epochs: int, batch: int = 64, rate: float = 0.02, seed: int = 0, decay: float = 1e-4, weights: np.ndarray | None = None) -> ConvNet:
-        """Adam on the log loss; the same data and seed give the same network."""
+    def fit(self, items: list[np.ndarray], labels: np.ndarray, epochs: int, batch: int = 64, rate: float = 0.02, seed: int = 0, decay: float = 1e-4, weights: np.ndarray | None = None, done: float = 0.0, share: float = 1.0) -> ConvNet:
+        """Adam on the log loss; the same data and seed give the same network.
+
+        The rate falls to zero; a call that is a ``share`` of a longer fit, of which a part is ``done``, takes that part of the fall.
+        """
         rng = np.random.default_rng(seed)
         weights = np.ones(len(items)) if weights is None else weights
         first = {k: np.zeros_like(v) for k, v in self.params.items()}
@@ -124,7 +127,7 @@ class ConvNet:
                 chosen = order[a : a + batch]
                 gradients = self._gradients([items[i] for i in chosen], labels[chosen], weights[chosen])
                 step += 1
-                now = rate * (1 - step / (steps + 1))
+                now = rate * (1 - done - share * step / (steps + 1))
                 for k, g in gradients.items():
                     g = g + decay * self.params[k]
                     first[k] = 0.9 * first[k] + 0.1 * g
