@@ -193,6 +193,17 @@ def test_redaction_keeps_rows_and_columns(messy, spark):
     assert "0123456789abcdef" not in row["text"] and row["n_chars"] == len(row["text"])
 
 
+def test_redaction_learns_from_long_texts(spark):
+    """The only named secrets stand in one text of more than 64 KB; unnamed ones elsewhere are masked."""
+    rng = random.Random(12)
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(36)) for _ in range(90)]
+    long = " ".join(f"{prose(i, 200)} token = {k} {prose(i + 500, 30)}" for i, k in enumerate(keys[:60]))
+    rows = [(0, long)] + [(i, f"{prose(i, 30)} {k} {prose(i + 700, 30)}") for i, k in enumerate(keys[60:], 1)]
+    assert len(long) > op9.SAMPLE_BYTES
+    out = " ".join(r["text"] for r in op9.redacted_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert not any(k in out for k in keys[:60]) and sum(k in out for k in keys[60:]) <= 6
+
+
 def test_licence_rules(spark, messy, empty):
     for i, (_, a) in enumerate(op10.RULES):  # no rule is part of another
         for j, (_, b) in enumerate(op10.RULES):
