@@ -40,8 +40,8 @@ CAPACITY = 2048
 MAX_SEGMENTS = 1024
 END_ID = 1
 BLOCK = 8192
-#: Words whose ids a task keeps between chunks of text.
-CACHE_WORDS = 600_000
+#: Words whose ids a task keeps between chunks of text (some 500 bytes each, with their parts).
+CACHE_WORDS = 150_000
 
 #: Latin-1 letters, and those in lower case.
 LATIN_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
