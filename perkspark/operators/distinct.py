@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perkspark.plans.broadcast import join_dimension
+from perkspark.plans.stored import stored
 
 
 def numbered(df: DataFrame, column: str, number: str = "number") -> DataFrame:
@@ -51,13 +52,14 @@ def reach_bitmaps(journeys: DataFrame, offers_enriched: DataFrame, dim_small: bo
     """(channels_list, bucket, a bitmap of members for each stage): mergeable, a few rows however many journeys.
 
     Offers with the same channels share their bitmaps, since their members are
-    only ever asked for by channel.
+    only ever asked for by channel.  The journeys are computed once: what is left of
+    them is stored, for the numbers and for the bitmaps.
     """
-    members = numbered(journeys, "customer_id")
     of_offer = offers_enriched.select("offer_id", "channels_list")
     rows = join_dimension(journeys.select("customer_id", "offer_id", *REACHED.values()), of_offer, "offer_id", small=dim_small, hot=True)
     # a member once for each list of channels before the members are numbered
-    once = rows.groupBy("channels_list", "customer_id").agg(*(F.bool_or(flag).alias(flag) for flag in REACHED.values()))
+    once = stored(rows.groupBy("channels_list", "customer_id").agg(*(F.bool_or(flag).alias(flag) for flag in REACHED.values())), "reached")
+    members = numbered(once, "customer_id")
     number = F.col("number")
     return (
         once.join(members, "customer_id")

@@ -126,7 +126,7 @@ def median_price_by_brand(lineitem: DataFrame, part: DataFrame, ranges: int | No
     lines = lineitem.select("l_partkey", "l_extendedprice")
     brands = part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     counts = (
-        join_dimension(lines, brands, "l_partkey", hot=True)
+        join_dimension(lines, brands, "l_partkey", hot=True, plain=True)
         .groupBy("p_brand", F.col("l_extendedprice").alias("price"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perkspark.plans.skew import heavy_keys
+from perkspark.plans.stored import stored
 
 # Dimension sides are a few narrow columns (ids, short labels, small
 # numbers): 1M rows stay around 50 MB once broadcast.
@@ -54,13 +55,15 @@ def join_dimension(
     max_rows: int | None = None,
     small: bool | None = None,
     hot: bool = False,
+    plain: bool = False,
 ) -> DataFrame:
     """Join a fact relation to a dimension, broadcasting the dimension when
     it is proven small (the build side of an inner / left join).
 
     ``small`` passes a proof made earlier (e.g. once per pipeline for a
     dimension derived row-by-row from a checked table); ``None`` proves here.
-    ``hot`` says that the fact side may have most rows on a few keys.
+    ``hot`` says that the fact side may have most rows on a few keys; ``plain``, that
+    it is columns of a table, as cheap to read again as a stored copy.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         return fact.join(dim, on, how)
@@ -69,7 +72,7 @@ def join_dimension(
         small = has_at_most(dim, bound)
     if small:
         return fact.join(F.broadcast(dim), on, how)
-    return _join_heavy_apart(fact, dim, on, how, bound) if hot else fact.join(dim, on, how)
+    return _join_heavy_apart(fact if plain else stored(fact, "join-fact"), dim, on, how, bound) if hot else fact.join(dim, on, how)
 
 
 def _join_heavy_apart(fact: DataFrame, dim: DataFrame, key: str, how: str, bound: int) -> DataFrame:

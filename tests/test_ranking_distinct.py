@@ -108,6 +108,37 @@ def test_reach_counts_members_once_over_many_offers(spark):
     assert rows(distinct.channel_reach(journeys, offers), "channel", *distinct.REACHED) == [("sms", 1, 2, 0), ("web", 2, 1, 1)]
 
 
+@pytest.mark.parametrize("bound", ["1000", "1"])
+def test_reach_computes_the_journeys_once(spark, bound):
+    """Whether the offers are small or not: no branch of the plan, and no count before it, reads the events again."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    schema = "customer_id string, offer_id string, is_received boolean, is_viewed boolean, is_completed boolean"
+    rows_of = [(f"c{i % 70}", "hot" if i % 2 else f"o{i % 9}", True, i % 3 == 0, i % 5 == 0) for i in range(500)]
+    journeys = spark.createDataFrame(rows_of, schema).mapInArrow(counting, schema)
+    offers = spark.createDataFrame([("hot", ["web"])] + [(f"o{i}", ["web", "sms"][i % 2 :]) for i in range(9)], "offer_id string, channels_list array<string>")
+    spark.conf.set("perkspark.broadcast.maxRows", bound)
+    spark.conf.set("perkspark.skew.heavyRows", "100")
+    try:
+        got = rows(distinct.channel_reach(journeys, offers), "channel", *distinct.REACHED)
+    finally:
+        spark.conf.unset("perkspark.broadcast.maxRows")
+        spark.conf.unset("perkspark.skew.heavyRows")
+    channels = {r["offer_id"]: r["channels_list"] for r in offers.collect()}
+    sets = defaultdict(lambda: [set(), set(), set()])
+    for member, offer, *flags in rows_of:
+        for channel in channels[offer]:
+            for members, flag in zip(sets[channel], flags, strict=True):
+                members.update([member] if flag else [])
+    assert got == sorted((c, *map(len, s)) for c, s in sets.items())
+    assert read.value == len(rows_of)
+
+
 def test_hot_offers_are_joined_apart(spark, static_plans):
     """Above the broadcast bound the rows of a hot offer are not shuffled to its dimension row."""
     stages = [(f"c{i}", "hot", 1, None, 5) for i in range(400)] + [(f"c{i}", f"o{i % 90}", 2, 3, None) for i in range(200)] + [("x", "unknown", 1, 1, 1)]
