@@ -9,7 +9,8 @@ same buckets, so that no pass shuffles documents or that knowledge again, and no
 vocabulary or tree is ever in one place.  Shuffled are, to ranges of the hash space
 (one for each ``RANGE_BYTES`` of text, so that a range's size does not grow with the
 corpus, and a key is there once a split, however frequent), the sorted keys and counts
-of a split's words, sequences and contexts, packed by range, and back what is kept.
+of a split's words, sequences and contexts, packed by range (keys as the gaps between
+them, all compressed), and back what is kept.
 
 The tree: a context of one to ``DEPTH`` words counts when it occurs ``CONTEXT_LEAST``
 times in the training texts, a symbol after it when the two occur ``LEAST`` times;
@@ -33,6 +34,7 @@ are not read.
 
 from __future__ import annotations
 
+import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
@@ -70,6 +72,20 @@ KNOWN = "split long, level int, state boolean, keys binary, data binary, owner b
 DEALT = "split long, doc_id long, held_out boolean, ids binary, words binary, counts binary"
 
 
+def _save(df: DataFrame, write: Callable) -> None:
+    """``write`` a table of ``df``; the shuffle files of this query are removed when it ends."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP_KEY, None)
+    conf.set(CLEANUP_KEY, "true")
+    try:
+        write(df.write.mode("append").format("parquet").option("compression", "zstd"))
+    finally:
+        if before is None:
+            conf.unset(CLEANUP_KEY)
+        else:
+            conf.set(CLEANUP_KEY, before)
+
+
 class SplitTable:
     """A table under the shared folder, bucketed by split and appended to."""
 
@@ -79,21 +95,20 @@ class SplitTable:
         self.path = f"{shared_folder(spark)}/{self.name}"
 
     def append(self, df: DataFrame) -> None:
-        conf = self.spark.conf
-        before = conf.get(CLEANUP_KEY, None)
-        conf.set(CLEANUP_KEY, "true")
-        try:
-            out = df.write.mode("append").format("parquet").option("compression", "zstd").option("path", self.path)
-            out.bucketBy(self.buckets, "split").saveAsTable(self.name)
-        finally:
-            if before is None:
-                conf.unset(CLEANUP_KEY)
-            else:
-                conf.set(CLEANUP_KEY, before)
+        _save(df, lambda out: out.option("path", self.path).bucketBy(self.buckets, "split").saveAsTable(self.name))
 
     def gather(self, df: DataFrame) -> None:
-        """Append rows that lie anywhere, with one file a bucket."""
-        self.append(df.repartition(self.buckets, "split"))
+        """Append rows that a shuffle computes, with one file a bucket.
+
+        They are first put into a table of their own, dropped at the end, so that
+        the shuffle to them and the one to the buckets never lie on disk together.
+        """
+        held = f"{self.name}_{uuid.uuid4().hex[:8]}"
+        _save(df, lambda out: out.saveAsTable(held))
+        try:
+            self.append(self.spark.table(held).repartition(self.buckets, "split"))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {held}")
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -149,13 +164,34 @@ def _deal(split_bytes: int):
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Numbers as their first bytes, then their second ones and so on, which are alike and compress well."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    """How many numbers, then their first bytes, their second ones and so on, which are alike, each compressed after its size."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    packed = [pa.compress(np.ascontiguousarray(plane), codec="zstd", asbytes=True) for plane in planes]
+    return struct.pack("<q", len(values)) + b"".join(struct.pack("<i", len(x)) + x for x in packed)
 
 
 def _numbers(packed: list[bytes], kind: type) -> list[np.ndarray]:
     """The numbers of each of ``_planes``."""
-    return [np.frombuffer(x, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.reshape(-1).view(kind) for x in packed]
+    out = []
+    for whole in packed:
+        (n,), at = struct.unpack_from("<q", whole), 8
+        numbers = np.empty((n, np.dtype(kind).itemsize), np.uint8)
+        for k in range(numbers.shape[1]):
+            (size,) = struct.unpack_from("<i", whole, at)
+            numbers[:, k] = np.frombuffer(pa.decompress(whole[at + 4 : at + 4 + size], n, codec="zstd"), np.uint8)
+            at += 4 + size
+        out.append(numbers.reshape(-1).view(kind))
+    return out
+
+
+def _gaps(keys: np.ndarray) -> bytes:
+    """Keys in order as the first one and the gaps between them, modulo 2 ** 64: dense ones have many zero bytes."""
+    return _planes(np.diff(keys.view(np.uint64), prepend=np.uint64(0)))
+
+
+def _keys(packed: list[bytes]) -> list[np.ndarray]:
+    """The keys of each of ``_gaps``."""
+    return [np.cumsum(x, dtype=np.uint64).view(np.int64) for x in _numbers(packed, np.uint64)]
 
 
 def _packed(split: int, state: bool, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa.Table:
@@ -167,7 +203,7 @@ def _packed(split: int, state: bool, keys: np.ndarray, values: np.ndarray, range
     spans = list(zip(starts.tolist(), np.append(starts, len(keys))[1:].tolist(), strict=True))
     return pa.table({
         "range": which[starts], "split": np.full(len(starts), split, np.int64), "state": np.full(len(starts), state),
-        "keys": pa.array([_planes(keys[i:j]) for i, j in spans], pa.binary()), "data": pa.array([_planes(values[i:j].T.reshape(-1)) for i, j in spans], pa.binary()),
+        "keys": pa.array([_gaps(keys[i:j]) for i, j in spans], pa.binary()), "data": pa.array([_planes(values[i:j].T.reshape(-1)) for i, j in spans], pa.binary()),
     })
 
 
@@ -186,7 +222,7 @@ class Merged:
     def __init__(self, rows: pa.Table, kind: type, columns: int = 1):
         rows = rows.sort_by("split")
         self.splits = rows.column("split").to_numpy()
-        packed = _numbers(rows.column("keys").to_pylist(), np.int64)
+        packed = _keys(rows.column("keys").to_pylist())
         self.keys = np.concatenate(packed)
         self.values = np.concatenate([d.reshape(columns, -1) for d in _numbers(rows.column("data").to_pylist(), kind)], axis=1)
         self.edges = np.concatenate([[0], np.cumsum([len(k) for k in packed])])
@@ -201,7 +237,7 @@ class Merged:
         for split, i, j in zip(self.splits.tolist(), self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True):
             at = np.flatnonzero(keep[i:j]) + i
             if len(at):
-                out.append((split, level, state, _planes(self.keys[at]), _planes(values[at]), _planes(owner[at]), int(n[j] - n[i]), int(v[j] - v[i])))
+                out.append((split, level, state, _gaps(self.keys[at]), _planes(values[at]), _planes(owner[at]), int(n[j] - n[i]), int(v[j] - v[i])))
         kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
         names = [column.split()[0] for column in KNOWN.split(", ")]
         return pa.table({name: pa.array([row[i] for row in out], kind) for i, (name, kind) in enumerate(zip(names, kinds, strict=True))})
@@ -274,8 +310,8 @@ class Split:
 
         def ranked(level_of: int, is_state: bool, **columns: type) -> list[np.ndarray]:
             own = rows.filter(pa.array((level == level_of) & (state == is_state)))
-            parts = ([np.zeros(0, kind), *_numbers(own.column(name).to_pylist(), kind)] for name, kind in {"keys": np.int64, **columns}.items())
-            key, *values = (np.concatenate(x) for x in parts)
+            key = np.concatenate([np.zeros(0, np.int64), *_keys(own.column("keys").to_pylist())])
+            values = [np.concatenate([np.zeros(0, kind), *_numbers(own.column(name).to_pylist(), kind)]) for name, kind in columns.items()]
             order = np.argsort(key, kind="stable")  # each range's keys are in order
             return [key[order], *(v[order] for v in values)]
 

@@ -186,6 +186,30 @@ def test_what_the_suffix_tree_keeps_does_not_fall_with_the_corpus(spark):
     assert got[train[0]]["score"] > got[train[0]]["base_score"] / 4
 
 
+def test_packed_keys_are_whole_and_small():
+    """Ten thousand sorted 64-bit keys of a hundredth of the hash space take less than six bytes each, small counts a fraction of one."""
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(-(2**63), 2**63 - 1, 1_000_000))
+    counts = rng.geometric(0.7, len(keys))
+    packed = op8._packed(7, False, keys, counts, 101)
+    assert np.array_equal(np.sort(np.concatenate(op8._keys(packed.column("keys").to_pylist()))), keys)
+    merged = op8.Merged(packed, np.int64)
+    assert dict(zip(merged.keys.tolist(), merged.values[0].tolist(), strict=True)) == dict(zip(keys.tolist(), counts.tolist(), strict=True))
+    assert sum(map(len, packed.column("keys").to_pylist())) < 6 * len(keys) and sum(map(len, packed.column("data").to_pylist())) < 0.3 * len(keys)
+    values = rng.random((5, 300)).reshape(-1)
+    assert np.array_equal(op8._numbers([op8._planes(values), op8._planes(values[:0])], np.float64)[0], values)
+    edges = np.array([-(2**63), -1, 0, 2**63 - 1])
+    assert np.array_equal(op8._keys([op8._gaps(edges)])[0], edges) and len(op8._keys([op8._gaps(edges[:0])])[0]) == 0
+
+
+def test_suffix_tree_leaves_no_merged_rows(spark):
+    """What the ranges give out is dropped once the splits have it."""
+    before = {r["tableName"] for r in spark.sql("SHOW TABLES").collect()}
+    op8.suffix_tree_scores(spark.createDataFrame([(i, "a b c d " * (i % 5)) for i in range(60)], "doc_id long, text string")).count()
+    left = {r["tableName"] for r in spark.sql("SHOW TABLES").collect()} - before
+    assert sorted(name.rsplit("_", 1)[0] for name in left) == ["suffix_dealt", "suffix_known"]
+
+
 def test_suffix_tree_of_messy_rows(messy, empty, spark):
     compare_scores(messy, 1 << 14)
     assert op8.suffix_tree_scores(empty).count() == 0
