@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from perkspark.llm import op1_cube_mixing, op2_quality_cnn, op5_tensored_minhash, op7_packing, op9_secrets
 from perkspark.llm.common import table, written
 
+#: Words whose ids a task of packing keeps: fewer than op7 alone, since the workers of the stages before are still there.
+CACHE_WORDS = 150_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the byte network accepts; it learns from the labels of the folds that are not held out."""
@@ -36,7 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
-    return op7_packing.pack_documents(docs)
+    return op7_packing.pack_documents(docs, cache_words=CACHE_WORDS)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mixing", mixing), ("packing", packing)]

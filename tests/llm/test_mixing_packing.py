@@ -156,11 +156,12 @@ def test_registered_queries_cover_their_tables(spark):
 
 def test_words_kept_by_a_task_stay_few():
     """A task's memory does not grow with the distinct words that it meets, and the ids stay the same."""
+    import corpus_pipeline
     import public_tokenizers
 
-    words = op7.WordIds(public_tokenizers.path("word_bpe_49k.json"))
-    for k in range(8):
+    words = op7.WordIds(public_tokenizers.path("word_bpe_49k.json"), corpus_pipeline.CACHE_WORDS)
+    for k in range(14):
         words.encode(pa.array([b"w%d" % i for i in range(k * 50_000, (k + 1) * 50_000)], pa.large_binary()))
-        assert len(words.words.number) <= 250_000
-    ids, _ = words.encode(pa.array([b"w3", b"w399999"], pa.large_binary()))
-    assert ids.tolist() == [i for w in ("w3", "w399999") for i in words.tokenizer.encode(w, add_special_tokens=False).ids]
+        assert len(words.words.number) <= corpus_pipeline.CACHE_WORDS + 50_000 < 400_000
+    ids, _ = words.encode(pa.array([b"w3", b"w699999"], pa.large_binary()))
+    assert ids.tolist() == [i for w in ("w3", "w699999") for i in words.tokenizer.encode(w, add_special_tokens=False).ids]
