@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -68,6 +68,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Spark's bound on the buckets of a table.
+MOST_BUCKETS = 100_000
+#: Removes a query's shuffle files when it ends; what it computed is in a table by then.
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(df: DataFrame, write: Callable) -> None:
+    """``write`` a table of ``df``; the shuffle files of this query are removed when it ends."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP_KEY, None)
+    conf.set(CLEANUP_KEY, "true")
+    try:
+        write(df.write.mode("append").format("parquet").option("compression", "zstd"))
+    finally:
+        if before is None:
+            conf.unset(CLEANUP_KEY)
+        else:
+            conf.set(CLEANUP_KEY, before)
+
+
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """``df`` as a table in the shared folder, one file for each bucket of ``column``, so that groups of it need no shuffle any more."""
+    name = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}"
+    saved(df.repartition(buckets, column), lambda out: out.option("path", path).bucketBy(buckets, column).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def crc_remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -17,6 +17,8 @@ from __future__ import annotations
 import numpy as np
 
 WIDTH = 8
+#: Symbols of a batch that are looked at together.
+PART_BYTES = 4 << 20
 
 
 class ConvNet:
@@ -48,7 +50,6 @@ class ConvNet:
 
     def maxima(self, flat: np.ndarray, starts: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """Each row's greatest response of each filter (and the position that had it)."""
-        pairs = flat[:-1].astype(np.int64) * self.symbols + flat[1:]
         tables = self.pair_tables()
         n_rows = len(starts)
         inside = np.arange(0, self.hop, self.stride)
@@ -57,7 +58,10 @@ class ConvNet:
         step = max(1, (1 << 15) // (self.hop // self.stride))
         for a in range(0, n_rows, step):
             b = min(n_rows, a + step)
-            at = (starts[a:b, None] + inside).ravel()
+            # the rows' own stretch alone, so that a long text takes no more memory than a short one
+            near = flat[starts[a] : starts[b - 1] + self.hop + WIDTH].astype(np.int64)
+            pairs = near[:-1] * self.symbols + near[1:]
+            at = (starts[a:b, None] - starts[a] + inside).ravel()
             total = tables[0].take(pairs[at], axis=0)
             for k in range(1, WIDTH // 2):
                 total += tables[k].take(pairs[at + 2 * k], axis=0)
@@ -111,6 +115,15 @@ class ConvNet:
             table[k] = np.bincount(cell.ravel(), to_chunk.ravel(), self.symbols * self.filters).reshape(self.symbols, self.filters)
         return {"table": table, "shift": to_chunk.sum(axis=0), "mean": mean.T @ error, "max": most.T @ error, "bias": np.array([error.sum()])}
 
+    def _batch_gradients(self, items: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
+        """``_gradients`` of a batch, long items in parts of ``PART_BYTES``."""
+        part = np.cumsum([len(x) for x in items]) // PART_BYTES
+        edges = np.flatnonzero(np.diff(part, prepend=part[0] - 1, append=part[-1] + 1)).tolist()
+        if len(edges) == 2:
+            return self._gradients(items, labels, weights)
+        parts = [(self._gradients(items[a:b], labels[a:b], weights[a:b]), (b - a) / len(items)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return {k: sum(g[k] * share for g, share in parts) for k in self.params}
+
     def fit(self, items: list[np.ndarray], labels: np.ndarray, epochs: int, batch: int = 64, rate: float = 0.02, seed: int = 0, decay: float = 1e-4, weights: np.ndarray | None = None, done: float = 0.0, share: float = 1.0) -> ConvNet:
         """Adam on the log loss; the same data and seed give the same network.
 
@@ -125,7 +138,7 @@ class ConvNet:
             order = rng.permutation(len(items))
             for a in range(0, len(items), batch):
                 chosen = order[a : a + batch]
-                gradients = self._gradients([items[i] for i in chosen], labels[chosen], weights[chosen])
+                gradients = self._batch_gradients([items[i] for i in chosen], labels[chosen], weights[chosen])
                 step += 1
                 now = rate * (1 - done - share * step / (steps + 1))
                 for k, g in gradients.items():

@@ -3,10 +3,12 @@
 Bytes become 62 symbols (letters by case, digits, white space, kinds of
 punctuation, UTF-8 lead and continuation bytes).  Learned filters of eight
 symbols slide over chunks of 512 bytes that overlap by half and cover the whole
-text; see :mod:`convnet`.  The network is fitted on the driver on a bounded
-sample of labelled documents outside the held-out fold (``SAMPLE`` documents of
-at most ``SAMPLE_BYTES`` each); its size does not depend on the data, and every
-task scores whole texts with it.
+text; see :mod:`convnet`.  The network is fitted in the tasks on all labelled
+documents outside the held-out fold, whole: up to ``SHARD_BYTES`` of them by one
+task; more are dealt by hash to shards of about that size, and in each of
+``ROUNDS`` rounds every shard fits the common network further, whose means are the
+next common network.  Its size does not depend on the data, and every task scores
+whole texts with it.
 
 Defined cases: null text is scored as empty text; without labelled documents,
 or with one class alone, every score is that class's share (0.5 without any);
@@ -24,10 +26,11 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, byte_chunks, crc_remainder, table
 from .convnet import ConvNet
-from .training import FOLDS, HELD_OUT, labelled_sample
+from .training import FOLDS, HELD_OUT, dealt_texts, fit_in_rounds, labelled_texts
 
-SAMPLE = 4000
-SAMPLE_BYTES = 1 << 16
+#: Labelled text that one task fits; with more shards than one, rounds of EPOCHS // ROUNDS epochs.
+SHARD_BYTES = 8 << 20
+ROUNDS = 6
 FILTERS = 16
 EPOCHS = 14
 HOP = 256
@@ -55,18 +58,56 @@ def byte_symbols() -> np.ndarray:
 SYMBOLS = 62
 
 
-def fit_scorer(texts: list[bytes], labels: np.ndarray) -> Callable[[list[bytes]], np.ndarray]:
-    """A function from texts to probabilities of label 1."""
+def new_network() -> ConvNet:
+    return ConvNet(SYMBOLS, FILTERS, HOP, STRIDE, seed=1)
+
+
+def coded(texts: list[bytes]) -> list[np.ndarray]:
     symbol = byte_symbols()
+    return [symbol[np.frombuffer(t, np.uint8)] for t in texts]
+
+
+def class_weights(labels: np.ndarray, share: float) -> np.ndarray:
+    """Weight of each label, where so large a share of all is 1."""
+    ratio = max(share, 1 - share) / min(share, 1 - share)
+    return np.where(labels == int(share < 0.5), ratio**BALANCE, 1.0)
+
+
+def scorer_of(net: ConvNet) -> Callable[[list[bytes]], np.ndarray]:
+    return lambda texts: net.score(coded(texts))
+
+
+def constant(share: float) -> Callable[[list[bytes]], np.ndarray]:
+    return lambda texts: np.full(len(texts), share)
+
+
+def fit_scorer(texts: list[bytes], labels: np.ndarray) -> Callable[[list[bytes]], np.ndarray]:
+    """A function from texts to probabilities of label 1, learned from a few texts at once."""
     share = float(labels.mean()) if len(labels) else 0.5
     if share in (0.0, 1.0) or not len(labels):
-        return lambda items: np.full(len(items), share)
-    rare = share < 0.5
-    ratio = max(share, 1 - share) / min(share, 1 - share)
-    weights = np.where(labels == int(rare), ratio**BALANCE, 1.0)
-    items = [symbol[np.frombuffer(t, np.uint8)] for t in texts]
-    net = ConvNet(SYMBOLS, FILTERS, HOP, STRIDE, seed=1).fit(items, labels, EPOCHS, weights=weights)
-    return lambda texts: net.score([symbol[np.frombuffer(t, np.uint8)] for t in texts])
+        return constant(share)
+    return scorer_of(new_network().fit(coded(texts), labels, EPOCHS, weights=class_weights(labels, share)))
+
+
+def learned_scorer(docs: DataFrame, labels: DataFrame, sample: int | None = None) -> Callable[[list[bytes]], np.ndarray]:
+    """A function from texts to probabilities of label 1, learned from all labelled documents (or the first ``sample`` in hash order)."""
+    rows = labelled_texts(docs, labels, "quality", sample)
+    sizes = rows.groupBy("doc_id", "_label").agg(F.max("_bytes").alias("bytes"))
+    size = sizes.agg(F.count("*").alias("n"), F.sum("_label").alias("ones"), F.sum("bytes").alias("bytes")).first()
+    share = size["ones"] / size["n"] if size["n"] else 0.5
+    if share in (0.0, 1.0) or not size["n"]:
+        return constant(share)
+    shards = max(1, -(-size["bytes"] // SHARD_BYTES))
+    rounds = 1 if shards == 1 else ROUNDS
+    dealt = dealt_texts(rows, shards)
+
+    def fit(own: ConvNet, rows: pa.Table, nth: int) -> int:
+        rows = rows.sort_by("doc_id")
+        y = rows.column("_label").to_numpy().astype(np.int64)
+        own.fit(coded(rows.column("_text").to_pylist()), y, EPOCHS // rounds, weights=class_weights(y, share), seed=nth, done=nth / rounds, share=1 / rounds)
+        return len(y)
+
+    return scorer_of(fit_in_rounds(new_network(), dealt, shards, rounds, fit))
 
 
 def score_texts(docs: DataFrame, scorer: Callable[[list[bytes]], np.ndarray], max_bytes: int = 4 << 20) -> DataFrame:
@@ -80,18 +121,18 @@ def score_texts(docs: DataFrame, scorer: Callable[[list[bytes]], np.ndarray], ma
     return bounded_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, sample: int | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    scorer = fit_scorer(*labelled_sample(docs, labels, "quality", sample, SAMPLE_BYTES))
+    scorer = learned_scorer(docs, labels, sample)
     scored = score_texts(docs, scorer)
     return scored.select(
         "doc_id", (crc_remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def good_documents(docs: DataFrame, labels: DataFrame, sample: int | None = None) -> DataFrame:
     """The documents that the classifier accepts, with all their columns and rows."""
-    scorer = fit_scorer(*labelled_sample(docs, labels, "quality", sample, SAMPLE_BYTES))
+    scorer = learned_scorer(docs, labels, sample)
 
     @F.pandas_udf("double")
     def score(text):  # noqa: ANN001, ANN202 - a Series of binary texts

@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, byte_chunks, crc_remainder, mix64, shared_folder, table, word_hashes
+from .common import MOST_BUCKETS, bounded_batches, byte_chunks, crc_remainder, mix64, saved, shared_folder, table, word_hashes
 
 FOLDS = 10
 SPLIT_BYTES = 16 << 20
@@ -61,10 +61,6 @@ SIGNIFICANCE = 10.0
 DISCOUNT = 0.5
 #: Hashes of the end token and of the mark before the first word.
 END, START = -1, -2
-#: Spark's bound on the buckets of a table.
-MOST_BUCKETS = 100_000
-#: Removes a query's shuffle files when it ends; what it computed is in a table by then.
-CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 PACKED = "range long, split long, state boolean, keys binary, data binary"
@@ -72,20 +68,6 @@ KNOWN = "split long, level int, state boolean, keys binary, data binary, owner b
 DEALT = "split long, doc_id long, held_out boolean, ids binary, words binary, counts binary"
 
 
-def _save(df: DataFrame, write: Callable) -> None:
-    """``write`` a table of ``df``; the shuffle files of this query are removed when it ends."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP_KEY, None)
-    conf.set(CLEANUP_KEY, "true")
-    try:
-        write(df.write.mode("append").format("parquet").option("compression", "zstd"))
-    finally:
-        if before is None:
-            conf.unset(CLEANUP_KEY)
-        else:
-            conf.set(CLEANUP_KEY, before)
-
-
 class SplitTable:
     """A table under the shared folder, bucketed by split and appended to."""
 
@@ -95,7 +77,7 @@ class SplitTable:
         self.path = f"{shared_folder(spark)}/{self.name}"
 
     def append(self, df: DataFrame) -> None:
-        _save(df, lambda out: out.option("path", self.path).bucketBy(self.buckets, "split").saveAsTable(self.name))
+        saved(df, lambda out: out.option("path", self.path).bucketBy(self.buckets, "split").saveAsTable(self.name))
 
     def gather(self, df: DataFrame) -> None:
         """Append rows that a shuffle computes, with one file a bucket.
@@ -104,7 +86,7 @@ class SplitTable:
         the shuffle to them and the one to the buckets never lie on disk together.
         """
         held = f"{self.name}_{uuid.uuid4().hex[:8]}"
-        _save(df, lambda out: out.saveAsTable(held))
+        saved(df, lambda out: out.saveAsTable(held))
         try:
             self.append(self.spark.table(held).repartition(self.buckets, "split"))
         finally:

@@ -28,7 +28,6 @@ nothing; equal texts have equal spans; other columns are not read.
 
 from __future__ import annotations
 
-import copy
 import hashlib
 import pickle
 import re
@@ -46,6 +45,7 @@ from pyspark.sql import types as T
 
 from .common import bounded_batches, byte_chunks, table, written
 from .convnet import ConvNet
+from .training import fit_in_rounds
 
 KINDS = ("assign", "access", "hex", "net")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -292,53 +292,20 @@ def _unpacked(rows: pa.Table, many: bool = False) -> tuple[np.ndarray, np.ndarra
     return windows.reshape(-1, WINDOW), labels.astype(np.int64), unsure.astype(bool), np.repeat([k.hex() for k in keys], n), aside
 
 
-def _weighted(parts: list[tuple[int, int, bytes]]) -> tuple[int, np.ndarray]:
-    """The sum of the weights of (place, weight, parameters) rows, and their mean in the order of places."""
-    weight = sum(n for _, n, _ in parts)
-    return weight, sum(np.frombuffer(p, np.float64) * (n / max(weight, 1)) for _, n, p in sorted(parts))
-
-
 def _common(rows: DataFrame, shards: int, many: bool, sure: ConvNet | None = None) -> ConvNet:
     """A network fitted in rounds by all shards; on certain labels alone, or without what ``sure`` doubts."""
-    net = new_network()
     shard = F.pmod(F.xxhash64("key", "chunk"), F.lit(shards))
     # more partitions than shards, so that few share one
     dealt = rows.withColumn("shard", shard).repartition(4 * shards, "shard")
-    groups = int(np.ceil(np.sqrt(shards)))
-    result = "shard long, weight long, params binary"
-    columns = [c.split()[0] for c in result.split(", ")]
-
-    def part(*values: object) -> pa.Table:
-        return pa.table({c: pa.array([v], t) for c, v, t in zip(columns, values, (pa.int64(), pa.int64(), pa.binary()), strict=True)})
-
-    def further(common: ConvNet, nth: int) -> Callable[[pa.Table], pa.Table]:
-        def run(rows: pa.Table) -> pa.Table:
-            windows, labels, unsure, _, aside = _unpacked(rows, many)
-            at = np.flatnonzero(~aside & ~unsure if sure is None else without_doubtful(sure, windows, unsure, ~aside))
-            own = copy.deepcopy(common)  # a task may have several shards
-            if len(at):
-                own.fit([windows[i] for i in at], labels[at], EPOCHS // ROUNDS, rate=0.02, seed=nth, done=nth / ROUNDS, share=1 / ROUNDS)
-            flat = np.concatenate([v.ravel() for v in own.params.values()]).astype(np.float64)
-            return part(rows.column("shard")[0].as_py(), len(at), flat.tobytes())
-
-        return run
-
-    def merged(rows: pa.Table) -> pa.Table:
-        parts = [tuple(r[c] for c in columns) for r in rows.to_pylist()]
-        weight, mean = _weighted(parts)
-        return part(parts[0][0] % groups, weight, mean.tobytes())
-
-    for nth in range(ROUNDS):
-        fitted = dealt.groupBy("shard").applyInArrow(further(net, nth), result)
-        means = fitted.groupBy(F.col("shard") % groups).applyInArrow(merged, result)
-        weight, mean = _weighted([tuple(r) for r in means.collect()])
-        if not weight:
-            break
-        at = 0
-        for name, old in net.params.items():
-            net.params[name] = mean[at : at + old.size].reshape(old.shape).astype(np.float32)
-            at += old.size
-    return net
+
+    def fit(own: ConvNet, rows: pa.Table, nth: int) -> int:
+        windows, labels, unsure, _, aside = _unpacked(rows, many)
+        at = np.flatnonzero(~aside & ~unsure if sure is None else without_doubtful(sure, windows, unsure, ~aside))
+        if len(at):
+            own.fit([windows[i] for i in at], labels[at], EPOCHS // ROUNDS, rate=0.02, seed=nth, done=nth / ROUNDS, share=1 / ROUNDS)
+        return len(at)
+
+    return fit_in_rounds(new_network(), dealt, shards, ROUNDS, fit)
 
 
 def ranked_score(scores: DataFrame, share: float) -> float:

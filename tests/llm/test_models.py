@@ -29,6 +29,51 @@ def test_quality_on_the_held_out_fold(spark):
     assert kept > 0.97 and junk < 0.25
 
 
+def test_quality_learns_from_every_labelled_text(spark, monkeypatch):
+    """More labelled documents than any sample, the only ones of label 0 longer than 64 KB; in rounds over shards, however the rows lie."""
+    rng = np.random.default_rng(6)
+    good, junk = ("the river runs past an old mill and the town sleeps ".split(), "$$$ 9x9 BUY>> #1!! %%% <<now ~~~ 77$".split())
+    ids = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 3 != 1][:4400]
+    held = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 3 == 1][:60]
+    bad = {*ids[::400], *held[::2]}
+    rows = [(i, " ".join(rng.choice(junk, 16_000) if i in bad and i in ids else rng.choice(junk if i in bad else good, 30))) for i in [*ids, *held]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i not in bad)) for i in [*ids, *held]], "doc_id long, quality int")
+    assert min(len(t) for i, t in rows if i in bad and i in ids) > 1 << 16
+    dealt = op2.dealt_texts(op2.labelled_texts(docs.union(docs.filter("doc_id % 9 = 0")), labels, "quality"), 3)  # copies teach once
+    assert dealt.groupBy("shard").applyInArrow(lambda rows: rows.slice(0, 1), dealt.schema)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+    learned = dealt.collect()
+    assert len(learned) == len(ids)
+    # ids too many to be sent: the same texts, and lengths without a shuffle of them
+    monkeypatch.setattr("perkspark.llm.training.SENT_IDS", 10)
+    monkeypatch.setattr("perkspark.llm.training.MOST_BUCKETS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = op2.labelled_texts(docs, labels, "quality")
+        sizes = shuffled.groupBy("doc_id").agg({"_bytes": "max"})._jdf.queryExecution().optimizedPlan().toString()
+        assert "_text" not in sizes
+        assert sorted(op2.dealt_texts(shuffled, 3).collect()) == sorted(learned)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.undo()
+    assert {(r["doc_id"], bytes(r["_text"]).decode()) for r in learned} == {(i, t) for i, t in rows if i in ids}
+    monkeypatch.setattr(op2, "SHARD_BYTES", 1 << 19)
+    scores = [{r["doc_id"]: r["score"] for r in op2.quality_scores(d, labels).collect()} for d in (docs, docs.repartition(7))]
+    assert scores[0] == pytest.approx(scores[1], abs=1e-6)
+    assert all((scores[0][i] >= 0.5) == (i not in bad) for i in held)
+
+
+def test_long_batches_are_learned_in_parts(monkeypatch):
+    rng = np.random.default_rng(7)
+    items = [rng.integers(1, 9, n).astype(np.uint8) for n in (5, 900, 40, 3000, 1, 700)]
+    labels, weights = np.array([0, 1, 0, 1, 1, 0]), np.array([1.0, 2, 1, 2, 2, 1])
+    net = ConvNet(9, 4, 64, 1, seed=2)
+    whole = net._batch_gradients(items, labels, weights)
+    monkeypatch.setattr("perkspark.llm.convnet.PART_BYTES", 1000)
+    parts = net._batch_gradients(items, labels, weights)
+    assert all(np.allclose(whole[k], parts[k], atol=1e-6) for k in net.params)
+
+
 def test_toxicity_on_the_held_out_fold(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     caught, wrong = held_out(op3.toxicity_scores(docs, labels), labels, "toxic")
