@@ -10,7 +10,9 @@ vocabulary or tree is ever in one place.  Shuffled are, to ranges of the hash sp
 (one for each ``RANGE_BYTES`` of text, so that a range's size does not grow with the
 corpus, and a key is there once a split, however frequent), the sorted keys and counts
 of a split's words, sequences and contexts, packed by range (keys as the gaps between
-them, all compressed), and back what is kept.
+them, all compressed).  Back go no keys: a bit for each key, in the order in which the
+split listed them, and the values of those that are kept.  A split lists the same keys
+again whenever it reads that, from the same tokens and what it knew then.
 
 The tree: a context of one to ``DEPTH`` words counts when it occurs ``CONTEXT_LEAST``
 times in the training texts, a symbol after it when the two occur ``LEAST`` times;
@@ -49,10 +51,10 @@ from .common import MOST_BUCKETS, bounded_batches, byte_chunks, crc_remainder, m
 
 FOLDS = 10
 SPLIT_BYTES = 16 << 20
+#: A split of very short words ends earlier, at so many of them.
+SPLIT_TOKENS = 3 << 20
 #: Text for each range of the hash space; its keys are merged by one task.
-RANGE_BYTES = 4 << 20
-#: Tokens that a task walks at once.
-WALK_TOKENS = 1 << 19
+RANGE_BYTES = 16 << 20
 DEPTH = 3
 #: Occurrences that a context, and a symbol after it, must have; no share of the corpus is asked.
 CONTEXT_LEAST = 3
@@ -64,7 +66,7 @@ END, START = -1, -2
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 PACKED = "range long, split long, state boolean, keys binary, data binary"
-KNOWN = "split long, level int, state boolean, keys binary, data binary, owner binary, n long, v long"
+KNOWN = "split long, level int, state boolean, range long, keep binary, data binary, owner binary, n long, v long"
 DEALT = "split long, doc_id long, held_out boolean, ids binary, words binary, counts binary"
 
 
@@ -112,7 +114,7 @@ def _deal(split_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
-        part, size, trained = 0, 0, 0
+        part, size, tokens, trained = 0, 0, 0, 0
         number: dict[bytes, int] = {}
         counts = np.zeros(0, np.int64)
         schema = pa.schema([("split", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
@@ -135,10 +137,10 @@ def _deal(split_bytes: int):
             none = pa.nulls(len(words), pa.binary())
             columns = [pa.array(np.full(len(words), first | part, np.int64)), batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), ids, none, none]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
-            size += sum(len(t or b"") for t in texts)
-            if size >= split_bytes:
+            size, tokens = size + sum(len(t or b"") for t in texts), tokens + len(at)
+            if size >= split_bytes or tokens >= SPLIT_TOKENS:
                 yield dictionary()
-                part, size, trained, number, counts = part + 1, 0, 0, {}, np.zeros(0, np.int64)
+                part, size, tokens, trained, number, counts = part + 1, 0, 0, 0, {}, np.zeros(0, np.int64)
         if len(number) or trained:
             yield dictionary()
 
@@ -146,9 +148,9 @@ def _deal(split_bytes: int):
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """How many numbers, then their first bytes, their second ones and so on, which are alike, each compressed after its size."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
-    packed = [pa.compress(np.ascontiguousarray(plane), codec="zstd", asbytes=True) for plane in planes]
+    """How many numbers, then their first bytes, their second ones and so on, which are alike, each compressed after its size (zeros: size 0)."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T)
+    packed = [pa.compress(plane, codec="zstd", asbytes=True) if plane.any() else b"" for plane in planes]
     return struct.pack("<q", len(values)) + b"".join(struct.pack("<i", len(x)) + x for x in packed)
 
 
@@ -157,15 +159,30 @@ def _numbers(packed: list[bytes], kind: type) -> list[np.ndarray]:
     out = []
     for whole in packed:
         (n,), at = struct.unpack_from("<q", whole), 8
-        numbers = np.empty((n, np.dtype(kind).itemsize), np.uint8)
+        numbers = np.zeros((n, np.dtype(kind).itemsize), np.uint8)
         for k in range(numbers.shape[1]):
             (size,) = struct.unpack_from("<i", whole, at)
-            numbers[:, k] = np.frombuffer(pa.decompress(whole[at + 4 : at + 4 + size], n, codec="zstd"), np.uint8)
+            if size:
+                numbers[:, k] = np.frombuffer(pa.decompress(whole[at + 4 : at + 4 + size], n, codec="zstd"), np.uint8)
             at += 4 + size
         out.append(numbers.reshape(-1).view(kind))
     return out
 
 
+def _bits(flags: np.ndarray) -> bytes:
+    """How many flags, then a bit for each, compressed."""
+    return struct.pack("<q", len(flags)) + pa.compress(np.packbits(flags), codec="zstd", asbytes=True)
+
+
+def _flags(packed: list[bytes]) -> np.ndarray:
+    """The flags of all ``_bits``, one after the other."""
+    out = [np.zeros(0, np.uint8)]
+    for whole in packed:
+        (n,) = struct.unpack_from("<q", whole)
+        out.append(np.unpackbits(np.frombuffer(pa.decompress(whole[8:], -(-n // 8), codec="zstd"), np.uint8), count=n))
+    return np.concatenate(out).view(np.bool_)
+
+
 def _gaps(keys: np.ndarray) -> bytes:
     """Keys in order as the first one and the gaps between them, modulo 2 ** 64: dense ones have many zero bytes."""
     return _planes(np.diff(keys.view(np.uint64), prepend=np.uint64(0)))
@@ -176,11 +193,38 @@ def _keys(packed: list[bytes]) -> list[np.ndarray]:
     return [np.cumsum(x, dtype=np.uint64).view(np.int64) for x in _numbers(packed, np.uint64)]
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Places of 64-bit keys in their order, equal ones as they come.
+
+    Their first bits are sorted with their places in the last ones as single numbers,
+    which takes a fraction of the time of sorting places.
+    """
+    keys = keys.view(np.uint64)
+    places = np.arange(len(keys), dtype=np.uint64)
+    bits = np.uint64(len(keys).bit_length())
+    order = (np.sort((keys >> bits << bits) | places) & np.uint64((1 << int(bits)) - 1)).view(np.int64)
+    ranked = keys[order]
+    if (ranked[1:] < ranked[:-1]).any():  # different keys that begin alike, of which there are few
+        order = order[np.argsort(ranked, kind="stable")]
+    return order
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the place of each one's first, and the number among them of every key."""
+    order = _order(keys)
+    ranked = keys.view(np.uint64)[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    where = np.empty(len(keys), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return ranked[new].view(keys.dtype), order[new], where
+
+
 def _packed(split: int, state: bool, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa.Table:
     """Distinct keys, each with a value or a row of them, as a row for each range of the hash space; values lie column by column."""
-    which = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-    order = np.lexsort((keys, which))
-    keys, values, which = keys[order], values[order], which[order].astype(np.int64)
+    order = _order(keys)
+    keys, values = keys.view(np.uint64)[order], values[order]
+    which = (((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
     starts = np.flatnonzero(np.diff(which, prepend=-1))
     spans = list(zip(starts.tolist(), np.append(starts, len(keys))[1:].tolist(), strict=True))
     return pa.table({
@@ -202,25 +246,22 @@ class Merged:
     """The packed rows of a range: its keys and values, and for each the number of its key and its row."""
 
     def __init__(self, rows: pa.Table, kind: type, columns: int = 1):
-        rows = rows.sort_by("split")
-        self.splits = rows.column("split").to_numpy()
+        rows = rows.sort_by([("split", "ascending"), ("range", "ascending")])
+        self.splits, self.ranges = rows.column("split").to_numpy(), rows.column("range").to_numpy()
         packed = _keys(rows.column("keys").to_pylist())
         self.keys = np.concatenate(packed)
         self.values = np.concatenate([d.reshape(columns, -1) for d in _numbers(rows.column("data").to_pylist(), kind)], axis=1)
         self.edges = np.concatenate([[0], np.cumsum([len(k) for k in packed])])
-        self.distinct, self.first, where = np.unique(self.keys, return_index=True, return_inverse=True)
-        self.where = where.reshape(-1)
+        self.distinct, self.first, self.where = _distinct(self.keys)
 
     def rows(self, level: int, state: bool, keep: np.ndarray, values: np.ndarray, owner: np.ndarray) -> pa.Table:
-        """Rows of ``KNOWN``: of each split's keys those to ``keep``."""
-        n = np.cumsum(np.concatenate([[0], np.where(owner & keep, values, 0)])) if not state else np.zeros(len(keep) + 1)
-        v = np.cumsum(np.concatenate([[0], owner & keep & (values > 0)]))
+        """Rows of ``KNOWN``: which of each split's keys to ``keep``, and of those the values and the ones it owns."""
         out = []
-        for split, i, j in zip(self.splits.tolist(), self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True):
-            at = np.flatnonzero(keep[i:j]) + i
-            if len(at):
-                out.append((split, level, state, _gaps(self.keys[at]), _planes(values[at]), _planes(owner[at]), int(n[j] - n[i]), int(v[j] - v[i])))
-        kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        for split, of, i, j in zip(self.splits.tolist(), self.ranges.tolist(), self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True):
+            kept = values[i:j][keep[i:j]]
+            mine = owner[i:j][keep[i:j]]
+            out.append((split, level, state, of, _bits(keep[i:j]), _planes(kept), _bits(mine), int(kept[mine].sum()), int((kept[mine] > 0).sum())))
+        kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
         names = [column.split()[0] for column in KNOWN.split(", ")]
         return pa.table({name: pa.array([row[i] for row in out], kind) for i, (name, kind) in enumerate(zip(names, kinds, strict=True))})
 
@@ -263,110 +304,99 @@ def _merge(level: int, least: int):
     return run
 
 
-def _joined(context: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Hash of each context followed by a word."""
-    return mix64(mix64(context.view(np.uint64), 2) ^ last.view(np.uint64), 3).view(np.int64)
-
-
-def _lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Place of each value in the sorted ``table``, or -1."""
-    if not len(table):
-        return np.full(len(values), -1, np.int64)
-    if len(values) < 1000:
-        at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-        return np.where(table[at] == values, at, -1)
-    order = np.argsort(values)  # in order, neighbouring searches touch the same memory
-    ranked = values[order]
-    at = np.minimum(np.searchsorted(table, ranked), len(table) - 1)
-    out = np.empty(len(values), np.int64)
-    out[order] = np.where(table[at] == ranked, at, -1)
-    return out
+class Split:
+    """A split's tokens (each text's words and its end), and what it knows of them at a level of the tree.
 
+    That is each token's context at the level (by its place among ``names``, the last
+    of which stands for none), the contexts' counts, whether the sequence of the level
+    before that the token ends is found ``LEAST`` times, and the token's probability by
+    the states of the levels before.
+    """
 
-class Split:
-    """A split's documents, and what it knows: counts of its words, and by level its sequences and states."""
-
-    def __init__(self, docs: pa.Table, rows: pa.Table, levels: int, n_tokens: int, n_words: int, owned: bool = False):
-        self.denominator = max(n_tokens + 0.1 * (n_words + 1), 0.1)
-        level, state = rows.column("level").to_numpy(), rows.column("state").to_numpy(zero_copy_only=False)
-
-        def ranked(level_of: int, is_state: bool, **columns: type) -> list[np.ndarray]:
-            own = rows.filter(pa.array((level == level_of) & (state == is_state)))
-            key = np.concatenate([np.zeros(0, np.int64), *_keys(own.column("keys").to_pylist())])
-            values = [np.concatenate([np.zeros(0, kind), *_numbers(own.column(name).to_pylist(), kind)]) for name, kind in columns.items()]
-            order = np.argsort(key, kind="stable")  # each range's keys are in order
-            return [key[order], *(v[order] for v in values)]
-
-        known, counts = ranked(0, False, data=np.int64)
-        self.sequences = [ranked(n, False, data=np.int64) for n in range(1, levels + 1)]
-        self.owner = ranked(levels, False, owner=np.bool_)[1] if owned else None
+    def __init__(self, docs: pa.Table, known: pa.Table, n_tokens: int, n_words: int):
+        self.known = known.sort_by("range")
+        self.id = docs.column("split")[0].as_py()
         words = [w for w in docs.column("words").to_pylist() if w is not None]
-        self.hashes = np.frombuffer(words[0], np.int64) if words else np.zeros(0, np.int64)
-        # every word of the split is among its rows of level 0
-        self.counts = counts[_lookup(known, self.hashes)] if len(known) else np.zeros(len(self.hashes), np.int64)
-        # the contexts of each level are the sequences (at first the words, and the start mark) of the level before
-        end_count = self.counts[-1:] if len(self.counts) else np.zeros(1, np.int64)
-        self.contexts = [(np.append(self.hashes, START), np.append(self.counts, end_count)), *self.sequences]
-        self.mass = []
-        for n in range(1, levels + 1):
-            states, mass = ranked(n, True, data=np.int64)
-            at = _lookup(states, self.contexts[n - 1][0])
-            self.mass.append(np.where(at >= 0, mass[at], -1) if len(states) else np.full(len(at), -1))
-        self.docs = docs.filter(pa.compute.is_valid(docs.column("ids"))) if docs.num_rows else docs
-        self.id = docs.column("split")[0].as_py() if docs.num_rows else 0
-
-    def chunks(self) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
-        """Documents with the number of each of their tokens (ends included), its place in its text, and each text's length."""
-        lengths = pa.compute.binary_length(self.docs.column("ids")).to_numpy() // 4 + 1 if self.docs.num_rows else np.zeros(0, np.int64)
-        chunk = (np.cumsum(lengths) - 1) // WALK_TOKENS
-        edges = np.flatnonzero(np.diff(chunk, prepend=-1, append=-1)) if len(chunk) else []
-        for start, end in zip(edges[:-1], edges[1:], strict=True):
-            docs, n = self.docs.slice(start, end - start), lengths[start:end].astype(np.int64)
-            ends = np.cumsum(n) - 1
-            number = np.full(int(n.sum()), len(self.hashes) - 1, np.int64)  # the end token is the last of the words
-            inner = np.ones(len(number), bool)
-            inner[ends] = False
-            number[inner] = np.frombuffer(b"".join(docs.column("ids").to_pylist()), np.int32)
-            yield docs, number, np.arange(len(number)) - np.repeat(ends + 1 - n, n), n
-
-    def follow(self, level: int, h: np.ndarray, context: np.ndarray, total: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each token the place and count of the sequence that it ends after its context; -1 and 0 where there is none."""
-        keys, counts = self.sequences[level]
-        inside = np.flatnonzero((total >= CONTEXT_LEAST) & (c >= LEAST))
-        found = _lookup(keys, _joined(self.contexts[level][0][context[inside]], h[inside]))
-        inside, found = inside[found >= 0], found[found >= 0]
-        entry, count = np.full(len(h), -1, np.int64), np.zeros(len(h), np.int64)
-        entry[inside], count[inside] = found, counts[found]
-        return entry, count
-
-    def walk(self, number: np.ndarray, place: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each token: its probability by so many levels, the next level's context (by its place among the contexts) and its count, and the count of the sequence after that context's first word."""
-        h, c = self.hashes[number], self.counts[number]
-        p = (c + 0.1) / self.denominator
-        context = np.concatenate([[0], number[:-1]])
-        context[place == 0] = len(self.hashes)
-        total = self.contexts[0][1][context]
-        for level in range(levels):
-            entry, c = self.follow(level, h, context, total, c)
-            at = np.flatnonzero(total >= CONTEXT_LEAST)
-            mass = self.mass[level][context[at]]
-            at, mass = at[mass >= 0], mass[mass >= 0]
-            p[at] = p[at] * (1 - mass * DISCOUNT / total[at]) + np.maximum(c[at] - DISCOUNT, 0) / total[at]
-            context, total = _before(level, place, entry, c)
-        return p, context, total, c
-
-
-def _before(level: int, place: np.ndarray, entry: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each token's context at the next level, the sequence that ends before it, and its count."""
-    context, total = np.concatenate([[0], entry[:-1]]), np.concatenate([[0], count[:-1]])
-    total[place <= level] = 0
-    return context, total
-
-
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, with their counts."""
-    key, where = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_inverse=True)
-    return key, np.bincount(where.reshape(-1), np.concatenate([np.zeros(0, np.int64), *counts]), len(key)).astype(np.int64)
+        self.hashes = np.frombuffer(words[0], np.uint64)
+        self.docs = docs.filter(pa.compute.is_valid(docs.column("ids")))
+        self.lengths = pa.compute.binary_length(self.docs.column("ids")).to_numpy().astype(np.int64) // 4 + 1
+        ends = np.cumsum(self.lengths) - 1
+        self.starts = ends + 1 - self.lengths
+        self.number = np.full(int(self.lengths.sum()), len(self.hashes) - 1, np.int32)  # the end token is the last of the words
+        inner = np.ones(len(self.number), bool)
+        inner[ends] = False
+        self.number[inner] = np.frombuffer(b"".join(self.docs.column("ids").to_pylist()), np.int32)
+        self.counts = np.empty(len(self.hashes), np.int64)
+        self.counts[_order(self.hashes)] = self.told(0, False)[1]  # all words are kept
+        self.base = (self.counts + 0.1) / max(n_tokens + 0.1 * (n_words + 1), 0.1)
+        self.p = self.base[self.number]
+        # the contexts of the first level are the words and the start mark
+        self.depth, self.names = 0, np.concatenate([self.hashes, np.array([START, 0]).view(np.uint64)])
+        self.totals = np.concatenate([self.counts, self.counts[-1:], [0]])
+        self.context = self.shifted(self.number, len(self.hashes))
+        self.again = (self.counts >= LEAST)[self.number]
+
+    def told(self, level: int, state: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the keys that the split listed at a level are kept, and of those the values and the ones it owns."""
+        rows = self.known.filter((pa.compute.field("level") == level) & (pa.compute.field("state") == state))
+        values = _numbers(rows.column("data").to_pylist(), np.int64)
+        return _flags(rows.column("keep").to_pylist()), np.concatenate([np.zeros(0, np.int64), *values]), _flags(rows.column("owner").to_pylist())
+
+    def shifted(self, entry: np.ndarray, first: int) -> np.ndarray:
+        """For each token what the one before has, ``first`` at the start of a text."""
+        out = np.empty_like(entry)
+        out[1:] = entry[:-1]
+        out[self.starts] = first
+        return out
+
+    def listed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens after a context of the level that may end a sequence in the tree, the hashes of these sequences in order, and for each such token the number of its own."""
+        at = np.flatnonzero((self.totals >= CONTEXT_LEAST)[self.context] & self.again)
+        keys = mix64(self.names, 2)[self.context[at]]
+        keys ^= self.hashes[self.number[at]]
+        keys, _, where = _distinct(mix64(keys, 3))
+        return at, keys, where
+
+    def asked(self) -> np.ndarray:
+        """Places of the contexts whose states the split needs, in the order of their names."""
+        seen = np.zeros(len(self.names), bool)
+        seen[self.context] = True
+        at = np.flatnonzero(seen & (self.totals >= CONTEXT_LEAST))
+        return at[_order(self.names[at])]
+
+    def follow(self) -> np.ndarray:
+        """Count each listed sequence, and find for each token the one that it ends (the number after the last: none); returns those kept that the split owns."""
+        at, self.keys, where = self.listed()
+        keep, counts, owner = self.told(self.depth + 1, False)
+        kept = np.flatnonzero(keep)
+        self.found = np.zeros(len(self.keys) + 1, np.int64)
+        self.found[kept] = counts
+        self.entry = np.full(len(self.number), len(self.keys), np.int32)
+        self.entry[at] = where
+        return kept[owner]
+
+    def smooth(self) -> None:
+        """Take the states of the level into the probabilities."""
+        keep, mass, _ = self.told(self.depth + 1, True)
+        states = self.asked()[keep]
+        rest, total = np.ones(len(self.names)), np.zeros(len(self.names))
+        rest[states], total[states] = 1 - mass * DISCOUNT / self.totals[states], self.totals[states]
+        at = np.flatnonzero((total > 0)[self.context])
+        context = self.context[at]
+        self.p[at] = self.p[at] * rest[context] + np.maximum(self.found - DISCOUNT, 0)[self.entry[at]] / total[context]
+
+    def descend(self) -> None:
+        """The sequences of this level are the contexts of the next one."""
+        self.names, self.totals = np.append(self.keys, np.uint64(0)), self.found
+        self.context = self.shifted(self.entry, len(self.keys))
+        self.again = (self.found >= LEAST)[self.entry]
+        self.depth += 1
+
+    def walk(self, levels: int) -> None:
+        for _ in range(levels):
+            self.follow()
+            self.smooth()
+            self.descend()
 
 
 def _listed(level: int, n_tokens: int, n_words: int, ranges: int):
@@ -376,55 +406,37 @@ def _listed(level: int, n_tokens: int, n_words: int, ranges: int):
     divergence.  Its sequences of the next level (up to ``DEPTH``) that may be in the tree, with their training counts.
     """
 
-    def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
-        split = Split(docs, rows, level, n_tokens, n_words, owned=level > 0)
-        names, totals = split.contexts[max(level - 1, 0)]
-        counts = split.sequences[-1][1] if level else np.zeros(0, np.int64)
-        of, lower, asked = np.zeros(len(counts), np.int64), np.ones(len(counts)), np.zeros(len(names), bool)
-        keys, learned = [], []
-        for batch, number, place, n in split.chunks():
-            h = split.hashes[number]
-            p, context, total, c = split.walk(number, place, max(level - 1, 0))
-            if level:
-                asked[context[total >= CONTEXT_LEAST]] = True
-                entry, c = split.follow(level - 1, h, context, total, c)
-                at = np.flatnonzero(entry >= 0)
-                of[entry[at]], lower[entry[at]] = context[at], p[at]
-                context, total = _before(level - 1, place, entry, c)
-            if level < DEPTH:
-                at = np.flatnonzero((total >= CONTEXT_LEAST) & (c >= LEAST))
-                train = np.repeat(~batch.column("held_out").to_numpy(), n)[at]
-                key, count = _summed([_joined(split.contexts[level][0][context[at]], h[at])], [train])
-                keys.append(key)
-                learned.append(count)
-        out = [_packed(split.id, False, *_summed(keys, learned), ranges)]
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        split, out = Split(docs, known, n_tokens, n_words), []
+        split.walk(level - 1)
         if level:
-            own = split.owner & (counts > 0)
-            of, lower, c = of[own], lower[own], counts[own]
-            share = c / totals[of]
-            seen, symbols, listed, below = (np.bincount(of, v, len(names)) for v in (c, np.ones(len(c)), share * np.log(share / lower), lower))
-            values = np.column_stack([np.where(symbols > 0, totals, 0), seen, symbols, listed, below]).astype(np.float64)
-            out.append(_packed(split.id, True, names[asked], values[asked], ranges))
+            own = split.follow()
+            of, lower = np.zeros(len(split.found), np.int32), np.ones(len(split.found))
+            of[split.entry], lower[split.entry] = split.context, split.p
+            of, lower, c, asked = of[own], lower[own], split.found[own], split.asked()
+            share = c / split.totals[of]
+            seen, symbols, listed, below = (np.bincount(of, v, len(split.names)) for v in (c, np.ones(len(c)), share * np.log(share / lower), lower))
+            values = np.column_stack([x[asked] for x in (np.where(symbols > 0, split.totals, 0), seen, symbols, listed, below)]).astype(np.float64)
+            out.append(_packed(split.id, True, split.names[asked], values, ranges))
+            split.descend()
+        if level < DEPTH:
+            at, keys, where = split.listed()
+            train = np.repeat(~split.docs.column("held_out").to_numpy(), split.lengths)[at]
+            out.append(_packed(split.id, False, keys, np.bincount(where, train, len(keys)).astype(np.int64), ranges))
         return pa.concat_tables(out)
 
     return run
 
 
 def _score(n_tokens: int, n_words: int):
-    def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
-        split = Split(docs, rows, DEPTH, n_tokens, n_words)
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        split = Split(docs, known, n_tokens, n_words)
+        split.walk(DEPTH)
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         schema = pa.schema(list(zip([column.split()[0] for column in SCORES.split(", ")], kinds, strict=True)))
-        out = []
-        for batch, number, place, n in split.chunks():
-            p, c = split.walk(number, place, DEPTH)[0], split.counts[number]
-            base = (c + 0.1) / split.denominator
-            starts = np.cumsum(n) - n
-            known = np.add.reduceat((c > 0).astype(np.int64), starts)
-            sums = (np.add.reduceat(np.log10(x), starts) for x in (base, p))
-            columns = [batch.column("doc_id").combine_chunks(), batch.column("held_out").combine_chunks(), n, known, np.full(len(n), n_tokens, np.int64), *sums]
-            out.append(pa.table([pa.array(x) if isinstance(x, np.ndarray) else x for x in columns], schema=schema))
-        return pa.concat_tables(out) if out else schema.empty_table()
+        n_known, base, score = (np.add.reduceat(x, split.starts) for x in ((split.counts > 0).astype(np.int64)[split.number], np.log10(split.base)[split.number], np.log10(split.p)))
+        columns = [split.docs.column("doc_id").combine_chunks(), split.docs.column("held_out").combine_chunks(), split.lengths, n_known, np.full(len(base), n_tokens, np.int64), base, score]
+        return pa.table([pa.array(x) if isinstance(x, np.ndarray) else x for x in columns], schema=schema)
 
     return run
 
