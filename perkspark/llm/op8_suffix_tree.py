@@ -11,8 +11,10 @@ vocabulary or tree is ever in one place.  Shuffled are, to ranges of the hash sp
 corpus, and a key is there once a split, however frequent), the sorted keys and counts
 of a split's words, sequences and contexts, packed by range (keys as the gaps between
 them, all compressed).  Back go no keys: a bit for each key, in the order in which the
-split listed them, and the values of those that are kept.  A split lists the same keys
-again whenever it reads that, from the same tokens and what it knew then.
+split listed them, and of those that are kept the values and the ranks in the range.  A
+split lists the same keys again whenever it reads that, from the same tokens and what it
+knew then, and names its contexts by range and rank, which lie closer than hashes.  Each
+level is listed in ``ROUNDS``, every one for its share of the ranges.
 
 The tree: a context of one to ``DEPTH`` words counts when it occurs ``CONTEXT_LEAST``
 times in the training texts, a symbol after it when the two occur ``LEAST`` times;
@@ -55,6 +57,8 @@ SPLIT_BYTES = 16 << 20
 SPLIT_TOKENS = 3 << 20
 #: Text for each range of the hash space; its keys are merged by one task.
 RANGE_BYTES = 16 << 20
+#: Rounds in which a level's sequences go to the ranges, so that a part of them is on disk at a time.
+ROUNDS = 2
 DEPTH = 3
 #: Occurrences that a context, and a symbol after it, must have; no share of the corpus is asked.
 CONTEXT_LEAST = 3
@@ -66,7 +70,7 @@ END, START = -1, -2
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 PACKED = "range long, split long, state boolean, keys binary, data binary"
-KNOWN = "split long, level int, state boolean, range long, keep binary, data binary, owner binary, n long, v long"
+KNOWN = "split long, level int, state boolean, range long, keep binary, data binary, owner binary, ranks binary, n long, v long"
 DEALT = "split long, doc_id long, held_out boolean, ids binary, words binary, counts binary"
 
 
@@ -199,10 +203,13 @@ def _order(keys: np.ndarray) -> np.ndarray:
     Their first bits are sorted with their places in the last ones as single numbers,
     which takes a fraction of the time of sorting places.
     """
-    keys = keys.view(np.uint64)
-    places = np.arange(len(keys), dtype=np.uint64)
-    bits = np.uint64(len(keys).bit_length())
-    order = (np.sort((keys >> bits << bits) | places) & np.uint64((1 << int(bits)) - 1)).view(np.int64)
+    keys, bits = keys.view(np.uint64), np.uint64(len(keys).bit_length())
+    both = keys >> bits
+    both <<= bits
+    both |= np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    both &= np.uint64((1 << int(bits)) - 1)
+    order = both.view(np.int64)
     ranked = keys[order]
     if (ranked[1:] < ranked[:-1]).any():  # different keys that begin alike, of which there are few
         order = order[np.argsort(ranked, kind="stable")]
@@ -220,13 +227,14 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ranked[new].view(keys.dtype), order[new], where
 
 
-def _packed(split: int, state: bool, keys: np.ndarray, values: np.ndarray, ranges: int) -> pa.Table:
-    """Distinct keys, each with a value or a row of them, as a row for each range of the hash space; values lie column by column."""
+def _packed(split: int, state: bool, keys: np.ndarray, values: np.ndarray, ranges: int, turn: int = 0, turns: int = 1) -> pa.Table:
+    """Distinct keys, each with a value or a row of them, as a row for each range of the hash space that has its turn; values lie column by column."""
     order = _order(keys)
     keys, values = keys.view(np.uint64)[order], values[order]
     which = (((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
     starts = np.flatnonzero(np.diff(which, prepend=-1))
-    spans = list(zip(starts.tolist(), np.append(starts, len(keys))[1:].tolist(), strict=True))
+    spans = [(i, j) for i, j in zip(starts.tolist(), np.append(starts, len(keys))[1:].tolist(), strict=True) if which[i] % turns == turn]
+    starts = starts[which[starts] % turns == turn]
     return pa.table({
         "range": which[starts], "split": np.full(len(starts), split, np.int64), "state": np.full(len(starts), state),
         "keys": pa.array([_gaps(keys[i:j]) for i, j in spans], pa.binary()), "data": pa.array([_planes(values[i:j].T.reshape(-1)) for i, j in spans], pa.binary()),
@@ -255,13 +263,14 @@ class Merged:
         self.distinct, self.first, self.where = _distinct(self.keys)
 
     def rows(self, level: int, state: bool, keep: np.ndarray, values: np.ndarray, owner: np.ndarray) -> pa.Table:
-        """Rows of ``KNOWN``: which of each split's keys to ``keep``, and of those the values and the ones it owns."""
-        out = []
+        """Rows of ``KNOWN``: which of each split's keys to ``keep``, and of those the values, the ones it owns, and the ranks if they may be contexts."""
+        out, contexts = [], not state and level < DEPTH
+        rank = (np.cumsum(keep[self.first], dtype=np.uint64) - np.uint64(1))[self.where]
         for split, of, i, j in zip(self.splits.tolist(), self.ranges.tolist(), self.edges[:-1].tolist(), self.edges[1:].tolist(), strict=True):
             kept = values[i:j][keep[i:j]]
             mine = owner[i:j][keep[i:j]]
-            out.append((split, level, state, of, _bits(keep[i:j]), _planes(kept), _bits(mine), int(kept[mine].sum()), int((kept[mine] > 0).sum())))
-        kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+            out.append((split, level, state, of, _bits(keep[i:j]), _planes(kept), _bits(mine), _gaps(rank[i:j][keep[i:j]]) if contexts else None, int(kept[mine].sum()), int((kept[mine] > 0).sum())))
+        kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
         names = [column.split()[0] for column in KNOWN.split(", ")]
         return pa.table({name: pa.array([row[i] for row in out], kind) for i, (name, kind) in enumerate(zip(names, kinds, strict=True))})
 
@@ -342,6 +351,18 @@ class Split:
         values = _numbers(rows.column("data").to_pylist(), np.int64)
         return _flags(rows.column("keep").to_pylist()), np.concatenate([np.zeros(0, np.int64), *values]), _flags(rows.column("owner").to_pylist())
 
+    def short_names(self, ranges: int) -> np.ndarray:
+        """For each context of the level its range's first key and its rank there as one key, in the order of the names."""
+        rows = self.known.filter((pa.compute.field("level") == self.depth) & ~pa.compute.field("state"))
+        kept = np.flatnonzero(_flags(rows.column("keep").to_pylist()))
+        firsts = [np.uint64(-(-(of << 32) // ranges) << 32) for of in rows.column("range").to_pylist()]
+        out = np.zeros(len(self.names), np.uint64)
+        keys = [x.view(np.uint64) + first for x, first in zip(_keys(rows.column("ranks").to_pylist()), firsts, strict=True)]
+        out[kept if self.depth else _order(self.hashes)[kept]] = np.concatenate([np.zeros(0, np.uint64), *keys])
+        if not self.depth:
+            out[len(self.hashes)] = self.names[len(self.hashes)]  # the start mark, after all ranks of the last range
+        return out
+
     def shifted(self, entry: np.ndarray, first: int) -> np.ndarray:
         """For each token what the one before has, ``first`` at the start of a text."""
         out = np.empty_like(entry)
@@ -399,8 +420,8 @@ class Split:
             self.descend()
 
 
-def _listed(level: int, n_tokens: int, n_words: int, ranges: int):
-    """What a split lists when sequences up to this level are known.
+def _listed(level: int, n_tokens: int, n_words: int, ranges: int, turn: int, turns: int):
+    """What a split lists for the ranges that have their turn when sequences up to this level are known.
 
     Its contexts of this level (above 0): their counts, and what the sequences it owns add to the sums of their
     divergence.  Its sequences of the next level (up to ``DEPTH``) that may be in the tree, with their training counts.
@@ -417,12 +438,12 @@ def _listed(level: int, n_tokens: int, n_words: int, ranges: int):
             share = c / split.totals[of]
             seen, symbols, listed, below = (np.bincount(of, v, len(split.names)) for v in (c, np.ones(len(c)), share * np.log(share / lower), lower))
             values = np.column_stack([x[asked] for x in (np.where(symbols > 0, split.totals, 0), seen, symbols, listed, below)]).astype(np.float64)
-            out.append(_packed(split.id, True, split.names[asked], values, ranges))
+            out.append(_packed(split.id, True, split.short_names(ranges)[asked], values, ranges, turn, turns))
             split.descend()
         if level < DEPTH:
             at, keys, where = split.listed()
             train = np.repeat(~split.docs.column("held_out").to_numpy(), split.lengths)[at]
-            out.append(_packed(split.id, False, keys, np.bincount(where, train, len(keys)).astype(np.int64), ranges))
+            out.append(_packed(split.id, False, keys, np.bincount(where, train, len(keys)).astype(np.int64), ranges, turn, turns))
         return pa.concat_tables(out)
 
     return run
@@ -458,8 +479,10 @@ def suffix_tree_scores(docs: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataF
     learn(dealt.read().filter("words is not null").select("split", "words", "counts").mapInArrow(_split_words(ranges), PACKED), _merge(-1, 0))
     sizes = known.read().agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     for level in range(DEPTH + 1):
-        splits = dealt.read().groupBy("split").cogroup(known.read().groupBy("split"))
-        learn(splits.applyInArrow(_listed(level, *sizes, ranges), PACKED), _merge(level, LEAST))
+        turns = ROUNDS if level < DEPTH else 1
+        for turn in range(turns):
+            splits = dealt.read().groupBy("split").cogroup(known.read().groupBy("split"))
+            learn(splits.applyInArrow(_listed(level, *sizes, ranges, turn, turns), PACKED), _merge(level, LEAST))
     return dealt.read().groupBy("split").cogroup(known.read().groupBy("split")).applyInArrow(_score(*sizes), SCORES)
 
 

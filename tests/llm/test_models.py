@@ -247,6 +247,41 @@ def test_packed_keys_are_whole_and_small():
     assert np.array_equal(op8._keys([op8._gaps(edges)])[0], edges) and len(op8._keys([op8._gaps(edges[:0])])[0]) == 0
 
 
+def test_keys_are_ordered_by_hash_then_place():
+    """Equal keys as they come, and keys that differ in their last bits alone."""
+    rng = np.random.default_rng(8)
+    keys = np.concatenate([rng.integers(-(2**63), 2**63 - 1, 3000), np.arange(-5, 300), np.arange(300, -5, -1), [-1, -2, 0]])
+    keys = np.concatenate([keys, keys[::3]])
+    want = np.argsort(keys.view(np.uint64), kind="stable")
+    assert np.array_equal(op8._order(keys), want) and len(op8._order(keys[:0])) == 0
+    distinct, first, where = op8._distinct(keys)
+    assert np.array_equal(distinct, np.unique(keys.view(np.uint64)).view(np.int64)) and np.array_equal(distinct[where], keys)
+    assert all(f == np.flatnonzero(keys == k)[0] for k, f in zip(distinct.tolist(), first.tolist(), strict=True))
+
+
+def test_splits_are_told_no_keys():
+    """What a range sends back for ten thousand keys of a split, half of them kept, takes less than a byte and a half a key (8 before, 7 a kept one by gaps)."""
+    rng = np.random.default_rng(9)
+    keys, ranges = np.unique(rng.integers(-(2**63), 2**63 - 1, 20_000)), 3
+    parts = [np.sort(rng.choice(keys, 10_000, replace=False)) for _ in range(4)]
+    packed = op8.pa.concat_tables([op8._packed(i, False, part, np.ones(len(part), np.int64), ranges) for i, part in enumerate(parts)])
+    total = Counter(k for part in parts for k in part.tolist())
+    told = [op8._totals(packed.filter(op8.pa.compute.field("range") == r), 1, 3) for r in range(ranges)]
+    told = op8.pa.concat_tables(told)
+    size = sum(len(x) for name in ("keep", "data", "owner", "ranks") for x in told.column(name).to_pylist())
+    assert size < 1.5 * sum(map(len, parts))
+    names = defaultdict(set)
+    for i, part in enumerate(parts):
+        own = told.filter(op8.pa.compute.field("split") == i).sort_by("range")
+        part = part[np.argsort(part.view(np.uint64))]
+        keep, values = op8._flags(own.column("keep").to_pylist()), np.concatenate(op8._numbers(own.column("data").to_pylist(), np.int64))
+        assert dict(zip(part[keep].tolist(), values.tolist(), strict=True)) == {k: total[k] for k in part.tolist() if total[k] >= 3}
+        ranks = zip(np.repeat(own.column("range").to_numpy(), [len(x) for x in op8._keys(own.column("ranks").to_pylist())]).tolist(), np.concatenate(op8._keys(own.column("ranks").to_pylist())).tolist(), strict=True)
+        for k, name in zip(part[keep].tolist(), ranks, strict=True):
+            names[name].add(k)
+    assert all(len(x) == 1 for x in names.values()) and len(names) == sum(n >= 3 for n in total.values())
+
+
 def test_suffix_tree_leaves_no_merged_rows(spark):
     """What the ranges give out is dropped once the splits have it."""
     before = {r["tableName"] for r in spark.sql("SHOW TABLES").collect()}
