@@ -13,8 +13,8 @@ of a split's words, sequences and contexts, packed by range (keys as the gaps be
 them, all compressed).  Back go no keys: a bit for each key, in the order in which the
 split listed them, and of those that are kept the values and the ranks in the range.  A
 split lists the same keys again whenever it reads that, from the same tokens and what it
-knew then, and names its contexts by range and rank, which lie closer than hashes.  Each
-level is listed in ``ROUNDS``, every one for its share of the ranges.
+knew then, and names its contexts by range and rank, which lie closer than hashes.  The
+first levels, which list the most, do so in ``ROUNDS``, every one for its share of the ranges.
 
 The tree: a context of one to ``DEPTH`` words counts when it occurs ``CONTEXT_LEAST``
 times in the training texts, a symbol after it when the two occur ``LEAST`` times;
@@ -57,7 +57,7 @@ SPLIT_BYTES = 16 << 20
 SPLIT_TOKENS = 3 << 20
 #: Text for each range of the hash space; its keys are merged by one task.
 RANGE_BYTES = 16 << 20
-#: Rounds in which a level's sequences go to the ranges, so that a part of them is on disk at a time.
+#: Rounds in which the sequences of a first level go to the ranges, so that a part of them is on disk at a time.
 ROUNDS = 2
 DEPTH = 3
 #: Occurrences that a context, and a symbol after it, must have; no share of the corpus is asked.
@@ -479,7 +479,7 @@ def suffix_tree_scores(docs: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataF
     learn(dealt.read().filter("words is not null").select("split", "words", "counts").mapInArrow(_split_words(ranges), PACKED), _merge(-1, 0))
     sizes = known.read().agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     for level in range(DEPTH + 1):
-        turns = ROUNDS if level < DEPTH else 1
+        turns = ROUNDS if level < DEPTH - 1 else 1  # the last levels list the least
         for turn in range(turns):
             splits = dealt.read().groupBy("split").cogroup(known.read().groupBy("split"))
             learn(splits.applyInArrow(_listed(level, *sizes, ranges, turn, turns), PACKED), _merge(level, LEAST))
